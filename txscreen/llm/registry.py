@@ -6,12 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, chat, tokenfiles
+from . import bpe, chat, langid, mixing, pii, simhash, tokenfiles
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_format": chat.op1_chat_format,
     "op3_token_files": tokenfiles.op3_token_files,
+    "op4_personal_data": pii.op4_personal_data,
+    "op5_language_id": langid.op5_language_id,
+    "op6_simhash": simhash.op6_simhash,
     "op8_byte_bpe": bpe.op8_byte_bpe,
+    "op10_mixing": mixing.op10_mixing,
 }
 
 ORACLE_SQL: dict[str, str] = {"op1_chat_format": chat.SQL}
