@@ -21,6 +21,8 @@ from __future__ import annotations
 import base64
 import hashlib
 import os
+import sys
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,10 +32,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from tokenizers import Regex, Tokenizer, models, pre_tokenizers
 
-from .common import table
+from .common import slices, table
 
 #: Chunks that a worker remembers, and the characters of the longest one worth remembering.
-MEMO_CHUNKS, MEMO_CHARS = 600_000, 40
+MEMO_CHUNKS, MEMO_CHARS = 1_000_000, 40
 
 
 def byte_table() -> dict[int, str]:
@@ -83,12 +85,16 @@ def chunks_of(parts: list[str]) -> list[str]:
             continue
         word = p.rstrip(".,;:!?")
         if len(word) < len(p) and word.isalpha() and max(word) < "\u0250":
-            out += (word, " " + p[len(word) :], )
+            out += (word, " " + p[len(word) :])
         else:
             out.append(p)
     return out
 
 
+if sys.byteorder != "little" or array("I").itemsize != 4:
+    raise ImportError("ids are written as the machine's unsigned 32-bit integers, which must be little-endian")
+
+
 class Encoder:
     """A Tokenizer with a memo of chunks; a worker holds one for each tokenizer definition."""
 
@@ -121,7 +127,7 @@ class Encoder:
             said = [k[1:] if k[0] == " " else " " + k for k in part]
             for k, e in zip(part, self.tokenizer.encode_batch_fast(said, add_special_tokens=False), strict=True):
                 keep = len(k) <= MEMO_CHARS and len(memo) < MEMO_CHUNKS
-                (memo if keep else once)[k] = np.array(e.ids, "<u4").tobytes()
+                (memo if keep else once)[k] = array("I", e.ids).tobytes()
         if once:
             return [b"".join([memo[k] if k in memo else once[k] for k in keys]) for keys in own]
         return [b"".join(map(memo.__getitem__, keys)) for keys in own]
@@ -205,7 +211,7 @@ def encoding_digests(docs: DataFrame, definition: str, doc_id: str = "doc_id", t
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, decoder = Encoder.of(definition), Decoder.of(definition)
         decimal = [str(i) for i in range(len(decoder.tokens))]
-        for b in batches:
+        for b in slices(batches):
             texts = [x or "" for x in b.column(1).to_pylist()]
             n, of_ids, of_text, split, same = [], [], [], [], []
             for t, raw in zip(texts, encoder.encode(texts), strict=True):

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .bpe import Encoder, load_json
-from .common import fresh_path, partitions, table
+from .common import fresh_path, partitions, slices, table
 
 #: Bounds of the dictionary and of the sample that it is trained on.
 DICTIONARY_BYTES, SAMPLE_DOCS, SAMPLE_IDS = 64 * 1024, 1000, 2048
@@ -51,7 +51,7 @@ def train_dictionary(docs: DataFrame, definition: str, end_id: int) -> bytes:
     chosen = docs.select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_DOCS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches):
             cut = [x[: 4 * SAMPLE_IDS] for x in _ids(b.column(1).to_pylist(), definition, end_id)]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(cut, pa.binary())], ["doc_id", "ids"])
 
@@ -67,7 +67,7 @@ def train_dictionary(docs: DataFrame, definition: str, end_id: int) -> bytes:
 def _compress(definition: str, end_id: int, dictionary: bytes):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         zip_ = zstandard.ZstdCompressor(level=LEVEL, dict_data=zstandard.ZstdCompressionDict(dictionary) if dictionary else None)
-        for b in batches:
+        for b in slices(batches):
             ids = _ids(b.column(1).to_pylist(), definition, end_id)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array([zip_.compress(x) for x in ids], pa.binary())], ["doc_id", "n", "frame"])
 
@@ -95,7 +95,7 @@ def _pack(digest: str):
                 x.clear()
             return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(row, _BLOCKS, strict=True)], schema=_BLOCKS)
 
-        for b in batches:
+        for b in slices(batches):
             for s, doc, n, frame in zip(*(b.column(c).to_pylist() for c in ("shard", "doc_id", "n", "frame")), strict=True):
                 if docs and (s != shard or size >= BLOCK_BYTES):
                     yield close()
@@ -140,7 +140,7 @@ def write_token_set(docs: DataFrame, path: str, definition: str, end_id: int = 0
 def _unpack(dictionary: bytes, digest: str, want: frozenset[int] | None = None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unzip = zstandard.ZstdDecompressor(dict_data=zstandard.ZstdCompressionDict(dictionary) if dictionary else None)
-        for b in batches:
+        for b in slices(batches, 1):
             for row in b.to_pylist():
                 if row["dictionary_sha256"] != digest:
                     raise ValueError("the block needs another dictionary")
