@@ -134,5 +134,13 @@ def mix_sources(docs: DataFrame, doc_id: str = "doc_id", source: str = "source",
     return sums.join(own, "key").select("doc_id", "source", "size", "source_size", "target", "taken")
 
 
+def mix_documents(docs: DataFrame, doc_id: str = "doc_id", source: str = "source", text: str = "text") -> DataFrame:
+    """docs with _size and _taken. Equal rows share their takings evenly, as nothing tells them apart."""
+    taken = mix_sources(docs, doc_id, source, text).groupBy("doc_id", "source", "size").agg(F.avg("taken").alias("_taken"))
+    taken = taken.select(F.col("doc_id").alias("_doc"), F.col("source").alias("_source"), F.col("size").alias("_size"), "_taken")
+    same = F.col(doc_id).cast("long").eqNullSafe(F.col("_doc")) & F.col(source).cast("string").eqNullSafe(F.col("_source")) & (word_count(text) == F.col("_size"))
+    return docs.join(taken, same).drop("_doc", "_source")
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")

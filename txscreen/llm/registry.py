@@ -6,16 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, chat, langid, mixing, pii, simhash, tokenfiles
+from . import bpe, chat, hamming, langid, licences, mixing, pii, simhash, tokenfiles, vectors
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_format": chat.op1_chat_format,
+    "op2_embedding_dedup": vectors.op2_embedding_dedup,
     "op3_token_files": tokenfiles.op3_token_files,
     "op4_personal_data": pii.op4_personal_data,
     "op5_language_id": langid.op5_language_id,
     "op6_simhash": simhash.op6_simhash,
+    "op7_license_scan": licences.op7_license_scan,
     "op8_byte_bpe": bpe.op8_byte_bpe,
+    "op9_hamming_topk": hamming.op9_hamming_topk,
     "op10_mixing": mixing.op10_mixing,
 }
 
-ORACLE_SQL: dict[str, str] = {"op1_chat_format": chat.SQL}
+ORACLE_SQL: dict[str, str] = {"op1_chat_format": chat.SQL, "op7_license_scan": licences.SQL, "op9_hamming_topk": hamming.SQL}
