@@ -51,19 +51,18 @@ def comparison(points: DataFrame, rates: list[int]) -> DataFrame:
     return rows.groupBy("trigger", "family").pivot("rate", rates).agg(F.first("p95"))
 
 
-def amplify(seed: DataFrame, n: int, order: str = "seq") -> DataFrame:
+def amplify(seed: DataFrame, n: int, order: str = "seq", per_task: int = 1 << 16) -> DataFrame:
     """n events from a ledger: the seed over and over, each with a new id, a later time and suffixed names.
 
-    The seed is numbered with a distributed running count and joined by position, not broadcast.
+    The seed is numbered in its order: counts of ranges of `order` first, then each range by itself.
     """
-    b = F.pmod(F.xxhash64(order), F.lit(64))
-    rows = seed.withColumn("_b", b)
+    rows = seed.withColumn("_b", F.floor(F.col(order) / per_task))
     sizes = rows.groupBy("_b").agg(F.count(F.lit(1)).alias("_n"))
     m = seed.count()
     if not m:
         return seed.limit(0)
     base = sizes.select("_b", F.coalesce(F.sum("_n").over(Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_base"))
-    numbered = rows.join(F.broadcast(base), "_b").withColumn("_i", F.col("_base") + F.row_number().over(Window.partitionBy("_b").orderBy(order)) - 1).drop("_b", "_base")  # 64 rows
+    numbered = rows.join(base, "_b").withColumn("_i", F.col("_base") + F.row_number().over(Window.partitionBy("_b").orderBy(order)) - 1).drop("_b", "_base")
     return cloned(seed.sparkSession, numbered, n, m)
 
 

@@ -259,6 +259,8 @@ SELECT * FROM r WHERE is_fraud = 1 UNION ALL SELECT * FROM (SELECT * FROM r WHER
 c AS (SELECT is_fraud, CAST(CASE WHEN hi > lo THEN least(floor((amount - lo) / (hi - lo) * 50) + 1, 50) ELSE 1 END AS INTEGER) AS bin, count(*) AS n FROM tx JOIN e USING (is_fraud) GROUP BY 1, 2)
 SELECT is_fraud, bin, coalesce(n, 0) AS n FROM (SELECT is_fraud, CAST(unnest(range(1, 51)) AS INTEGER) AS bin FROM e) LEFT JOIN c USING (is_fraud, bin)""",
     "feature_table": _feature_totals(),
+    "amplified_events": f"""WITH {TX}, n AS (SELECT *, row_number() OVER (ORDER BY event_id) - 1 AS i, count(*) OVER () AS m FROM tx), k AS (SELECT unnest(range((SELECT 2 * count(*) + 7 FROM tx))) AS k, (SELECT count(*) FROM tx) AS m)
+SELECT k.k AS seq, sha1(concat_ws(':', n.event_id, k.k, k.k // k.m, k.k)) AS event_id, CAST(n.step + k.k // k.m AS INTEGER) AS step, n.t + k.k AS t, n.name_orig || '_' || (k.k % 1000) AS name_orig, n.name_dest || '_' || (k.k % 1000) AS name_dest, n.amount FROM k JOIN n ON n.i = k.k % k.m""",
     "latency_percentiles": f"WITH {_TRACKED} SELECT profile, round(min(ms), 4) AS min, round(avg(ms), 4) AS mean, round(quantile_cont(ms, 0.5), 4) AS p50, round(quantile_cont(ms, 0.95), 4) AS p95, round(quantile_cont(ms, 0.99), 4) AS p99, round(max(ms), 4) AS max FROM trk GROUP BY 1",
     "latency_profiles": f"WITH {_TRACKED} SELECT profile, count(*) AS events, count(ms) AS succeeded, count(*) - count(ms) AS timed_out, round(count(ms) / count(*), 6) AS success_rate FROM trk GROUP BY 1",
     "resource_summary": """SELECT 'svc' || (user_id % 5) AS name, count(*) AS samples, round(avg(value), 4) AS cpu_avg, round(max(value), 4) AS cpu_max, round(avg(floor(value) * 1048576), 4) AS memory_avg, round(max(floor(value) * 1048576), 4) AS memory_max,
