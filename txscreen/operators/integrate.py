@@ -13,7 +13,7 @@ TOLERANCE_S = 30
 
 
 def _within(a: Column, b: Column, seconds: int) -> Column:
-    tolerance = F.make_interval(secs=F.lit(seconds))
+    tolerance = F.expr(f"INTERVAL {seconds} SECONDS")  # a literal: the watermark of a join needs one
     return (b >= a - tolerance) & (b <= a + tolerance)
 
 
@@ -35,7 +35,7 @@ def classified(tx: DataFrame, sender: DataFrame, receiver: DataFrame, seconds: i
     both = both.join(r, (F.col("tx_event_id") == F.col("r_source")) & _within(F.col("tx_time"), F.col("r_time"), seconds) & F.col("s_event_id").isNotNull(), "leftOuter")
     fits = (F.col("tx_step") == F.col("s_step")) & (F.col("name_orig") == F.col("s_name")) & (F.col("tx_step") == F.col("r_step")) & (F.col("name_dest") == F.col("r_name"))
     status = F.when(F.col("s_event_id").isNull(), "missing_sender_state").when(F.col("r_event_id").isNull(), "missing_receiver_state").when(fits, "integrated").otherwise("semantic_key_mismatch")
-    return both.withColumn("status", status)
+    return both.withColumn("status", status).drop("s_time", "r_time")  # a stream has one event time
 
 
 def integrated(rows: DataFrame) -> DataFrame:
