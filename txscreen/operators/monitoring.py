@@ -74,6 +74,20 @@ def category_mix(rows: DataFrame, columns: tuple[str, ...] = CATEGORICAL) -> Dat
     return counts.join(total, "feature").select("feature", "category", (F.col("count") / F.col("total")).alias("share"))
 
 
+def reference_rates(rows: DataFrame, label: str = "is_fraud") -> DataFrame:
+    """One row: rows, the share of alerts and the share of frauds."""
+    return rows.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.avg(F.col("is_alert").cast("int")), F.lit(0.0)).alias("alert_rate"), F.coalesce(F.avg(F.col(label)), F.lit(0.0)).alias("label_rate"))
+
+
+def reference_dataset(tx: DataFrame, n: int | None = None, order: str = "seq") -> DataFrame:
+    """The first n rows of a ledger scored as if nothing had come before: the baseline of drift reports."""
+    from . import decode, rules
+
+    rows = tx.orderBy(order).limit(n) if n is not None else tx
+    done = rules.score(decode.without_history(rows))
+    return done.select("event_id", "step", "txn_type", "amount", "risk_score", "severity", "ml_score", "is_alert", F.col("is_fraud").alias("label_is_fraud"))
+
+
 def ks_p_value(d: Column, n: Column, m: Column, terms: int = 100) -> Column:
     """The asymptotic two-sided p-value: 2 sum (-1)^(k-1) exp(-2 k^2 z^2) with z = d sqrt(n m / (n + m))."""
     z = d * F.sqrt(n * m / (n + m))

@@ -75,6 +75,14 @@ def cloned(spark: SparkSession, numbered: DataFrame, n: int, m: int) -> DataFram
     return rows.withColumns({"event_id": new_id, "step": F.col("step") + F.col("_o"), "event_time": F.timestamp_seconds(F.unix_seconds("event_time") + F.col("_k")), "t": F.unix_seconds("event_time") + F.col("_k"), "seq": F.col("_k"), "name_orig": name("name_orig"), "name_dest": name("name_dest")}).drop("_i", "_o", "_k")
 
 
+def smoke_summary(scored: DataFrame, windows: DataFrame, alerts: int = 10, first: int = 5) -> DataFrame:
+    """One row: how many events and alerts, the first alerts and the first windows."""
+    counts = scored.agg(F.count(F.lit(1)).alias("events"), F.count_if("is_alert").alias("alerts"))
+    some = scored.where("is_alert").orderBy("t", "seq").limit(alerts).agg(F.array_sort(F.collect_list(F.struct("t", "seq", "event_id", "risk_score", "severity"))).alias("first_alerts"))
+    early = windows.orderBy("window_start").limit(first).agg(F.array_sort(F.collect_list(F.struct("window_start", "event_count", "fraud_count"))).alias("first_windows"))
+    return counts.crossJoin(F.broadcast(some)).crossJoin(F.broadcast(early))  # one row each
+
+
 def load_rows(spark: SparkSession, n: int) -> DataFrame:
     """n transfers of one shape for load tests."""
     i = F.col("id")

@@ -169,9 +169,11 @@ ESTIMATORS = {
 }
 
 
-def fit(train: DataFrame, names: list[str], kind: str = "logreg") -> PipelineModel:
-    """train: numeric columns `names`, is_fraud and weight."""
-    stages = [VectorAssembler(inputCols=names, outputCol="raw", handleInvalid="keep"), StandardScaler(inputCol="raw", outputCol="features", withMean=True, withStd=True), ESTIMATORS[kind]()]
+def fit(train: DataFrame, names: list[str], kind: str = "logreg", **params) -> PipelineModel:
+    """train: numeric columns `names`, is_fraud and weight. params: settings of the estimator by name."""
+    last = ESTIMATORS[kind]()
+    last = last.copy({last.getParam(k): v for k, v in params.items()})
+    stages = [VectorAssembler(inputCols=names, outputCol="raw", handleInvalid="keep"), StandardScaler(inputCol="raw", outputCol="features", withMean=True, withStd=True), last]
     return Pipeline(stages=stages).fit(train)
 
 
@@ -190,6 +192,22 @@ def evaluate(rows: DataFrame, threshold: float) -> DataFrame:
     return counts.crossJoin(F.broadcast(average_precision(by_score(rows)))).crossJoin(F.broadcast(business_cost(rows, alert)))  # one row each
 
 
+def train_and_tune(train: DataFrame, validation: DataFrame, test: DataFrame, names: list[str], kind: str = "logreg", **params) -> tuple[PipelineModel, DataFrame]:
+    """Fits on train, takes the threshold of least cost on validation, measures on test.
+
+    The record is one row: model, threshold, evaluated_thresholds, validation_cost, validation_auc_pr, and evaluate() of the test rows.
+    """
+    model = fit(class_weights(train).select(*names, "is_fraud", "weight").persist(), names, kind, **params)
+    # three columns of each scored row, read several times
+    validation, test = (predict(model, rows).select("score", "is_fraud", "amount").persist() for rows in (validation, test))
+    sweep = by_score(validation)
+    best = cheapest_threshold(sweep).first()
+    limit = best.threshold if best.threshold is not None else 1.000001
+    area = average_precision(sweep).select(F.col("average_precision").alias("validation_auc_pr"))
+    head = area.select(F.lit(kind).alias("model"), F.lit(limit).alias("threshold"), F.lit(best.evaluated_thresholds).alias("evaluated_thresholds"), F.lit(best.cost).alias("validation_cost"), "validation_auc_pr")
+    return model, head.crossJoin(F.broadcast(evaluate(test, limit)))  # one row each
+
+
 def select_model(records: DataFrame) -> DataFrame:
     """The record of least validation cost, on a tie the one of larger precision-recall area."""
     return records.orderBy("validation_cost", F.desc("validation_auc_pr"), "model").limit(1)

@@ -218,6 +218,11 @@ UNION ALL SELECT 'receiver_state', event_id || ':receiver', 'orphan_receiver_sta
     "categorical_drift_tvd": f"WITH {_HALVES}, {_MIX} SELECT feature, round(0.5 * sum(abs(reference - serving)), 6) AS total_variation_distance, 0.5 * sum(abs(reference - serving)) >= 0.1 AS drift_detected FROM mixed GROUP BY feature",
     "category_distributions": f"WITH {_HALVES}, {_MIX} SELECT feature, category, round(reference, 6) AS reference, round(serving, 6) AS serving FROM mixed",
     "reference_summary": f"WITH {_HALVES} " + " UNION ALL ".join(f"SELECT '{c}' AS feature, round(avg({c}), 6) AS mean, round(stddev_pop({c}), 6) AS std, round(min({c}), 6) AS min, round(max({c}), 6) AS max FROM scored2 WHERE event_id % 2 = 0" for c in ("amount", "risk_score", "ml_score")),
+    "reference_rates": f"WITH {scored()} SELECT count(*) AS rows, round(avg(CAST(is_alert AS INTEGER)), 6) AS alert_rate, round(avg(is_fraud), 6) AS label_rate FROM scored",
+    "reference_dataset": f"""WITH {TX}, f AS (SELECT *, txn_type IN ('TRANSFER', 'CASH_OUT') AND oldbalance_org >= {C.drain_floor} AND amount / nullif(oldbalance_org, 0) >= {C.drain_ratio} AND newbalance_org <= {C.drain_near_zero} AS f0, txn_type = 'TRANSFER' AND amount >= {C.counterparty_amount} AS f4 FROM tx),
+r AS (SELECT *, {C.rule_share} * (1 - (CASE WHEN f0 THEN CAST({1 - C.drain_weight!r} AS DOUBLE) ELSE 1.0 END) * (CASE WHEN f4 THEN CAST({1 - C.counterparty_weight!r} AS DOUBLE) ELSE 1.0 END)) AS risk FROM f)
+SELECT event_id, CASE WHEN risk >= {C.high_from} THEN 'high' WHEN risk >= {C.medium_from} THEN 'medium' ELSE 'low' END AS severity, round(CAST(risk AS DOUBLE), 4) AS risk_score, coalesce(f0, false) OR f4 AS is_alert, is_fraud AS label_is_fraud FROM r""",
+    "smoke_summary": f"""WITH {scored()}, {_windows(300, 300)} SELECT (SELECT count(*) FROM scored) AS events, (SELECT count(*) FROM alerts) AS alerts, (SELECT string_agg(event_id, ',' ORDER BY t, event_id) FROM (SELECT event_id, t FROM alerts ORDER BY t, event_id LIMIT 10)) AS first_alerts, (SELECT string_agg(event_count, ',' ORDER BY start_s) FROM (SELECT * FROM wm ORDER BY start_s LIMIT 5)) AS first_windows""",
     "drift_table": f"WITH {_DRIFT} SELECT * FROM drift",
     "retraining_reasons": f"""WITH {_DRIFT}, labeled AS (SELECT *, CASE WHEN is_alert AND event_id % 3 = 0 THEN CASE WHEN is_fraud = 1 THEN 'fraud' ELSE 'legit' END END AS label, t + CASE WHEN is_alert AND event_id % 3 = 0 THEN 3600 ELSE 0 END AS eval_t FROM scored),
 c AS (SELECT {_CONFUSION} FROM labeled WHERE eval_t >= (SELECT max(eval_t) FROM labeled) - 7 * 86400), w AS (SELECT labeled_rows, {_RATES} FROM c),

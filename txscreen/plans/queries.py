@@ -332,6 +332,16 @@ def reference_summary(spark: SparkSession, d: str) -> DataFrame:
     return N.numeric_summary(halves(spark, d)[0]).select("feature", *[r6(c).alias(c) for c in ("mean", "std", "min", "max")])
 
 
+@query
+def reference_rates(spark: SparkSession, d: str) -> DataFrame:
+    return N.reference_rates(scored(spark, d)).select("rows", r6("alert_rate").alias("alert_rate"), r6("label_rate").alias("label_rate"))
+
+
+@query
+def reference_dataset(spark: SparkSession, d: str) -> DataFrame:
+    return N.reference_dataset(ledger(spark, d)).select("event_id", "severity", "risk_score", "is_alert", "label_is_fraud")
+
+
 @query
 def drift_table(spark: SparkSession, d: str) -> DataFrame:
     return N.drift_table(*halves(spark, d))
@@ -490,6 +500,16 @@ def model_scores(spark: SparkSession, d: str) -> DataFrame:
     return R.score(test, ml=F.col("score")).select("event_id", "is_fraud", "ml_score", "risk_score", "severity", "is_alert")
 
 
+@query
+def model_comparison(spark: SparkSession, d: str) -> DataFrame:
+    """A linear model and a forest: trained, tuned by cost on validation rows, measured on test rows."""
+    rows, names = numeric_features(spark, d)
+    split = T.stratified_split(rows).persist()
+    parts = [split.where(F.col("split") == p) for p in ("train", "validation", "test")]
+    kinds = {"logreg": {"maxIter": 20}, "rf": {"numTrees": 20, "maxDepth": 6}}
+    return reduce(DataFrame.unionByName, (T.train_and_tune(*parts, names, kind, **params)[1] for kind, params in kinds.items()))
+
+
 @query
 def smote_rows(spark: SparkSession, d: str) -> DataFrame:
     names = ["amount", "oldbalance_org", "newbalance_org", "oldbalance_dest", "newbalance_dest"]
@@ -499,6 +519,13 @@ def smote_rows(spark: SparkSession, d: str) -> DataFrame:
 # --- load and latency
 
 
+@query
+def smoke_summary(spark: SparkSession, d: str) -> DataFrame:
+    rows = P.smoke_summary(scored(spark, d), M.tumbling(ledger(spark, d)))
+    ids = F.array_join(F.transform("first_alerts", lambda a: a["event_id"].cast("string")), ",")
+    return rows.select("events", "alerts", ids.alias("first_alerts"), F.array_join(F.transform("first_windows", lambda w: w["event_count"].cast("string")), ",").alias("first_windows"))
+
+
 def tracked(spark: SparkSession, d: str) -> DataFrame:
     """Each event as a tracked message: seen and stored after times that its id sets; every 50th never is."""
     i = F.col("event_id")

@@ -25,6 +25,22 @@ def read_feed_csv(spark: SparkSession, path: str, feed: str) -> DataFrame:
     return spark.read.schema(FEEDS[feed]).option("header", True).csv(path)
 
 
+PREDICTIONS_DDL = "event_ts TIMESTAMP, event_id STRING, account_id STRING, name_dest STRING, txn_type STRING, amount DOUBLE, risk_score DOUBLE, severity STRING, ml_score DOUBLE, ml_model_version STRING, is_alert STRING, alert_id STRING, actual_label STRING"
+REVIEWS_DDL = "alert_id STRING, event_id STRING, review_status STRING, review_label STRING, reviewer STRING, notes STRING, reviewed_at TIMESTAMP"
+REFERENCE_DDL = "event_id STRING, step INT, txn_type STRING, amount DOUBLE, risk_score DOUBLE, severity STRING, ml_score DOUBLE, is_alert BOOLEAN, label_is_fraud INT"
+
+
+def read_report_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """A report's input with one of the schemas above."""
+    return spark.read.schema(schema).option("header", True).csv(path)
+
+
+def read_topic(spark: SparkSession, servers: str, topic: str) -> DataFrame:
+    """All of a topic so far, in the columns of an envelope."""
+    rows = spark.read.format("kafka").option("kafka.bootstrap.servers", servers).option("subscribe", topic).option("startingOffsets", "earliest").option("endingOffsets", "latest").load()
+    return rows.select(F.col("key").cast("string").alias("kafka_key"), F.col("value").cast("string").alias("raw_value"), F.col("timestamp").alias("kafka_timestamp"), "partition", "offset", F.lit(topic).alias("source_topic"))
+
+
 def event_time(step: Column, cfg: ScreenConfig = ScreenConfig()) -> Column:
     return F.timestamp_seconds(F.lit(cfg.base_epoch) + step.cast("long") * cfg.step_seconds)
 
