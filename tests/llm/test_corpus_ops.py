@@ -215,7 +215,11 @@ def test_vector_links_match_brute_force(spark, most, monkeypatch):
 # --- search
 
 
-def test_topk_is_exact_with_ties_and_copies(spark):
+@pytest.mark.parametrize("rows_of", [None, (100, 7, 5)])
+def test_topk_is_exact_with_ties_and_copies(spark, monkeypatch, rows_of):
+    if rows_of:
+        for name, n in zip(("BLOCK_ROWS", "CHUNK_ROWS", "LEAST_ROWS"), rows_of, strict=True):
+            monkeypatch.setattr(hamming, name, n)
     r = random.Random(2)
     codes = [r.getrandbits(12) for _ in range(300)] + [5] * 40
     rows = list(enumerate(codes)) + [(999, None), (7, codes[7])]

@@ -6,9 +6,9 @@ all segment values at exactly r flips from the query's, verifies each code found
 the k-th best verified distance is below SEGMENTS * (r + 1): then no unseen code can be as near,
 not even at the same distance, so ties are complete too.
 
-The index is dealt over blocks by a hash of the code; a task holds one block of bounded size, with
-a sorted list for each segment, and streams the queries past it. Each query leaves at most k rows
-of a block, which a ranking over the query's own rows merges. Of codes that many rows share only the
+The index is dealt over blocks of bounded size by a hash of the code, the queries over chunks. A task
+has one block, with a sorted list for each segment, and streams one chunk past it. Each query leaves
+at most k rows of a block, which a ranking over the query's own rows merges. Of codes that many rows share only the
 k + 1 smallest ids can be in a result, and no more are kept.
 
 Codes here are the signs of a vector of at most 64 components; a null vector or one with a null
@@ -31,8 +31,8 @@ from .common import partitions, table
 
 SEGMENTS, BITS = 4, 16
 K, QUERY_EVERY = 10, 20
-#: Codes that a task holds, and those below which the index isn't cut for the sake of more tasks.
-BLOCK_ROWS, LEAST_ROWS = 1 << 20, 1 << 12
+#: Codes that a task holds, queries that it streams at most, and those below which they aren't cut for more tasks.
+BLOCK_ROWS, CHUNK_ROWS, LEAST_ROWS = 1 << 20, 1 << 16, 1 << 8
 
 
 def sign_code(vector: Column) -> Column:
@@ -120,13 +120,17 @@ def nearest_codes(index: DataFrame, queries: DataFrame, k: int = K) -> DataFrame
     spark = index.sparkSession
     known = index.where(F.col("code").isNotNull() & F.col("id").isNotNull())
     asked = queries.where(F.col("code").isNotNull() & F.col("id").isNotNull())
-    n = known.count()
-    blocks = max(1, -(-n // BLOCK_ROWS), min(partitions(spark), -(-n // LEAST_ROWS)))
+    blocks = max(1, -(-known.count() // BLOCK_ROWS))
+    n = asked.count()
+    chunks = max(1, -(-n // CHUNK_ROWS), min(partitions(spark), -(-n // LEAST_ROWS)))
     few = known.withColumn("r", F.row_number().over(Window.partitionBy("code").orderBy("id"))).where(F.col("r") <= k + 1)
-    rows = few.select(F.pmod(F.xxhash64("code"), F.lit(blocks)).alias("block"), F.lit(0).alias("is_query"), F.lit(0).cast("long").alias("row"), "id", "code")
-    # a query goes to every block, each of which holds at most a bounded part of the index
-    asked = asked.select(F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))).alias("block"), F.lit(1).alias("is_query"), F.monotonically_increasing_id().alias("row"), "id", "code")
-    dealt = rows.unionByName(asked).repartition(blocks, "block").sortWithinPartitions("block", "is_query")
+    every = lambda m: F.explode(F.sequence(F.lit(0).cast("long"), F.lit(m - 1).cast("long")))
+    pair = lambda block, chunk: (block * chunks + chunk).alias("block")
+    rows = few.withColumn("chunk", every(chunks)).select(pair(F.pmod(F.xxhash64("code"), F.lit(blocks)), F.col("chunk")), F.lit(0).alias("is_query"), F.lit(0).cast("long").alias("row"), "id", "code")
+    # a query has its row number before it goes to every block
+    asked = asked.withColumn("row", F.monotonically_increasing_id()).withColumn("b", every(blocks))
+    asked = asked.select(pair(F.col("b"), F.pmod(F.xxhash64("row"), F.lit(chunks))), F.lit(1).alias("is_query"), "row", "id", "code")
+    dealt = rows.unionByName(asked).repartition(blocks * chunks, "block").sortWithinPartitions("block", "is_query")
     found = dealt.mapInArrow(_search(k), "query_id long, query_row long, id long, distance long")
     rank = F.row_number().over(Window.partitionBy("query_id", "query_row").orderBy("distance", "id"))
     return found.withColumn("rank", rank.cast("long")).where(F.col("rank") <= k).select("query_id", "rank", "id", "distance")
