@@ -8,7 +8,7 @@ for it, and the language with the largest corrected share of the text's n-grams
 
 A language contains an n-gram if the n-gram is frequent there: at least MIN_SHARE of the rate of the
 language where it is most frequent. The filter is fitted on a bounded sample: LANG_DOCS labelled
-documents of each language, with the lowest hashes of their ids, and the LANG_GRAMS most frequent
+documents of each language at most, with the lowest hashes of their ids, and the LANG_GRAMS most frequent
 n-grams of each. Every document is then predicted from its whole text.
 
 An n-gram is N characters of the lower-cased text in which every run of other characters than
@@ -141,9 +141,14 @@ def build(counts: pd.DataFrame) -> Model:
 def train(labelled: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang") -> Model:
     """Fits on rows with a label; the sample and what it sends to the driver are bounded for each language."""
     rows = labelled.where(F.col(lang).isNotNull()).select(F.col(doc_id).cast("long").alias("id"), F.col(text).cast("string").alias("text"), F.col(lang).cast("string").alias("lang"))
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id")
-    chosen = rows.select("id", "lang").withColumn("r", F.row_number().over(order)).where(F.col("r") <= LANG_DOCS).select(F.col("id").alias("i"), F.col("lang").alias("l")).distinct()
-    sample = rows.join(chosen, F.col("id").eqNullSafe(F.col("i")) & (F.col("lang") == F.col("l")), "left_semi")
+    # about twice the wanted rows of each language pass a cut on their hash, whatever the language's size
+    place = F.shiftright(F.xxhash64("id"), 1).cast("double") / float(1 << 63) + 0.5
+    sizes = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    near = rows.select("id", "lang", place.alias("place")).join(F.broadcast(sizes), "lang").where(F.col("place") < F.lit(2.0 * LANG_DOCS) / F.col("n"))  # one row for each language
+    order = Window.partitionBy("lang").orderBy("place", "id")
+    chosen = near.withColumn("r", F.row_number().over(order)).where(F.col("r") <= LANG_DOCS).select(F.col("id").alias("i"), F.col("lang").alias("l")).distinct()
+    # LANG_DOCS ids for each language at most
+    sample = rows.join(F.broadcast(chosen), F.col("id").eqNullSafe(F.col("i")) & (F.col("lang") == F.col("l")), "left_semi")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
