@@ -45,6 +45,10 @@ def byte_table() -> dict[int, str]:
     return {b: chr(b) for b in kept} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
 
+#: byte_table() for bytes read as Latin-1.
+_BYTES = byte_table()
+
+
 def read_ranks(path: str) -> dict[bytes, int]:
     with open(path, "rb") as f:
         return {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
@@ -115,22 +119,30 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
-        memo, once, own = self.memo, {}, []
-        new: set[str] = set()
-        for t in texts:
-            keys = chunks_of(t.split(" ")) if t else []
-            new.update(k for k in keys if k not in memo)
-            own.append(keys)
-        todo = list(new)
-        for at in range(0, len(todo), 20_000):
-            part = todo[at : at + 20_000]
+        memo = self.memo
+        own = [chunks_of(t.split(" ")) if t else [] for t in texts]
+        new = list(set().union(*own).difference(memo))
+        room = max(0, MEMO_CHUNKS - len(memo))
+        # a blank and Latin letters are one piece, which needs no pre-tokenizer; the rest of the new chunks do
+        words = [k for k in new if k.isalpha() and max(k) < "\u0250"]
+        for k in words:
+            piece = (" " + k).encode().decode("latin-1").translate(_BYTES)
+            memo[k] = array("I", [t.id for t in self.tokenizer.model.tokenize(piece)]).tobytes()
+        other = list(set(new).difference(words))
+        for at in range(0, len(other), 20_000):
+            part = other[at : at + 20_000]
             said = [k[1:] if k[0] == " " else " " + k for k in part]
             for k, e in zip(part, self.tokenizer.encode_batch_fast(said, add_special_tokens=False), strict=True):
-                keep = len(k) <= MEMO_CHARS and len(memo) < MEMO_CHUNKS
-                (memo if keep else once)[k] = array("I", e.ids).tobytes()
-        if once:
-            return [b"".join([memo[k] if k in memo else once[k] for k in keys]) for keys in own]
-        return [b"".join(map(memo.__getitem__, keys)) for keys in own]
+                memo[k] = array("I", e.ids).tobytes()
+        out = [b"".join(map(memo.__getitem__, keys)) for keys in own]
+        # what the memo has no room for, or is too long for it, goes again
+        kept = 0
+        for k in (*words, *other):
+            if len(k) <= MEMO_CHARS and kept < room:
+                kept += 1
+            else:
+                del memo[k]
+        return out
 
 
 class Decoder:
