@@ -132,3 +132,82 @@ def test_license_rules(spark):
     got = [(r.doc_id, sorted({names[h.rule] for h in r.hits})) for r in licences.match_rules(df).collect()]
     assert got == [(1, ["MIT"]), (2, []), (3, ["Apache-2.0", "MIT"]), (4, []), (5, []), (6, []), (7, []), (1, ["MIT"])]
     assert licences.match_rules(df.limit(0)).count() == 0
+
+
+MIT = """MIT License
+
+Copyright (c) 2020 Some One
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER
+LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM,
+OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE
+SOFTWARE.
+"""
+APACHE = """Copyright 2020 Some One
+
+Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+See the License for the specific language governing permissions and
+limitations under the License.
+"""
+GPL = """    This program is free software: you can redistribute it and/or modify
+    it under the terms of the GNU General Public License as published by
+    the Free Software Foundation, either version 3 of the License, or
+    (at your option) any later version.
+
+    This program is distributed in the hope that it will be useful,
+    but WITHOUT ANY WARRANTY; without even the implied warranty of
+    MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+    GNU General Public License for more details.
+"""
+BSD2 = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2) Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+"""
+BSD3 = BSD2 + """
+3. Neither the name of Some One, Inc. nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+"""
+
+
+def test_wrapped_notices(spark):
+    asf = APACHE.replace('Licensed under the Apache License, Version 2.0 (the "License");\nyou may', 'The ASF licenses this file\nto you under the Apache License, Version 2.0 (the "License"); you may')
+    tight = "\n".join(x for x in BSD3.splitlines() if x)
+    plain = [(MIT, "MIT"), (APACHE, "Apache-2.0"), (asf, "Apache-2.0"), (GPL, "GPL-3.0-or-later"), (BSD2, "BSD-2-Clause"), (BSD3, "BSD-3-Clause"), (tight, "BSD-3-Clause")]
+    marked = [("".join(f"{mark} {x}\n" for x in t.splitlines()), n) for t, n in plain for mark in ("#", " *", "//")]
+    ends = [(t.replace("\n", "\r\n"), n) for t, n in plain]
+    none = ["Released under\n\nthe MIT License", "Released under.\nthe MIT License", "Released under\n*\nthe MIT License", "released under the\nMIT licenses", "x\x1f\x1ereleased under the MIT License"]
+    cases = plain + marked + ends + [("Released under\nthe MIT License", "MIT")] + [(t, None) for t in none]
+    df = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(cases)], "doc_id long, text string")
+    rows = {r.doc_id: r for r in licences.match_rules(df).collect()}
+    for i, (t, n) in enumerate(cases):
+        whole = len(t) > 100
+        assert [(licences.RULES[h.rule][0], len(licences.RULES[h.rule][1]) > 1, h.times) for h in rows[i].hits] == ([(n, whole, 1)] if n else []), t
+    assert [(x.place, x.id) for x in rows[1].ids] == [(2, "apache-notice"), (3, "apache-may-not-use"), (4, "apache-obtain"), (8, "apache-as-is"), (11, "apache-see")]

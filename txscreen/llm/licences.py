@@ -1,8 +1,11 @@
 """License scan by sentence rules. DataFrame functions only.
 
-A text is cut at line ends and after a sentence mark before a blank. A sentence is normalised: lower
-case, every run of other characters than a-z and 0-9 one blank. Known sentences have identifiers;
-the others have none. The identifiers of a document, in order, are one line, and an ordered rule is a
+A text is cut into pieces at line ends and after a sentence mark before a blank. A piece is normalised:
+lower case, every run of other characters than a-z and 0-9 one blank. A sentence is a run of pieces
+whose line breaks count as blanks: it may be wrapped over lines, but not beyond a line that ends with a
+sentence mark or has no letter or digit, and a list number may stand before it. Its place is that of
+its first piece. Known sentences, also in the variants of canonical texts, have identifiers; the
+others have none. The identifiers of a document, in order, are one line, and an ordered rule is a
 sequence of identifiers in it; unknown sentences in between don't matter. Rules are tried
 longest first, and what a rule has taken no later rule sees, so the one-line notice of a license
 isn't reported beside its full text.
@@ -56,18 +59,51 @@ RULES = (
     ("CC-BY-NC-4.0", ("cc-by-nc-notice",)),
     ("CC-BY-4.0", ("cc-by-notice",)),
 )
+#: Other wordings in canonical texts, as regular expressions over normalised text, and the identifiers they stand for.
+VARIANTS = (
+    ("licensed under the apache license version 2 0 the license", ("apache-notice",)),
+    ("licensed under the apache license version 2 0 the license you may not use this file except in compliance with the license", ("apache-notice", "apache-may-not-use")),
+    ("the asf licenses this file to you under the apache license version 2 0 the license", ("apache-notice",)),
+    ("the asf licenses this file to you under the apache license version 2 0 the license you may not use this file except in compliance with the license", ("apache-notice", "apache-may-not-use")),
+    ("you may obtain a copy of the license at https? www apache org licenses license 2 0", ("apache-obtain",)),
+    ("the above copyright notice and this permission notice including the next paragraph shall be included in all copies or substantial portions of the software", ("mit-include",)),
+    (r"neither the name of (?:[a-z0-9]++ \x1f?){1,12}?nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission", ("bsd-endorse",)),
+)
 #: A sentence ends at a line end, or after a mark that doesn't repeat, before blanks.
 _MARK = r"([^.!?\n][.!?])[ \t\r]+"
+#: A line end after a sentence mark; the piece that follows it begins with _HARD, which no sentence goes across.
+_STOP, _HARD, _HIT = r"(?<![.!?])[.!?]++[^A-Za-z0-9.!?\n]*+\n", "\x1f", "\x1e"
+#: Known sentences, shorter ones first: of two that begin at one place, the rest of the longer is seen at its own place.
+_KNOWN = sorted([(s, (k,)) for k, s in SENTENCES.items()] + list(VARIANTS), key=lambda x: len(x[0]))
+_WORDINGS = [s.replace(" ", r"[ \n]") for s, _ in _KNOWN]
+_BEFORE, _AFTER = _HARD + r"?(?:(?:[0-9]{1,2}|[a-e])[ \n])?", r"(?=\n|\z)"
+#: Words, and so lines, that the longest sentence and a list number have at most.
+_MOST = max(s.count(" ") for s, _ in _KNOWN) + 16
 
 
 def sentence_ids(text: Column) -> Column:
     """array of (place, id): the known sentences of a text, in order."""
-    cut = F.split(F.regexp_replace(F.coalesce(text, F.lit("")), _MARK, "$1\n"), "\n", -1)
-    known = F.create_map(*[F.lit(x) for k, s in SENTENCES.items() for x in (s, k)])
-    # a sentence that is much shorter or longer than all known ones needs no normalising
-    plain = F.transform(cut, lambda s: F.when(F.length(s) >= 10, F.trim(F.regexp_replace(F.lower(s), "[^a-z0-9]+", " "))))
-    placed = F.transform(plain, lambda s, i: F.struct(i.alias("place"), F.try_element_at(known, F.coalesce(s, F.lit(""))).alias("id")))
-    return F.filter(placed, lambda x: x["id"].isNotNull())
+    cut = F.regexp_replace(F.translate(F.coalesce(text, F.lit("")), _HARD + _HIT, "\x1d\x1d"), _MARK, "$1\n")
+    plain = F.regexp_replace(F.lower(F.regexp_replace(cut, _STOP, ".\n" + _HARD)), rf"[^a-z0-9\n{_HARD}]+", " ")
+    plain = F.trim(F.regexp_replace(plain, rf" ?([\n{_HARD}]+) ?", "$1"))
+    # pieces at which a known sentence begins are marked; only of those the next lines are read
+    marked = F.regexp_replace(plain, rf"(\A|\n)(?={_BEFORE}(?:{'|'.join(_WORDINGS)}){_AFTER})", "$1" + _HIT)
+
+    def named(lines: Column) -> Column:
+        found = F.lit(None).cast("array<string>")
+        for words, (_, ids) in reversed(list(zip(_WORDINGS, _KNOWN, strict=True))):
+            found = F.when(lines.rlike(rf"\A{_BEFORE}{words}{_AFTER}"), F.array(*map(F.lit, ids))).otherwise(found)
+        return found
+
+    pieces = F.split(marked, "\n", -1)
+
+    def read(pieces: Column) -> Column:
+        starts = F.filter(F.transform(pieces, lambda s, i: F.when(F.startswith(s, F.lit(_HIT)), i)), lambda i: i.isNotNull())
+        return F.transform(starts, lambda i: F.struct(i.alias("place"), named(F.translate(F.array_join(F.slice(pieces, i + 1, _MOST), "\n"), _HIT, "")).alias("ids")))
+
+    # a lambda's argument is computed once, where a repeated expression may not be
+    hits = F.flatten(F.transform(F.array(pieces), read))
+    return F.flatten(F.transform(hits, lambda h: F.transform(h["ids"], lambda k: F.struct(h["place"].alias("place"), k.alias("id")))))
 
 
 def match_rules(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
