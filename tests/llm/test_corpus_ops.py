@@ -81,6 +81,21 @@ def test_patterns_discover_what_seeds_teach(spark):
     assert added == [("card", 21, 37)] and not got[101].added and not got[102].added
 
 
+def test_identifiers_with_blanks_are_whole(spark):
+    cards = [c for c in (f"40128888{k:08}" for k in range(10_000)) if valid("card", c)][:40]
+    spaced = [" ".join(c[i : i + 4] for i in range(0, 16, 4)) for c in cards]
+    rows = [(i, f"words before card number is {c} and after") for i, c in enumerate(spaced)]
+    rows += [(50 + i, f"please call me at +1 (974) 555-{3000 + i} or later") for i in range(40)]
+    unseen = {100: ("again card number is 4111 1111 1111 1112. Yes", "again card number is <CARD>. Yes"), 101: ("now card number is 4111-1111-1111-1112 ok", "now card number is <CARD> ok"), 102: ("card number is 3782 822463 10006 ok", "card number is <CARD> ok"), 103: ("so call me at (974) 555-3436, do", "so call me at <PHONE>, do"), 104: ("so call me at 974.555.3436", "so call me at <PHONE>"), 105: ("call me at 10 or 4111 1111 1111 1112", None), 106: ("card number is 12 34 ok 1 2 3x", None)}
+    rows += [(i, t) for i, (t, _) in unseen.items()]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.text for r in pii.mask(df).collect()}
+    for i, (t, want) in unseen.items():
+        assert got[i] == (want or t), t
+    found = {r.doc_id: r for r in pii.find_personal_data(df).collect()}
+    assert all(len(found[i].base) == 1 and not found[i].added for i in [*range(40), *range(50, 90)])
+
+
 def test_mask_keeps_other_columns_and_copies(spark):
     rows = [(1, "mail a.b@c.de now", "k"), (1, "mail a.b@c.de now", "k"), (2, None, "n"), (None, "ip 1.2.3.4", "z")]
     got = sorted(map(str, (tuple(r) for r in pii.mask(spark.createDataFrame(rows, "doc_id long, text string, start string")).select("doc_id", "text", "start").collect())))

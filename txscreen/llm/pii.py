@@ -1,12 +1,15 @@
 """Personal data: fixed patterns, and bootstrapped contextual extraction. DataFrame functions only.
 
 Base spans of four kinds come from regular expressions and a check of each match. They are the seeds
-of a bootstrap: an identifier-shaped token (one with a digit or an @) has lexical patterns, the one
-to CONTEXT words before it. Patterns and instances (tokens) form a bipartite graph. In each of ROUNDS
+of a bootstrap: an identifier-shaped token (one with a digit or an @, or a run of groups of digits with
+blanks, brackets or hyphens in between) has lexical patterns, the one to CONTEXT words before it.
+Patterns and instances (whole tokens, and for seeds the whole span; numbers without what separates their
+digits) form a bipartite graph. In each of ROUNDS
 rounds a pattern's confidence for a kind is the summed score of its instances over their number plus
 one, and an instance's score is the noisy-or of its patterns with a confidence of CONFIDENCE and at
-least SUPPORT worth of instances; seeds keep score 1. Tokens in the surviving patterns that have the
-shape of a seed of that kind and pattern are the discovered spans. Base spans always stay.
+least SUPPORT worth of instances; seeds keep score 1. Tokens in the surviving patterns that look like
+the pattern's kind (LOOKS, coarser than the fixed patterns and without their checks) are the discovered
+spans. Base spans always stay.
 
 Matches are found with the gaps between them: the pieces of a split at the pattern are the gaps, so a
 running sum over gap and match lengths gives each match's place in code points. Expressions are
@@ -20,6 +23,8 @@ own; an empty table gives no rows; in find_personal_data() other columns are ign
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -35,9 +40,13 @@ PATTERNS = {
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
 _OCTETS = r"^0*(25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])(\.0*(25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])){3}$"
-#: Characters that end a token, and a token with a digit or an @ in it.
+#: Characters that end a token; a run of groups of digits; and a token with a digit or an @ in it.
 _STOP = r"\s\"'`(){}\[\]<>|,;:="
-TOKEN = rf"(?<![^{_STOP}])[^{_STOP}0-9@]*+[0-9@][^{_STOP}]*+"
+#: A run has at most as many groups as an identifier has digits, so that a text of numbers isn't read anew from each of them.
+_RUN = rf"(?:\+[0-9]++(?:[\x20().-]++[0-9]++){{0,18}}+|(?:\((?=[0-9]++\)[\x20-]?[0-9]))?+[0-9]++(?=[.!?]*+(?:[{_STOP}]|-[0-9]|\z))(?:(?:[\x20-]|\)[\x20-]?|[\x20-]\()[0-9]++(?=[.!?]*+(?:[{_STOP}]|-[0-9]|\z))){{0,18}}+)(?=[.!?]*+(?:[{_STOP}]|\z))"
+TOKEN = rf"(?<![^{_STOP}])(?:{_RUN}|[^{_STOP}0-9@]*+[0-9@][^{_STOP}]*+)"
+#: What a discovered instance of a kind looks like.
+LOOKS = {"email": r"^[^@]++@[^@]++$", "ip": r"^[0-9]++(?:\.[0-9]++){3}(?:/[0-9]++)?$", "card": r"^[0-9]{12,19}$", "phone": r"^\+?[0-9]{7,15}$"}
 CONTEXT, ROUNDS, CONFIDENCE, SUPPORT = 3, 3, 0.8, 3.0
 #: Of the gap before a token, the characters that its last words are read from, whatever their length.
 _TAIL = 96
@@ -96,36 +105,40 @@ def _placed(rows: DataFrame, gap: str, *by: str) -> DataFrame:
 
 
 def base_spans(scanned: DataFrame) -> DataFrame:
-    """(uid, kind as a number, start, end)."""
+    """(uid, kind as a number, start, end, instance)."""
     every = F.array(*[F.struct(F.lit(i).alias("kind"), F.col(f"found.{k}").alias("m")) for i, k in enumerate(KINDS)])
     rows = scanned.select("uid", F.explode(every).alias("e")).where("e.m is not null and size(e.m) > 1").select("uid", "e.kind", F.posexplode("e.m").alias("pos", "m")).select("uid", "kind", "pos", "m.gap", "m.match")
     placed = _placed(rows, "gap", "uid", "kind")
     name = F.element_at(F.array(*map(F.lit, KINDS)), F.col("kind") + 1)
-    return placed.where(_valid(name, F.col("match"))).select("uid", "kind", "start", "end")
+    return placed.where(_valid(name, F.col("match"))).select("uid", "kind", "start", "end", _instance(F.col("match")).alias("instance"))
 
 
-def _shape(token: Column) -> Column:
-    return F.regexp_replace(F.regexp_replace(token, r"\p{L}+", "a"), "[0-9]", "0")
+def _instance(match: Column) -> Column:
+    """A number without what separates its digits; anything else in lower case."""
+    number = match.rlike(r"^[+(]?[0-9][\x20().0-9-]*+$") & ~match.rlike(LOOKS["ip"])
+    return F.when(number, F.regexp_replace(match, r"[\x20().-]", "")).otherwise(F.lower(match))
 
 
 def occurrences(scanned: DataFrame, spans: DataFrame) -> DataFrame:
-    """(uid, start, end, instance, shape, before, kind): tokens outside of spans, or a span's first token with its kind."""
+    """(uid, start, end, instance, before, kind): tokens outside of spans, and each span at its first token, with its kind."""
     rows = scanned.where("tokens is not null and size(tokens) > 1").select("uid", F.posexplode("tokens").alias("pos", "m")).select("uid", "pos", "m.gap.n", "m.gap.tail", "m.match")
-    tokens = _placed(rows, "n", "uid").select("uid", "start", "end", "match", "tail", F.lit(None).cast("int").alias("kind"))
-    both = tokens.union(spans.select("uid", "start", "end", F.lit(None).cast("string"), F.lit(None).cast("string"), "kind"))
+    tokens = _placed(rows, "n", "uid").withColumn("match", F.rtrim("match", F.lit(".!?"))).withColumn("end", F.col("start") + F.length("match"))
+    tokens = tokens.select("uid", "start", "end", "match", "tail", F.lit(None).cast("int").alias("kind"), F.lit(None).cast("string").alias("instance"))
+    both = tokens.union(spans.select("uid", "start", "end", F.lit(None).cast("string"), F.lit(None).cast("string"), "kind", "instance"))
     # along a document: how far the spans so far reach, where the last of them began, and the next span
     along = Window.partitionBy("uid").orderBy("start", F.col("match").isNotNull(), "end", "kind")
-    span = F.when(F.col("kind").isNotNull(), F.struct("start", "end", "kind"))
+    span = F.when(F.col("kind").isNotNull(), F.struct("start", "end", "kind", "instance"))
     reach = F.max(F.when(F.col("kind").isNotNull(), F.col("end"))).over(along)
     # the next span is the last one seen from the other end: a growing frame, where a shrinking one would be read anew for each row
     back = Window.partitionBy("uid").orderBy(F.desc("start"), F.desc(F.col("match").isNotNull()), F.desc("end"), F.desc("kind")).rowsBetween(Window.unboundedPreceding, -1)
     last, later = F.last(span, ignorenulls=True).over(along), F.last(span, ignorenulls=True).over(back)
     seen = both.withColumn("reach", reach).withColumn("last", last).withColumn("later", later).where("match is not null")
     first = (F.col("last.start") == F.col("start")) & (F.col("reach") > F.col("start"))
-    kind = F.when(first, F.col("last.kind")).when(F.col("later.start") < F.col("end"), F.col("later.kind"))
+    own = F.when(first, F.col("last")).when(F.col("later.start") < F.col("end"), F.col("later"))
     outside = F.coalesce(F.col("reach") <= F.col("start"), F.lit(True))
     before = F.trim(F.regexp_replace(F.lower("tail"), "[0-9]+", "#"))
-    return seen.withColumn("seed", kind).where(outside | F.col("seed").isNotNull()).select("uid", "start", "end", F.lower("match").alias("instance"), _shape(F.col("match")).alias("shape"), before.alias("before"), F.col("seed").alias("kind"))
+    instance = F.coalesce("seed.instance", _instance(F.col("match")))
+    return seen.withColumn("seed", own).where(outside | F.col("seed").isNotNull()).select("uid", "start", "end", instance.alias("instance"), before.alias("before"), F.col("seed.kind").alias("kind"))
 
 
 def _patterns(found: DataFrame) -> DataFrame:
@@ -149,8 +162,8 @@ def bootstrap(found: DataFrame) -> DataFrame:
         good = settle(good.select("pattern", "kind", "confidence"))
         new = links.join(good, "pattern").groupBy("instance", "kind").agg((1 - F.exp(F.sum(F.log(1 - 0.9 * F.col("confidence"))))).alias("score"))
         scores = settle(seeds.union(new).groupBy("instance", "kind").agg(F.max("score").alias("score")))
-    shapes = rows.where("kind is not null").select("pattern", "kind", "shape").distinct()
-    chosen = rows.where("kind is null").drop("kind").join(good, "pattern").join(shapes, ["pattern", "kind", "shape"], "left_semi")
+    looks = reduce(lambda a, b: a | b, [(F.col("kind") == i) & F.col("instance").rlike(LOOKS[k]) for i, k in enumerate(KINDS)])
+    chosen = rows.where("kind is null").drop("kind").join(good, "pattern").where(looks)
     best = F.max(F.struct("confidence", "kind"))
     return chosen.groupBy("uid", "start", "end").agg(best.alias("b")).select("uid", "b.kind", "start", "end")
 
@@ -165,7 +178,7 @@ def find_personal_data(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     scanned = scan(docs, doc_id, text)
     base = settle(base_spans(scanned))
     added = bootstrap(occurrences(scanned, base))
-    both = base.withColumn("added", F.lit(False)).unionByName(added.withColumn("added", F.lit(True)))
+    both = base.drop("instance").withColumn("added", F.lit(False)).unionByName(added.withColumn("added", F.lit(True)))
     span = F.struct("kind", "start", "end")
     # a group is the spans of one document
     own = both.groupBy("uid").agg(F.collect_list(F.when(~F.col("added"), span)).alias("base"), F.collect_list(F.when(F.col("added"), span)).alias("more"))
