@@ -37,12 +37,16 @@ def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Repeats or drops whole documents: as often as the mix takes their words, to the nearest whole number.
+    """Repeats or drops whole documents: as often as the mix takes their words.
 
+    A part of a copy is a whole one with the part as its probability, drawn by a hash of the document, so
+    that each source is expected to give the words that the mix takes of it, however long its documents are.
     A document with no words is no part of the mix and goes.
     """
     mixed = mixing.mix_documents(docs)
-    copies = F.round(F.col("_taken") / F.col("_size")).cast("int")
+    times = F.col("_taken") / F.col("_size")
+    drawn = F.pmod(F.xxhash64(F.lit(mixing.SEED), F.lit("copies"), "doc_id", "source", F.xxhash64("text")), F.lit(1 << 30)) / float(1 << 30)
+    copies = (F.floor(times) + F.when(drawn < times - F.floor(times), 1).otherwise(0)).cast("int")
     return mixed.where("_size > 0 and _taken > 0").withColumn("_n", F.explode(F.sequence(F.lit(0), copies))).where("_n > 0").drop("_n", "_taken", "_size")
 
 

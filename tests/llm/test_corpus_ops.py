@@ -299,6 +299,16 @@ def test_mix_meets_its_targets(spark):
 # --- pipeline
 
 
+def test_mixing_stage_meets_its_targets(spark, data):
+    # by whole documents of more than a block: targets are 1.875, 0.75 and 0.375 of each source
+    docs = [(i, f"{i} " + "w " * 1599, "en", "abc"[i % 3], 1) for i in range(900)]
+    df = spark.createDataFrame(docs, table(spark, data, "documents").schema)
+    got = Counter(r.source for r in corpus_pipeline.mix_sources(spark, df, data).select("source").collect())
+    assert got == Counter(r.source for r in corpus_pipeline.mix_sources(spark, df.repartition(7), data).select("source").collect())
+    for source, share in (("a", 1.875), ("b", 0.75), ("c", 0.375)):
+        assert abs(got[source] / (300 * share) - 1) < 0.15, got
+
+
 def test_pipeline(spark, data):
     docs = table(spark, data, "documents").collect()
     extra = [(9001, docs[0].text, "en", "src1", 1), (9002, None, "en", "src1", 0), (9003, "12 !!", "en", "src1", 5), (9004, "write to someone@example.com about it", None, "src1", 36), (docs[0].doc_id, docs[0].text, docs[0].lang, docs[0].source, docs[0].n_chars)]
