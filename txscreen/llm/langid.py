@@ -1,15 +1,16 @@
 """Language identification with a bit-sliced Bloom filter of n-grams.
 
-One filter answers for all languages: each of SLOTS places holds a mask with one bit for each
+One filter answers for all languages: each of its places holds a mask with one bit for each
 language, an n-gram has HASHES places, and the AND of their masks is the set of languages that
 contain it. A text's n-grams are looked up in that way and each language's bit is counted. The
 share of false answers of a language is known from how full its bit-slice is; a count is corrected
 for it, and the language with the largest corrected share of the text's n-grams is the prediction.
 
 A language contains an n-gram if the n-gram is frequent there: at least MIN_SHARE of the rate of the
-language where it is most frequent. The filter is fitted on a bounded sample: LANG_DOCS labelled
-documents of each language at most, with the lowest hashes of their ids, and the LANG_GRAMS most frequent
-n-grams of each. Every document is then predicted from its whole text.
+language where it is most frequent, and at least MIN_RATE of the language's n-grams, of which there can't
+be more than 1 / MIN_RATE. The filter is fitted on a bounded sample: the LANG_DOCS labelled documents of each
+language with the lowest hashes of their ids (all rows of the last of these ids). It has as many places as
+keep the rate of false answers at FALSE_RATE. Every document is then predicted from its whole text.
 
 An n-gram is N characters of the lower-cased text in which every run of other characters than
 letters is one blank, with a blank at either end.
@@ -23,6 +24,7 @@ the prediction and kept by predict().
 
 from __future__ import annotations
 
+import math
 import sys
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -33,10 +35,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import settle, table, text_slices
 
-N, SLOTS, HASHES = 4, 1 << 20, 3
-LANG_DOCS, LANG_GRAMS, MIN_COUNT, MIN_SHARE = 1000, 60_000, 3, 0.25
+N, HASHES, FALSE_RATE = 4, 3, 0.005
+LANG_DOCS, MIN_COUNT, MIN_RATE, MIN_SHARE = 1000, 3, 2.0**-19, 0.25
 UNKNOWN = "und"
 
 _letters: np.ndarray | None = None
@@ -49,7 +51,7 @@ def _is_letter() -> np.ndarray:
     return _letters
 
 
-def grams(texts: list[str | None], most_chars: int = 1 << 22) -> Iterator[tuple[int, np.ndarray]]:
+def grams(texts: list[str | None], most_chars: int = 1 << 18) -> Iterator[tuple[int, np.ndarray]]:
     """(position in texts, hashes of n-grams); a long text comes in several parts that share no n-gram."""
     letter = _is_letter()
     for i, text in enumerate(texts):
@@ -118,40 +120,54 @@ class Model:
         return [self.languages[b] if k else UNKNOWN for b, k in zip(best, known, strict=True)], score, top
 
 
-def build(counts: pd.DataFrame) -> Model:
-    """counts: (lang, gram, n) of the sample."""
-    languages = sorted(counts["lang"].unique())
-    masks_of = max(1, -(-len(languages) // 64))
+def build(counts: DataFrame) -> Model:
+    """counts: (lang, gram, n) of the sample. What comes to the driver is a row for each language and the filter's places."""
+    spark = counts.sparkSession
+    counts = settle(counts)
+    totals = counts.groupBy("lang").agg(F.sum("n").alias("total"))
+    names = sorted((r.lang, r.total) for r in totals.collect())
+    if not names:
+        return Model([], np.zeros((1, 64), np.uint8), np.zeros(0), 0)
+    languages = [name for name, _ in names]
+    places = spark.createDataFrame([(name, total, i) for i, (name, total) in enumerate(names)], "lang string, total long, i int")
+    rates = counts.join(places, "lang").select("i", "gram", (F.col("n") / F.col("total")).alias("rate")).where(F.col("rate") >= MIN_RATE)
+    top = rates.groupBy("gram").agg(F.max("rate").alias("top"))
+    kept = settle(rates.join(top, "gram").where(F.col("rate") >= MIN_SHARE * F.col("top")).select("i", "gram"))
+    most = kept.groupBy("i").count().agg(F.max("count")).first()[0]
+    slots = slots_for(most)
+    # as in _places(); the low bits are enough, and don't overflow
+    low = lambda c: c.bitwiseAND(F.lit(slots - 1).cast("long"))
+    step = F.shiftrightunsigned("gram", 33).bitwiseOR(F.lit(1).cast("long"))
+    slot = F.explode(F.array(*[low(low(F.col("gram")) + F.lit(k).cast("long") * low(step)) for k in range(HASHES)]))
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("i") % 64)
+    found = kept.select(F.floor(F.col("i") / 64).cast("int").alias("word"), slot.alias("slot"), bit.alias("bit")).groupBy("word", "slot").agg(F.bit_or("bit").alias("mask")).toArrow()
     kind = np.uint8 if len(languages) <= 8 else np.uint64
-    masks = np.zeros((masks_of, SLOTS), kind)
-    if not languages:
-        return Model([], masks, np.zeros(0), 0)
-    total = counts.groupby("lang")["n"].transform("sum")
-    rate = counts["n"] / total
-    kept = counts[rate >= MIN_SHARE * rate.groupby(counts["gram"]).transform("max")]
-    for i, name in enumerate(languages):
-        h = kept.loc[kept["lang"] == name, "gram"].to_numpy(np.int64).view(np.uint64)
-        for p in _places(h, SLOTS):
-            masks[i // 64, p] |= kind(1 << (i % 64))
-    filled = np.array([np.count_nonzero(masks[i // 64] & kind(1 << (i % 64))) / SLOTS for i in range(len(languages))])
-    fallback = languages.index(counts.groupby("lang")["n"].sum().sort_index().idxmax())
-    return Model(languages, masks, filled**HASHES, fallback)
+    masks = np.zeros((-(-len(languages) // 64), slots), kind)
+    masks[found["word"].to_numpy(), found["slot"].to_numpy()] = found["mask"].to_numpy().view(np.uint64).astype(kind)
+    filled = np.array([np.count_nonzero(masks[i // 64] & kind(1 << (i % 64))) / slots for i in range(len(languages))])
+    return Model(languages, masks, filled**HASHES, max(range(len(names)), key=lambda i: (names[i][1], -i)))
+
+
+def slots_for(grams: int) -> int:
+    """Places, a power of two, at which a language of so many n-grams has FALSE_RATE or less."""
+    least = -HASHES * max(1, grams) / math.log(1 - FALSE_RATE ** (1 / HASHES))
+    return 1 << max(6, math.ceil(math.log2(least)))
 
 
 def train(labelled: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang") -> Model:
-    """Fits on rows with a label; the sample and what it sends to the driver are bounded for each language."""
+    """Fits on rows with a label: LANG_DOCS documents of each language, those with the lowest hashes of their ids."""
     rows = labelled.where(F.col(lang).isNotNull()).select(F.col(doc_id).cast("long").alias("id"), F.col(text).cast("string").alias("text"), F.col(lang).cast("string").alias("lang"))
     # about twice the wanted rows of each language pass a cut on their hash, whatever the language's size
-    place = F.shiftright(F.xxhash64("id"), 1).cast("double") / float(1 << 63) + 0.5
+    rows = rows.withColumn("place", F.shiftright(F.xxhash64("id"), 1).cast("double") / float(1 << 63) + 0.5)
     sizes = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
-    near = rows.select("id", "lang", place.alias("place")).join(F.broadcast(sizes), "lang").where(F.col("place") < F.lit(2.0 * LANG_DOCS) / F.col("n"))  # one row for each language
+    near = rows.select("id", "lang", "place").join(F.broadcast(sizes), "lang").where(F.col("place") < F.lit(2.0 * LANG_DOCS) / F.col("n"))  # one row for each language
     order = Window.partitionBy("lang").orderBy("place", "id")
-    chosen = near.withColumn("r", F.row_number().over(order)).where(F.col("r") <= LANG_DOCS).select(F.col("id").alias("i"), F.col("lang").alias("l")).distinct()
-    # LANG_DOCS ids for each language at most
-    sample = rows.join(F.broadcast(chosen), F.col("id").eqNullSafe(F.col("i")) & (F.col("lang") == F.col("l")), "left_semi")
+    last = near.withColumn("r", F.row_number().over(order)).where(F.col("r") <= LANG_DOCS).groupBy("lang").agg(F.max("place").alias("last"))
+    # one row for each language
+    sample = rows.join(F.broadcast(last), "lang").where(F.col("place") <= F.col("last"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in text_slices(batches, 0):
             texts, langs = b.column(0).to_pylist(), np.array(b.column(1).to_pylist(), object)
             own: dict[str, list[np.ndarray]] = {}
             for i, h in grams(texts):
@@ -160,9 +176,8 @@ def train(labelled: DataFrame, doc_id: str = "doc_id", text: str = "text", lang:
                 g, n = np.unique(np.concatenate(parts), return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array([name] * len(g), pa.string()), pa.array(g.view(np.int64)), pa.array(n, pa.int64())], ["lang", "gram", "n"])
 
-    counts = sample.select("text", "lang").mapInArrow(count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")).where(F.col("n") >= MIN_COUNT)
-    top = Window.partitionBy("lang").orderBy(F.desc("n"), "gram")
-    return build(counts.withColumn("r", F.row_number().over(top)).where(F.col("r") <= LANG_GRAMS).drop("r").toPandas())
+    counts = sample.select("text", "lang").mapInArrow(count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    return build(counts.where(F.col("n") >= MIN_COUNT))
 
 
 def predict(docs: DataFrame, model: Model, text: str = "text", to: str = "lang_id") -> DataFrame:
