@@ -166,6 +166,16 @@ def _near(a: np.ndarray, b: np.ndarray, most: int = RADIUS) -> np.ndarray:
     return np.bitwise_count(a ^ b) <= most
 
 
+def _one_link(a: np.ndarray, b: np.ndarray, rows: int = 1024) -> tuple[int, int] | None:
+    """A link between the two sets, if there is one, found in squares of `rows`."""
+    for i in range(0, len(a), rows):
+        for j in range(0, len(b), rows):
+            x, y = np.nonzero(_near(a[i : i + rows, None], b[None, j : j + rows]))
+            if len(x):
+                return int(a[i + x[0]]), int(b[j + y[0]])
+    return None
+
+
 def dense_edges(fp: np.ndarray) -> list[tuple[int, int]]:
     """Edges that connect what links of a run connect."""
     left, groups, edges = np.unique(fp), [], []
@@ -179,12 +189,10 @@ def dense_edges(fp: np.ndarray) -> list[tuple[int, int]]:
         for j in (np.flatnonzero(_near(pivots[i + 1 :], pivots[i], 3 * RADIUS)) + i + 1).tolist():
             if sets.find(i) == sets.find(j):
                 continue
-            for at in range(0, len(own), 256):
-                x, y = np.nonzero(_near(own[at : at + 256, None], groups[j][None, :]))
-                if len(x):
-                    sets.union(i, j)
-                    edges.append((int(own[at + x[0]]), int(groups[j][y[0]])))
-                    break
+            link = _one_link(own, groups[j])
+            if link:
+                sets.union(i, j)
+                edges.append(link)
     return edges
 
 
