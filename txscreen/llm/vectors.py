@@ -32,8 +32,8 @@ from .components import components
 from .simhash import _Forest
 
 THRESHOLD, RECALL, SEED = 0.9, 0.9995, 42
-#: Bits of a table: the binary logarithm of the classes less BUCKET_LOG, within these limits.
-BUCKET_LOG, LEAST_BITS, MOST_BITS = 5, 4, 16
+#: Bits of a table: the binary logarithm of the classes less BUCKET_LOG; MOST_BITS, what a key has room for, is reached at 2^37 classes.
+BUCKET_LOG, LEAST_BITS, MOST_BITS = 5, 4, 32
 BLOCK = 2048
 
 
@@ -58,7 +58,7 @@ def _unit(raw: list[bytes]) -> np.ndarray:
 def _signatures(x: np.ndarray, bits: int, tables: int) -> np.ndarray:
     planes = np.random.default_rng([SEED, x.shape[1]]).standard_normal((x.shape[1], bits * tables))
     signs = ((x @ planes) >= 0).reshape(len(x), tables, bits)
-    return (signs @ (1 << np.arange(bits))).astype("<u2")
+    return (signs @ (1 << np.arange(bits))).astype("<u4")
 
 
 def _emit(bits: int, tables: int):
@@ -75,7 +75,7 @@ def _emit(bits: int, tables: int):
                     sig = _signatures(_unit([raw[i] for i in own]), bits, tables)
                     take = pa.array(np.repeat(own, tables))
                     t = np.tile(np.arange(tables, dtype=np.int64), len(own))
-                    bucket = (np.int64(d) << 40) | (t << 20) | sig.reshape(-1).astype(np.int64)
+                    bucket = (np.int64(d) << 44) | (t << 32) | sig.reshape(-1).astype(np.int64)
                     signature = pa.array([s.tobytes() for s in sig], pa.binary()).take(pa.array(np.repeat(np.arange(len(own)), tables)))
                     yield pa.RecordBatch.from_arrays([pa.array(bucket), pa.array(t.astype(np.int32)), part.column("node").take(take), part.column("weight").take(take), signature, part.column("vector").take(take)], ["bucket", "t", "node", "weight", "signature", "vector"])
 
@@ -90,7 +90,7 @@ class _Rows:
         self.weight = np.array([r["weight"] for r in rows], np.int64)
         self.x = _unit([r["vector"] for r in rows])
         self.norm = np.sqrt((self.x * self.x).sum(axis=1))
-        self.sig = np.frombuffer(b"".join(r["signature"] for r in rows), "<u2").reshape(len(rows), -1)
+        self.sig = np.frombuffer(b"".join(r["signature"] for r in rows), "<u4").reshape(len(rows), -1)
         self.side = np.array([r["side"] for r in rows], np.int32)
 
 
@@ -211,11 +211,12 @@ def near_duplicate_vectors(rows: DataFrame, vec_id: str = "vec_id", vector: str
     own = rows.select(F.col(vec_id).cast("long").alias("vec_id"), F.col(vector).cast("array<double>").alias("v"))
     # -0.0 and 0.0 are equal components
     own = own.withColumn("v", F.when(usable(F.col("v")), F.transform("v", lambda x: F.when(x == 0, F.lit(0.0)).otherwise(x))))
-    own = own.withColumn("node", F.when(F.col("v").isNotNull(), F.xxhash64("v")))
-    members = settle(own.select("vec_id", "node"))
-    sizes = members.where("node is not null").groupBy("node").agg(F.count(F.lit(1)).alias("weight"), F.min("vec_id").alias("first_id"))
-    vectors = own.where("node is not null").select("node", "v").groupBy("node").agg(F.first("v").alias("v"))
-    classes = settle(vectors.join(sizes, "node").select("node", "weight", "v").mapInArrow(_bytes, "node long, weight long, vector binary"))
+    # a class is a vector, not a hash of it; its number is a row number that the checkpoint fixes
+    groups = own.where("v is not null").groupBy("v").agg(F.count(F.lit(1)).alias("weight"), F.min("vec_id").alias("first_id"))
+    numbered = settle(groups.select(F.monotonically_increasing_id().alias("node"), "v", "weight", "first_id"))
+    sizes = numbered.select("node", "weight", "first_id")
+    members = own.where("v is not null").join(numbered.select("v", "node"), "v").select("vec_id", "node")
+    classes = settle(numbered.select("node", "weight", "v").mapInArrow(_bytes, "node long, weight long, vector binary"))
     found = link_vectors(classes, threshold)
     links = found.where("kind = 0").groupBy(F.col("a").alias("node")).agg(F.sum("b").alias("links"))
     groups = components(found.where("kind = 1").select("a", "b"))
@@ -223,7 +224,7 @@ def near_duplicate_vectors(rows: DataFrame, vec_id: str = "vec_id", vector: str
     named = settle(named)
     first = named.groupBy("component").agg(F.min("first_id").alias("component_id"))
     per = named.join(first, "component").select("node", (F.col("links") + F.col("weight") - 1).alias("n_links"), "component_id")
-    alone = members.where("node is null").select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
+    alone = own.where("v is null").select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
     every = members.join(per, "node").select("vec_id", "n_links", "component_id").union(alone)
     return every.withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)))
 
