@@ -1,20 +1,21 @@
 """Exact top-k search in Hamming space by incremental multi-index hashing.
 
-A code is 64 bits, cut into SEGMENTS segments of 16. If two codes differ by less than
-SEGMENTS * (r + 1) bits, some segment differs by r bits or fewer. A search looks up, for r = 0, 1, ...,
-all segment values at exactly r flips from the query's, verifies each code found once, and stops when
-the k-th best verified distance is below SEGMENTS * (r + 1): then no unseen code can be as near,
-not even at the same distance, so ties are complete too.
+A code has any number of bits in 64-bit words, cut into S segments of 16. If two codes differ by less
+than S * (r + 1) bits, some segment differs by r bits or fewer. A search looks up, for r = 0, 1, ..., all
+segment values at exactly r flips from the query's, verifies each code found once, and stops when the
+k-th best verified distance is below S * (r + 1): then no unseen code can be as near, not even at the
+same distance, so ties are complete too.
 
 The index is dealt over blocks of bounded size by a hash of the code, the queries over chunks. A task
 has one block, with a sorted list for each segment, and streams one chunk past it. Each query leaves
-at most k rows of a block, which a ranking over the query's own rows merges. Of codes that many rows share only the
-k + 1 smallest ids can be in a result, and no more are kept.
-
-Codes here are the signs of a vector of at most 64 components; a null vector or one with a null
-component has no code and is neither indexed nor searched for. Repeated rows count each. A query
-never finds rows with its own id. Queries with fewer than k other rows get them all; an empty table
-gives no rows; other columns are ignored.
+at most k rows of a block, which a ranking over the query's own rows merges. Of the rows that share a code
+only those of its k + 1 smallest ids, k of each, can be in a result, and no more are kept.
+
+Codes here are the signs of a vector of any length, and only codes of equal length are compared; a
+null or empty vector or one with a null component has no code and is neither indexed nor searched for;
+NaN counts as positive, as Spark orders it. Repeated rows count each. A query never finds rows with its
+own id. Queries with fewer than k other rows get them all; an empty table gives no rows; other columns
+are ignored.
 """
 
 from __future__ import annotations
@@ -27,19 +28,25 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import partitions, table
+from .common import partitions, slices, table
 
-SEGMENTS, BITS = 4, 16
+BITS, WORD = 16, 64
 K, QUERY_EVERY = 10, 20
 #: Codes that a task holds, queries that it streams at most, and those below which they aren't cut for more tasks.
 BLOCK_ROWS, CHUNK_ROWS, LEAST_ROWS = 1 << 20, 1 << 16, 1 << 8
 
 
-def sign_code(vector: Column) -> Column:
-    """Bit i is set where component i is 0 or more; null without a code."""
-    bits = F.transform(vector, lambda x, i: F.when(x >= 0, F.call_function("shiftleft", F.lit(1).cast("long"), i)).when(x < 0, F.lit(0).cast("long")))
-    whole = (F.size(vector) <= 64) & ~F.exists(bits, lambda b: b.isNull())
-    return F.when(whole, F.aggregate(bits, F.lit(0).cast("long"), lambda a, b: a.bitwiseOR(b)))
+def sign_code(vector: Column | str) -> Column:
+    """(bits, words): bit i % 64 of word i / 64 is set where component i is 0 or more; null without a code."""
+
+    def word(part: Column) -> Column:
+        bits = F.transform(part, lambda x, i: F.when(x >= 0, F.call_function("shiftleft", F.lit(1).cast("long"), i)).otherwise(F.lit(0).cast("long")))
+        return F.aggregate(bits, F.lit(0).cast("long"), lambda a, b: a.bitwiseOR(b))
+
+    vector = F.col(vector) if isinstance(vector, str) else vector
+    begins = F.sequence(F.lit(1), F.size(vector), F.lit(WORD))
+    whole = (F.size(vector) > 0) & ~F.exists(vector, lambda x: x.isNull())
+    return F.when(whole, F.struct(F.size(vector).alias("bits"), F.transform(begins, lambda i: word(F.slice(vector, i, WORD))).alias("words")))
 
 
 def _flips(r: int) -> np.ndarray:
@@ -47,13 +54,13 @@ def _flips(r: int) -> np.ndarray:
 
 
 class Block:
-    """An index over some codes: for each segment the rows sorted by its value, and where each value begins."""
+    """An index over codes of one length: for each segment the rows sorted by its value, and where each value begins."""
 
-    def __init__(self, ids: np.ndarray, codes: np.ndarray) -> None:
-        order = np.lexsort((ids, codes))
-        self.ids, self.codes = ids[order], codes[order].view(np.uint64)
+    def __init__(self, ids: np.ndarray, codes: np.ndarray, bits: int) -> None:
+        """codes: (row, word), unsigned."""
+        self.ids, self.codes, self.segments = ids, codes, -(-bits // BITS)
         self.rows, self.at = [], []
-        for s in range(SEGMENTS):
+        for s in range(self.segments):
             value = self._value(self.codes, s)
             rows = np.argsort(value, kind="stable").astype(np.int32)
             self.rows.append(rows)
@@ -62,9 +69,10 @@ class Block:
 
     @staticmethod
     def _value(codes: np.ndarray, s: int) -> np.ndarray:
-        return ((codes >> np.uint64(s * BITS)) & np.uint64((1 << BITS) - 1)).astype(np.int64)
+        word, shift = divmod(s * BITS, WORD)
+        return ((codes[:, word] >> np.uint64(shift)) & np.uint64((1 << BITS) - 1)).astype(np.int64)
 
-    def search(self, query_id: int, code: np.uint64, k: int) -> tuple[np.ndarray, np.ndarray]:
+    def search(self, query_id: int, code: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """(ids, distances) of the k nearest rows, ties by id; never the query's own id."""
         seen = np.zeros(0, np.int64)
         dist = np.zeros(0, np.int64)
@@ -72,8 +80,8 @@ class Block:
             if len(self.flips) <= r:
                 self.flips.append(_flips(r))
             found = []
-            for s in range(SEGMENTS):
-                values = int(self._value(np.array([code]), s)[0]) ^ self.flips[r]
+            for s in range(self.segments):
+                values = int(self._value(code[None, :], s)[0]) ^ self.flips[r]
                 begin, size = self.at[s][values], self.at[s][values + 1] - self.at[s][values]
                 begin, size = begin[size > 0], size[size > 0]
                 if len(size):
@@ -82,9 +90,9 @@ class Block:
             if found:
                 rows = np.setdiff1d(np.concatenate(found).astype(np.int64), seen)
                 rows = rows[self.ids[rows] != query_id]
-                seen, dist = np.concatenate([seen, rows]), np.concatenate([dist, np.bitwise_count(self.codes[rows] ^ code).astype(np.int64)])
+                seen, dist = np.concatenate([seen, rows]), np.concatenate([dist, np.bitwise_count(self.codes[rows] ^ code).sum(axis=1, dtype=np.int64)])
                 best = np.lexsort((self.ids[seen], dist))[:k]
-                if len(best) == k and dist[best[-1]] < SEGMENTS * (r + 1):
+                if len(best) == k and dist[best[-1]] < self.segments * (r + 1):
                     return self.ids[seen[best]], dist[best]
         best = np.lexsort((self.ids[seen], dist))[:k]
         return self.ids[seen[best]], dist[best]
@@ -94,21 +102,23 @@ def _search(k: int):
     names = ["query_id", "query_row", "id", "distance"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, block, ids, codes, index = None, None, [], [], None
-        for b in batches:
+        block, held, index = None, {}, {}
+        for b in slices(batches):
             out: list[tuple] = []
-            for key, is_query, row, i, c in zip(*(x.to_pylist() for x in b.columns), strict=True):
+            for key, is_query, row, i, bits, words in zip(*(x.to_pylist() for x in b.columns), strict=True):
                 if key != block:
-                    block, ids, codes, index = key, [], [], None
+                    block, held, index = key, {}, {}
                 if not is_query:
+                    ids, codes = held.setdefault(bits, ([], []))
                     ids.append(i)
-                    codes.append(c)
+                    codes.append(np.array(words, np.int64).tobytes())
                     continue
-                if index is None:
-                    index = Block(np.array(ids, np.int64), np.array(codes, np.int64))
-                    ids, codes = [], []
-                found, dist = index.search(i, np.array([c], np.int64).view(np.uint64)[0], k)
-                out += [(i, row, int(x), int(d)) for x, d in zip(found, dist, strict=True)]
+                if bits not in index and bits in held:
+                    ids, codes = held.pop(bits)
+                    index[bits] = Block(np.array(ids, np.int64), np.frombuffer(b"".join(codes), np.uint64).reshape(len(ids), -1), bits)
+                if bits in index:
+                    found, dist = index[bits].search(i, np.array(words, np.int64).view(np.uint64), k)
+                    out += [(i, row, int(x), int(d)) for x, d in zip(found, dist, strict=True)]
             columns = zip(*out, strict=True) if out else [[]] * 4
             yield pa.RecordBatch.from_arrays([pa.array(list(x), pa.int64()) for x in columns], names)
 
@@ -116,21 +126,23 @@ def _search(k: int):
 
 
 def nearest_codes(index: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
-    """index, queries: (id, code). (query_id, rank, id, distance), ranks from 1, ordered by distance and id."""
+    """index, queries: (id, code as of sign_code()). (query_id, rank, id, distance), ranks from 1, ordered by distance and id."""
     spark = index.sparkSession
-    known = index.where(F.col("code").isNotNull() & F.col("id").isNotNull())
-    asked = queries.where(F.col("code").isNotNull() & F.col("id").isNotNull())
+    known = index.where(F.col("code").isNotNull() & F.col("id").isNotNull()).select("id", "code.bits", "code.words")
+    asked = queries.where(F.col("code").isNotNull() & F.col("id").isNotNull()).select("id", "code.bits", "code.words")
     blocks = max(1, -(-known.count() // BLOCK_ROWS))
     n = asked.count()
     chunks = max(1, -(-n // CHUNK_ROWS), min(partitions(spark), -(-n // LEAST_ROWS)))
-    few = known.withColumn("r", F.row_number().over(Window.partitionBy("code").orderBy("id"))).where(F.col("r") <= k + 1)
+    same = Window.partitionBy("bits", "words").orderBy("id")
+    own = Window.partitionBy("bits", "words", "id").orderBy(F.lit(0))
+    few = known.withColumn("r", F.dense_rank().over(same)).where(F.col("r") <= k + 1).withColumn("c", F.row_number().over(own)).where(F.col("c") <= k)
     every = lambda m: F.explode(F.sequence(F.lit(0).cast("long"), F.lit(m - 1).cast("long")))
-    pair = lambda block, chunk: (block * chunks + chunk).alias("block")
-    rows = few.withColumn("chunk", every(chunks)).select(pair(F.pmod(F.xxhash64("code"), F.lit(blocks)), F.col("chunk")), F.lit(0).alias("is_query"), F.lit(0).cast("long").alias("row"), "id", "code")
+    pair = lambda block, chunk: (block * chunks + chunk).cast("int").alias("block")
+    rows = few.withColumn("chunk", every(chunks)).select(pair(F.pmod(F.xxhash64("bits", "words"), F.lit(blocks)), F.col("chunk")), F.lit(0).alias("is_query"), F.lit(0).cast("long").alias("row"), "id", "bits", "words")
     # a query has its row number before it goes to every block
     asked = asked.withColumn("row", F.monotonically_increasing_id()).withColumn("b", every(blocks))
-    asked = asked.select(pair(F.col("b"), F.pmod(F.xxhash64("row"), F.lit(chunks))), F.lit(1).alias("is_query"), "row", "id", "code")
-    dealt = rows.unionByName(asked).repartition(blocks * chunks, "block").sortWithinPartitions("block", "is_query")
+    asked = asked.select(pair(F.col("b"), F.pmod(F.xxhash64("row"), F.lit(chunks))), F.lit(1).alias("is_query"), "row", "id", "bits", "words")
+    dealt = rows.unionByName(asked).repartitionById(blocks * chunks, F.col("block")).sortWithinPartitions("block", "is_query")
     found = dealt.mapInArrow(_search(k), "query_id long, query_row long, id long, distance long")
     rank = F.row_number().over(Window.partitionBy("query_id", "query_row").orderBy("distance", "id"))
     return found.withColumn("rank", rank.cast("long")).where(F.col("rank") <= k).select("query_id", "rank", "id", "distance")
