@@ -5,6 +5,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers as P
 import pytest
 import tiktoken
@@ -51,6 +52,10 @@ def reference():
     return tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
+def ids_of(encoder, texts):
+    return [x.as_py() for x in encoder.encode(pa.array(texts, pa.string()))]
+
+
 def random_texts(n, seed):
     r = random.Random(seed)
     alphabet = "ab c\n\t .,'sRé漢 \x1c\x85 12²½_-\U0001f600̀<|endoftext|>"
@@ -59,8 +64,8 @@ def random_texts(n, seed):
 
 def test_ids_are_those_of_the_ranks(definition, reference):
     texts = [t or "" for t in ODD] + random_texts(1500, 3)
-    encoder, decoder = bpe.Encoder.of(definition), bpe.Decoder.of(definition)
-    for t, raw in zip(texts, encoder.encode(texts), strict=True):
+    encoder, decoder = bpe.Encoder(definition, True), bpe.Decoder(definition)
+    for t, raw in zip(texts, ids_of(encoder, texts), strict=True):
         ids = np.frombuffer(raw, "<u4")
         assert ids.tolist() == reference.encode_ordinary(t), t
         assert decoder.decode(ids) == t.encode()
@@ -68,26 +73,40 @@ def test_ids_are_those_of_the_ranks(definition, reference):
         assert (begin <= end).all() and (not len(end) or end[-1] == len(t))
 
 
-def test_chunks_encode_as_the_whole_text_does():
+PIECES = ["a", "Word", " ", "  ", "\n", "\n\n", ".", "...", "'s", "é", "12", "|", "<|endoftext|>", "\t", "漢", "ÿ", "\x85", "%%%", "ª", "²"]
+
+
+@pytest.mark.parametrize("as_text", [True, False])
+def test_chunks_encode_as_the_whole_text_does(as_text):
     text = bpe.load_json(P.path("byte_bpe_50k.json"))
     plain = Tokenizer.from_str(text)
-    plain.encode_special_tokens = True
-    texts = [t or "" for t in ODD] + random_texts(1500, 4)
-    for t, raw in zip(texts, bpe.Encoder.of(text).encode(texts), strict=True):
+    if as_text:
+        plain.encode_special_tokens = True
+    r = random.Random(9)
+    texts = [t or "" for t in ODD] + random_texts(1500, 4) + ["".join(r.choice(PIECES) for _ in range(r.randrange(12))) for _ in range(3000)]
+    for t, raw in zip(texts, ids_of(bpe.Encoder(text, as_text), texts), strict=True):
         assert np.frombuffer(raw, "<u4").tolist() == plain.encode(t, add_special_tokens=False).ids, t
 
 
-def test_a_full_memo_changes_nothing(definition, monkeypatch):
+def test_special_tokens_are_the_librarys():
+    text = bpe.load_json(P.path("byte_bpe_50k.json"))
+    got = [np.frombuffer(x, "<u4").tolist() for x in ids_of(bpe.Encoder(text, False), ["a <|endoftext|> b", None, "b"])]
+    assert got == [[64, 220, 50256, 275], [], [65]]
+
+
+def test_a_small_memo_changes_nothing(definition, monkeypatch):
     texts = [t or "" for t in ODD] + random_texts(300, 5)
-    want = bpe.Encoder(definition).encode(texts)
-    monkeypatch.setattr(bpe, "MEMO_CHUNKS", 3)
-    assert bpe.Encoder(definition).encode(texts) == want
+    want = ids_of(bpe.Encoder(definition, True), texts)
+    for size in (0, 1000, 20_000):
+        monkeypatch.setattr(bpe, "MEMO_BYTES", size)
+        encoder = bpe.Encoder(definition, True)
+        assert ids_of(encoder, texts) == want and ids_of(encoder, texts[::-1]) == want[::-1]
 
 
 def test_offsets_of_split_characters(definition):
     text = "漢"
-    encoder, decoder = bpe.Encoder.of(definition), bpe.Decoder.of(definition)
-    ids = np.frombuffer(encoder.encode([text])[0], "<u4")
+    encoder, decoder = bpe.Encoder(definition, True), bpe.Decoder(definition)
+    ids = np.frombuffer(ids_of(encoder, [text])[0], "<u4")
     begin, end, split = decoder.offsets(ids, text.encode())
     assert len(ids) > 1 and split == len(ids) and begin.tolist() == [0] * len(ids) and set(end.tolist()) == {1}
 
@@ -101,13 +120,60 @@ def test_encode_and_decode_columns(spark, definition):
     assert bpe.encoding_digests(df.limit(0), definition).count() == 0
 
 
+def expected_tokens(docs):
+    """(doc_id or -1, crc32) by a plain call of the library, sorted."""
+    plain = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
+    ids = lambda t: np.array([*plain.encode(t or "", add_special_tokens=False).ids, 0], "<u4").tobytes()
+    return sorted((-1 if d[0] is None else d[0], zlib.crc32(ids(d[1]))) for d in docs)
+
+
+@pytest.fixture(scope="module")
+def odd_documents(spark, tmp_path_factory):
+    """The folder of a documents table with odd texts, and its rows."""
+    docs = [(i, t, "en", f"s{i % 3}", 1) for i, t in enumerate([*ODD, "a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|>"] + random_texts(200, 8))]
+    folder = str(tmp_path_factory.mktemp("odd"))
+    spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars long").repartition(3).write.parquet(f"{folder}/documents.parquet")
+    return folder, docs
+
+
+def test_token_file_query_against_the_library(spark, odd_documents):
+    folder, docs = odd_documents
+    got = registry.QUERIES["op3_token_files"](spark, folder).orderBy("doc_id").collect()
+    assert sorted((r.doc_id, r.ids_crc32) for r in got) == expected_tokens(docs)
+    at = 0
+    for r in got:
+        assert r.start == at
+        at += r.n_tokens
+
+
+def test_bpe_query_against_the_rank_library(spark, odd_documents, reference):
+    folder, docs = odd_documents
+    got = {r.doc_id: r for r in registry.QUERIES["op8_byte_bpe"](spark, folder).collect()}
+    assert len(got) == len(docs)
+    for d, t, *_ in docs:
+        ids = reference.encode_ordinary(t or "")
+        want = (len(ids), hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256((t or "").encode()).hexdigest())
+        assert (got[d].n_tokens, got[d].ids_sha256, got[d].decoded_sha256) == want and got[d].round_trip
+
+
+def test_an_id_of_many_rows_fills_several_shards(spark, tmp_path):
+    docs = [(i, f"text {i}", 0) for i in range(40)] + [(20, f"copy {i % 3}", 0) for i in range(200)] + [(None, "none", 0)] * 5
+    df = spark.createDataFrame(docs, "doc_id long, text string, n int").repartition(2)
+    tokenfiles.write_token_set(df, str(tmp_path / "set"), bpe.load_json(P.path("byte_bpe_50k.json")), shards=6)
+    got = tokenfiles.read_token_set(spark, str(tmp_path / "set")).collect()
+    assert len({r.shard for r in got if r.doc_id == 20}) >= 4
+    rows = tokenfiles.token_digests(spark, str(tmp_path / "set")).orderBy("start").collect()
+    assert sorted((-1 if r.doc_id is None else r.doc_id, r.ids_crc32) for r in rows) == expected_tokens(docs)
+    order = [-1 if r.doc_id is None else r.doc_id for r in rows]
+    assert order == sorted(order) and len({r.start for r in rows}) == len(rows)
+
+
 def test_token_files_round_trip(spark, tmp_path):
     text = bpe.load_json(P.path("byte_bpe_50k.json"))
     docs = [(i * 3 % 50, t, 1) for i, t in enumerate(ODD * 3)] + [(None, "null id", 1), (7, "same id", 1), (7, "same id", 1)]
     df = spark.createDataFrame(docs, "doc_id long, text string, shard int").repartition(3)
     tokenfiles.write_token_set(df, str(tmp_path / "set"), text, shards=4)
-    encoder = bpe.Encoder.of(text)
-    want = sorted((-1 if d is None else d, zlib.crc32(encoder.encode([t or ""])[0] + b"\0\0\0\0")) for d, t, _ in docs)
+    want = expected_tokens(docs)
     got = tokenfiles.token_digests(spark, str(tmp_path / "set")).collect()
     assert sorted((-1 if r.doc_id is None else r.doc_id, r.ids_crc32) for r in got) == want
     at = 0

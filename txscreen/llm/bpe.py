@@ -2,8 +2,10 @@
 
 The `tokenizers` library does the merging. A text is first cut before each single blank that an
 alphanumeric character follows: the pre-tokenizer pattern always begins a new piece there, so the
-chunks can be encoded one by one and each distinct chunk only once for as long as it stays in a
-worker's bounded memo. Chunks are never shortened; a text without blanks is one chunk.
+chunks can be encoded one by one. Arrow cuts a slice of texts, finds its distinct chunks and puts their
+ids back in order; only the distinct chunks are looked up in the task's bounded memo or encoded.
+Chunks are never shortened; a text without blanks is one chunk. A text with the string of an added
+token that the library would cut out is encoded whole by the library.
 
 Ids leave a batch as little-endian unsigned 32-bit integers. Offsets come from the byte lengths of
 the tokens: the byte-to-character map counts the bytes that don't continue a character, so a token
@@ -21,21 +23,27 @@ from __future__ import annotations
 import base64
 import hashlib
 import os
+import re
 import sys
 from array import array
 from collections.abc import Iterator
+from contextlib import contextmanager
+from functools import reduce
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from tokenizers import Regex, Tokenizer, models, pre_tokenizers
 
-from .common import slices, table
+from .common import table, text_slices
 
-#: Chunks that a worker remembers, and the characters of the longest one worth remembering.
-MEMO_CHUNKS, MEMO_CHARS = 1_000_000, 40
+#: Bytes that a task remembers chunks with, and the characters of the longest one worth remembering.
+MEMO_BYTES, MEMO_CHARS = 96 << 20, 40
+#: Bytes that an entry takes besides the characters and the ids, about.
+_ENTRY = 180
 
 
 def byte_table() -> dict[int, str]:
@@ -45,8 +53,9 @@ def byte_table() -> dict[int, str]:
     return {b: chr(b) for b in kept} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
 
-#: byte_table() for bytes read as Latin-1.
+#: byte_table() for bytes read as Latin-1, and what stands for a blank.
 _BYTES = byte_table()
+_BLANK = _BYTES[32]
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -70,103 +79,146 @@ def tokenizer_from_ranks(ranks: dict[bytes, int], pattern: str) -> Tokenizer:
 
 
 def load_json(path: str) -> str:
-    """A tokenizer file's content; executors get it with the task, so that only the driver needs the path."""
+    """A tokenizer file's content; executors get it from the driver, so that only the driver needs the path."""
     with open(path, encoding="utf-8") as f:
         return f.read()
 
 
-def chunks_of(parts: list[str]) -> list[str]:
-    """The chunks of a text that was split at each blank, as keys of the memo.
-
-    A key that begins with a blank stands for the rest of itself, any other key for a blank and itself:
-    chunks that follow a blank need no new string. A part joins the chunk before it unless it begins
-    with an alphanumeric character. Sentence marks after Latin letters are a piece and a key of their own.
-    """
-    out = [" " + parts[0]]
-    for p in parts[1:]:
-        if not p[:1].isalnum():
-            out[-1] += " " + p
-            continue
-        word = p.rstrip(".,;:!?")
-        if len(word) < len(p) and word.isalpha() and max(word) < "\u0250":
-            out += (word, " " + p[len(word) :])
-        else:
-            out.append(p)
-    return out
-
-
 if sys.byteorder != "little" or array("I").itemsize != 4:
     raise ImportError("ids are written as the machine's unsigned 32-bit integers, which must be little-endian")
 
 
+#: Pieces that no other reading of the pre-tokenizer pattern is possible for: runs of Latin letters, of digits and of
+#: marks other than the apostrophe, each with a blank before it or not, and a line end before one of them.
+_PIECE = re.compile(r" ?[A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u024F]+| ?[0-9]+| ?[!-&(-/:-@\[-`{-~]+|\n(?=[ ]?[^\s])")
+
+
 class Encoder:
-    """A Tokenizer with a memo of chunks; a worker holds one for each tokenizer definition."""
+    """A Tokenizer with a memo of chunks.
 
-    _held: dict[str, Encoder] = {}
+    A key that begins with a blank stands for the rest of itself, any other key for a blank and itself:
+    chunks that follow a blank need no new string. The memo has two generations of MEMO_BYTES / 2 bytes;
+    when the young one is full it becomes the old one and what wasn't seen since goes.
+    """
 
-    def __init__(self, definition: str) -> None:
+    def __init__(self, definition: str, special_as_text: bool) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark has the cores
         self.tokenizer = Tokenizer.from_str(definition)
-        self.tokenizer.encode_special_tokens = True
-        self.memo: dict[str, bytes] = {}
-
-    @classmethod
-    def of(cls, definition: str) -> Encoder:
-        key = hashlib.sha256(definition.encode()).hexdigest()
-        if key not in cls._held:
-            cls._held[key] = cls(definition)
-        return cls._held[key]
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text as little-endian unsigned 32-bit integers."""
-        memo = self.memo
-        own = [chunks_of(t.split(" ")) if t else [] for t in texts]
-        new = list(set().union(*own).difference(memo))
-        room = max(0, MEMO_CHUNKS - len(memo))
-        # a blank and Latin letters are one piece, which needs no pre-tokenizer; the rest of the new chunks do
-        words = [k for k in new if k.isalpha() and max(k) < "\u0250"]
-        for k in words:
-            piece = (" " + k).encode().decode("latin-1").translate(_BYTES)
-            memo[k] = array("I", [t.id for t in self.tokenizer.model.tokenize(piece)]).tobytes()
-        other = list(set(new).difference(words))
-        for at in range(0, len(other), 20_000):
-            part = other[at : at + 20_000]
-            said = [k[1:] if k[0] == " " else " " + k for k in part]
-            for k, e in zip(part, self.tokenizer.encode_batch_fast(said, add_special_tokens=False), strict=True):
-                memo[k] = array("I", e.ids).tobytes()
-        out = [b"".join(map(memo.__getitem__, keys)) for keys in own]
-        # what the memo has no room for, or is too long for it, goes again
-        kept = 0
-        for k in (*words, *other):
-            if len(k) <= MEMO_CHARS and kept < room:
-                kept += 1
+        self.tokenizer.encode_special_tokens = special_as_text
+        #: Strings that the library cuts out of a text before it looks for pieces.
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values() if not (special_as_text and t.special)]
+        self.forget()
+
+    def forget(self) -> None:
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+        self.size = 0
+
+    def _library(self, texts: list[str]) -> Iterator[bytes]:
+        for at in range(0, len(texts), 4096):
+            for e in self.tokenizer.encode_batch_fast(texts[at : at + 4096], add_special_tokens=False):
+                yield array("I", e.ids).tobytes()
+
+    def _resolve(self, keys: list[str]) -> list[bytes]:
+        """The ids of each of these distinct keys."""
+        young, old, tokenize = self.young, self.old, self.tokenizer.model.tokenize
+        out = list(map(young.get, keys))
+        split, other, new = [], [], {}
+        for i in [i for i, ids in enumerate(out) if ids is None]:
+            key = keys[i]
+            if (ids := old.get(key)) is not None:
+                out[i] = new[key] = ids
+                continue
+            if key.isalpha() and key.isascii():
+                piece = _BLANK + key
             else:
-                del memo[k]
+                pieces = _PIECE.findall(said := key[1:] if key[0] == " " else " " + key)
+                if sum(map(len, pieces)) < len(said):
+                    other.append(i)
+                    continue
+                if len(pieces) > 1:
+                    split.append((i, [p[1:] if p[0] == " " and p[1].isalnum() else " " + p for p in pieces]))
+                    continue
+                piece = said.encode().decode("latin-1").translate(_BYTES)
+            # one piece needs no pre-tokenizer
+            out[i] = new[key] = array("I", [t.id for t in tokenize(piece)]).tobytes()
+        for i, ids in zip(other, self._library([k[1:] if k[0] == " " else " " + k for k in map(keys.__getitem__, other)]), strict=True):
+            out[i] = new[keys[i]] = ids
+        self._keep(new)
+        if split:
+            parts = list(dict.fromkeys(p for _, own in split for p in own))
+            ids_of = dict(zip(parts, self._resolve(parts), strict=True))
+            for i, own in split:
+                out[i] = b"".join(map(ids_of.__getitem__, own))
         return out
 
+    def _keep(self, new: dict[str, bytes]) -> None:
+        for key, ids in new.items():
+            if len(key) <= MEMO_CHARS:
+                self.young[key] = ids
+                self.size += len(key) + len(ids) + _ENTRY
+                if self.size > MEMO_BYTES // 2:
+                    self.young, self.old, self.size = {}, self.young, 0
+
+    def encode(self, texts: pa.Array) -> pa.Array:
+        """The ids of each text as little-endian unsigned 32-bit integers, one binary value a text."""
+        texts = texts.cast(pa.string()).fill_null("")
+        found = [pc.match_substring(texts, t) for t in self.added]
+        whole = np.flatnonzero(reduce(pc.or_, found).to_numpy(zero_copy_only=False)) if found else np.zeros(0, np.int64)
+        if not len(whole):
+            return self._encode_chunks(texts)
+        # the library itself cuts at added tokens
+        rest = np.setdiff1d(np.arange(len(texts)), whole)
+        own = pa.array(list(self._library(texts.take(pa.array(whole)).to_pylist())), pa.binary())
+        both = pa.concat_arrays([own, self._encode_chunks(texts.take(pa.array(rest)))])
+        return both.take(pa.array(np.argsort(np.concatenate([whole, rest]))))
+
+    def _encode_chunks(self, texts: pa.Array) -> pa.Array:
+        if not len(texts):
+            return pa.array([], pa.binary())
+        split = pc.split_pattern(texts, " ")
+        first = split.offsets.to_numpy().astype(np.int64)  # of each text, and the end
+        first, parts = first - first[0], split.flatten().dictionary_encode()
+        names, part = parts.dictionary.to_numpy(zero_copy_only=False).tolist(), parts.indices.to_numpy()
+        # a chunk begins with a text, and at each part that begins with an alphanumeric character
+        begins = np.fromiter((n[:1].isalnum() for n in names), bool, len(names))[part]
+        begins[first[:-1]] = True
+        at = np.flatnonzero(begins)
+        size = np.diff(np.append(at, len(part)))
+        of_text = np.searchsorted(at, first)  # the first chunk of each text
+        leads = np.zeros(len(at), bool)
+        leads[of_text[:-1]] = True
+        plain = (size == 1) & ~leads
+        key = part[at].astype(np.int64)
+        made: dict[str, int] = {}
+        for c in np.flatnonzero(~plain).tolist():
+            said = " ".join([names[p] for p in part[at[c] : at[c] + size[c]].tolist()])
+            key[c] = len(names) + made.setdefault(" " + said if leads[c] else "  " + said, len(made))
+        used = np.zeros(len(names), bool)
+        used[key[plain]] = True
+        used = np.flatnonzero(used)
+        place = np.concatenate([np.zeros(len(names), np.int64), np.arange(len(made)) + len(used)])
+        place[used] = np.arange(len(used))
+        ids = pa.array(self._resolve([names[u] for u in used.tolist()] + list(made)), pa.binary()).take(pa.array(place[key]))
+        _, ends, data = ids.buffers()
+        ends = np.frombuffer(ends, np.int32)[: len(ids) + 1][of_text]
+        return pa.Array.from_buffers(pa.binary(), len(texts), [None, pa.py_buffer(ends.tobytes()), data])
+
 
 class Decoder:
     """The bytes of each id, by the inverse of the byte table."""
 
-    _held: dict[str, Decoder] = {}
-
     def __init__(self, definition: str) -> None:
         back = {c: b for b, c in byte_table().items()}
         vocab = Tokenizer.from_str(definition).get_vocab(with_added_tokens=True)
-        self.tokens: list[bytes] = [b""] * (max(vocab.values(), default=-1) + 1)
+        tokens: list[bytes] = [b""] * (max(vocab.values(), default=-1) + 1)
         for token, i in vocab.items():
-            self.tokens[i] = bytes(back[c] for c in token) if all(c in back for c in token) else token.encode()
-        self.lengths = np.array([len(t) for t in self.tokens], np.int64)
-
-    @classmethod
-    def of(cls, definition: str) -> Decoder:
-        key = hashlib.sha256(definition.encode()).hexdigest()
-        if key not in cls._held:
-            cls._held[key] = cls(definition)
-        return cls._held[key]
+            tokens[i] = bytes(back[c] for c in token) if all(c in back for c in token) else token.encode()
+        self.tokens = pa.array(tokens, pa.binary())
+        self.lengths = np.array([len(t) for t in tokens], np.int64)
 
     def decode(self, ids: np.ndarray) -> bytes:
-        return b"".join(map(self.tokens.__getitem__, ids.tolist()))
+        return _joined(self.tokens, ids)
 
     def offsets(self, ids: np.ndarray, text: bytes) -> tuple[np.ndarray, np.ndarray, int]:
         """Characters [begin, end) that each token covers, and how many tokens begin or end inside a character."""
@@ -179,18 +231,67 @@ class Decoder:
         return before[begins] - ~first[begins], before[ends], int(inside.sum())
 
 
-def encode(docs: DataFrame, definition: str, text: str = "text", ids: str = "ids", offsets: str | None = None) -> DataFrame:
+def _joined(values: pa.Array, at: np.ndarray) -> bytes:
+    """The values at these places, one after another."""
+    if not len(at):
+        return b""
+    taken = values.take(pa.array(at))
+    ends = np.frombuffer(taken.buffers()[1], np.int32)
+    return taken.buffers()[2].to_pybytes()[ends[0] : ends[len(at)]] if taken.buffers()[2] is not None else b""
+
+
+class Vocabulary:
+    """A tokenizer definition for tasks: sent once as a broadcast, built once by each worker, which holds the last one.
+
+    With special_as_text the strings of special tokens in a text are ordinary text; without, they are
+    the special tokens, as the library has it by default.
+    """
+
+    _held: tuple[str, Encoder | None, Decoder | None] = ("", None, None)
+
+    def __init__(self, spark: SparkSession, definition: str, special_as_text: bool) -> None:
+        self.key = hashlib.sha256(f"{special_as_text} {definition}".encode()).hexdigest()
+        self.sent, self.special_as_text = spark.sparkContext.broadcast(definition), special_as_text
+
+    def _own(self) -> tuple[Encoder | None, Decoder | None]:
+        if Vocabulary._held[0] != self.key:
+            Vocabulary._held = (self.key, None, None)
+        return Vocabulary._held[1:]
+
+    @contextmanager
+    def encoder(self) -> Iterator[Encoder]:
+        """The worker's encoder; its memo goes with the task."""
+        encoder, decoder = self._own()
+        encoder = encoder or Encoder(self.sent.value, self.special_as_text)
+        Vocabulary._held = (self.key, encoder, decoder)
+        try:
+            yield encoder
+        finally:
+            encoder.forget()
+            pa.default_memory_pool().release_unused()
+
+    def decoder(self) -> Decoder:
+        encoder, decoder = self._own()
+        decoder = decoder or Decoder(self.sent.value)
+        Vocabulary._held = (self.key, encoder, decoder)
+        return decoder
+
+
+def encode(docs: DataFrame, definition: str, text: str = "text", ids: str = "ids", offsets: str | None = None, special_as_text: bool = True) -> DataFrame:
     """docs with a column of ids, and with `offsets` also an array of (begin, end) characters for each id."""
+    vocabulary = Vocabulary(docs.sparkSession, definition, special_as_text)
 
     def run(series: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        for s in series:
-            texts = [x or "" for x in s]
-            encoded = [np.frombuffer(x, "<u4") for x in Encoder.of(definition).encode(texts)]
-            out = {"ids": [x.astype(np.int32) for x in encoded]}
-            if offsets:
-                spans = [Decoder.of(definition).offsets(i, t.encode()) for i, t in zip(encoded, texts, strict=True)]
-                out |= {"b": [x[0].astype(np.int32) for x in spans], "e": [x[1].astype(np.int32) for x in spans]}
-            yield pd.DataFrame(out)
+        with vocabulary.encoder() as encoder:
+            decoder = vocabulary.decoder() if offsets else None
+            for s in series:
+                texts = [x or "" for x in s]
+                encoded = [np.frombuffer(x, "<u4") for x in encoder.encode(pa.array(texts, pa.string())).to_pylist()]
+                out = {"ids": [x.astype(np.int32) for x in encoded]}
+                if offsets:
+                    spans = [decoder.offsets(i, t.encode()) for i, t in zip(encoded, texts, strict=True)]
+                    out |= {"b": [x[0].astype(np.int32) for x in spans], "e": [x[1].astype(np.int32) for x in spans]}
+                yield pd.DataFrame(out)
 
     schema = "ids array<int>" + (", b array<int>, e array<int>" if offsets else "")
     kind = F.pandas_udf(run, schema)
@@ -202,10 +303,12 @@ def encode(docs: DataFrame, definition: str, text: str = "text", ids: str = "ids
 
 def decode(rows: DataFrame, definition: str, ids: str = "ids", text: str = "decoded") -> DataFrame:
     """rows with the decoded bytes of their ids; null ids are no ids."""
+    vocabulary = Vocabulary(rows.sparkSession, definition, True)
 
     def run(series: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        decoder = vocabulary.decoder()
         for s in series:
-            yield pd.Series([Decoder.of(definition).decode(np.asarray(x if x is not None else [], np.int64)) for x in s])
+            yield pd.Series([decoder.decode(np.asarray(x if x is not None else [], np.int64)) for x in s])
 
     return rows.withColumn(text, F.pandas_udf(run, "binary")(F.col(ids)))
 
@@ -220,22 +323,25 @@ def encoding_digests(docs: DataFrame, definition: str, doc_id: str = "doc_id", t
     bytes are the text and that the offsets end at its last character.
     """
 
+    vocabulary = Vocabulary(docs.sparkSession, definition, True)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, decoder = Encoder.of(definition), Decoder.of(definition)
-        decimal = [str(i) for i in range(len(decoder.tokens))]
-        for b in slices(batches):
-            texts = [x or "" for x in b.column(1).to_pylist()]
-            n, of_ids, of_text, split, same = [], [], [], [], []
-            for t, raw in zip(texts, encoder.encode(texts), strict=True):
-                ids, source = np.frombuffer(raw, "<u4"), t.encode()
-                back = decoder.decode(ids)
-                _, ends, inside = decoder.offsets(ids, source)
-                n.append(len(ids))
-                of_ids.append(hashlib.sha256(" ".join(map(decimal.__getitem__, ids.tolist())).encode()).hexdigest())
-                of_text.append(hashlib.sha256(back).hexdigest())
-                split.append(inside)
-                same.append(back == source and (int(ends[-1]) if len(ends) else 0) == len(t))
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(of_ids), pa.array(of_text), pa.array(split, pa.int64()), pa.array(same)], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "n_split", "round_trip"])
+        decoder = vocabulary.decoder()
+        decimal = pa.array([f"{i} ".encode() for i in range(len(decoder.tokens))], pa.binary())
+        with vocabulary.encoder() as encoder:
+            for b in text_slices(batches, 1):
+                texts = b.column(1).cast(pa.binary()).fill_null(b"")
+                n, of_ids, of_text, split, same = [], [], [], [], []
+                for source, raw in zip(texts.to_pylist(), encoder.encode(b.column(1)).to_pylist(), strict=True):
+                    ids = np.frombuffer(raw, "<u4").astype(np.int64)
+                    back = decoder.decode(ids)
+                    _, ends, inside = decoder.offsets(ids, source)
+                    n.append(len(ids))
+                    of_ids.append(hashlib.sha256(_joined(decimal, ids)[:-1]).hexdigest())
+                    of_text.append(hashlib.sha256(back).hexdigest())
+                    split.append(inside)
+                    same.append(back == source and (int(ends[-1]) if len(ends) else 0) == len(source.decode()))
+                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(of_ids, pa.string()), pa.array(of_text, pa.string()), pa.array(split, pa.int64()), pa.array(same, pa.bool_())], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "n_split", "round_trip"])
 
     return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")).mapInArrow(run, _DIGEST)
 

@@ -15,8 +15,9 @@ Shards are ranges of doc_id. Their bounds come from the doc_id column alone, so
 and only compressed frames are shuffled.
 
 Defined cases: a null text is the empty text, which has its end id only; a null doc_id comes first;
-rows that share a doc_id stand next to each other, ordered by their frames, and are all kept; an
-empty table gives an empty set. Other columns are ignored.
+rows that share a doc_id stand next to each other, ordered by their frames within a shard, and are all
+kept (an id with more rows than a shard is dealt over several); an empty table gives an empty set; the
+string of a special token is that token, as the library has it. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -31,8 +32,8 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .bpe import Encoder, load_json
-from .common import fresh_path, partitions, slices, table
+from .bpe import Vocabulary, load_json
+from .common import fresh_path, partitions, slices, table, text_slices
 
 #: Bounds of the dictionary and of the sample that it is trained on.
 DICTIONARY_BYTES, SAMPLE_DOCS, SAMPLE_IDS = 64 * 1024, 1000, 2048
@@ -41,19 +42,16 @@ BLOCK_BYTES = 1 << 20
 LEVEL = 1
 
 
-def _ids(texts: list[str | None], definition: str, end_id: int) -> list[bytes]:
-    end = np.array([end_id], "<u4").tobytes()
-    return [x + end for x in Encoder.of(definition).encode([t or "" for t in texts])]
-
-
-def train_dictionary(docs: DataFrame, definition: str, end_id: int) -> bytes:
+def train_dictionary(docs: DataFrame, vocabulary: Vocabulary, end_id: int) -> bytes:
     """docs: (doc_id, text). Empty where the sample is too small to train on."""
     chosen = docs.select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_DOCS)
+    end = _end(end_id)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in slices(batches):
-            cut = [x[: 4 * SAMPLE_IDS] for x in _ids(b.column(1).to_pylist(), definition, end_id)]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(cut, pa.binary())], ["doc_id", "ids"])
+        with vocabulary.encoder() as encoder:
+            for b in text_slices(batches, 1):
+                cut = [(x + end)[: 4 * SAMPLE_IDS] for x in encoder.encode(b.column(1)).to_pylist()]
+                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(cut, pa.binary())], ["doc_id", "ids"])
 
     # the broadcast side has SAMPLE_DOCS ids at most
     sample = docs.join(F.broadcast(chosen), "doc_id", "left_semi").mapInArrow(run, "doc_id long, ids binary").orderBy(F.xxhash64("doc_id"), "doc_id", "ids").limit(SAMPLE_DOCS)
@@ -64,16 +62,40 @@ def train_dictionary(docs: DataFrame, definition: str, end_id: int) -> bytes:
         return b""
 
 
-def _compress(definition: str, end_id: int, dictionary: bytes):
+def _end(end_id: int) -> bytes:
+    return np.array([end_id], "<u4").tobytes()
+
+
+def _compress(vocabulary: Vocabulary, end_id: int, dictionary: bytes, bounds: list[int]):
+    """(doc_id, text) to (shard, doc_id, n, frame).
+
+    Shard i holds ids above bounds[i - 1] up to bounds[i]. An id that stands in `bounds` several times fills
+    as many shards, and its rows are dealt over them in the order in which a task reads them.
+    """
+    end, edges = _end(end_id), np.array(bounds, np.int64)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         zip_ = zstandard.ZstdCompressor(level=LEVEL, dict_data=zstandard.ZstdCompressionDict(dictionary) if dictionary else None)
-        for b in slices(batches):
-            ids = _ids(b.column(1).to_pylist(), definition, end_id)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array([zip_.compress(x) for x in ids], pa.binary())], ["doc_id", "n", "frame"])
+        read = 0
+        with vocabulary.encoder() as encoder:
+            for b in text_slices(batches, 1):
+                frames, n = [], []
+                for x in encoder.encode(b.column(1)).to_pylist():
+                    frames.append(zip_.compress(x + end))
+                    n.append(len(x) // 4 + 1)
+                ids = b.column(0).fill_null(_NULL_ID).to_numpy(zero_copy_only=False)
+                first, past = np.searchsorted(edges, ids), np.searchsorted(edges, ids, "right")
+                shard = first + (read + np.arange(len(ids))) % np.maximum(past - first, 1)
+                read += len(ids)
+                yield pa.RecordBatch.from_arrays([pa.array(shard.astype(np.int32)), b.column(0), pa.array(n, pa.int64()), pa.array(frames, pa.binary())], ["shard", "doc_id", "n", "frame"])
 
     return run
 
 
+#: Where a null doc_id stands.
+_NULL_ID = int(np.iinfo(np.int64).min)
+
+
 _BLOCKS = pa.schema([("shard", pa.int32()), ("block", pa.int64()), ("first_doc", pa.int64()), ("last_doc", pa.int64()), ("dictionary_sha256", pa.string()), ("doc_ids", pa.list_(pa.int64())), ("lengths", pa.list_(pa.int64())), ("counts", pa.list_(pa.int64())), ("starts", pa.list_(pa.int64())), ("data", pa.binary())])
 _BLOCKS_DDL = "shard int, block long, first_doc long, last_doc long, dictionary_sha256 string, doc_ids array<bigint>, lengths array<bigint>, counts array<bigint>, starts array<bigint>, data binary"
 
@@ -114,25 +136,19 @@ def _pack(digest: str):
     return run
 
 
-def write_token_set(docs: DataFrame, path: str, definition: str, end_id: int = 0, doc_id: str = "doc_id", text: str = "text", shards: int | None = None) -> None:
+def write_token_set(docs: DataFrame, path: str, definition: str, end_id: int = 0, doc_id: str = "doc_id", text: str = "text", shards: int | None = None, special_as_text: bool = False) -> None:
+    """special_as_text: whether the strings of special tokens in a text are ordinary text; by default they are the tokens, as in the library."""
     spark = docs.sparkSession
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     shards = shards or partitions(spark)
-    dictionary = train_dictionary(rows, definition, end_id)
+    vocabulary = Vocabulary(spark, definition, special_as_text)
+    dictionary = train_dictionary(rows, vocabulary, end_id)
     digest = hashlib.sha256(dictionary).hexdigest()
     spark.createDataFrame([(digest, bytearray(dictionary))], "sha256 string, data binary").write.mode("overwrite").parquet(f"{path}/dictionary")
     # at most `shards` bounds come to the driver
-    bounds = rows.agg(F.percentile_approx("doc_id", [i / shards for i in range(1, shards)], 10_000).alias("b")).first().b if shards > 1 else []
-    bounds = sorted(set(bounds or []))
-    edges = np.array(bounds, np.int64)
-    compress = _compress(definition, end_id, dictionary)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in compress(batches):
-            ids = b.column(0).fill_null(np.iinfo(np.int64).min).to_numpy(zero_copy_only=False)
-            yield pa.RecordBatch.from_arrays([pa.array(np.searchsorted(edges, ids).astype(np.int32)), *b.columns], ["shard", *b.schema.names])
-
-    frames = rows.mapInArrow(run, "shard int, doc_id long, n long, frame binary")
+    place = F.coalesce("doc_id", F.lit(_NULL_ID))
+    bounds = rows.agg(F.percentile_approx(place, [i / shards for i in range(1, shards)], 10_000).alias("b")).first().b if shards > 1 else []
+    frames = rows.mapInArrow(_compress(vocabulary, end_id, dictionary, sorted(bounds or [])), "shard int, doc_id long, n long, frame binary")
     dealt = frames.repartitionById(shards, F.col("shard")).sortWithinPartitions("shard", "doc_id", "frame")
     dealt.mapInArrow(_pack(digest), _BLOCKS_DDL).write.mode("overwrite").parquet(f"{path}/blocks")
 
