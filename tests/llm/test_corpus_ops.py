@@ -102,6 +102,48 @@ def test_mask_keeps_other_columns_and_copies(spark):
     assert got == sorted(map(str, [(1, "mail <EMAIL> now", "k"), (1, "mail <EMAIL> now", "k"), (2, None, "n"), (None, "ip <IP>", "z")]))
 
 
+def test_context_is_read_by_words(spark):
+    cards = [c for c in (f"40128888888{k:05}" for k in range(10_000)) if valid("card", c)][:24]
+    long = "w" * 300
+    rows = [(i, f"words before card number is {c} and after") for i, c in enumerate(cards[:12])]
+    rows += [(20 + i, f"{i} a {long} holds {c} x") for i, c in enumerate(cards[12:])]
+    unseen = {100: "card number is" + " " * 200 + "4012888899999999", 101: f"{long} holds 4012888899999999", 102: f"{long}w holds 4012888899999999"}
+    got = {r.doc_id: r.text for r in pii.mask(spark.createDataFrame(rows + list(unseen.items()), "doc_id long, text string")).collect()}
+    assert got[100] == "card number is" + " " * 200 + "<CARD>" and got[101] == f"{long} holds <CARD>"
+    assert got[102] == unseen[102] or got[102] == f"{long}w holds <CARD>"
+
+
+def test_mask_cuts_long_texts_and_overlaps(spark):
+    many = "mail a.b@c.de \U0001f600 " * 5000
+    odd = ["+1 4111111111111111 x", "x" * 255 + " a@b.c " + "y" * 600, "é" * 256 + " 1.2.3.4", "a@b.c", "12 a", "", None, many]
+    docs = spark.createDataFrame(list(enumerate(odd)), "doc_id long, text string")
+    got = {r.doc_id: r.text for r in pii.mask(docs).collect()}
+    for i, t in enumerate(odd):
+        want, at = "", 0
+        for s, e, k in sorted((s, e, pii.KINDS.index(k)) for k, s, e in spans_of(t)):
+            if s >= at:
+                want += t[at:s] + f"<{pii.KINDS[k].upper()}>"
+            at = max(at, e)
+        assert got[i] == (None if t is None else want + t[at:]), t
+    assert pii.mask(docs.limit(0)).count() == 0
+
+
+# --- clashing names
+
+CLASH = ["key", "none", "doc", "spans", "uid", "size", "taken", "n", "src", "words", "lang_id", "fp", "component", "_KEY", "_size", "_taken", "_spans", "_doc"]
+
+
+@pytest.mark.parametrize("stage", [f for _, f in corpus_pipeline.STAGES[:4]], ids=lambda f: f.__name__)
+def test_stages_keep_clashing_columns_and_take_odd_rows(spark, data, stage):
+    rows = [(1, "the cat sat on the mat", "en", "a", 22), (1, "the cat sat on the mat", "en", "a", 22), (2, None, "en", None, 0), (None, "der hund und die katze hier", "de", "b", 27), (3, "", None, "a", 0), (4, "ip 1.2.3.4 is " + "long words here " * 20_000, "en", None, 9)]
+    df = spark.createDataFrame([(*r, *[str(i)] * len(CLASH)) for i, r in enumerate(rows)], "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"`{c}` string" for c in CLASH))
+    got = stage(spark, df, data)
+    assert got.columns == df.columns
+    out = got.collect()
+    assert out and all(r["key"] == r["_KEY"] == r["_size"] == r["n"] for r in out)
+    assert stage(spark, df.limit(0), data).count() == 0
+
+
 # --- language
 
 
@@ -129,12 +171,41 @@ def test_long_texts_have_the_same_grams_in_parts():
     assert (whole == parts).all()
 
 
-def test_more_languages_than_a_word_has_bits():
-    import pandas as pd
-
-    counts = pd.DataFrame([(f"l{i:03}", g, 5) for i in range(70) for g in range(100 * i, 100 * i + 50)], columns=["lang", "gram", "n"])
-    model = langid.build(counts)
+def test_more_languages_than_a_word_has_bits(spark):
+    model = langid.build(spark.createDataFrame([(f"l{i:03}", g, 5) for i in range(70) for g in range(100 * i, 100 * i + 50)], "lang string, gram long, n long"))
     assert model.masks.shape[0] == 2 and len(model.languages) == 70
+    for i in (0, 63, 64, 69):
+        own = np.arange(100 * i, 100 * i + 50).astype(np.uint64)
+        places = list(langid._places(own, model.masks.shape[1]))
+        assert all((model.masks[i // 64][p] >> np.uint64(i % 64) & np.uint64(1)).all() for p in places)
+
+
+def test_language_shares_are_those_of_exact_sets(spark, data):
+    """The filter against plain sets: every known n-gram is found, and corrected counts are near the true ones."""
+    docs = table(spark, data, "documents").where("lang is not null and text is not null")
+    model = langid.train(docs)
+    rows = docs.select("text", "lang").collect()
+    counts = {}
+    for i, h in langid.grams([r.text for r in rows]):
+        counts.setdefault(rows[i].lang, Counter()).update(h.tolist())
+    rate = {}
+    for lang, c in counts.items():
+        c = {g: n for g, n in c.items() if n >= langid.MIN_COUNT}
+        total = sum(c.values())
+        rate[lang] = {g: n / total for g, n in c.items() if n / total >= langid.MIN_RATE}
+    top = {}
+    for c in rate.values():
+        for g, x in c.items():
+            top[g] = max(x, top.get(g, 0))
+    sets = [{g for g, x in rate[lang].items() if x >= langid.MIN_SHARE * top[g]} for lang in model.languages]
+    assert sorted(rate) == model.languages and (model.false_rate <= langid.FALSE_RATE).all()
+    texts = [r.text for r in rows[:60]]
+    got, own = model.shares(texts), [[] for _ in texts]
+    for i, h in langid.grams(texts):
+        own[i] += h.tolist()
+    exact = np.array([[np.mean([g in s for g in h]) if h else 0 for s in sets] for h in own])
+    assert np.abs(got - exact).max() < 0.03
+    assert [model.languages[k] for k in exact.argmax(axis=1)] == model.predict(texts)[0]
 
 
 # --- near duplicates
@@ -230,26 +301,35 @@ def test_vector_links_match_brute_force(spark, most, monkeypatch):
 # --- search
 
 
+@pytest.mark.parametrize("width", [12, 64, 65, 130])
 @pytest.mark.parametrize("rows_of", [None, (100, 7, 5)])
-def test_topk_is_exact_with_ties_and_copies(spark, monkeypatch, rows_of):
+def test_topk_is_exact_with_ties_and_copies(spark, monkeypatch, rows_of, width):
     if rows_of:
         for name, n in zip(("BLOCK_ROWS", "CHUNK_ROWS", "LEAST_ROWS"), rows_of, strict=True):
             monkeypatch.setattr(hamming, name, n)
     r = random.Random(2)
-    codes = [r.getrandbits(12) for _ in range(300)] + [5] * 40
-    rows = list(enumerate(codes)) + [(999, None), (7, codes[7])]
-    df = spark.createDataFrame(rows, "id long, code long")
-    asked = df.where("id % 20 = 0")
-    got = {}
+    near = [r.getrandbits(width) for _ in range(6)]
+    codes = [r.choice(near) ^ sum(1 << r.randrange(width) for _ in range(r.randrange(4))) & ((1 << width) - 1) for _ in range(200)] + [5] * 40
+    rows = list(enumerate(codes)) + [(7, codes[7])] + [(20, 5)] * 7 + [(220, 5)] * 9
+    vectors_ = [(i, [1.0 if c >> b & 1 else -1.0 for b in range(width)], 1, 2) for i, c in rows]
+    odd = [(999, None, 1, 2), (998, [1.0, None], 1, 2), (997, [], 1, 2), (980, [1.0] * (width + 1), 1, 2), (960, [1.0] * (width + 1), 1, 2)]
+    coded = lambda rows: spark.createDataFrame(rows, "id long, v array<double>, bits int, words int").select("id", hamming.sign_code("v").alias("code"))
+    df, asked, got = coded(vectors_ + odd), coded(vectors_[: len(codes)] + odd).where("id % 20 = 0"), {}
     for x in hamming.nearest_codes(df, asked, 5).collect():
         got.setdefault(x.query_id, []).append((x.rank, x.distance, x.id))
     for q in range(0, len(codes), 20):
-        want = sorted(((codes[q] ^ c).bit_count(), i) for i, c in rows if i != q and c is not None)[:5]
+        want = sorted(((codes[q] ^ c).bit_count(), i) for i, c in rows if i != q)[:5]
         assert sorted(got[q]) == [(k + 1, d, i) for k, (d, i) in enumerate(want)]
+    assert got[980] == [(1, 0, 960)] and got[960] == [(1, 0, 980)]
     assert len(hamming.nearest_codes(df.limit(3), df.limit(3), 10).collect()) == 6
     assert hamming.nearest_codes(df.limit(0), df.limit(0)).count() == 0
 
 
+def test_nan_counts_as_positive(spark):
+    got = spark.createDataFrame([([float("nan"), -1.0, 0.0],)], "v array<double>").select(hamming.sign_code("v").alias("c")).first().c
+    assert (got.bits, got.words) == (3, [5])
+
+
 # --- mixing
 
 

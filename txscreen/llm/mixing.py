@@ -26,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import partitions, settle, table
+from .common import free_names, partitions, settle, table
 
 WEIGHTS, MOST = (5, 2, 1), 3
 BLOCK, BUCKETS, SHARD_SLOTS, SEED = 512, 512, 1 << 16, 42
@@ -134,12 +134,16 @@ def mix_sources(docs: DataFrame, doc_id: str = "doc_id", source: str = "source",
     return sums.join(own, "key").select("doc_id", "source", "size", "source_size", "target", "taken")
 
 
-def mix_documents(docs: DataFrame, doc_id: str = "doc_id", source: str = "source", text: str = "text") -> DataFrame:
-    """docs with _size and _taken. Equal rows share their takings evenly, as nothing tells them apart."""
-    taken = mix_sources(docs, doc_id, source, text).groupBy("doc_id", "source", "size").agg(F.avg("taken").alias("_taken"))
-    taken = taken.select(F.col("doc_id").alias("_doc"), F.col("source").alias("_source"), F.col("size").alias("_size"), "_taken")
-    same = F.col(doc_id).cast("long").eqNullSafe(F.col("_doc")) & F.col(source).cast("string").eqNullSafe(F.col("_source")) & (word_count(text) == F.col("_size"))
-    return docs.join(taken, same).drop("_doc", "_source")
+def mix_documents(docs: DataFrame, doc_id: str = "doc_id", source: str = "source", text: str = "text", size: str = "_size", taken: str = "_taken") -> DataFrame:
+    """docs with columns `size` and `taken`, which replace columns of these names.
+
+    Equal rows share their takings evenly, as nothing tells them apart.
+    """
+    docs = docs.drop(size, taken)
+    doc, src, words = free_names(docs, "doc", "src", "words")
+    own = mix_sources(docs, doc_id, source, text).groupBy(F.col("doc_id").alias(doc), F.col("source").alias(src), F.col("size").alias(words)).agg(F.avg("taken").alias(taken))
+    same = F.col(doc_id).cast("long").eqNullSafe(F.col(doc)) & F.col(source).cast("string").eqNullSafe(F.col(src)) & (word_count(text) == F.col(words))
+    return docs.join(own, same).withColumnRenamed(words, size).drop(doc, src)
 
 
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,7 +2,8 @@
 
 Base spans of four kinds come from regular expressions and a check of each match. They are the seeds
 of a bootstrap: an identifier-shaped token (one with a digit or an @, or a run of groups of digits with
-blanks, brackets or hyphens in between) has lexical patterns, the one to CONTEXT words before it.
+blanks, brackets or hyphens in between) has lexical patterns, the one to CONTEXT whole words before it,
+however long they or the blanks around them are.
 Patterns and instances (whole tokens, and for seeds the whole span; numbers without what separates their
 digits) form a bipartite graph. In each of ROUNDS
 rounds a pattern's confidence for a kind is the summed score of its instances over their number plus
@@ -28,7 +29,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import settle, table
+from .common import free_names, settle, table
 
 KINDS = ("email", "ip", "card", "phone")
 #: Where a match may begin: at the first character of a run, or right after the last match.
@@ -48,8 +49,11 @@ TOKEN = rf"(?<![^{_STOP}])(?:{_RUN}|[^{_STOP}0-9@]*+[0-9@][^{_STOP}]*+)"
 #: What a discovered instance of a kind looks like.
 LOOKS = {"email": r"^[^@]++@[^@]++$", "ip": r"^[0-9]++(?:\.[0-9]++){3}(?:/[0-9]++)?$", "card": r"^[0-9]{12,19}$", "phone": r"^\+?[0-9]{7,15}$"}
 CONTEXT, ROUNDS, CONFIDENCE, SUPPORT = 3, 3, 0.8, 3.0
-#: Of the gap before a token, the characters that its last words are read from, whatever their length.
-_TAIL = 96
+#: The last words of a gap, as they stand in the reversed gap; a word of more than LONG_WORD characters counts as its hash.
+_LAST_WORDS = rf"\A\s*+(?:\S++\s*+){{0,{CONTEXT}}}+"
+LONG_WORD = 64
+#: Code points of the blocks that a text is cut into for masking.
+_BLOCK = 256
 
 
 def _matches(text: Column, pattern: str, needs: Column, gap) -> Column:
@@ -58,6 +62,11 @@ def _matches(text: Column, pattern: str, needs: Column, gap) -> Column:
     return F.when(needs, found)
 
 
+def _last_words(gap: Column) -> Column:
+    words = F.filter(F.split(F.reverse(F.regexp_extract(F.reverse(gap), _LAST_WORDS, 0)), r"\s+"), lambda w: w != "")
+    return F.array_join(F.transform(words, lambda w: F.when(F.length(w) > LONG_WORD, F.concat(F.lit("~"), F.hex(F.xxhash64(w)))).otherwise(w)), " ")
+
+
 def _digits(match: Column) -> Column:
     return F.regexp_replace(match, "[^0-9]", "")
 
@@ -92,7 +101,7 @@ def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFra
     digit = t.rlike("[0-9]")
     needs = {"email": F.contains(t, F.lit("@")), "ip": digit, "card": digit, "phone": F.contains(t, F.lit("+"))}
     found = F.struct(*[_matches(t, PATTERNS[k], needs[k], F.length).alias(k) for k in KINDS])
-    tokens = _matches(t, TOKEN, digit | F.contains(t, F.lit("@")), lambda g: F.struct(F.length(g).alias("n"), F.right(g, F.lit(_TAIL)).alias("tail")))
+    tokens = _matches(t, TOKEN, digit | F.contains(t, F.lit("@")), lambda g: F.struct(F.length(g).alias("n"), _last_words(g).alias("tail")))
     return settle(rows.select("uid", "doc_id", F.xxhash64("t").alias("key"), found.alias("found"), tokens.alias("tokens")))
 
 
@@ -173,12 +182,17 @@ def _listed(spans: Column) -> Column:
     return F.array_join(F.transform(F.sort_array(spans), lambda s: F.concat_ws(":", F.element_at(name, s["kind"] + 1), s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
-def find_personal_data(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, key, base, added), a row for each document; base and added are arrays of (kind, start, end)."""
+def _found(docs: DataFrame, doc_id: str, text: str) -> tuple[DataFrame, DataFrame]:
+    """scan(), and (uid, kind, start, end, added) for each span."""
     scanned = scan(docs, doc_id, text)
     base = settle(base_spans(scanned))
     added = bootstrap(occurrences(scanned, base))
-    both = base.drop("instance").withColumn("added", F.lit(False)).unionByName(added.withColumn("added", F.lit(True)))
+    return scanned, base.drop("instance").withColumn("added", F.lit(False)).unionByName(added.withColumn("added", F.lit(True)))
+
+
+def find_personal_data(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """(doc_id, key, base, added), a row for each document; base and added are arrays of (kind, start, end)."""
+    scanned, both = _found(docs, doc_id, text)
     span = F.struct("kind", "start", "end")
     # a group is the spans of one document
     own = both.groupBy("uid").agg(F.collect_list(F.when(~F.col("added"), span)).alias("base"), F.collect_list(F.when(F.col("added"), span)).alias("more"))
@@ -187,22 +201,38 @@ def find_personal_data(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
 
 
 def mask(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """docs with each span of personal data replaced by its kind in angle brackets; null texts stay null."""
-    found = find_personal_data(docs, doc_id, text).where("size(base) + size(added) > 0")
+    """docs with each span of personal data replaced by its kind in angle brackets; null texts stay null.
+
+    Spans that overlap are one, of the kind of the first. Only texts with a digit or an @ can have spans;
+    the others are not shuffled. Cutting takes time in proportion to the text and its spans.
+    """
+    scanned, both = _found(docs, doc_id, text)
+    before = Window.partitionBy("uid").orderBy("start", "end", "kind").rowsBetween(Window.unboundedPreceding, -1)
+    rows = both.withColumn("reach", F.coalesce(F.max("end").over(before), F.lit(0).cast("long")))
+    # a cut: where the one before ended, where it begins, and its kind
+    cut = F.when(F.col("start") >= F.col("reach"), F.struct("start", "reach", "kind"))
+    own = rows.groupBy("uid").agg(F.struct(F.max("end").alias("last"), F.sort_array(F.collect_list(cut)).alias("cuts")).alias("spans"))
+    name, doc, key = free_names(docs, "spans", "doc", "key")
     # equal documents have equal spans: one row of them is enough
-    spans = found.groupBy(F.col("doc_id").alias("_doc"), F.col("key").alias("_key")).agg(F.first(F.concat("base", "added")).alias("_spans"))
-    t = F.col(text)
-    joined = docs.join(spans, F.col(doc_id).cast("long").eqNullSafe(F.col("_doc")) & (F.xxhash64(F.coalesce(t.cast("string"), F.lit(""))) == F.col("_key")), "left")
-    ordered = F.sort_array(F.transform("_spans", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))))
-    name = F.array(*[F.lit(f"<{k.upper()}>") for k in KINDS])
-    start = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<string>").alias("out"))
-
-    def step(acc: Column, s: Column) -> Column:
-        new = F.concat(acc["out"], F.array(F.substring(t, (acc["at"] + 1).cast("int"), (s["start"] - acc["at"]).cast("int")), F.element_at(name, s["kind"] + 1)))
-        return F.when(s["start"] >= acc["at"], F.struct(s["end"].alias("at"), new.alias("out"))).otherwise(F.struct(F.greatest(acc["at"], s["end"]).alias("at"), acc["out"].alias("out")))
-
-    done = F.aggregate(ordered, start, step, lambda acc: F.concat(F.array_join(acc["out"], ""), F.substring(t, (acc["at"] + 1).cast("int"), F.length(t))))
-    return joined.withColumn(text, F.when(F.col("_spans").isNotNull(), done).otherwise(t)).drop("_doc", "_key", "_spans")
+    own = scanned.join(own, "uid").groupBy(F.col("doc_id").alias(doc), F.col("key").alias(key)).agg(F.first("spans").alias(name))
+    t = F.coalesce(F.col(text).cast("string"), F.lit(""))
+    may = t.rlike("[0-9@]")
+    joined = docs.where(may).join(own, F.col(doc_id).cast("long").eqNullSafe(F.col(doc)) & (F.xxhash64(t) == F.col(key)), "left")
+    kinds = F.array(*[F.lit(f"<{k.upper()}>") for k in KINDS])
+
+    def masked(blocks: Column) -> Column:
+        def piece(begin: Column, end: Column) -> Column:
+            first = F.floor(begin / _BLOCK)
+            whole = F.array_join(F.slice(blocks, (first + 1).cast("int"), (F.floor((end - 1) / _BLOCK) - first + 1).cast("int")), "")
+            return F.when(end > begin, F.substring(whole, (begin - first * _BLOCK + 1).cast("int"), (end - begin).cast("int"))).otherwise("")
+
+        cuts = F.transform(f"{name}.cuts", lambda c: F.concat(piece(c["reach"], c["start"]), F.element_at(kinds, c["kind"] + 1)))
+        return F.concat(F.array_join(cuts, ""), piece(F.col(f"{name}.last"), F.length(t).cast("long")))
+
+    # a lambda's argument is computed once
+    done = F.element_at(F.transform(F.array(F.regexp_extract_all(t, F.lit(f"(?s).{{1,{_BLOCK}}}"), F.lit(0))), masked), 1)
+    shown = joined.withColumn(text, F.when(F.col(name).isNotNull(), done).otherwise(F.col(text))).select(*docs.columns)
+    return shown.union(docs.where(~may).withColumn(text, F.col(text).cast("string")))
 
 
 def op4_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
