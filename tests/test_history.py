@@ -105,3 +105,11 @@ def test_cash_out_chain_and_window_edge(spark):
 def test_a_transfer_to_oneself_is_no_credit_of_itself(spark):
     r = rules_of(spark, [row(1, 60, "CASH_OUT", 100_000, "C1", "C1"), row(2, 60, "TRANSFER", 100_000, "C1", "C1"), row(3, 60, "CASH_OUT", 90_000, "C1", "Z")])
     assert r[1].inbound_total == 0 and r[3].inbound_total == 100_000
+
+
+def test_many_rows_of_one_account_in_one_instant(spark):
+    n = 100_000
+    i = F.col("id")
+    rows = spark.range(n).select(i.alias("event_id"), i.alias("seq"), F.lit(600).cast("long").alias("t"), F.lit(10).alias("step"), F.lit("TRANSFER").alias("txn_type"), F.lit(1.0).alias("amount"), F.lit("C1").alias("name_orig"), F.concat(F.lit("M"), i % 5000).alias("name_dest"), *[F.lit(0.0).alias(c) for c in ("oldbalance_org", "newbalance_org", "oldbalance_dest", "newbalance_dest")], F.lit(0).alias("is_fraud"))
+    got = with_history(rows).agg(F.max("fan_out_receivers"), F.max("sender_recent_txn_count"), F.count_if(F.col("fan_out_receivers") == F.least(F.col("event_id") + 1, F.lit(5000)))).first()
+    assert tuple(got) == (5000, n - 1, n)

@@ -66,9 +66,9 @@ def test_size_run_and_file_names(spark):
 
 def test_ks_extremes(spark):
     frame = lambda v: spark.createDataFrame([(float(x),) for x in v], "v double")
-    apart, same = N.numeric_drift(frame([1, 2, 3]), frame([4, 5, 6]), "v").first(), N.numeric_drift(frame([1, 2, 3]), frame([1, 2, 3]), "v").first()
+    apart, same = N.numeric_drift(frame([1, 2, 3]), frame([4, 5, 6]), ("v",)).first(), N.numeric_drift(frame([1, 2, 3]), frame([1, 2, 3]), ("v",)).first()
     assert apart.ks_statistic == 1.0 and apart.drift_detected and same.ks_statistic == 0.0 and not same.drift_detected
-    assert N.numeric_drift(frame([]), frame([1]), "v").count() == 0
+    assert N.numeric_drift(frame([]), frame([1]), ("v",)).count() == 0
 
 
 def test_tvd_of_disjoint_categories(spark):
@@ -84,7 +84,7 @@ def test_retraining_needs_a_sample(spark):
 
 def test_running_totals_match_a_loop(spark):
     rows = spark.createDataFrame([(float(i * 7 % 1000), i) for i in range(1000)], "s double, n int")
-    got = {r.s: r.run_n for r in running_totals(rows, "s", ["n"], descending=True, buckets=7).collect()}
+    got = {r.s: r.run_n for r in running_totals(rows, "s", ["n"], descending=True).collect()}
     total = 0
     for s, n in sorted(((float(i * 7 % 1000), i) for i in range(1000)), reverse=True):
         total += n

@@ -44,10 +44,22 @@ class Frames:
         v = value if only is None else F.when(only, value)
         return F.coalesce(F.sum(v).over(self.earlier(seconds)), F.lit(0.0)) + F.coalesce(F.sum(v).over(self.same_instant()), F.lit(0.0))
 
-    def distinct_with(self, value: str, seconds: int) -> Column:
-        """How many values the history and the row itself have."""
-        before = F.array_union(F.collect_set(value).over(self.earlier(seconds)), F.collect_set(value).over(self.same_instant()))
-        return F.size(F.array_union(before, F.array(F.col(value))))
+    def marks(self, value: str, seconds: int) -> tuple[Column, Column]:
+        """Whether the row's value was there within the last `seconds`, and whether it comes again within them."""
+        w = Window.partitionBy(*self.key, value).orderBy("t", *self.order)
+        again = lambda c: F.coalesce(c <= seconds, F.lit(False))
+        return again(F.col("t") - F.lag("t").over(w)), again(F.lead("t").over(w) - F.col("t"))
+
+    def distinct(self, repeats: str, repeated: str, seconds: int) -> Column:
+        """How many values the history and the row itself have, from the marks; no set is built.
+
+        Of the rows in reach, those whose value came before in reach don't count. Such a pair of neighbours
+        lies within `seconds`, so of all pairs that end by now only those that begin before the reach
+        are out of it, and every pair that begins there has ended.
+        """
+        ended = F.count_if(repeats).over(Window.partitionBy(*self.key).orderBy("t", *self.order).rowsBetween(Window.unboundedPreceding, 0))
+        out_of_reach = F.count_if(repeated).over(Window.partitionBy(*self.key).orderBy("t").rangeBetween(Window.unboundedPreceding, -seconds - 1))
+        return (self.count(seconds) + 1 - (ended - out_of_reach)).cast("int")
 
 
 def sender_history(tx: DataFrame, cfg: ScreenConfig = ScreenConfig()) -> DataFrame:
@@ -56,11 +68,12 @@ def sender_history(tx: DataFrame, cfg: ScreenConfig = ScreenConfig()) -> DataFra
     in_band = (F.col("txn_type") == "TRANSFER") & F.col("amount").between(cfg.split_low, cfg.split_high)
     last = F.max("t").over(Window.partitionBy(*w.key).orderBy("t").rangeBetween(-cfg.velocity_seconds, -1))
     rows = sliced(tx, max(cfg.velocity_seconds, cfg.fan_out_seconds, cfg.split_seconds))
-    rows = rows.select(
+    repeats, repeated = w.marks("name_dest", cfg.fan_out_seconds)
+    rows = rows.withColumn("repeats", repeats).withColumn("repeated", repeated).select(
         *tx.columns, "own",
         F.when(outbound, w.count(cfg.fan_out_seconds)).otherwise(0).alias("sender_recent_txn_count"),
         F.when(outbound, w.total(F.col("amount"), cfg.fan_out_seconds)).otherwise(0.0).alias("sender_recent_total_amount"),
-        F.when(outbound, w.distinct_with("name_dest", cfg.fan_out_seconds)).otherwise(0).alias("fan_out_receivers"),
+        F.when(outbound, w.distinct("repeats", "repeated", cfg.fan_out_seconds)).otherwise(0).alias("fan_out_receivers"),
         w.count(cfg.velocity_seconds).alias("velocity_transactions_1h"),
         F.coalesce((F.col("t") - last).cast("double"), F.lit(cfg.no_history_seconds)).alias("time_since_last_purchase"),
         F.when(in_band, w.count(cfg.split_seconds, in_band) + 1).otherwise(0).alias("split_count"),
@@ -72,11 +85,12 @@ def sender_history(tx: DataFrame, cfg: ScreenConfig = ScreenConfig()) -> DataFra
 def receiver_history(tx: DataFrame, cfg: ScreenConfig = ScreenConfig()) -> DataFrame:
     """Fan-in inputs of each row; one shuffle on (name_dest, slice)."""
     w, inbound = Frames("name_dest"), F.col("txn_type").isin(*INBOUND)
-    rows = sliced(tx, cfg.fan_in_seconds).select(
+    repeats, repeated = w.marks("name_orig", cfg.fan_in_seconds)
+    rows = sliced(tx, cfg.fan_in_seconds).withColumn("repeats", repeats).withColumn("repeated", repeated).select(
         *tx.columns, "own",
         F.when(inbound, w.count(cfg.fan_in_seconds)).otherwise(0).alias("receiver_recent_txn_count"),
         F.when(inbound, w.total(F.col("amount"), cfg.fan_in_seconds)).otherwise(0.0).alias("receiver_recent_total_amount"),
-        F.when(inbound, w.distinct_with("name_orig", cfg.fan_in_seconds)).otherwise(0).alias("fan_in_senders"),
+        F.when(inbound, w.distinct("repeats", "repeated", cfg.fan_in_seconds)).otherwise(0).alias("fan_in_senders"),
     )
     return rows.where("own").drop("own")
 

@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..durable import settle
 from ..functions.scalars import alert_flag, label_of
 from ..plans.running import running_totals
 
@@ -25,6 +26,9 @@ def labeled(predictions: DataFrame, reviews: DataFrame) -> DataFrame:
     return rows.withColumns({"predicted_positive": alert_flag(F.col("is_alert")), "effective_label": F.coalesce(actual, review), "label_source": source, "evaluation_ts": F.coalesce("reviewed_at", "event_ts")})
 
 
+CONFUSION = ("labeled_rows", "tp", "fp", "tn", "fn")
+
+
 def confusion(predicted: Column, label: Column) -> list[Column]:
     """Aggregates: labeled_rows, tp, fp, tn, fn."""
     hit = lambda p, v: F.count(F.when((predicted == p) & (label == v), 1))
@@ -44,11 +48,21 @@ def binary_metrics(rows: DataFrame) -> DataFrame:
 
 
 def rolling_metrics(rows: DataFrame, days: tuple[int, ...] = (1, 7, 30)) -> DataFrame:
-    """binary_metrics() of the last days before the latest evaluation, the first instant included; one scan."""
+    """binary_metrics() of the last days before the latest evaluation, the first instant included.
+
+    One aggregate of conditional counts holds all spans; no row is repeated. A span without a row has no result.
+    """
     anchor = rows.agg(F.max("evaluation_ts").alias("anchor"))
-    spans = rows.crossJoin(F.broadcast(anchor)).withColumn("days", F.explode(F.array(*map(F.lit, days))))  # one row
-    inside = spans.where(F.col("evaluation_ts") >= F.col("anchor") - F.make_interval(days=F.col("days")))
-    return rates(inside.groupBy("days", (F.col("anchor") - F.make_interval(days=F.col("days"))).alias("window_start"), F.col("anchor").alias("window_end")).agg(*confusion(F.col("predicted_positive"), F.col("effective_label"))))
+    begin = lambda n: F.col("anchor") - F.make_interval(days=F.lit(n))
+
+    def span(n: int) -> list[Column]:
+        inside = F.col("evaluation_ts") >= begin(n)
+        counts = confusion(F.when(inside, F.col("predicted_positive")), F.when(inside, F.col("effective_label")))
+        return [F.count_if(inside).alias(f"{n}_rows"), *[c.alias(f"{n}_{k}") for c, k in zip(counts, CONFUSION, strict=True)]]
+
+    wide = rows.crossJoin(F.broadcast(anchor)).groupBy("anchor").agg(*[c for n in days for c in span(n)])  # one row
+    each = [F.struct(F.lit(n).alias("days"), begin(n).alias("window_start"), F.col("anchor").alias("window_end"), F.col(f"{n}_rows").alias("n"), *[F.col(f"{n}_{k}").alias(k) for k in CONFUSION]) for n in days]
+    return rates(wide.select(F.inline(F.array(*each))).where("n > 0").drop("n"))
 
 
 def performance_summary(rows: DataFrame) -> DataFrame:
@@ -95,16 +109,25 @@ def ks_p_value(d: Column, n: Column, m: Column, terms: int = 100) -> Column:
     return F.when(z <= 0.04, 1.0).otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), 2 * total)))
 
 
-def numeric_drift(reference: DataFrame, serving: DataFrame, column: str) -> DataFrame:
-    """One row: the two-sample KS statistic and its p-value, means and their difference."""
-    side = lambda rows, a, b: rows.select(F.col(column).try_cast("double").alias("v"), F.lit(a).alias("r"), F.lit(b).alias("s")).where("v IS NOT NULL AND NOT isnan(v)")
-    both = side(reference, 1, 0).union(side(serving, 0, 1))
-    totals = both.agg(F.sum("r").alias("n"), F.sum("s").alias("m"), F.avg(F.when(F.col("r") == 1, F.col("v"))).alias("mr"), F.avg(F.when(F.col("s") == 1, F.col("v"))).alias("ms"))
-    steps = running_totals(both.groupBy("v").agg(F.sum("r").alias("r"), F.sum("s").alias("s")), "v", ["r", "s"])
-    gap = steps.crossJoin(F.broadcast(totals)).agg(F.max(F.abs(F.col("run_r") / F.col("n") - F.col("run_s") / F.col("m"))).alias("d"))  # one row each
-    done = totals.crossJoin(F.broadcast(gap)).where("n > 0 AND m > 0")
+def numeric_drift(reference: DataFrame, serving: DataFrame, columns: tuple[str, ...] = NUMERIC) -> DataFrame:
+    """A row for each column: the two-sample KS statistic and its p-value, means and their difference.
+
+    All columns go through one plan, as rows of (feature, value). Values of either side are counted
+    first; the counts are settled, since the running totals read them more than once.
+    """
+
+    def side(rows: DataFrame, r: int) -> DataFrame:
+        tall = rows.select([F.col(c).try_cast("double").alias(c) for c in columns]).unpivot([], list(columns), "feature", "v")
+        return tall.where("v IS NOT NULL AND NOT isnan(v)").withColumn("r", F.lit(r)).withColumn("s", F.lit(1 - r))
+
+    counted = settle(side(reference, 1).union(side(serving, 0)).groupBy("feature", "v").agg(F.sum("r").alias("r"), F.sum("s").alias("s")))
+    totals = counted.groupBy("feature").agg(F.sum("r").alias("n"), F.sum("s").alias("m"), F.try_divide(F.sum(F.col("v") * F.col("r")), F.sum("r")).alias("mr"), F.try_divide(F.sum(F.col("v") * F.col("s")), F.sum("s")).alias("ms"))
+    steps = running_totals(counted, "v", ["r", "s"], within="feature")
+    # one row for each column
+    gap = steps.join(F.broadcast(totals.select("feature", "n", "m")), "feature").groupBy("feature").agg(F.max(F.abs(F.col("run_r") / F.col("n") - F.col("run_s") / F.col("m"))).alias("d"))
+    done = totals.join(F.broadcast(gap), "feature").where("n > 0 AND m > 0")
     return done.select(
-        F.lit(column).alias("feature"), F.round("d", 6).alias("ks_statistic"), F.round(ks_p_value(F.col("d"), F.col("n").cast("double"), F.col("m").cast("double")), 6).alias("ks_pvalue"),
+        "feature", F.round("d", 6).alias("ks_statistic"), F.round(ks_p_value(F.col("d"), F.col("n").cast("double"), F.col("m").cast("double")), 6).alias("ks_pvalue"),
         F.round("mr", 6).alias("reference_mean"), F.round("ms", 6).alias("serving_mean"), F.round(F.col("ms") - F.col("mr"), 6).alias("mean_delta"), (F.col("d") >= KS_DRIFT).alias("drift_detected"),
     )
 
@@ -123,7 +146,7 @@ def categorical_drift(reference: DataFrame, serving: DataFrame, columns: tuple[s
 
 def drift_table(reference: DataFrame, serving: DataFrame) -> DataFrame:
     """A row for each monitored feature: metric, observed value, whether it drifts."""
-    numeric = reduce(DataFrame.unionByName, (numeric_drift(reference, serving, c) for c in NUMERIC))
+    numeric = numeric_drift(reference, serving)
     rows = numeric.select("feature", F.lit("ks_statistic").alias("metric"), F.coalesce("ks_statistic", "mean_delta").alias("observed"), "drift_detected")
     return rows.unionByName(categorical_drift(reference, serving).select("feature", F.lit("total_variation_distance").alias("metric"), F.col("total_variation_distance").alias("observed"), "drift_detected"))
 

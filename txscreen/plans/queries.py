@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import ScreenConfig
+from ..durable import settle
 from ..functions import scalars as S
 from ..operators import decode as D
 from ..operators import history as H
@@ -57,13 +58,18 @@ def reviews(rows: DataFrame, spark: SparkSession, d: str) -> DataFrame:
     return latest_reviews(log)
 
 
-def labeled(spark: SparkSession, d: str) -> DataFrame:
-    rows = stored(spark, d)
-    return N.labeled(rows, reviews(rows, spark, d))
+def once(spark: SparkSession, d: str) -> DataFrame:
+    """The stored predictions, scored once for all that a query asks of them."""
+    return settle(stored(spark, d))
 
 
-def halves(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
-    rows = stored(spark, d)
+def labeled(spark: SparkSession, d: str, rows: DataFrame | None = None) -> DataFrame:
+    rows = once(spark, d) if rows is None else rows
+    return settle(N.labeled(rows, reviews(rows, spark, d)))
+
+
+def halves(spark: SparkSession, d: str, rows: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    rows = once(spark, d) if rows is None else rows
     even = F.col("event_id").cast("long") % 2 == 0
     return rows.where(even), rows.where(~even)
 
@@ -313,8 +319,7 @@ def label_sources(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def numeric_drift_ks(spark: SparkSession, d: str) -> DataFrame:
-    a, b = halves(spark, d)
-    return reduce(DataFrame.unionByName, (N.numeric_drift(a, b, c) for c in ("amount", "risk_score")))
+    return N.numeric_drift(*halves(spark, d), ("amount", "risk_score"))
 
 
 @query
@@ -349,9 +354,10 @@ def drift_table(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def retraining_reasons(spark: SparkSession, d: str) -> DataFrame:
-    a, b = halves(spark, d)
+    scored_once = once(spark, d)
+    a, b = halves(spark, d, scored_once)
     shares = N.category_distributions(a, b, ("is_alert",)).where("category = 'true'")
-    rows = labeled(spark, d)
+    rows = labeled(spark, d, scored_once)
     week = N.rolling_metrics(rows, (7,))
     return N.retraining_reasons(spark, N.retraining_observations(N.drift_table(a, b), shares, N.performance_summary(rows), week))
 
@@ -360,7 +366,7 @@ def retraining_reasons(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queue(spark: SparkSession, d: str) -> DataFrame:
-    rows = stored(spark, d)
+    rows = once(spark, d)
     return V.with_reviews(rows.where("is_alert"), reviews(rows, spark, d))
 
 

@@ -5,21 +5,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..durable import settle
 
-def running_totals(rows: DataFrame, by: str, sums: list[str], descending: bool = False, buckets: int = 64) -> DataFrame:
-    """rows, distinct in `by`, with `run_<c>` for each c of sums: the total of c up to and with the row.
 
-    Quantiles of `by` cut the order into buckets. A bucket's rows are summed in a task of their own;
-    what the buckets before it hold comes from one row for each bucket.
+def running_totals(rows: DataFrame, by: str, sums: list[str], descending: bool = False, within: str | None = None) -> DataFrame:
+    """rows, distinct in `by` (and `within`), with `run_<c>` for each c of sums: the total of c up to and with the row.
+
+    A range partitioning cuts the order into as many buckets as the session has shuffle partitions, so the
+    share of a task is the user's to set. A bucket's rows are summed in a task of their own; what the buckets
+    before it hold comes from one row for each bucket. The cut is settled: both parts must see the same one.
     """
-    cuts = rows.agg(F.percentile_approx(by, [i / buckets for i in range(1, buckets)], 1000).alias("_cuts"))
-    # one row of at most `buckets` numbers
-    placed = rows.crossJoin(F.broadcast(cuts)).withColumn("_bucket", F.size(F.filter("_cuts", lambda x: x < F.col(by)))).drop("_cuts")
-    order = F.desc if descending else F.asc
-    before = Window.orderBy(order("_bucket")).rowsBetween(Window.unboundedPreceding, -1)
-    totals = placed.groupBy("_bucket").agg(*[F.sum(c).alias(f"_t_{c}") for c in sums])
-    bases = totals.select("_bucket", *[F.coalesce(F.sum(f"_t_{c}").over(before), F.lit(0)).alias(f"_b_{c}") for c in sums])
-    within = Window.partitionBy("_bucket").orderBy(order(by)).rowsBetween(Window.unboundedPreceding, 0)
-    local = placed.select("*", *[F.sum(c).over(within).alias(f"_l_{c}") for c in sums])
-    joined = local.join(F.broadcast(bases), "_bucket")  # one row for each bucket
+    order, key = F.desc if descending else F.asc, within or "_all"
+    own = rows if within else rows.withColumn(key, F.lit(0))
+    placed = settle(own.repartitionByRange(key, order(by)).withColumn("_bucket", F.spark_partition_id()))
+    before = Window.partitionBy(key).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    totals = placed.groupBy(key, "_bucket").agg(*[F.sum(c).alias(f"_t_{c}") for c in sums])
+    bases = totals.select(key, "_bucket", *[F.coalesce(F.sum(f"_t_{c}").over(before), F.lit(0)).alias(f"_b_{c}") for c in sums])
+    inside = Window.partitionBy(key, "_bucket").orderBy(order(by)).rowsBetween(Window.unboundedPreceding, 0)
+    local = placed.select("*", *[F.sum(c).over(inside).alias(f"_l_{c}") for c in sums])
+    joined = local.join(F.broadcast(bases), [key, "_bucket"])  # one row for each bucket
     return joined.select(*rows.columns, *[(F.col(f"_b_{c}") + F.col(f"_l_{c}")).alias(f"run_{c}") for c in sums])
