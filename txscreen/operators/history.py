@@ -4,9 +4,9 @@ The history of a row is what its key did before: at an earlier instant within th
 same instant with a smaller seq. The two parts are two frames: a range over t that ends a second
 before, and the rows before within the same t. The lower bound belongs to the window.
 
-A key's rows are cut into slices of time of at least the longest window, and each row also visits
-the next slice as context. A window then sorts two slices of one key, never its whole life, which
-splits an account that holds a large part of all rows over as many tasks as it has slices.
+A key's rows are cut into slices of time of SPAN longest windows, and the rows of a slice's last window also
+visit the next slice as context. A window then sorts little more than a slice of one key, never its whole
+life, which splits an account that holds a large part of all rows over as many tasks as it has slices.
 """
 
 from __future__ import annotations
@@ -17,15 +17,21 @@ from pyspark.sql import functions as F
 from ..config import INBOUND, OUTBOUND, ScreenConfig
 
 
-def sliced(rows: DataFrame, seconds: int) -> DataFrame:
-    """Adds slice and own: each row stands in its slice, and in the next one as context with own = false."""
-    at = F.floor(F.col("t") / seconds)
-    both = F.array(F.struct(at.alias("slice"), F.lit(True).alias("own")), F.struct((at + 1).alias("slice"), F.lit(False).alias("own")))
-    return rows.withColumn("_s", F.explode(both)).withColumn("slice", F.col("_s.slice")).withColumn("own", F.col("_s.own")).drop("_s")
+#: Longest windows that a slice of time has.
+SPAN = 4
+
+
+def sliced(rows: DataFrame, seconds: int, span: int = SPAN) -> DataFrame:
+    """Adds slice and own: each row stands in its slice, and the last `seconds` of a slice in the next one too, as context with own = false."""
+    length = seconds * span
+    at = F.floor(F.col("t") / length)
+    near = F.col("t") >= (at + 1) * length - seconds
+    own, context = F.struct(at.alias("slice"), F.lit(True).alias("own")), F.struct((at + 1).alias("slice"), F.lit(False).alias("own"))
+    return rows.select("*", F.inline(F.when(near, F.array(own, context)).otherwise(F.array(own))))
 
 
 class Frames:
-    """The two frames of a key's history."""
+    """The two frames of a key's history: earlier instants within a reach, and the rows before within the same instant."""
 
     def __init__(self, *key: str, order: tuple[str, ...] = ("seq",)) -> None:
         self.key, self.order = (*key, "slice"), order
@@ -33,66 +39,71 @@ class Frames:
     def earlier(self, seconds: int) -> WindowSpec:
         return Window.partitionBy(*self.key).orderBy("t").rangeBetween(-seconds, -1)
 
-    def same_instant(self) -> WindowSpec:
-        return Window.partitionBy(*self.key, "t").orderBy(*self.order).rowsBetween(Window.unboundedPreceding, -1)
-
-    def count(self, seconds: int, only: Column | None = None) -> Column:
-        one = F.lit(1) if only is None else F.when(only, 1)
-        return F.count(one).over(self.earlier(seconds)) + F.count(one).over(self.same_instant())
+    def totals(self, rows: DataFrame, sums: dict[str, tuple[Column, int]]) -> DataFrame:
+        """rows with the sum of a value over the history, for each name of sums: (value, seconds).
 
-    def total(self, value: Column, seconds: int, only: Column | None = None) -> Column:
-        v = value if only is None else F.when(only, value)
-        return F.coalesce(F.sum(v).over(self.earlier(seconds)), F.lit(0.0)) + F.coalesce(F.sum(v).over(self.same_instant()), F.lit(0.0))
-
-    def marks(self, value: str, seconds: int) -> tuple[Column, Column]:
-        """Whether the row's value was there within the last `seconds`, and whether it comes again within them."""
-        w = Window.partitionBy(*self.key, value).orderBy("t", *self.order)
-        again = lambda c: F.coalesce(c <= seconds, F.lit(False))
-        return again(F.col("t") - F.lag("t").over(w)), again(F.lead("t").over(w) - F.col("t"))
+        The frames within an instant come first: their sort by (t, order) serves the frames over t too.
+        """
+        instant = Window.partitionBy(*self.key, "t").orderBy(*self.order).rowsBetween(Window.unboundedPreceding, -1)
+        rows = rows.withColumns({f"_at_{n}": F.sum(v).over(instant) for n, (v, _) in sums.items()})
+        whole = {n: F.coalesce(F.sum(v).over(self.earlier(s)), F.lit(0)) + F.coalesce(F.col(f"_at_{n}"), F.lit(0)) for n, (v, s) in sums.items()}
+        return rows.withColumns(whole).drop(*[f"_at_{n}" for n in sums])
 
-    def distinct(self, repeats: str, repeated: str, seconds: int) -> Column:
-        """How many values the history and the row itself have, from the marks; no set is built.
+    def distinct(self, rows: DataFrame, name: str, seconds: int, count: Column) -> DataFrame:
+        """rows with how many values the history and the row itself have; count: the rows of both. No set is built.
 
         Of the rows in reach, those whose value came before in reach don't count. Such a pair of neighbours
         lies within `seconds`, so of all pairs that end by now only those that begin before the reach
         are out of it, and every pair that begins there has ended.
         """
-        ended = F.count_if(repeats).over(Window.partitionBy(*self.key).orderBy("t", *self.order).rowsBetween(Window.unboundedPreceding, 0))
-        out_of_reach = F.count_if(repeated).over(Window.partitionBy(*self.key).orderBy("t").rangeBetween(Window.unboundedPreceding, -seconds - 1))
-        return (self.count(seconds) + 1 - (ended - out_of_reach)).cast("int")
+        line = Window.partitionBy(*self.key).orderBy("t", *self.order).rowsBetween(Window.unboundedPreceding, 0)
+        reach = Window.partitionBy(*self.key).orderBy("t").rangeBetween(Window.unboundedPreceding, -seconds - 1)
+        ended, left = F.count_if("_repeats").over(line), F.count_if("_repeated").over(reach)
+        return rows.withColumn(name, (count - ended + left).cast("int"))
+
+    def marked(self, rows: DataFrame, value: str, seconds: int) -> DataFrame:
+        """Adds whether the row's value was there within the last `seconds`, and whether it comes again within them."""
+        w = Window.partitionBy(*self.key, value).orderBy("t", *self.order)
+        again = lambda c: F.coalesce(c <= seconds, F.lit(False))
+        return rows.withColumns({"_repeats": again(F.col("t") - F.lag("t").over(w)), "_repeated": again(F.lead("t").over(w) - F.col("t"))})
 
 
 def sender_history(tx: DataFrame, cfg: ScreenConfig = ScreenConfig()) -> DataFrame:
     """Velocity, fan-out and structuring inputs of each row; one shuffle on (name_orig, slice)."""
     w, outbound = Frames("name_orig"), F.col("txn_type").isin(*OUTBOUND)
     in_band = (F.col("txn_type") == "TRANSFER") & F.col("amount").between(cfg.split_low, cfg.split_high)
-    last = F.max("t").over(Window.partitionBy(*w.key).orderBy("t").rangeBetween(-cfg.velocity_seconds, -1))
-    rows = sliced(tx, max(cfg.velocity_seconds, cfg.fan_out_seconds, cfg.split_seconds))
-    repeats, repeated = w.marks("name_dest", cfg.fan_out_seconds)
-    rows = rows.withColumn("repeats", repeats).withColumn("repeated", repeated).select(
-        *tx.columns, "own",
-        F.when(outbound, w.count(cfg.fan_out_seconds)).otherwise(0).alias("sender_recent_txn_count"),
-        F.when(outbound, w.total(F.col("amount"), cfg.fan_out_seconds)).otherwise(0.0).alias("sender_recent_total_amount"),
-        F.when(outbound, w.distinct("repeats", "repeated", cfg.fan_out_seconds)).otherwise(0).alias("fan_out_receivers"),
-        w.count(cfg.velocity_seconds).alias("velocity_transactions_1h"),
-        F.coalesce((F.col("t") - last).cast("double"), F.lit(cfg.no_history_seconds)).alias("time_since_last_purchase"),
-        F.when(in_band, w.count(cfg.split_seconds, in_band) + 1).otherwise(0).alias("split_count"),
-        F.when(in_band, w.total(F.col("amount"), cfg.split_seconds, in_band) + F.col("amount")).otherwise(0.0).alias("split_amount"),
+    rows = w.marked(sliced(tx, max(cfg.velocity_seconds, cfg.fan_out_seconds, cfg.split_seconds)), "name_dest", cfg.fan_out_seconds)
+    one, amount = F.lit(1), F.col("amount")
+    rows = w.totals(rows, {
+        "_n": (one, cfg.fan_out_seconds), "_sum": (amount, cfg.fan_out_seconds), "_hour": (one, cfg.velocity_seconds),
+        "_band": (F.when(in_band, one), cfg.split_seconds), "_banded": (F.when(in_band, amount), cfg.split_seconds),
+    })
+    rows = w.distinct(rows, "_values", cfg.fan_out_seconds, F.col("_n") + 1)
+    last = F.max("t").over(w.earlier(cfg.velocity_seconds))
+    return rows.withColumn("_last", last).where("own").select(
+        *tx.columns,
+        F.when(outbound, F.col("_n")).otherwise(0).alias("sender_recent_txn_count"),
+        F.when(outbound, F.col("_sum")).otherwise(0.0).alias("sender_recent_total_amount"),
+        F.when(outbound, F.col("_values")).otherwise(0).alias("fan_out_receivers"),
+        F.col("_hour").alias("velocity_transactions_1h"),
+        F.coalesce((F.col("t") - F.col("_last")).cast("double"), F.lit(cfg.no_history_seconds)).alias("time_since_last_purchase"),
+        F.when(in_band, F.col("_band") + 1).otherwise(0).alias("split_count"),
+        F.when(in_band, F.col("_banded") + amount).otherwise(0.0).alias("split_amount"),
     )
-    return rows.where("own").drop("own")
 
 
 def receiver_history(tx: DataFrame, cfg: ScreenConfig = ScreenConfig()) -> DataFrame:
     """Fan-in inputs of each row; one shuffle on (name_dest, slice)."""
     w, inbound = Frames("name_dest"), F.col("txn_type").isin(*INBOUND)
-    repeats, repeated = w.marks("name_orig", cfg.fan_in_seconds)
-    rows = sliced(tx, cfg.fan_in_seconds).withColumn("repeats", repeats).withColumn("repeated", repeated).select(
-        *tx.columns, "own",
-        F.when(inbound, w.count(cfg.fan_in_seconds)).otherwise(0).alias("receiver_recent_txn_count"),
-        F.when(inbound, w.total(F.col("amount"), cfg.fan_in_seconds)).otherwise(0.0).alias("receiver_recent_total_amount"),
-        F.when(inbound, w.distinct("repeats", "repeated", cfg.fan_in_seconds)).otherwise(0).alias("fan_in_senders"),
+    rows = w.marked(sliced(tx, cfg.fan_in_seconds), "name_orig", cfg.fan_in_seconds)
+    rows = w.totals(rows, {"_n": (F.lit(1), cfg.fan_in_seconds), "_sum": (F.col("amount"), cfg.fan_in_seconds)})
+    rows = w.distinct(rows, "_values", cfg.fan_in_seconds, F.col("_n") + 1)
+    return rows.where("own").select(
+        *tx.columns,
+        F.when(inbound, F.col("_n")).otherwise(0).alias("receiver_recent_txn_count"),
+        F.when(inbound, F.col("_sum")).otherwise(0.0).alias("receiver_recent_total_amount"),
+        F.when(inbound, F.col("_values")).otherwise(0).alias("fan_in_senders"),
     )
-    return rows.where("own").drop("own")
 
 
 def inbound_history(tx: DataFrame, cfg: ScreenConfig = ScreenConfig()) -> DataFrame:
@@ -105,13 +116,10 @@ def inbound_history(tx: DataFrame, cfg: ScreenConfig = ScreenConfig()) -> DataFr
     credit = tx.where(F.col("txn_type").isin(*INBOUND))
     kept = [F.col(c) if c in ("t", "seq") else F.lit(None).cast(tx.schema[c].dataType).alias(c) for c in names]
     credits = credit.select(*kept, F.col("name_dest").alias("account"), F.col("amount").alias("credit"), F.lit(1).alias("role"))
-    w = Frames("account", order=("seq", "role"))
-    total, n = w.total(F.col("credit"), cfg.chain_seconds), w.count(cfg.chain_seconds, F.col("credit").isNotNull())
-    out = F.col("txn_type") == "CASH_OUT"
-    done = sliced(rows.unionByName(credits), cfg.chain_seconds).select(
-        *names, "own", "role", F.when(out, total).otherwise(0.0).alias("inbound_total"), F.when(out, n).otherwise(0).alias("inbound_count")
-    )
-    done = done.where("own AND role = 0").drop("own", "role")
+    w, out = Frames("account", order=("seq", "role")), F.col("txn_type") == "CASH_OUT"
+    one = F.when(F.col("credit").isNotNull(), 1)
+    done = w.totals(sliced(rows.unionByName(credits), cfg.chain_seconds), {"_sum": (F.col("credit"), cfg.chain_seconds), "_n": (one, cfg.chain_seconds)})
+    done = done.where("own AND role = 0").select(*names, F.when(out, F.col("_sum")).otherwise(0.0).alias("inbound_total"), F.when(out, F.col("_n")).otherwise(0).alias("inbound_count"))
     return done.withColumn("inbound_to_cashout_ratio", F.when(F.col("inbound_total") > 0, F.col("amount") / F.col("inbound_total")).otherwise(0.0))
 
 
