@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from txscreen.operators.integrate import expected_letters
 from txscreen.streaming import cases
+from txscreen.operators.rules import STATE_FIELDS as R_FIELDS
 from txscreen.streaming import pipeline as P
 
 ONCE = {"availableNow": True}
@@ -65,3 +66,79 @@ def test_bad_messages_become_dead_letters(spark, tmp_path):
 def test_run_id_stays_until_reset(spark, tmp_path):
     a = P.run_id(spark, str(tmp_path))
     assert P.run_id(spark, str(tmp_path)) == a != P.run_id(spark, str(tmp_path), reset=True)
+
+
+def test_batches_that_lost_their_marks_count_once(spark, tmp_path):
+    """A crash before the mark and the commit: the batches run again and their folders get new files."""
+    import shutil
+
+    root, sent = str(tmp_path), []
+    feed(spark, root, "r1")
+    sources = lambda: {n: P.file_source(spark, f"{root}/in/{n}") for n in ("transactions", "sender_state", "receiver_state")}
+    publish = lambda rows: sent.extend(rows.collect())
+    everything = lambda: (run(P.integrate(sources(), root, ONCE)), run([P.score(spark, root, trigger=ONCE, run="r1", publish=publish)]), run(P.window_queries(spark, root, ONCE)))
+    counts = lambda: [spark.read.parquet(f"{root}/{n}").count() for n in ("model_predictions_by_day", "transactions_by_day", "account_state_by_account", "history")]
+    everything()
+    before, alerts = counts(), len(sent)
+    # the integrate query forgets that it is done, and writes its batches again
+    shutil.rmtree(f"{root}/processed_stream_batches")
+    shutil.rmtree(f"{root}/checkpoints/integrate")
+    everything()
+    assert counts() == before and len(sent) == alerts
+    ids = [r.event_id for r in spark.read.parquet(f"{root}/model_predictions_by_day").collect()]
+    assert ids and len(ids) == len(set(ids))
+
+
+def test_alerts_are_published_once_for_each_run(spark, tmp_path):
+    from txscreen.operators import history as H
+    from txscreen.operators import rules as R
+    from txscreen.sources import sinks
+    from txscreen.sources.tables import ledger
+
+    sent, root = [], str(tmp_path)
+    scored = R.score(H.with_history(ledger(spark, "/root/testdata/sf0.001"))).where("event_id < 400").persist()
+    n = scored.where("is_alert").count()
+    publish = lambda rows: sent.extend(r.key for r in rows.collect())
+    for name, batch in (("a", "0"), ("a", "1"), ("b", "2")):
+        sinks.publish_alerts(scored, root, name, batch, publish)
+    assert n and len(sent) == 2 * n and len(set(sent)) == n
+    sinks.publish(scored.selectExpr("string(event_id) AS key", "'x' AS value", "'t' AS topic"), path=f"{root}/topic")
+    assert spark.read.json(f"{root}/topic").count() == scored.count()
+
+
+def test_rules_are_read_again_when_due(spark, tmp_path):
+    from txscreen.config import ScreenConfig
+
+    fields = sorted({f for x in R_FIELDS.values() for f in x})
+    schema = "offset LONG, rule_type STRING, txn_type STRING, " + ", ".join(f"{f} STRING" for f in fields)
+    log = lambda rows: spark.createDataFrame([(i, "fan_out_threshold", None, *[v if f == "window_seconds" else None for f in fields]) for i, v in enumerate(rows)], schema).coalesce(1).write.mode("append").json(f"{tmp_path}/rules")
+    log(["700"])
+    read = lambda: P.rule_changelog(spark, f"{tmp_path}/rules", schema)
+    held, live = P.RuleSettings(read), P.RuleSettings(read, every=0)
+    assert held().fan_out_seconds == live().fan_out_seconds == 700
+    log(["700", "800"])
+    assert held().fan_out_seconds == 700 and live().fan_out_seconds == 800
+    log(["x", "x", "many"])
+    assert live() == ScreenConfig()
+
+
+def test_exports_and_report_inputs(spark, tmp_path):
+    from txscreen.operators import reports
+    from txscreen.operators.decode import back_typed
+    from txscreen.sources import sinks, tables
+
+    tx = tables.ledger(spark, "/root/testdata/sf0.001")
+    sinks.export_test_set(tx, f"{tmp_path}/test")
+    back = tables.read_ledger_csv(spark, f"{tmp_path}/test")
+    assert back.count() == tx.count() and all(r.amount.split(".")[1].__len__() == 2 for r in back.limit(50).collect())
+    sinks.export_features(tx, ["event_id", "amount"], f"{tmp_path}/features", limit=7)
+    assert spark.read.option("header", True).csv(f"{tmp_path}/features").count() == 7
+    rows = spark.createDataFrame([("a1", "e1", "closed", "false_positive", "x", "", None)], tables.REVIEWS_DDL)
+    rows.write.option("header", True).csv(f"{tmp_path}/reviews")
+    assert tables.read_report_csv(spark, f"{tmp_path}/reviews", tables.REVIEWS_DDL).first().review_status == "closed"
+    load = reports.load_rows(spark, 100)
+    assert load.count() == 100 and load.select("event_id").distinct().count() == 100
+    got = back_typed(tx.withColumn("producer_ts", F.lit(None).cast("timestamp")).withColumn("schema_version", F.lit(None).cast("int"))).first()
+    assert got.producer_ts == got.event_time and got.schema_version == 1
+    timed = sinks.stage_timings(tx.select(F.concat(F.lit("bench:r9:"), F.col("event_id")).alias("event_id")), F.current_timestamp(), F.current_timestamp())
+    assert timed.count() in (0, tx.count())

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import fields, replace
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -62,20 +63,27 @@ _WHOLE = {f.name for f in fields(ScreenConfig) if f.type == "int"}
 def fold_rules(log: DataFrame, cfg: ScreenConfig = ScreenConfig()) -> DataFrame:
     """One row: each setting as the last message that has it says, else its default.
 
-    log: (offset, rule_type, txn_type and the fields of STATE_FIELDS). Unknown types are ignored.
+    log: (offset, rule_type, txn_type and the fields of STATE_FIELDS). Unknown types are ignored. Fields may
+    be text: where a message has a field of its type that is no number, the whole state is the defaults.
     """
+    number = lambda f: F.col(f).try_cast("double")
+    bad = F.lit(False)
+    for rule, names in [*STATE_FIELDS.items(), ("amount_threshold", ("threshold",))]:
+        broken = [F.col(f).isNotNull() & number(f).isNull() for f in names if f in log.columns]
+        bad = bad | ((F.lower(F.trim("rule_type")) == rule) & reduce(lambda a, b: a | b, broken, F.lit(False)))
+    whole = F.coalesce(~F.bool_or(bad), F.lit(True))
     kind, at = F.lower(F.trim("rule_type")), F.col("offset")
     out = []
     for rule, names in STATE_FIELDS.items():
         for field, setting in names.items():
             said = (kind == rule) & F.col(field).isNotNull()
             default = F.lit(getattr(cfg, setting))
-            last = F.max_by(F.when(said, F.col(field)), F.when(said, at))
+            last = F.when(whole, F.max_by(F.when(said, number(field)), F.when(said, at)))
             out.append(F.coalesce(last.cast("int" if setting in _WHOLE else "double"), default).alias(setting))
     for txn, setting in (("TRANSFER", "transfer_amount"), ("CASH_OUT", "cash_out_amount")):
         said = (kind == "amount_threshold") & (F.upper("txn_type") == txn)
-        value = F.coalesce(F.col("threshold"), F.lit(cfg.transfer_amount))
-        out.append(F.coalesce(F.max_by(F.when(said, value), F.when(said, at)), F.lit(getattr(cfg, setting))).alias(setting))
+        value = F.coalesce(number("threshold"), F.lit(cfg.transfer_amount))
+        out.append(F.coalesce(F.when(whole, F.max_by(F.when(said, value), F.when(said, at))), F.lit(getattr(cfg, setting))).alias(setting))
     return log.agg(*out)
 
 

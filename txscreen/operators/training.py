@@ -130,6 +130,14 @@ def profile_types(rows: DataFrame) -> DataFrame:
     return rows.groupBy("txn_type").agg(F.count(F.lit(1)).alias("events"), F.sum(F.col("is_fraud").cast("long")).alias("frauds"), F.min("amount").alias("min_amount"), F.max("amount").alias("max_amount"), F.avg("amount").alias("mean_amount"))
 
 
+def profile_classes(rows: DataFrame) -> DataFrame:
+    """(is_fraud, events, share, imbalance, min, max and mean amount): share of all rows, imbalance in rows of the largest class for each of this one."""
+    one = rows.groupBy("is_fraud").agg(F.count(F.lit(1)).alias("events"), F.min("amount").alias("min_amount"), F.max("amount").alias("max_amount"), F.avg("amount").alias("mean_amount"))
+    total = one.agg(F.sum("events").alias("_all"), F.max("events").alias("_most"))
+    done = one.crossJoin(F.broadcast(total))  # one row
+    return done.select("is_fraud", "events", (F.col("events") / F.col("_all")).alias("share"), (F.col("_most") / F.col("events")).alias("imbalance"), "min_amount", "max_amount", "mean_amount")
+
+
 def step_profile(rows: DataFrame) -> DataFrame:
     return rows.groupBy("step").count().orderBy("step")
 

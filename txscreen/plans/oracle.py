@@ -243,6 +243,12 @@ SELECT type, round(observed, 6) AS observed, threshold FROM obs WHERE CASE WHEN
     "recent_cases": f"WITH {scored()} SELECT alert_id, t, alert_id = 'alert:1' AS selected FROM alerts ORDER BY t DESC, alert_id LIMIT 100",
     "unpivot_metrics": f"WITH {TX}, {_windows(3600, 3600)} SELECT start_s, unnest(['event_count', 'fraud_count', 'total_amount']) AS metric, unnest([round(CAST(event_count AS DOUBLE), 2), round(CAST(fraud_count AS DOUBLE), 2), round(total_amount, 2)]) AS value FROM wm",
     "eda_type_fraud": f"WITH {TX} SELECT txn_type, count(*) AS events, CAST(sum(is_fraud) AS BIGINT) AS frauds, min(amount) AS min_amount, max(amount) AS max_amount, round(avg(amount), 4) AS mean_amount FROM tx GROUP BY 1",
+    "eda_by_class": f"WITH {TX}, c AS (SELECT is_fraud, count(*) AS events, min(amount) AS min_amount, max(amount) AS max_amount, round(avg(amount), 4) AS mean_amount FROM tx GROUP BY 1) SELECT is_fraud, events, round(events / sum(events) OVER (), 6) AS share, round(max(events) OVER () / events, 6) AS imbalance, min_amount, max_amount, mean_amount FROM c",
+    "review_status_mix": f"WITH {scored()} SELECT review_status, count(*) AS alerts, round(sum(amount), 2) AS amount FROM alerts GROUP BY 1",
+    "review_label_mix": f"WITH {scored()} SELECT review_label, count(*) AS alerts, round(sum(amount), 2) AS amount FROM alerts GROUP BY 1",
+    "hot_alerts": f"WITH {scored()} SELECT alert_id, severity, CASE severity WHEN 'high' THEN 'critical' WHEN 'medium' THEN 'warning' ELSE 'info' END AS label FROM alerts WHERE t >= (SELECT max(t) FROM tx) - 3600",
+    "alert_messages": f"WITH {scored()} SELECT alert_id AS key, CAST(event_id AS VARCHAR) AS event_id, name_orig AS account_id, severity, CAST(NULL AS VARCHAR) AS actual_label FROM alerts",
+    "metric_messages": f"WITH {TX}, {_windows(300, 300)} SELECT 'tumbling:' || strftime(make_timestamp(CAST(start_s AS BIGINT) * 1000000), '%Y-%m-%dT%H:%M:%S') AS key, event_count, fraud_count FROM wm",
     "step_profile": f"WITH {TX} SELECT step, count(*) AS events FROM tx GROUP BY 1",
     "fraud_listing": f"WITH {TX} SELECT event_id, step, txn_type, amount FROM tx WHERE is_fraud = 1",
     "feature_correlation": f"WITH {TX} " + " UNION ALL ".join(f"SELECT '{a}' AS row, '{b}' AS column, round(corr({a}, {b}), 6) AS value FROM tx" for a in ("amount", "oldbalance_org", "newbalance_org", "oldbalance_dest", "is_fraud") for b in ("amount", "oldbalance_org", "newbalance_org", "oldbalance_dest", "is_fraud")),

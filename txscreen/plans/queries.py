@@ -380,6 +380,39 @@ def unreviewed_alerts(spark: SparkSession, d: str) -> DataFrame:
     return V.unreviewed(queue(spark, d)).groupBy("primary_rule").agg(F.count(F.lit(1)).alias("alerts"))
 
 
+@query
+def review_status_mix(spark: SparkSession, d: str) -> DataFrame:
+    return V.mix(queue(spark, d), "review_status").withColumn("amount", r2("amount"))
+
+
+@query
+def review_label_mix(spark: SparkSession, d: str) -> DataFrame:
+    return V.mix(queue(spark, d), "review_label").withColumn("amount", r2("amount"))
+
+
+@query
+def hot_alerts(spark: SparkSession, d: str) -> DataFrame:
+    """The alerts of the hour before the latest event, with the label of their severity."""
+    rows = once(spark, d)
+    latest = rows.agg(F.max("event_ts").alias("latest"))
+    near = V.hot_alerts(rows.where("is_alert").crossJoin(F.broadcast(latest)), F.col("latest"), 1)  # one row
+    return near.select("alert_id", "severity", V.status_label(F.col("severity")).alias("label"))
+
+
+@query
+def alert_messages(spark: SparkSession, d: str) -> DataFrame:
+    """The payloads of all alerts, read back."""
+    sent = D.alert_payloads(stored(spark, d))
+    return sent.select("key", *[F.get_json_object("value", f"$.{c}").alias(c) for c in ("event_id", "account_id", "severity", "actual_label")])
+
+
+@query
+def metric_messages(spark: SparkSession, d: str) -> DataFrame:
+    """The payloads of the tumbling windows, read back."""
+    sent = M.payloads(M.tumbling(ledger(spark, d)))
+    return sent.select("key", *[F.get_json_object("value", f"$.{c}").cast("long").alias(c) for c in ("event_count", "fraud_count")])
+
+
 @query
 def queue_kpis(spark: SparkSession, d: str) -> DataFrame:
     return V.queue_kpis(queue(spark, d))
@@ -420,6 +453,11 @@ def eda_type_fraud(spark: SparkSession, d: str) -> DataFrame:
     return T.profile_types(ledger(spark, d)).withColumn("mean_amount", F.round("mean_amount", 4))
 
 
+@query
+def eda_by_class(spark: SparkSession, d: str) -> DataFrame:
+    return T.profile_classes(ledger(spark, d)).withColumns({"mean_amount": F.round("mean_amount", 4), "share": r6("share"), "imbalance": r6("imbalance")})
+
+
 @query
 def step_profile(spark: SparkSession, d: str) -> DataFrame:
     return T.step_profile(ledger(spark, d)).select("step", F.col("count").alias("events"))

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from ..operators.decode import account_states, predictions, wire_feeds
+from ..durable import exists
+from ..operators.decode import account_states, alert_payloads, predictions, wire_feeds
 
 #: The tables and what they are partitioned by.
 LAYOUT = {
@@ -43,11 +46,12 @@ def write_metrics(metrics: DataFrame, root: str, batch: str | None = None) -> No
 
 
 def write_feeds(tx: DataFrame, out: str, form: str = "csv") -> dict[str, int]:
-    """The ledger as three feeds under `out`; how many rows each has, counted in what was written."""
+    """The ledger as three feeds under `out`; how many rows each has, counted while they are written."""
     counts = {}
     for name, rows in wire_feeds(tx).items():
-        rows.write.mode("overwrite").option("header", True).format(form).save(f"{out}/{name}")
-        counts[name] = tx.sparkSession.read.option("header", True).schema(rows.schema).format(form).load(f"{out}/{name}").count()
+        seen = Observation(name)
+        rows.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("overwrite").option("header", True).format(form).save(f"{out}/{name}")
+        counts[name] = seen.get["n"]
     return counts
 
 
@@ -64,6 +68,17 @@ def unpublished(alerts_: DataFrame, published: DataFrame) -> DataFrame:
     return alerts_.dropDuplicates(["run_id", "event_id"]).join(published.select("run_id", "event_id"), ["run_id", "event_id"], "left_anti")
 
 
+def publish_alerts(scored: DataFrame, root: str, run: str, batch: str, publish_: Callable[[DataFrame], None], topic: str = "alerts") -> None:
+    """Publishes a batch's alerts that no other batch of the run has published, and remembers them."""
+    path = f"{root}/published_alerts"
+    new = predictions(scored).where("is_alert").withColumn("run_id", F.lit(run))
+    new = new.dropDuplicates(["run_id", "event_id"])
+    if exists(scored.sparkSession, path):
+        new = unpublished(new, scored.sparkSession.read.parquet(path).where(F.col("batch") != batch))
+    publish_(alert_payloads(new.drop("run_id")).withColumn("topic", F.lit(topic)))
+    new.select("run_id", "event_id").write.mode("overwrite").parquet(f"{path}/batch={batch}")
+
+
 def stage_timings(rows: DataFrame, seen_at, persisted_at) -> DataFrame:
     from ..functions.scalars import run_id
 
@@ -75,7 +90,19 @@ def write_report(one_row: DataFrame, path: str) -> None:
     one_row.coalesce(1).write.mode("overwrite").json(path)
 
 
+#: Columns that exports show with two decimals.
+MONEY = ("amount", "oldbalance_org", "newbalance_org", "oldbalance_dest", "newbalance_dest")
+#: The ledger's columns as the CSV has them.
+LEDGER_NAMES = {"step": "step", "txn_type": "type", "amount": "amount", "name_orig": "nameOrig", "oldbalance_org": "oldbalanceOrg", "newbalance_org": "newbalanceOrig", "name_dest": "nameDest", "oldbalance_dest": "oldbalanceDest", "newbalance_dest": "newbalanceDest", "is_fraud": "isFraud"}
+
+
+def export_test_set(rows: DataFrame, path: str) -> None:
+    """All rows of a test split as a ledger CSV, written by as many tasks as the rows have partitions."""
+    money = {c: F.format_string("%.2f", F.col(c)) for c in MONEY}
+    rows.withColumns(money).select(*[F.col(c).alias(n) for c, n in LEDGER_NAMES.items()]).write.mode("overwrite").option("header", True).csv(path)
+
+
 def export_features(rows: DataFrame, names: list[str], path: str, limit: int = 20_000) -> None:
-    """The first rows in time order; amounts with two decimals."""
-    money = {c: F.format_string("%.2f", F.col(c)) for c in ("amount",) if c in names}
+    """The first rows in time order; amounts and balances with two decimals."""
+    money = {c: F.format_string("%.2f", F.col(c)) for c in MONEY if c in names}
     rows.orderBy("t", "seq").limit(limit).withColumns(money).select(*names).coalesce(1).write.mode("overwrite").option("header", True).csv(path)

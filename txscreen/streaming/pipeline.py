@@ -8,20 +8,24 @@
 * tumbling and sliding: window metrics of the integrated table.
 
 Each batch writes into a folder of its own and replaces it when it is run again, and a ledger of
-finished batches skips what a restart repeats: results hold each row once.
+finished batches skips what a restart repeats. A batch that ended before its mark was written is run again
+and its folder gets new files, which the queries that stream from that folder read as new rows: the
+score drops ids that the history has from other batches, and the windows drop ids that come twice within
+the watermark, so results hold each row once. An alert is published once for each run.
 """
 
 from __future__ import annotations
 
+import time
 import uuid
 from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..config import ScreenConfig
+from ..durable import exists
 from ..operators import decode as D
 from ..operators import history as H
 from ..operators import integrate as J
@@ -54,6 +58,20 @@ def rule_changelog(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).json(path)
 
 
+class RuleSettings:
+    """Settings for score(): the rules of the changelog, read again when `every` seconds have passed."""
+
+    def __init__(self, changelog: Callable[[], DataFrame], every: float | None = None, cfg: ScreenConfig = ScreenConfig()) -> None:
+        self.changelog, self.every, self.cfg = changelog, every, cfg
+        self.held, self.read_at = cfg, None
+
+    def __call__(self) -> ScreenConfig:
+        now = time.monotonic()
+        if self.read_at is None or (self.every is not None and now - self.read_at >= self.every):
+            self.held, self.read_at = R.overlay(R.fold_rules(self.changelog(), self.cfg), self.cfg), now
+        return self.held
+
+
 def decoded(raw: DataFrame, feed: str) -> DataFrame:
     return D.decode(raw, FEEDS[feed], D.REQUIRED[feed], ("event_time", "producer_ts") if feed == "transactions" else ("event_time",))
 
@@ -66,22 +84,18 @@ def valid(rows: DataFrame, watermark: str = WATERMARK, once: bool = False) -> Da
 
 def run_id(spark: SparkSession, root: str, reset: bool = False) -> str:
     """The run's id, kept beside its checkpoints."""
-    if not reset:
-        try:
-            return spark.read.schema("run_id STRING").json(f"{root}/run").first().run_id
-        except (AnalysisException, AttributeError):
-            pass
+    if not reset and exists(spark, f"{root}/run"):
+        row = spark.read.schema("run_id STRING").json(f"{root}/run").first()
+        if row is not None:
+            return row.run_id
     new = uuid.uuid4().hex
     spark.createDataFrame([(new,)], "run_id STRING").coalesce(1).write.mode("overwrite").json(f"{root}/run")
     return new
 
 
 def stored(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame | None:
-    """A stored table, or None before its first batch."""
-    try:
-        return (spark.read.schema(schema) if schema else spark.read).parquet(path)
-    except AnalysisException:
-        return None
+    """A stored table, or None before its first batch; a table that can't be read is an error."""
+    return (spark.read.schema(schema) if schema else spark.read).parquet(path) if exists(spark, path) else None
 
 
 class Batches:
@@ -148,38 +162,75 @@ def keyed(rows: DataFrame) -> DataFrame:
     return rows.withColumn("t", F.unix_seconds("event_time")).withColumn("seq", F.coalesce(F.col("event_id").try_cast("long"), F.xxhash64("event_id")))
 
 
+def reach(cfg: ScreenConfig) -> int:
+    return max(cfg.velocity_seconds, cfg.fan_out_seconds, cfg.fan_in_seconds, cfg.split_seconds, cfg.chain_seconds)
+
+
 def score_batch(rows: DataFrame, past: DataFrame | None, pairs: DataFrame | None, cfg: ScreenConfig = ScreenConfig()) -> DataFrame:
     """Scores rows with what came before: past rows that a window reaches, and all known pairs."""
     rows = rows.withColumn("_new", F.lit(True))
     both = rows
     if past is not None:
-        reach = max(cfg.velocity_seconds, cfg.fan_out_seconds, cfg.fan_in_seconds, cfg.split_seconds, cfg.chain_seconds)
-        first = rows.agg((F.min("t") - reach).alias("_from"))
-        near = past.crossJoin(F.broadcast(first)).where(F.col("t") >= F.col("_from")).drop("_from")  # one row
+        first = rows.agg(F.min("t")).first()[0]
+        near = past.where(F.col("t") >= (first or 0) - reach(cfg))
         both = rows.unionByName(near.select([c for c in rows.columns if c != "_new"]).withColumn("_new", F.lit(False)))
     return R.score(H.with_history(both, cfg, pairs).where("_new").drop("_new"), cfg)
 
 
-def score(spark: SparkSession, root: str, settings: Callable[[], ScreenConfig] = ScreenConfig, trigger: dict | None = None) -> StreamingQuery:
-    """Scores the integrated table as it grows. settings() is asked for each batch, so rules can change while it runs."""
+#: Seconds of a partition of the history: a batch reads those that its windows reach.
+HISTORY_SECONDS = 3600
+
+
+def unseen(rows: DataFrame, past: DataFrame | None) -> DataFrame:
+    """The rows whose id the past hasn't; copies have one event time, so their partitions of the history are enough."""
+    one = rows.dropDuplicates(["event_id"])
+    return one if past is None else one.join(past.select("event_id"), "event_id", "left_anti")
+
+
+def score(spark: SparkSession, root: str, settings: Callable[[], ScreenConfig] = ScreenConfig, trigger: dict | None = None, run: str = "", publish: Callable[[DataFrame], None] | None = None) -> StreamingQuery:
+    """Scores the integrated table as it grows.
+
+    settings() is asked for each batch, so rules can change while it runs. publish gets (key, value, topic) of
+    the alerts that the run `run` hasn't published.
+    """
     source = spark.readStream.schema(INTEGRATED_DDL).option("recursiveFileLookup", "true").parquet(f"{root}/integrated")
 
     def act(batch: DataFrame, n: int) -> None:
-        rows = keyed(batch).persist()
-        own = F.col("batch") != n
+        cfg = settings()
+        came = keyed(batch).persist()
+        first = came.agg(F.min("t")).first()[0]
         past, pairs = stored(spark, f"{root}/history"), stored(spark, f"{root}/pairs")
-        done = score_batch(rows, past.where(own).drop("batch") if past is not None else None, pairs.where(own) if pairs is not None else None, settings()).persist()
+        own = F.col("batch") != n
+        if past is not None:
+            # literals, so that the partitions of other times aren't listed
+            past = past.where(own & (F.col("period") >= (first - reach(cfg)) // HISTORY_SECONDS)).drop("batch", "period")
+        rows = unseen(came, past).persist()
+        done = score_batch(rows, past, pairs.where(own) if pairs is not None else None, cfg).persist()
         sinks.write_scored(done, root, str(n))
-        rows.write.mode("overwrite").parquet(f"{root}/history/batch={n}")
+        if publish is not None:
+            sinks.publish_alerts(done, root, run, str(n), publish)
+        period = F.floor(F.col("t") / HISTORY_SECONDS)
+        rows.withColumn("period", period).write.mode("overwrite").partitionBy("period").parquet(f"{root}/history/batch={n}")
         rows.select("name_orig", "name_dest").distinct().write.mode("overwrite").parquet(f"{root}/pairs/batch={n}")
-        done.unpersist()
-        rows.unpersist()
+        for held in (done, rows, came):
+            held.unpersist()
 
     return start(source, root, "score", act, trigger)
 
 
-def window_queries(spark: SparkSession, root: str, trigger: dict | None = None) -> list[StreamingQuery]:
-    """Windows are written once, when the watermark closes them."""
-    source = spark.readStream.schema(INTEGRATED_DDL).option("recursiveFileLookup", "true").parquet(f"{root}/integrated").withWatermark("event_time", WATERMARK)
+def window_queries(spark: SparkSession, root: str, trigger: dict | None = None, publish: Callable[[DataFrame], None] | None = None) -> list[StreamingQuery]:
+    """Windows are written once, when the watermark closes them; publish gets them as (key, value, topic)."""
+
+    def act(kind: str) -> Callable[[DataFrame, int], None]:
+        def run(batch: DataFrame, n: int) -> None:
+            batch = batch.persist()
+            sinks.write_metrics(batch, f"{root}/{kind}", str(n))
+            if publish is not None:
+                publish(M.payloads(batch).withColumn("topic", F.lit("metrics")))
+            batch.unpersist()
+
+        return run
+
+    source = spark.readStream.schema(INTEGRATED_DDL).option("recursiveFileLookup", "true").parquet(f"{root}/integrated").withWatermark("event_time", WATERMARK).dropDuplicatesWithinWatermark(["event_id"])
     kinds = {"tumbling": ("5 minutes", None), "sliding": ("10 minutes", "5 minutes")}
-    return [start(M.window_metrics(source, k, size, slide), root, k, lambda b, n, k=k: sinks.write_metrics(b, f"{root}/{k}", str(n)), trigger) for k, (size, slide) in kinds.items()]
+    return [start(M.window_metrics(source, k, size, slide), root, k, act(k), trigger) for k, (size, slide) in kinds.items()]
