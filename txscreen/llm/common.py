@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
 from collections.abc import Iterator
 
 import numpy as np
@@ -11,29 +9,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share, as the session names it in spark.checkpoint.dir.
-
-    Only where the session names none (tests in one JVM) a new local folder is used.
-    """
-    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not named:
-        named = "file://" + tempfile.mkdtemp(prefix="spark-shared-")
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(named)
-    return named.rstrip("/")
-
-
-def settle(df: DataFrame) -> DataFrame:
-    """Computes df once and cuts its lineage with a reliable checkpoint, which outlives lost executors."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
-def fresh_path(spark: SparkSession, name: str) -> str:
-    """A path for a new table in the shared folder."""
-    return f"{shared_dir(spark)}/{name}-{os.urandom(8).hex()}"
+from ..durable import fresh_path, settle, shared_dir  # noqa: F401
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
