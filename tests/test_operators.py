@@ -156,3 +156,17 @@ def test_reviews_default_and_status(spark):
 def test_reports_are_written(spark, tmp_path):
     sinks.write_report(spark.createDataFrame([(1, "x")], "a int, b string"), f"{tmp_path}/r")
     assert spark.read.json(f"{tmp_path}/r").first().b == "x"
+
+
+def test_oversampling_of_many_equal_rows(spark):
+    rows = spark.range(6000).select(F.col("id").alias("event_id"), (F.col("id") < 300).cast("int").alias("is_fraud"), F.when(F.col("id") < 299, 1.0).otherwise(9.0).alias("amount"))
+    got = T.oversample(rows, ["amount"]).groupBy("is_fraud").agg(F.count(F.lit(1)).alias("n"), F.min("amount").alias("lo"), F.max("amount").alias("hi"))
+    assert {r.is_fraud: (r.n, r.lo >= 1.0, r.hi <= 9.0) for r in got.collect()} == {0: (5700, True, True), 1: (570, True, True)}
+
+
+def test_quantiles_of_groups(spark):
+    rows = spark.createDataFrame([("a", float(x)) for x in (5, 1, 1, 9)] + [("b", None)], "g string, v double")
+    got = {r.g: r for r in P.latency_summary(rows, "v", "g").collect()}
+    assert (got["a"].p50, got["a"].max, got["b"].p50) == (3.0, 9.0, 0.0) and abs(got["a"].p95 - 8.4) < 1e-9
+    assert P.latency_summary(rows, "v").first().p50 == 3.0
+    assert P.latency_summary(rows.where("false"), "v").first().p99 == 0.0

@@ -141,4 +141,4 @@ def test_exports_and_report_inputs(spark, tmp_path):
     got = back_typed(tx.withColumn("producer_ts", F.lit(None).cast("timestamp")).withColumn("schema_version", F.lit(None).cast("int"))).first()
     assert got.producer_ts == got.event_time and got.schema_version == 1
     timed = sinks.stage_timings(tx.select(F.concat(F.lit("bench:r9:"), F.col("event_id")).alias("event_id")), F.current_timestamp(), F.current_timestamp())
-    assert timed.count() in (0, tx.count())
+    assert timed.count() == tx.count() and timed.first().benchmark_run_id == "r9"

@@ -6,15 +6,29 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import load_family, trigger_label
+from ..plans.running import running_totals
 
 QUANTILES = {"p50": 0.5, "p95": 0.95, "p99": 0.99}
 
 
 def latency_summary(rows: DataFrame, value: str, *by: str) -> DataFrame:
-    """(by, min, mean, p50, p95, p99, max) with linear interpolation; zeros over no values."""
-    v = F.col(value)
-    sums = [F.min(v).alias("min"), F.avg(v).alias("mean"), *[F.percentile(v, F.lit(q)).alias(n) for n, q in QUANTILES.items()], F.max(v).alias("max")]
-    done = rows.groupBy(*by).agg(*sums) if by else rows.agg(*sums)
+    """(by, min, mean, p50, p95, p99, max) with linear interpolation; zeros over no values.
+
+    Quantiles come from running totals over counted values, so no group's values are held in one task.
+    """
+    key = F.struct(*by) if by else F.struct(F.lit(0).alias("_none"))
+    rows = rows.select(*by, key.alias("_k"), F.col(value).cast("double").alias("_v"))
+    v = F.col("_v")
+    sums = rows.groupBy("_k", *by).agg(F.min(v).alias("min"), F.avg(v).alias("mean"), F.max(v).alias("max")) if by else rows.agg(F.min(v).alias("min"), F.avg(v).alias("mean"), F.max(v).alias("max")).withColumn("_k", key)
+    steps = running_totals(rows.where("_v IS NOT NULL").groupBy("_k", "_v").agg(F.count(F.lit(1)).alias("n")), "_v", ["n"], within="_k")
+    sizes = steps.groupBy("_k").agg(F.max("run_n").alias("_all"))
+    # one row for each group
+    placed = steps.join(F.broadcast(sizes), "_k")
+    at = lambda q, side: F.min(F.when(F.col("run_n") > side(q * (F.col("_all") - 1)), v))
+    ends = placed.groupBy("_k").agg(F.max("_all").alias("_all"), *[at(q, f).alias(f"_{n}_{i}") for n, q in QUANTILES.items() for i, f in enumerate((F.floor, F.ceil))])
+    part = lambda q: q * (F.col("_all") - 1) - F.floor(q * (F.col("_all") - 1))
+    quantiles = ends.select("_k", *[(F.col(f"_{n}_0") + part(q) * (F.col(f"_{n}_1") - F.col(f"_{n}_0"))).alias(n) for n, q in QUANTILES.items()])
+    done = sums.join(quantiles, "_k", "left").select(*by, "min", "mean", *QUANTILES, "max")
     return done.na.fill(0.0, ["min", "mean", *QUANTILES, "max"])
 
 

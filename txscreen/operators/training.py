@@ -3,15 +3,18 @@
 from __future__ import annotations
 
 import json
+import random
+from functools import reduce
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
-from pyspark.ml.feature import BucketedRandomProjectionLSH, StandardScaler, VectorAssembler
+from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.stat import Correlation
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..durable import settle
 from ..plans.running import running_totals
 
 ALARM_COST, SEED = 5.0, 42
@@ -26,26 +29,38 @@ def drawn(*key: str, seed: int = SEED) -> Column:
 def stratified_split(rows: DataFrame, label: str = "is_fraud", key: str = "event_id", shares: tuple[float, float] = (0.6, 0.2), seed: int = SEED) -> DataFrame:
     """Adds split: train, validation, test, in the given shares of each label.
 
-    A row's rank among its label decides. Ranks come from running totals over buckets of the drawn
-    number, so a label with nearly all rows isn't sorted in one task.
+    A row's rank among its label decides; a label with nearly all rows isn't sorted in one task.
     """
-    rows = rows.withColumn("_d", drawn(key, seed=seed)).withColumn("_b", F.shiftright("_d", 50))
+    placed = ranked(rows.withColumn("_d", drawn(key, seed=seed)), "_d", key, label)
+    rank = F.col("_rank") / F.col("_total")
+    split = F.when(rank < shares[0], "train").when(rank < shares[0] + shares[1], "validation").otherwise("test")
+    return placed.withColumn("split", split).drop("_d", "_rank", "_total")
+
+
+#: Bits of a drawn number that name its bucket.
+DRAW_BITS, BUCKET_BITS = 60, 14
+
+
+def ranked(rows: DataFrame, place: str, key: str, label: str) -> DataFrame:
+    """Adds _rank from 0 by (place, key) among the rows of a label, and their number _total.
+
+    place is a drawn number, so its high bits deal the rows evenly over 2^BUCKET_BITS buckets; a task ranks one
+    bucket, and what the buckets before it hold comes from one row for each bucket.
+    """
+    rows = rows.withColumn("_b", F.shiftright(place, DRAW_BITS - BUCKET_BITS))
     counts = rows.groupBy(label, "_b").agg(F.count(F.lit(1)).alias("_n"))
     w = Window.partitionBy(label).orderBy("_b")
     bases = counts.select(F.col(label).alias("_l"), F.col("_b").alias("_k"), F.coalesce(F.sum("_n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_base"), F.sum("_n").over(Window.partitionBy(label)).alias("_total"))
-    placed = rows.withColumn("_r", F.row_number().over(Window.partitionBy(label, "_b").orderBy("_d", key)))
+    placed = rows.withColumn("_r", F.row_number().over(Window.partitionBy(label, "_b").orderBy(place, key)))
     joined = placed.join(bases, placed[label].eqNullSafe(F.col("_l")) & (F.col("_b") == F.col("_k")))
-    rank = (F.col("_base") + F.col("_r") - 1) / F.col("_total")
-    split = F.when(rank < shares[0], "train").when(rank < shares[0] + shares[1], "validation").otherwise("test")
-    return joined.withColumn("split", split).drop("_d", "_b", "_l", "_k", "_base", "_total", "_r")
+    return joined.withColumn("_rank", F.col("_base") + F.col("_r") - 1).drop("_b", "_l", "_k", "_base", "_r")
 
 
 def balanced_sample(rows: DataFrame, label: str = "is_fraud", key: str = "event_id", seed: int = SEED) -> DataFrame:
     """All frauds and as many other rows, in a drawn order (`place`)."""
     n = rows.agg(F.count_if(F.col(label) == 1)).first()[0]
-    drawn_rows = rows.withColumn("place", drawn(key, seed=seed))
-    rest = drawn_rows.where(F.col(label) == 0).orderBy("place", key).limit(n)
-    return drawn_rows.where(F.col(label) == 1).unionByName(rest)
+    placed = ranked(rows.withColumn("place", drawn(key, seed=seed)), "place", key, label)
+    return placed.where((F.col(label) == 1) | ((F.col(label) == 0) & (F.col("_rank") < n))).drop("_rank", "_total")
 
 
 def by_score(rows: DataFrame, score: str = "score", label: str = "is_fraud", amount: str = "amount") -> DataFrame:
@@ -205,9 +220,9 @@ def train_and_tune(train: DataFrame, validation: DataFrame, test: DataFrame, nam
 
     The record is one row: model, threshold, evaluated_thresholds, validation_cost, validation_auc_pr, and evaluate() of the test rows.
     """
-    model = fit(class_weights(train).select(*names, "is_fraud", "weight").persist(), names, kind, **params)
+    model = fit(settle(class_weights(train).select(*names, "is_fraud", "weight")), names, kind, **params)
     # three columns of each scored row, read several times
-    validation, test = (predict(model, rows).select("score", "is_fraud", "amount").persist() for rows in (validation, test))
+    validation, test = (settle(predict(model, rows).select("score", "is_fraud", "amount")) for rows in (validation, test))
     sweep = by_score(validation)
     best = cheapest_threshold(sweep).first()
     limit = best.threshold if best.threshold is not None else 1.000001
@@ -240,8 +255,10 @@ def top_importances(spark: SparkSession, model: PipelineModel, names: list[str],
 def oversample(rows: DataFrame, names: list[str], label: str = "is_fraud", key: str = "event_id", ratio: float = 0.1, k: int = 5, seed: int = SEED) -> DataFrame:
     """rows of `names` and label, with interpolated minority rows up to ratio x majority.
 
-    Each new row lies on the line from a minority row to one of its k nearest; neighbours come from
-    locality-sensitive hashing. Nothing is added where the ratio holds or there are less than two rows.
+    Each new row lies on the line from a minority row to one of its k nearest among its neighbours in a few
+    orders: along each of LINES random directions a row sees the k rows on either side, in range partitions, so
+    a row has 2 * k * LINES candidates however many rows there are. Rows that see none make none; the others make
+    up for them. Nothing is added where the ratio holds or there are less than two rows.
     """
     base = rows.select(key, label, *[F.col(c).cast("double").alias(c) for c in names])
     counts = {r[0]: r[1] for r in base.groupBy(label).count().collect()}  # two classes
@@ -251,15 +268,32 @@ def oversample(rows: DataFrame, names: list[str], label: str = "is_fraud", key:
     if few < 2 or need <= 0:
         return plain
     minority = VectorAssembler(inputCols=names, outputCol="_v").transform(base.where(F.col(label) == 1))
-    scaled = StandardScaler(inputCol="_v", outputCol="_s", withMean=True, withStd=True).fit(minority).transform(minority).select(key, "_s", F.array(*names).alias("_x"))
-    hashed = BucketedRandomProjectionLSH(inputCol="_s", outputCol="_h", bucketLength=4.0, numHashTables=3, seed=seed).fit(scaled)
-    pairs = hashed.approxSimilarityJoin(scaled, scaled, float("inf"), "_d").select(F.col(f"datasetA.{key}").alias("a"), F.col("datasetA._x").alias("x"), F.col(f"datasetB.{key}").alias("b"), F.col("datasetB._x").alias("y"), "_d").where("a <> b")
-    near = pairs.withColumn("r", F.row_number().over(Window.partitionBy("a").orderBy("_d", "b"))).where(F.col("r") <= k)
-    per = -(-need // few)
-    made = near.groupBy("a").agg(F.first("x").alias("x"), F.sort_array(F.collect_list(F.struct("r", "y"))).alias("near"))  # k neighbours at most
+    scaled = StandardScaler(inputCol="_v", outputCol="_s", withMean=True, withStd=True).fit(minority).transform(minority)
+    scaled = settle(scaled.select(F.col(key).alias("a"), vector_to_array("_s").alias("s"), F.array(*names).alias("x")))
+    draw = random.Random(seed)
+    seen = [_beside(scaled, [draw.gauss(0, 1) for _ in names], k) for _ in range(LINES)]
+    pairs = reduce(DataFrame.union, seen).where("a <> b").dropDuplicates(["a", "b"])
+    near = pairs.withColumn("r", F.row_number().over(Window.partitionBy("a").orderBy("d", "b"))).where(F.col("r") <= k)
+    made = settle(near.groupBy("a").agg(F.first("x").alias("x"), F.sort_array(F.collect_list(F.struct("r", "y"))).alias("near")))  # k neighbours at most
+    per = -(-need // max(1, made.count()))
     made = made.withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(per - 1))))
     pick = F.pmod(F.xxhash64(F.lit(seed), "a", "i"), F.size("near")).cast("int")
     step = F.pmod(F.xxhash64(F.lit(seed + 1), "a", "i"), F.lit(1 << 20)) / float(1 << 20)
-    made = made.select("a", "i", F.zip_with("x", F.get("near", pick)["y"], lambda p, q: p + step * (q - p)).alias("n"))
-    new = made.orderBy(F.xxhash64(F.lit(seed + 2), "a", "i"), "a", "i").limit(need)
-    return plain.unionByName(new.select(F.lit(1).alias(label), *[F.col("n")[j].alias(c) for j, c in enumerate(names)]))
+    made = made.select(F.struct("a", "i").alias("id"), F.lit(1).alias(label), F.shiftrightunsigned(F.xxhash64(F.lit(seed + 2), "a", "i"), 64 - DRAW_BITS).alias("place"), F.zip_with("x", F.get("near", pick)["y"], lambda p, q: p + step * (q - p)).alias("n"))
+    new = ranked(made, "place", "id", label).where(F.col("_rank") < need)
+    return plain.unionByName(new.select(label, *[F.col("n")[j].alias(c) for j, c in enumerate(names)]))
+
+
+#: Directions along which oversample() looks for neighbours.
+LINES = 4
+
+
+def _beside(rows: DataFrame, direction: list[float], k: int) -> DataFrame:
+    """rows: (a, s, x). (a, x, b, y, d): the k rows on either side of each along a direction, with their distance."""
+    along = reduce(lambda p, q: p + q, [F.lit(c) * F.col("s")[j] for j, c in enumerate(direction)])
+    dealt = settle(rows.withColumn("at", along).repartitionByRange("at", "a").withColumn("part", F.spark_partition_id()))
+    window = Window.partitionBy("part").orderBy("at", "a").rowsBetween(-k, k)
+    # 2 k + 1 rows at most
+    other = dealt.withColumn("near", F.collect_list(F.struct("a", "s", "x")).over(window)).withColumn("o", F.explode("near"))
+    far = F.aggregate(F.zip_with("s", "o.s", lambda p, q: (p - q) * (p - q)), F.lit(0.0), lambda p, q: p + q)
+    return other.select("a", "x", F.col("o.a").alias("b"), F.col("o.x").alias("y"), far.alias("d"))

@@ -548,7 +548,7 @@ def model_scores(spark: SparkSession, d: str) -> DataFrame:
 def model_comparison(spark: SparkSession, d: str) -> DataFrame:
     """A linear model and a forest: trained, tuned by cost on validation rows, measured on test rows."""
     rows, names = numeric_features(spark, d)
-    split = T.stratified_split(rows).persist()
+    split = settle(T.stratified_split(rows))
     parts = [split.where(F.col("split") == p) for p in ("train", "validation", "test")]
     kinds = {"logreg": {"maxIter": 20}, "rf": {"numTrees": 20, "maxDepth": 6}}
     return reduce(DataFrame.unionByName, (T.train_and_tune(*parts, names, kind, **params)[1] for kind, params in kinds.items()))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..durable import exists
@@ -46,12 +46,15 @@ def write_metrics(metrics: DataFrame, root: str, batch: str | None = None) -> No
 
 
 def write_feeds(tx: DataFrame, out: str, form: str = "csv") -> dict[str, int]:
-    """The ledger as three feeds under `out`; how many rows each has, counted while they are written."""
+    """The ledger as three feeds under `out`; how many rows each has, counted in what was written.
+
+    An Observation would spare the second read, but a session that has used one can't ship Spark ML
+    models with a training summary to its tasks any more (its observation manager isn't serializable).
+    """
     counts = {}
     for name, rows in wire_feeds(tx).items():
-        seen = Observation(name)
-        rows.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("overwrite").option("header", True).format(form).save(f"{out}/{name}")
-        counts[name] = seen.get["n"]
+        rows.write.mode("overwrite").option("header", True).format(form).save(f"{out}/{name}")
+        counts[name] = tx.sparkSession.read.option("header", True).schema(rows.schema).format(form).load(f"{out}/{name}").count()
     return counts
 
 
