@@ -46,6 +46,13 @@ def test_conversations_with_nulls_ties_and_repeats(spark):
     assert chat.conversation_digests(chat.format_turns(df.limit(0))).count() == 0
 
 
+def test_null_and_empty_roles_tie_and_long_conversations(spark):
+    rows = [(1, 0, None, "b"), (1, 0, "", "a")] + [(2, i, "assistant", "x" * 200) for i in range(20_000)] + [(3, 0, "assistant", "[INST]" * 100_000)]
+    got = {r.conv_id: r for r in chat.conversation_digests(chat.format_turns(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))).collect()}
+    assert got[1].turns_sha256 == hashlib.sha256(b"\na\n\nb\n").hexdigest()
+    assert (got[2].n_turns, got[2].loss_chars) == (20_000, 4_000_000) and got[3].loss_sha256 == hashlib.sha256(b"[INST]" * 100_000).hexdigest()
+
+
 @pytest.fixture(scope="module")
 def reference():
     ranks = bpe.read_ranks(P.path("byte_bpe_50k.tiktoken"))

@@ -208,9 +208,10 @@ class Encoder:
 class Decoder:
     """The bytes of each id, by the inverse of the byte table."""
 
-    def __init__(self, definition: str) -> None:
+    def __init__(self, definition: str | Tokenizer) -> None:
         back = {c: b for b, c in byte_table().items()}
-        vocab = Tokenizer.from_str(definition).get_vocab(with_added_tokens=True)
+        tokenizer = Tokenizer.from_str(definition) if isinstance(definition, str) else definition
+        vocab = tokenizer.get_vocab(with_added_tokens=True)
         tokens: list[bytes] = [b""] * (max(vocab.values(), default=-1) + 1)
         for token, i in vocab.items():
             tokens[i] = bytes(back[c] for c in token) if all(c in back for c in token) else token.encode()
@@ -272,7 +273,7 @@ class Vocabulary:
 
     def decoder(self) -> Decoder:
         encoder, decoder = self._own()
-        decoder = decoder or Decoder(self.sent.value)
+        decoder = decoder or Decoder(encoder.tokenizer if encoder else self.sent.value)
         Vocabulary._held = (self.key, encoder, decoder)
         return decoder
 
@@ -326,9 +327,9 @@ def encoding_digests(docs: DataFrame, definition: str, doc_id: str = "doc_id", t
     vocabulary = Vocabulary(docs.sparkSession, definition, True)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        decoder = vocabulary.decoder()
-        decimal = pa.array([f"{i} ".encode() for i in range(len(decoder.tokens))], pa.binary())
         with vocabulary.encoder() as encoder:
+            decoder = vocabulary.decoder()
+            decimal = pa.array([f"{i} ".encode() for i in range(len(decoder.tokens))], pa.binary())
             for b in text_slices(batches, 1):
                 texts = b.column(1).cast(pa.binary()).fill_null(b"")
                 n, of_ids, of_text, split, same = [], [], [], [], []

@@ -10,7 +10,7 @@ in the next mark; a conversation is therefore the concatenation of its turns in
 can be checked by itself, before any shuffle.
 
 Defined cases: a null role or text is the empty string; a null conv_id is a conversation of its own;
-turns are ordered by (turn, role, text) with nulls first, and repeated rows are repeated turns; an
+turns are ordered by (turn, role, text), a null turn first, and repeated rows are repeated turns; an
 empty table gives an empty result. Other columns of the input are ignored.
 """
 
@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import slices, table
 
 #: Marks of the template, in the order in which a turn has them.
 BOS, INST, END_INST, EOS = "<s>", "[INST]", "[/INST]", "</s>"
@@ -90,7 +90,7 @@ def format_turn(role: str, text: str) -> tuple[str, int, int]:
 
 
 def _format(batches: Iterator[pa.RecordBatch], loss_roles: tuple[str, ...]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
+    for b in slices(batches):
         roles = [x or "" for x in b.column("role").to_pylist()]
         texts = [x or "" for x in b.column("text").to_pylist()]
         done = [format_turn(r, t) for r, t in zip(roles, texts, strict=True)]
@@ -111,7 +111,8 @@ def format_turns(turns: DataFrame, loss_roles: tuple[str, ...] = LOSS_ROLES) ->
     [loss_begin, loss_end) in code points, null where the turn has no loss. Rows of a conversation
     stand together in one partition, sorted on disk; no conversation is ever held in memory.
     """
-    rows = turns.select(F.col("conv_id").cast("long"), F.col("turn").cast("long"), F.col("role").cast("string"), F.col("text").cast("string"))
+    empty = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c)
+    rows = turns.select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), empty("role"), empty("text"))
     schema = "conv_id long, turn long, role string, text string, segment string, loss_begin long, loss_end long"
     formatted = rows.mapInArrow(lambda it: _format(it, loss_roles), schema)
     return formatted.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text").drop("role", "text")
