@@ -376,6 +376,39 @@ def test_mix_meets_its_targets(spark):
     assert mixing.mix_sources(df.limit(0)).count() == 0
 
 
+def test_shards_hold_what_their_drawn_counts_say(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    monkeypatch.setattr(mixing, "SHARD_SLOTS", 16)
+    monkeypatch.setattr(mixing, "_CHUNK", 8)
+    docs = [(i, "ab"[i % 3 == 0], "w " * (40 * (i % 50))) for i in range(200)] + [(900, None, "x " * 3000), (901, "none", "")]
+    df = spark.createDataFrame(docs, "doc_id long, source string, text string")
+    sizes = df.groupBy("source").agg(F.sum(mixing.word_count()).alias("source_size"))
+    targets = mixing.source_targets(sizes).cache()
+    plan = {r.key: r for r in mixing.slot_plan(targets).collect()}
+    drawn = mixing.shard_draw(mixing.slot_plan(targets)).collect()
+    shards = next(iter(plan.values())).shards
+    assert shards == -(-sum(p.n for p in plan.values()) // 16) > 8
+    for key, p in plan.items():
+        own = sorted((r.shard, r["first"], r.slots) for r in drawn if r.key == key)
+        assert [f for _, f, _ in own] == [sum(n for _, _, n in own[:i]) for i in range(len(own))]
+        assert sum(n for _, _, n in own) == p.n and all(0 <= s < shards for s, _, _ in own)
+        # a multinomial draw: counts vary, within five standard deviations
+        counts = [dict((s, n) for s, _, n in own).get(s, 0) for s in range(shards)]
+        assert max(abs(c - p.n / shards) for c in counts) < 5 * (p.n / shards) ** 0.5 + 1
+        assert p.n < 3 * shards or len(set(counts)) > 1
+    mix = mixing.slots(targets).collect()
+    assert Counter((r.key, r.shard) for r in mix) == Counter({(r.key, r.shard): r.slots for r in drawn})
+    assert sorted((r.key, r.slot) for r in mix) == sorted((k, i) for k, p in plan.items() for i in range(p.n))
+    # the rows of the shards are what documents give to the mix
+    rows, sized = mixing.shard_rows(df).collect(), {d: len(t.split()) for d, _, t in docs}
+    assert all(r["first"] >= 0 and r["first"] + r.words <= sized[r.doc_id] for r in rows)
+    given = Counter()
+    for r in rows:
+        given[r.doc_id] += r.words
+    assert {r.doc_id: r.taken for r in mixing.mix_sources(df).collect() if r.taken} == dict(given)
+
+
 # --- pipeline
 
 

@@ -4,10 +4,13 @@ The words of a source are one stream: its documents in order of (hash bucket, do
 stream is cut into blocks of BLOCK words and a shorter tail. A source's target is met in epochs over
 its blocks; every epoch reads the blocks in an order of its own, a keyed permutation of the indexes
 that is evaluated index by index (a four-round Feistel network over a rectangle, walked until it falls
-inside the range), and the last epoch stops at the target. Each read is a slot. A slot is dealt to
-an output shard by a keyed hash, which makes the counts of a source over the shards one multinomial
-draw with the source's slots as its total, so the target is met whatever the draw. Blocks are then
-joined to documents by (source, index).
+inside the range), and the last epoch stops at the target. Each read is a slot.
+
+The mix is cut into output shards of about SHARD_SLOTS slots. How many slots a shard takes of each
+source is a multinomial draw, made slot by slot with a keyed hash and counted; it has the source's slots
+as its total, so targets are met whatever is drawn. The counts decide which slots a shard has: those
+after the slots of the shards before it. A shard maps its slots through the permutations to block
+indexes, and blocks are joined to documents by (source, index).
 
 Targets: sources in code-point order, null last, weigh 5, 2, 1, repeating, and share all words by
 weight; a target stops at MOST times its source's size and the rest is shared again until none is
@@ -30,7 +33,7 @@ from .common import free_names, partitions, settle, table
 
 WEIGHTS, MOST = (5, 2, 1), 3
 BLOCK, BUCKETS, SHARD_SLOTS, SEED = 512, 512, 1 << 16, 42
-#: Slots that one row unfolds to.
+#: Slots that one row unfolds to at most.
 _CHUNK = 4096
 _WALKS = 12
 WORD = r"[^\x20\x09-\x0D]+"
@@ -88,34 +91,68 @@ def placed_documents(docs: DataFrame, doc_id: str = "doc_id", source: str = "sou
     return settle(placed.select("doc_id", "source", "key", "size", "bucket", "n", "offset"))
 
 
-def slots(targets: DataFrame) -> DataFrame:
-    """The mix: (key, slot, shard, block, words, whole), a row for each block read; words counts from the block's start."""
-    spark = targets.sparkSession
+def slot_plan(targets: DataFrame) -> DataFrame:
+    """(key, source_size, full, epochs, left, per, n, shards), a row for each source: how many slots it has, and how they make up its target."""
     size, want = F.col("source_size"), F.floor("target")
     plan = targets.where(F.col("source_size") > 0).select(
         F.coalesce(F.concat(F.lit("="), F.col("source")), F.lit("")).alias("key"), "source_size",
         F.floor(size / BLOCK).alias("full"), F.floor(want / size).alias("epochs"), (want - F.floor(want / size) * size).alias("left"),
     )
     # an epoch has its full blocks and the tail, the last one only what it needs
-    per = F.col("full") + 1
-    plan = plan.withColumn("n", F.col("epochs") * per + F.when(F.col("left") > F.col("full") * BLOCK, per).otherwise(F.ceil(F.col("left") / BLOCK)))
-    total = F.sum("n").over(Window.partitionBy())
-    plan = plan.where(F.col("n") > 0).withColumn("shards", F.ceil(total / SHARD_SLOTS))
-    chunks = plan.withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("n") - 1) / _CHUNK)))).repartition(partitions(spark), "key", "chunk")
-    each = chunks.withColumn("slot", F.explode(F.sequence(F.col("chunk") * _CHUNK, F.least(F.col("chunk") * _CHUNK + _CHUNK, F.col("n")) - 1)))
-    epoch, at = F.floor(F.col("slot") / per), F.pmod(F.col("slot"), per)
-    each = each.withColumn("epoch", epoch).withColumn("at", at)
+    plan = plan.withColumn("per", F.col("full") + 1)
+    last = F.when(F.col("left") > F.col("full") * BLOCK, F.col("per")).otherwise(F.ceil(F.col("left") / BLOCK))
+    plan = plan.withColumn("n", F.col("epochs") * F.col("per") + last).where(F.col("n") > 0)
+    return plan.withColumn("shards", F.ceil(F.sum("n").over(Window.partitionBy()) / SHARD_SLOTS))
+
+
+def shard_draw(plan: DataFrame) -> DataFrame:
+    """slot_plan() with (shard, slots, first): the source counts of each shard that has any, and the first slot of its source.
+
+    Each of a source's n slots chooses a shard, so its counts over the shards are one multinomial draw of n.
+    """
+    chunks = plan.withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("n") - 1) / _CHUNK))))
+    chunks = chunks.repartition(partitions(plan.sparkSession), "key", "chunk")
+    draws = chunks.withColumn("draw", F.explode(F.sequence(F.col("chunk") * _CHUNK, F.least(F.col("chunk") * _CHUNK + _CHUNK, F.col("n")) - 1)))
+    shard = F.pmod(F.xxhash64(F.lit(SEED), F.lit("shard"), "key", "draw"), F.col("shards"))
+    counts = draws.groupBy(*plan.columns, shard.alias("shard")).agg(F.count(F.lit(1)).alias("slots"))
+    before = Window.partitionBy("key").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
+    return counts.withColumn("first", F.coalesce(F.sum("slots").over(before), F.lit(0)))
+
+
+def slots(targets: DataFrame) -> DataFrame:
+    """The mix: (key, shard, slot, block, words, whole), a row for each block read; words counts from the block's start."""
+    spark = targets.sparkSession
+    # counts of at most _CHUNK slots, so that a row doesn't unfold to more
+    part = F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("slots") - 1) / _CHUNK)))
+    parts = shard_draw(slot_plan(targets)).withColumn("part", part).repartition(partitions(spark), "key", "shard", "part")
+    begin = F.col("first") + F.col("part") * _CHUNK
+    end = F.least(begin + _CHUNK, F.col("first") + F.col("slots"))
+    each = parts.withColumn("slot", F.explode(F.sequence(begin, end - 1)))
+    each = each.withColumn("epoch", F.floor(F.col("slot") / F.col("per"))).withColumn("at", F.pmod(F.col("slot"), F.col("per")))
+    size = F.col("source_size")
     length = F.when(F.col("at") < F.col("full"), F.lit(BLOCK)).otherwise(size - F.col("full") * BLOCK)
     limit = F.when(F.col("epoch") < F.col("epochs"), size).otherwise(F.col("left"))
     block = F.when(F.col("at") < F.col("full"), permuted(F.col("at"), F.col("full"), F.col("key"), F.col("epoch"))).otherwise(F.col("full"))
     each = each.withColumn("length", length).withColumn("words", F.least(F.col("length"), F.greatest(F.lit(0), limit - F.col("at") * BLOCK)))
-    shard = F.pmod(F.xxhash64(F.lit(SEED), "key", "slot"), F.col("shards"))
-    return each.select("key", "slot", shard.alias("shard"), block.alias("block"), "words", (F.col("words") == F.col("length")).alias("whole")).where(F.col("words") > 0)
+    return each.select("key", "shard", "slot", block.alias("block"), "words", (F.col("words") == F.col("length")).alias("whole")).where(F.col("words") > 0)
 
 
-def shard_counts(mix: DataFrame) -> DataFrame:
-    """(shard, key, slots, words): the draw, as a table."""
-    return mix.groupBy("shard", "key").agg(F.count(F.lit(1)).alias("slots"), F.sum("words").alias("words"))
+def _pieces(placed: DataFrame) -> DataFrame:
+    """placed_documents() with a row for each block that a document has words in: block, and from and to in it."""
+    end = F.col("offset") + F.col("size")
+    blocks = F.sequence(F.floor(F.col("offset") / BLOCK), F.floor(F.greatest(F.col("offset"), end - 1) / BLOCK))
+    cut = placed.withColumn("block", F.explode(blocks))
+    return cut.withColumn("from", F.greatest(F.col("offset") - F.col("block") * BLOCK, F.lit(0))).withColumn("to", F.least(end - F.col("block") * BLOCK, F.lit(BLOCK)))
+
+
+def shard_rows(docs: DataFrame, doc_id: str = "doc_id", source: str = "source", text: str = "text") -> DataFrame:
+    """The shards themselves: (shard, key, slot, doc_id, first, words), words of a document from its word `first` on, for each slot."""
+    placed = placed_documents(docs, doc_id, source, text)
+    targets = settle(source_targets(placed.groupBy("source").agg(F.sum("size").alias("source_size"))))
+    joined = _pieces(placed.where(F.col("size") > 0)).join(slots(targets), ["key", "block"])
+    words = F.least(F.col("to"), F.col("words")) - F.col("from")
+    first = F.col("block") * BLOCK + F.col("from") - F.col("offset")
+    return joined.select("shard", "key", "slot", "doc_id", first.alias("first"), words.alias("words")).where(F.col("words") > 0)
 
 
 def mix_sources(docs: DataFrame, doc_id: str = "doc_id", source: str = "source", text: str = "text") -> DataFrame:
@@ -124,12 +161,8 @@ def mix_sources(docs: DataFrame, doc_id: str = "doc_id", source: str = "source",
     targets = settle(source_targets(placed.groupBy("source").agg(F.sum("size").alias("source_size"))))
     # at most one read of a block is not whole: the last of its source
     used = slots(targets).groupBy("key", "block").agg(F.sum(F.col("whole").cast("long")).alias("copies"), F.max(F.when(~F.col("whole"), F.col("words"))).alias("part"))
-    end = F.col("offset") + F.col("size")
-    blocks = F.sequence(F.floor(F.col("offset") / BLOCK), F.floor(F.greatest(F.col("offset"), end - 1) / BLOCK))
-    cut = placed.withColumn("block", F.explode(blocks))
-    cut = cut.withColumn("from", F.greatest(F.col("offset") - F.col("block") * BLOCK, F.lit(0))).withColumn("to", F.least(end - F.col("block") * BLOCK, F.lit(BLOCK)))
     taken = F.coalesce(F.col("copies"), F.lit(0)) * (F.col("to") - F.col("from")) + F.greatest(F.lit(0), F.least(F.col("to"), F.coalesce(F.col("part"), F.lit(0))) - F.col("from"))
-    sums = cut.join(used, ["key", "block"], "left").groupBy("doc_id", "source", "key", "bucket", "n", "size").agg(F.sum(taken).alias("taken"))
+    sums = _pieces(placed).join(used, ["key", "block"], "left").groupBy("doc_id", "source", "key", "bucket", "n", "size").agg(F.sum(taken).alias("taken"))
     own = targets.select(F.coalesce(F.concat(F.lit("="), F.col("source")), F.lit("")).alias("key"), "source_size", "target")
     return sums.join(own, "key").select("doc_id", "source", "size", "source_size", "target", "taken")
 
