@@ -284,3 +284,75 @@ def test_wrapped_notices(spark):
         whole = len(t) > 100
         assert [(licences.RULES[h.rule][0], len(licences.RULES[h.rule][1]) > 1, h.times) for h in rows[i].hits] == ([(n, whole, 1)] if n else []), t
     assert [(x.place, x.id) for x in rows[1].ids] == [(2, "apache-notice"), (3, "apache-may-not-use"), (4, "apache-obtain"), (8, "apache-as-is"), (11, "apache-see")]
+
+
+GPL_V2 = GPL.replace("either version 3", "either version 2").replace("software: you", "software; you").replace("Foundation, either", "Foundation; either")
+LGPL = """This library is free software; you can redistribute it and/or
+modify it under the terms of the GNU Lesser General Public
+License as published by the Free Software Foundation; either
+version 2.1 of the License, or (at your option) any later version.
+
+This library is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the GNU
+Lesser General Public License for more details.
+"""
+MPL = """This Source Code Form is subject to the terms of the Mozilla Public
+License, v. 2.0. If a copy of the MPL was not distributed with this
+file, You can obtain one at https://mozilla.org/MPL/2.0/.
+"""
+ISC = """ISC License
+
+Copyright (c) 2020, Some One
+
+Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted, provided that the above
+copyright notice and this permission notice appear in all copies.
+
+THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES
+WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF
+MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR
+ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES
+WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN
+ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF
+OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE.
+"""
+UNLICENSE = """This is free and unencumbered software released into the public domain.
+
+Anyone is free to copy, modify, publish, use, compile, sell, or
+distribute this software, either in source code form or as a compiled
+binary, for any purpose, commercial or non-commercial, and by any
+means.
+"""
+BOOST = """Boost Software License - Version 1.0 - August 17th, 2003
+
+Permission is hereby granted, free of charge, to any person or organization
+obtaining a copy of the software and accompanying documentation covered by
+this license (the "Software") to use, reproduce, display, distribute,
+execute, and transmit the Software, and to prepare derivative works of the
+Software, and to permit third-parties to whom the Software is furnished to
+do so, all subject to the following:
+"""
+ZLIB = """  This software is provided 'as-is', without any express or implied
+  warranty.  In no event will the authors be held liable for any damages
+  arising from the use of this software.
+
+  Permission is granted to anyone to use this software for any purpose,
+  including commercial applications, and to alter it and redistribute it
+  freely, subject to the following restrictions:
+"""
+
+
+def test_further_notices(spark):
+    linux = GPL_V2.replace("License as published by", "License version 2 as published by").replace("Foundation; either version 2 of the License, or\n    (at your option) any later version.", "Foundation.")
+    lgpl3 = LGPL.replace("2.1 of", "3 of")
+    agpl = GPL.replace("GNU General", "GNU Affero General")
+    cases = [
+        (GPL_V2, "GPL-2.0-or-later"), (linux, "GPL-2.0-only"), (LGPL, "LGPL-2.1-or-later"), (lgpl3, "LGPL-3.0-or-later"), (agpl, "AGPL-3.0-or-later"), (MPL, "MPL-2.0"), (MPL.replace("https", "http"), "MPL-2.0"),
+        (ISC, "ISC"), (ISC.replace("and/or", "and"), "ISC"), (UNLICENSE, "Unlicense"), (BOOST, "BSL-1.0"), ("Distributed under the Boost Software License, Version 1.0.\n(See accompanying file)", "BSL-1.0"), (ZLIB, "Zlib"),
+    ]
+    cases += [("".join(f" * {x}\n" for x in t.splitlines()), n) for t, n in cases] + [(MPL.split("v. 2.0")[0] + "v. 2.0.", None), (GPL_V2.split("See the")[0], None)]
+    df = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(cases)], "doc_id long, text string")
+    rows = {r.doc_id: r for r in licences.match_rules(df).collect()}
+    for i, (t, n) in enumerate(cases):
+        assert [(licences.RULES[h.rule][0], h.times) for h in rows[i].hits] == ([(n, 1)] if n else []), t

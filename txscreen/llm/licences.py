@@ -39,6 +39,25 @@ SENTENCES = {
     "gpl-redistribute": "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 3 of the license or at your option any later version",
     "gpl-hope": "this program is distributed in the hope that it will be useful but without any warranty without even the implied warranty of merchantability or fitness for a particular purpose",
     "gpl-details": "see the gnu general public license for more details",
+    "gpl2-redistribute": "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 2 of the license or at your option any later version",
+    "gpl2-only-redistribute": "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license version 2 as published by the free software foundation",
+    "lgpl2-redistribute": "this library is free software you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation either version 2 1 of the license or at your option any later version",
+    "lgpl3-redistribute": "this library is free software you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation either version 3 of the license or at your option any later version",
+    "lgpl-hope": "this library is distributed in the hope that it will be useful but without any warranty without even the implied warranty of merchantability or fitness for a particular purpose",
+    "lgpl-details": "see the gnu lesser general public license for more details",
+    "agpl-redistribute": "this program is free software you can redistribute it and or modify it under the terms of the gnu affero general public license as published by the free software foundation either version 3 of the license or at your option any later version",
+    "agpl-details": "see the gnu affero general public license for more details",
+    "mpl-subject": "this source code form is subject to the terms of the mozilla public license v",
+    "mpl-obtain": "if a copy of the mpl was not distributed with this file you can obtain one at http mozilla org mpl 2 0",
+    "isc-grant": "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies",
+    "isc-as-is": "the software is provided as is and the author disclaims all warranties with regard to this software including all implied warranties of merchantability and fitness",
+    "isc-liability": "in no event shall the author be liable for any special direct indirect or consequential damages or any damages whatsoever resulting from loss of use data or profits whether in an action of contract negligence or other tortious action arising out of or in connection with the use or performance of this software",
+    "unlicense-public": "this is free and unencumbered software released into the public domain",
+    "unlicense-anyone": "anyone is free to copy modify publish use compile sell or distribute this software either in source code form or as a compiled binary for any purpose commercial or non commercial and by any means",
+    "boost-notice": "distributed under the boost software license version 1 0",
+    "boost-grant": "permission is hereby granted free of charge to any person or organization obtaining a copy of the software and accompanying documentation covered by this license the software to use reproduce display distribute execute and transmit the software and to prepare derivative works of the software and to permit third parties to whom the software is furnished to do so all subject to the following",
+    "zlib-as-is": "this software is provided as is without any express or implied warranty",
+    "zlib-grant": "permission is granted to anyone to use this software for any purpose including commercial applications and to alter it and redistribute it freely subject to the following restrictions",
     "bsd-grant": "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met",
     "bsd-source": "redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer",
     "bsd-binary": "redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer in the documentation and or other materials provided with the distribution",
@@ -53,7 +72,18 @@ RULES = (
     ("BSD-3-Clause", ("bsd-grant", "bsd-source", "bsd-binary", "bsd-endorse")),
     ("BSD-2-Clause", ("bsd-grant", "bsd-source", "bsd-binary")),
     ("GPL-3.0-or-later", ("gpl-redistribute", "gpl-hope", "gpl-details")),
+    ("GPL-2.0-or-later", ("gpl2-redistribute", "gpl-hope", "gpl-details")),
+    ("GPL-2.0-only", ("gpl2-only-redistribute", "gpl-hope", "gpl-details")),
+    ("LGPL-2.1-or-later", ("lgpl2-redistribute", "lgpl-hope", "lgpl-details")),
+    ("LGPL-3.0-or-later", ("lgpl3-redistribute", "lgpl-hope", "lgpl-details")),
+    ("AGPL-3.0-or-later", ("agpl-redistribute", "gpl-hope", "agpl-details")),
+    ("ISC", ("isc-grant", "isc-as-is", "isc-liability")),
+    ("MPL-2.0", ("mpl-subject", "mpl-obtain")),
+    ("Unlicense", ("unlicense-public", "unlicense-anyone")),
+    ("Zlib", ("zlib-as-is", "zlib-grant")),
     ("Apache-2.0", ("apache-notice",)),
+    ("BSL-1.0", ("boost-grant",)),
+    ("BSL-1.0", ("boost-notice",)),
     ("MIT", ("mit-notice",)),
     ("GPL-3.0-only", ("gpl3-notice",)),
     ("CC-BY-NC-4.0", ("cc-by-nc-notice",)),
@@ -67,6 +97,8 @@ VARIANTS = (
     ("the asf licenses this file to you under the apache license version 2 0 the license you may not use this file except in compliance with the license", ("apache-notice", "apache-may-not-use")),
     ("you may obtain a copy of the license at https? www apache org licenses license 2 0", ("apache-obtain",)),
     ("the above copyright notice and this permission notice including the next paragraph shall be included in all copies or substantial portions of the software", ("mit-include",)),
+    ("if a copy of the mpl was not distributed with this file you can obtain one at https mozilla org mpl 2 0", ("mpl-obtain",)),
+    ("permission to use copy modify and distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies", ("isc-grant",)),
     (r"neither the name of (?:[a-z0-9]++ \x1f?){1,12}?nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission", ("bsd-endorse",)),
 )
 #: A sentence ends at a line end, or after a mark that doesn't repeat, before blanks.
