@@ -190,6 +190,21 @@ def _found(docs: DataFrame, doc_id: str, text: str) -> tuple[DataFrame, DataFram
     return scanned, base.drop("instance").withColumn("added", F.lit(False)).unionByName(added.withColumn("added", F.lit(True)))
 
 
+def discovery_recall(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", folds: int = 10) -> DataFrame:
+    """(kind, hidden, found, discovered) of a run that doesn't know every `folds`-th identifier, chosen by a hash.
+
+    hidden are the base spans of those identifiers, found those of them that the patterns discover with the same
+    kind and ends, and discovered all spans that they discover. A kind without hidden or discovered spans has no row.
+    """
+    scanned = scan(docs, doc_id, text)
+    base = settle(base_spans(scanned).withColumn("hide", F.pmod(F.xxhash64("instance"), F.lit(folds)) == 0))
+    added = bootstrap(occurrences(scanned, base.where(~F.col("hide")).drop("hide")))
+    hidden = base.where("hide").select("uid", "kind", "start", "end", F.lit(1).alias("h"))
+    both = hidden.join(added.withColumn("a", F.lit(1)), ["uid", "kind", "start", "end"], "full")
+    name = F.element_at(F.array(*map(F.lit, KINDS)), F.col("kind") + 1)
+    return both.groupBy(name.alias("kind")).agg(F.count("h").alias("hidden"), F.count(F.when(F.col("h") == F.col("a"), 1)).alias("found"), F.count("a").alias("discovered"))
+
+
 def find_personal_data(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, key, base, added), a row for each document; base and added are arrays of (kind, start, end)."""
     scanned, both = _found(docs, doc_id, text)
