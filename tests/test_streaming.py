@@ -142,3 +142,40 @@ def test_exports_and_report_inputs(spark, tmp_path):
     assert got.producer_ts == got.event_time and got.schema_version == 1
     timed = sinks.stage_timings(tx.select(F.concat(F.lit("bench:r9:"), F.col("event_id")).alias("event_id")), F.current_timestamp(), F.current_timestamp())
     assert timed.count() == tx.count() and timed.first().benchmark_run_id == "r9"
+
+
+def test_concurrent_marks_are_all_kept(spark, tmp_path):
+    from concurrent.futures import ThreadPoolExecutor
+
+    from txscreen.streaming.ledger import Batches
+
+    root, n = str(tmp_path), 100
+    books = [Batches(root, f"q{k}") for k in range(8)]
+    with ThreadPoolExecutor(8) as pool:
+        made = list(pool.map(lambda b: [b.mark(spark, i) for i in range(n)], books))
+    assert all(all(m) for m in made)
+    assert all(b.done(spark, i) for b in books for i in range(n)) and not any(b.done(spark, n) for b in books)
+    # eight writers of one query
+    one = Batches(root, "shared")
+    with ThreadPoolExecutor(8) as pool:
+        made = list(pool.map(lambda i: one.mark(spark, i), range(8 * n)))
+    assert all(made) and all(one.done(spark, i) for i in range(8 * n))
+    # a batch is marked once
+    assert not one.mark(spark, 8 * n - 1) and not one.mark(spark, 0)
+
+
+def test_the_ledger_stays_small(spark, tmp_path):
+    from txscreen.durable import names
+    from txscreen.streaming.ledger import Batches
+
+    book = Batches(str(tmp_path), "q")
+    for i in range(1000):
+        if i != 500:
+            book.mark(spark, i)
+    # what comes after a gap is kept by file until the gap is closed
+    assert book.upto(spark) == 499 and book.done(spark, 999) and not book.done(spark, 500)
+    book.mark(spark, 500)
+    for i in range(1000, 1088):
+        book.mark(spark, i)
+    assert book.upto(spark) == 1087 and book.done(spark, 3) and not book.done(spark, 1088)
+    assert len(names(spark, book.path)) + len(names(spark, f"{book.path}/_upto")) <= 4

@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -36,5 +37,52 @@ def fresh_path(spark: SparkSession, name: str) -> str:
 
 def exists(spark: SparkSession, path: str) -> bool:
     """Whether there is something at a path, in whatever store it is."""
+    files, place = _at(spark, path)
+    return files.exists(place)
+
+
+def _at(spark: SparkSession, path: str):
+    """(file system, path) of a path, in whatever store it is."""
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def create_once(spark: SparkSession, path: str, text: str) -> bool:
+    """Creates a small file if there is none; False if there is one. The store decides who comes first."""
+    files, place = _at(spark, path)
+    try:
+        out = files.create(place, False)
+    except Py4JJavaError as e:
+        if "AlreadyExists" in e.java_exception.getClass().getName():
+            return False
+        raise
+    out.write(text.encode())
+    out.close()
+    return True
+
+
+def names(spark: SparkSession, path: str) -> list[str]:
+    """The names of what a folder has; none if there is no such folder."""
+    files, place = _at(spark, path)
+    try:
+        return sorted(x.getPath().getName() for x in files.listStatus(place))
+    except Py4JJavaError as e:
+        if "FileNotFound" in e.java_exception.getClass().getName():
+            return []
+        raise
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small file."""
+    files, place = _at(spark, path)
+    stream = files.open(place)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Deletes a file or a folder with all it has, if it is there."""
+    files, place = _at(spark, path)
+    files.delete(place, True)

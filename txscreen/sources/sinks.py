@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
@@ -17,10 +18,14 @@ LAYOUT = {
 }
 
 
-def write_table(rows: DataFrame, root: str, name: str, batch: str | None = None, mode: str = "append") -> None:
-    """Appends, or with a batch name replaces what that batch wrote before: a folder of its own for each batch."""
-    path = f"{root}/{name}" + (f"/batch={batch}" if batch is not None else "")
-    rows.write.mode("overwrite" if batch is not None else mode).partitionBy(*LAYOUT.get(name, ())).parquet(path)
+def own_folder(path: str, batch: str | None) -> str:
+    """A folder of a write's own: concurrent writes into one folder delete each other's files. A batch has the same one each time."""
+    return f"{path}/batch={batch if batch is not None else uuid.uuid4().hex}"
+
+
+def write_table(rows: DataFrame, root: str, name: str, batch: str | None = None) -> None:
+    """Adds rows in a folder of their own; with a batch name they replace what that batch wrote before."""
+    rows.write.mode("overwrite").partitionBy(*LAYOUT.get(name, ())).parquet(own_folder(f"{root}/{name}", batch))
 
 
 def transactions(scored: DataFrame) -> DataFrame:
@@ -58,12 +63,12 @@ def write_feeds(tx: DataFrame, out: str, form: str = "csv") -> dict[str, int]:
     return counts
 
 
-def publish(rows: DataFrame, servers: str | None = None, path: str | None = None) -> None:
-    """(key, value, topic) to a broker, or to a folder of JSON files in its place."""
+def publish(rows: DataFrame, servers: str | None = None, path: str | None = None, batch: str | None = None) -> None:
+    """(key, value, topic) to a broker, or to a folder of JSON files in its place, where a batch replaces what it wrote before."""
     if servers:
         rows.write.format("kafka").option("kafka.bootstrap.servers", servers).options(**{"kafka.acks": "all", "kafka.enable.idempotence": "true"}).save()
     else:
-        rows.write.mode("append").partitionBy("topic").json(path)
+        rows.write.mode("overwrite").partitionBy("topic").json(own_folder(path, batch))
 
 
 def unpublished(alerts_: DataFrame, published: DataFrame) -> DataFrame:

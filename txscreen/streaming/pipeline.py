@@ -33,6 +33,7 @@ from ..operators import metrics as M
 from ..operators import rules as R
 from ..sources import sinks
 from ..sources.tables import FEEDS
+from .ledger import Batches
 
 ENVELOPE_DDL = "kafka_key STRING, raw_value STRING, kafka_timestamp TIMESTAMP, partition INT, offset LONG, source_topic STRING"
 WATERMARK, TRIGGER = "10 minutes", "2 seconds"
@@ -98,33 +99,6 @@ def stored(spark: SparkSession, path: str, schema: str | None = None) -> DataFra
     return (spark.read.schema(schema) if schema else spark.read).parquet(path) if exists(spark, path) else None
 
 
-class Batches:
-    """The ledger of finished batches of a query."""
-
-    def __init__(self, root: str, name: str) -> None:
-        self.path, self.name = f"{root}/processed_stream_batches", name
-
-    def done(self, spark: SparkSession, batch: int) -> bool:
-        rows = stored(spark, self.path)
-        return rows is not None and not rows.where((F.col("query_name") == self.name) & (F.col("batch_id") == batch)).isEmpty()
-
-    def mark(self, spark: SparkSession, batch: int) -> None:
-        row = spark.createDataFrame([(batch,)], "batch_id LONG").withColumn("processed_at", F.current_timestamp()).withColumn("query_name", F.lit(self.name))
-        row.coalesce(1).write.mode("append").partitionBy("query_name").parquet(self.path)
-
-    def each(self, act: Callable[[DataFrame, int], None]) -> Callable[[DataFrame, int], None]:
-        """act for a batch that isn't empty and isn't finished yet."""
-
-        def run(rows: DataFrame, batch: int) -> None:
-            spark = rows.sparkSession
-            if self.done(spark, batch) or rows.isEmpty():
-                return
-            act(rows, batch)
-            self.mark(spark, batch)
-
-        return run
-
-
 def start(rows: DataFrame, root: str, name: str, act: Callable[[DataFrame, int], None], trigger: dict | None = None) -> StreamingQuery:
     query = rows.writeStream.outputMode("append").foreachBatch(Batches(root, name).each(act)).option("checkpointLocation", f"{root}/checkpoints/{name}").queryName(name)
     return query.trigger(**(trigger or {"processingTime": TRIGGER})).start()
