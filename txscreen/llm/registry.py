@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, chat, hamming, langid, licences, mixing, pii, simhash, tokenfiles, vectors
+from . import bpe, chat, hamming, importance, langid, licences, mixing, negatives, pii, simhash, tokenfiles, urls, vectors
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_format": chat.op1_chat_format,
@@ -19,6 +19,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_byte_bpe": bpe.op8_byte_bpe,
     "op9_hamming_topk": hamming.op9_hamming_topk,
     "op10_mixing": mixing.op10_mixing,
+    "op11_url_filter": urls.op11_url_filter,
+    "op12_hard_negatives": negatives.op12_hard_negatives,
+    "op13_importance_resampling": importance.op13_importance_resampling,
 }
 
-ORACLE_SQL: dict[str, str] = {"op1_chat_format": chat.SQL, "op7_license_scan": licences.SQL, "op9_hamming_topk": hamming.SQL}
+ORACLE_SQL: dict[str, str] = {"op1_chat_format": chat.SQL, "op7_license_scan": licences.SQL, "op9_hamming_topk": hamming.SQL, "op11_url_filter": urls.SQL, "op12_hard_negatives": negatives.SQL}
