@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from txscreen.config import INBOUND, OUTBOUND, ScreenConfig
-from txscreen.operators.history import with_history
+from txscreen.operators.history import sender_history, with_history
 from txscreen.operators.rules import score
 from txscreen.streaming.pipeline import score_batch
 
@@ -113,3 +113,36 @@ def test_many_rows_of_one_account_in_one_instant(spark):
     rows = spark.range(n).select(i.alias("event_id"), i.alias("seq"), F.lit(600).cast("long").alias("t"), F.lit(10).alias("step"), F.lit("TRANSFER").alias("txn_type"), F.lit(1.0).alias("amount"), F.lit("C1").alias("name_orig"), F.concat(F.lit("M"), i % 5000).alias("name_dest"), *[F.lit(0.0).alias(c) for c in ("oldbalance_org", "newbalance_org", "oldbalance_dest", "newbalance_dest")], F.lit(0).alias("is_fraud"))
     got = with_history(rows).agg(F.max("fan_out_receivers"), F.max("sender_recent_txn_count"), F.count_if(F.col("fan_out_receivers") == F.least(F.col("event_id") + 1, F.lit(5000)))).first()
     assert tuple(got) == (5000, n - 1, n)
+
+
+def test_a_hot_account_over_two_hours(spark):
+    """Each window reaches an eighth of all rows; sums that are added up anew for each instant would take minutes."""
+    import time
+
+    n, i = 300_000, F.col("id")
+    rows = spark.range(n).select(i.alias("event_id"), i.alias("seq"), (i * 7200 / n).cast("long").alias("t"), F.lit("TRANSFER").alias("txn_type"), (i % 1000 / 100.0).alias("amount"), F.lit("C1").alias("name_orig"), F.concat(F.lit("M"), i % 5000).alias("name_dest"))
+    began = time.monotonic()
+    got = sender_history(rows).agg(F.max("sender_recent_txn_count"), F.max("fan_out_receivers"), F.max("sender_recent_total_amount"), F.max("velocity_transactions_1h")).first()
+    took = time.monotonic() - began
+    per = n / 7200
+    assert abs(got[0] - 901 * per) < 2 * per and got[1] == 5000 and abs(got[2] - got[0] * 4.995) < 1000 and abs(got[3] - 3601 * per) < 2 * per
+    assert took < 60
+
+
+def test_history_takes_three_shuffles(spark, data):
+    from txscreen.sources.tables import ledger
+
+    kept = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = with_history(ledger(spark, data))._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", kept)
+    # by account, by receiver, and the pairs' minima; the join with them may add two where they are too many to broadcast
+    assert plan.count("Exchange hashpartitioning") <= 5
+
+
+def test_amounts_that_are_no_numbers_count_as_nothing(spark):
+    rows = [row(1, 60, "TRANSFER", 10, "A", "B"), row(2, 61, "TRANSFER", float("nan"), "A", "B"), row(3, 62, "TRANSFER", float("inf"), "A", "B"), row(4, 63, "TRANSFER", 0.1, "A", "B")]
+    got = with_history(spark.createDataFrame(rows, DDL)).where("event_id = 4").first()
+    assert got.sender_recent_total_amount == 10.0 and got.sender_recent_txn_count == 3

@@ -75,9 +75,10 @@ def test_batches_that_lost_their_marks_count_once(spark, tmp_path):
     root, sent = str(tmp_path), []
     feed(spark, root, "r1")
     sources = lambda: {n: P.file_source(spark, f"{root}/in/{n}") for n in ("transactions", "sender_state", "receiver_state")}
-    publish = lambda rows: sent.extend(rows.collect())
-    everything = lambda: (run(P.integrate(sources(), root, ONCE)), run([P.score(spark, root, trigger=ONCE, run="r1", publish=publish)]), run(P.window_queries(spark, root, ONCE)))
-    counts = lambda: [spark.read.parquet(f"{root}/{n}").count() for n in ("model_predictions_by_day", "transactions_by_day", "account_state_by_account", "history")]
+    publish = lambda rows, batch: sent.extend(rows.collect())
+    everything = lambda: (run(P.integrate(sources(), root, ONCE)), run([P.score(spark, root, trigger=ONCE)]), run([P.publish_alerts(spark, root, "r1", publish, ONCE)]), run(P.window_queries(spark, root, ONCE)))
+    history = lambda: spark.read.option("recursiveFileLookup", "true").parquet(f"{root}/history/data").count()
+    counts = lambda: [spark.read.parquet(f"{root}/{n}").count() for n in ("model_predictions_by_day", "transactions_by_day", "account_state_by_account")] + [history()]
     everything()
     before, alerts = counts(), len(sent)
     # the integrate query forgets that it is done, and writes its batches again
@@ -92,18 +93,168 @@ def test_batches_that_lost_their_marks_count_once(spark, tmp_path):
 def test_alerts_are_published_once_for_each_run(spark, tmp_path):
     from txscreen.operators import history as H
     from txscreen.operators import rules as R
+    from txscreen.operators.decode import predictions
     from txscreen.sources import sinks
     from txscreen.sources.tables import ledger
 
     sent, root = [], str(tmp_path)
     scored = R.score(H.with_history(ledger(spark, "/root/testdata/sf0.001"))).where("event_id < 400").persist()
     n = scored.where("is_alert").count()
-    publish = lambda rows: sent.extend(r.key for r in rows.collect())
+    publish = lambda rows, batch: sent.extend(r.key for r in rows.collect())
     for name, batch in (("a", "0"), ("a", "1"), ("b", "2")):
-        sinks.publish_alerts(scored, root, name, batch, publish)
+        sinks.write_table(predictions(scored), root, "model_predictions_by_day", batch)
+        run([P.publish_alerts(spark, root, name, publish, ONCE)])
     assert n and len(sent) == 2 * n and len(set(sent)) == n
-    sinks.publish(scored.selectExpr("string(event_id) AS key", "'x' AS value", "'t' AS topic"), path=f"{root}/topic")
-    assert spark.read.json(f"{root}/topic").count() == scored.count()
+    for batch in ("x", "y", "y"):
+        sinks.publish(scored.selectExpr("string(event_id) AS key", "'x' AS value", "'t' AS topic"), path=f"{root}/topic", batch=batch)
+    assert spark.read.json(f"{root}/topic").count() == 2 * scored.count()
+
+
+def test_the_same_alert_comes_again_after_a_day(spark, tmp_path):
+    from txscreen.operators.decode import predictions
+
+    sent, root, hour, day0 = [], str(tmp_path), 3600, 1_767_225_600
+    row = "event_time TIMESTAMP, event_id STRING, name_orig STRING, name_dest STRING, txn_type STRING, amount DOUBLE, risk_score DOUBLE, severity STRING, ml_score DOUBLE, triggered_rules ARRAY<STRING>, is_alert BOOLEAN"
+    publish = lambda rows, batch: sent.extend((int(batch), r.key) for r in rows.collect())
+
+    def come(at, *ids):
+        made = spark.createDataFrame([(None, i, "C1", "C2", "TRANSFER", 1.0, 0.5, "medium", 0.0, ["r"], True) for i in ids], row)
+        predictions(made).withColumn("stored_at", F.timestamp_seconds(F.lit(day0 + at))).coalesce(1).write.mode("append").parquet(f"{root}/in")
+        alerts = spark.readStream.schema(P.PREDICTIONS_DDL + ", stored_at TIMESTAMP").parquet(f"{root}/in")
+        run([P.publish_alerts(spark, root, "r", publish, ONCE, alerts=alerts)])
+
+    come(0, "a", "a", "b")
+    come(12 * hour, "c")
+    come(23 * hour, "a", "c")
+    come(int(24.5 * hour), "d")
+    come(25 * hour, "a", "c", "d")
+    assert sorted(k for _, k in sent) == ["alert:a", "alert:a", "alert:b", "alert:c", "alert:d"]
+    # what is kept is bounded by the alerts of a day: the first two are gone from the state
+    import glob
+
+    state = spark.read.format("statestore").load(f"{root}/checkpoints/publish_alerts_r")
+    assert glob.glob(f"{root}/checkpoints/publish_alerts_r/state") and state.count() == 3
+
+
+def made_rows(spark, n, at, seconds, accounts=40, salt=0):
+    i, k = F.col("id"), F.col("id") + salt
+    return spark.range(n).select(
+        F.concat(F.lit("e"), k).alias("event_id"), F.timestamp_seconds(at + i * seconds / n).alias("event_time"), F.lit(None).cast("timestamp").alias("producer_ts"), F.lit(1).alias("step"), F.element_at(F.array(*map(F.lit, ("TRANSFER", "CASH_OUT", "CASH_IN"))), (k % 3 + 1).cast("int")).alias("txn_type"),
+        (((k * 7919) % 90_000) + 1.0).alias("amount"), F.concat(F.lit("C"), k * 31 % accounts).alias("name_orig"), F.lit(60_000.0).alias("oldbalance_org"), F.lit(100.0).alias("newbalance_org"), F.concat(F.lit("C"), k * 17 % 7).alias("name_dest"),
+        F.lit(0.0).alias("oldbalance_dest"), F.lit(0.0).alias("newbalance_dest"), (k % 5 == 0).cast("int").alias("is_fraud"), F.lit(1).alias("schema_version"),
+    )
+
+
+def test_state_tables_stay_bounded_and_whole(spark, tmp_path):
+    import os
+
+    from txscreen.streaming.state import History, Pairs
+
+    root, reach, keep, rows_read, folders, files = str(tmp_path), 600, 7200, [], [], []
+    sent = []
+    for n in range(72):
+        at = 1_000_000 + n * 300
+        batch = P.keyed(made_rows(spark, 20, at, 300, salt=20 * n))
+        history, pairs = History(root, batch.schema, reach, keep, fan=4), Pairs(root, fan=4, bucket_rows=50)
+        history.compact(spark, n, at + 299)
+        pairs.compact(spark, n, at + 299)
+        seen = {r.event_id for r in history.since(spark, at - reach, batch=n).select("event_id").collect()}
+        # all rows that a window reaches, none missing
+        assert seen == {e for t, e in sent if t >= at - reach}
+        folders.append(len(history.folders))
+        rows_read.append(len(seen))
+        mine = batch.select("name_orig", "name_dest", "t").persist()
+        known, anew = pairs.known(mine, n)
+        assert {tuple(r) for r in known.collect()} >= set() and anew.count() == 0
+        pairs.remember(mine, anew, n, at, at + 299)
+        history.add(batch, n, at, at + 299)
+        sent += [(r.t, r.event_id) for r in batch.select("t", "event_id").collect()]
+        files.append(sum(len(f) for _, _, f in os.walk(f"{root}/history")))
+        mine.unpersist()
+    assert max(rows_read[40:]) == max(rows_read[4:20]) and max(folders[40:]) <= max(folders[:20]) + 2
+    assert max(files[60:]) <= 1.6 * max(files[24:40])
+    every = {tuple(r) for r in pairs.known(spark.createDataFrame([(f"C{i}", None, at + 300) for i in range(40)], "name_orig string, name_dest string, t long"), 99)[0].collect()}
+    assert every == {(f"C{k * 31 % 40}", f"C{k * 17 % 7}") for k in range(72 * 20)}
+
+
+def test_pairs_are_forgotten_with_an_idle_sender(spark, tmp_path):
+    from txscreen.streaming.state import Pairs
+
+    day, last, chain, uses = 86_400, {}, {}, {}
+    moves = [(0, "A", "x"), (1, "B", "x"), (20, "A", "y"), (45, "A", "x"), (46, "B", "x"), (60, "A", "z"), (91, "A", "x"), (92, "A", "z"), (100, "B", "y"), (101, "B", "x"), (131, "B", "x"), (131, "A", "x"), (140, "A", "z")]
+    pairs = Pairs(str(tmp_path), fan=2, bucket_rows=2)
+    for n, (d, a, b) in enumerate(moves):
+        t = d * day
+        pairs.compact(spark, n, t)
+        rows = spark.createDataFrame([(a, b, t)], "name_orig string, name_dest string, t long")
+        known, anew = pairs.known(rows, n)
+        # a sender's pairs live while it is never idle for more than 30 days
+        if a in last and t - last[a] > 30 * day:
+            chain[a] = t
+        want = {(a, y) for (x, y), u in uses.items() if x == a and u >= chain.get(a, -1)}
+        assert {tuple(r) for r in known.collect()} == want, (n, d, a, b)
+        pairs.remember(rows, anew, n, t, t)
+        last[a], uses[a, b] = t, t
+
+
+def stream_rows(spark, root, rows, name):
+    rows.coalesce(1).write.parquet(f"{root}/integrated/batch={name}")
+
+
+def test_many_batches_score_as_one(spark, tmp_path):
+    """With deltas merged every two batches, what the stream scores is what one run over all rows scores; a benchmark's rows are timed."""
+    from txscreen.operators import history as H
+    from txscreen.operators import rules as R
+
+    root = str(tmp_path)
+    at, parts = 1_767_225_600, []
+    for n in range(5):
+        part = made_rows(spark, 60, at + n * 700, 700, accounts=5, salt=60 * n).withColumn("event_id", F.concat(F.lit("bench:r9:"), F.col("event_id")))
+        parts.append(part)
+        stream_rows(spark, root, part, n)
+        run([P.score(spark, root, trigger=ONCE, fan=2)])
+    whole = parts[0]
+    for p in parts[1:]:
+        whole = whole.unionByName(p)
+    want = R.score(H.with_history(P.keyed(whole)))
+    pick = lambda rows: sorted(map(tuple, rows.select("event_id", "risk_score", "severity", F.array_join("triggered_rules", ",")).collect()))
+    assert pick(spark.read.parquet(f"{root}/model_predictions_by_day")) == pick(want)
+    timed = spark.read.parquet(f"{root}/benchmark_stage_timings_by_run")
+    assert timed.count() == 300 and timed.where("persisted_at > spark_seen_at AND benchmark_run_id = 'r9'").count() == 300
+
+
+def test_a_saved_model_scores_in_the_stream(spark, tmp_path):
+    from txscreen.functions.scalars import feature_table
+    from txscreen.operators import history as H
+    from txscreen.operators import rules as R
+    from txscreen.operators import training as T
+    from txscreen.streaming.models import NO_MODEL, ModelSnapshots, score_with
+
+    root, at = str(tmp_path), 1_767_225_600
+    rows = made_rows(spark, 300, at, 3000, accounts=9)
+    history = H.with_history(P.keyed(rows))
+    table, names = feature_table(history)
+    model = T.fit(T.class_weights(table), names, "logreg", maxIter=5)
+    models = ModelSnapshots(spark, f"{root}/models")
+    assert models() is None
+    version = T.publish_model(model, f"{root}/models", names, 0.4)
+    stream_rows(spark, root, rows, 0)
+    run([P.score(spark, root, trigger=ONCE, models=models)])
+    want = R.score(T.predict(model, table), ml=F.col("score"), ml_threshold=0.4)
+    pick = lambda df: sorted(map(tuple, df.select("event_id", "ml_score", "risk_score", "severity", "is_alert").collect()))
+    stored = spark.read.parquet(f"{root}/model_predictions_by_day")
+    assert pick(stored) == pick(want) and stored.where("ml_score > 0").count() > 0
+    assert {r[0] for r in stored.select("ml_model_version").distinct().collect()} == {version}
+    assert models() is models() and models.loads == 1
+    # a version that can't be read, then one that fails on the rows: the rules decide
+    T.publish_model(model, f"{root}/models", names, 0.4)
+    import shutil
+
+    shutil.rmtree(f"{root}/models/v2/model")
+    assert models() is None
+    T.publish_model(T.fit(T.class_weights(table.withColumn("other", F.lit(1.0))), ["other"], "logreg", maxIter=1), f"{root}/models", ["other"], 0.4)
+    scored, used = score_with(history, models())
+    assert used == NO_MODEL and pick(scored) == pick(R.score(history)) and scored.where("ml_score <> 0").count() == 0
 
 
 def test_rules_are_read_again_when_due(spark, tmp_path):

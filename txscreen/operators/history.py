@@ -1,12 +1,17 @@
 """Features from an account's earlier transactions, exact among rows of the same instant.
 
 The history of a row is what its key did before: at an earlier instant within the window, or at the
-same instant with a smaller seq. The two parts are two frames: a range over t that ends a second
-before, and the rows before within the same t. The lower bound belongs to the window.
+same instant with a smaller seq. In the order (t, seq) that is all rows before it less those from before the
+reach, so a sum over the history is the difference of two growing sums: Spark keeps both as running values,
+and the work for each row is the same however many rows a window holds. A sliding frame would add up its
+rows anew for each instant. Amounts are summed as decimals, so that differences are exact.
 
 A key's rows are cut into slices of time of SPAN longest windows, and the rows of a slice's last window also
 visit the next slice as context. A window then sorts little more than a slice of one key, never its whole
 life, which splits an account that holds a large part of all rows over as many tasks as it has slices.
+
+Rows are shuffled once for what their sender did and received, once for what their receiver got, and the
+first rows of pairs are minima, combined before a shuffle, that the rows meet by a join.
 """
 
 from __future__ import annotations
@@ -16,9 +21,10 @@ from pyspark.sql import functions as F
 
 from ..config import INBOUND, OUTBOUND, ScreenConfig
 
-
 #: Longest windows that a slice of time has.
 SPAN = 4
+#: Amounts within a sum.
+MONEY = "decimal(28,4)"
 
 
 def sliced(rows: DataFrame, seconds: int, span: int = SPAN) -> DataFrame:
@@ -30,111 +36,147 @@ def sliced(rows: DataFrame, seconds: int, span: int = SPAN) -> DataFrame:
     return rows.select("*", F.inline(F.when(near, F.array(own, context)).otherwise(F.array(own))))
 
 
-class Frames:
-    """The two frames of a key's history: earlier instants within a reach, and the rows before within the same instant."""
+def money(c: str | Column) -> Column:
+    """An amount as a decimal; what is no finite number counts as nothing."""
+    return (F.col(c) if isinstance(c, str) else c).try_cast(MONEY)
 
-    def __init__(self, *key: str, order: tuple[str, ...] = ("seq",)) -> None:
-        self.key, self.order = (*key, "slice"), order
 
-    def earlier(self, seconds: int) -> WindowSpec:
-        return Window.partitionBy(*self.key).orderBy("t").rangeBetween(-seconds, -1)
+class Line:
+    """A key's rows in the order (t, ...), and growing frames of them: all before a row, and all from before a reach."""
 
-    def totals(self, rows: DataFrame, sums: dict[str, tuple[Column, int]]) -> DataFrame:
-        """rows with the sum of a value over the history, for each name of sums: (value, seconds).
+    def __init__(self, key: str, *order: str) -> None:
+        self.key, self.order = (key, "slice"), order
 
-        The frames within an instant come first: their sort by (t, order) serves the frames over t too.
-        """
-        instant = Window.partitionBy(*self.key, "t").orderBy(*self.order).rowsBetween(Window.unboundedPreceding, -1)
-        rows = rows.withColumns({f"_at_{n}": F.sum(v).over(instant) for n, (v, _) in sums.items()})
-        whole = {n: F.coalesce(F.sum(v).over(self.earlier(s)), F.lit(0)) + F.coalesce(F.col(f"_at_{n}"), F.lit(0)) for n, (v, s) in sums.items()}
-        return rows.withColumns(whole).drop(*[f"_at_{n}" for n in sums])
+    def dealt(self, rows: DataFrame, seconds: int) -> DataFrame:
+        """rows in slices, shuffled once for all that follows."""
+        return sliced(rows, seconds).repartition(*self.key)
+
+    def before(self, with_row: bool = False) -> WindowSpec:
+        return Window.partitionBy(*self.key).orderBy("t", *self.order).rowsBetween(Window.unboundedPreceding, 0 if with_row else -1)
+
+    def past(self, seconds: int) -> WindowSpec:
+        """The rows of all instants more than `seconds` ago."""
+        return Window.partitionBy(*self.key).orderBy("t").rangeBetween(Window.unboundedPreceding, -seconds - 1)
+
+    def totals(self, rows: DataFrame, sums: dict[str, tuple[Column, int]]) -> DataFrame:
+        """rows with the sum of a value over the history, for each name of sums: (value, seconds)."""
+        none = F.lit(0)
+        rows = rows.withColumns({f"_b_{n}": F.sum(v).over(self.before()) for n, (v, _) in sums.items()})
+        rows = rows.withColumns({f"_p_{n}": F.sum(v).over(self.past(s)) for n, (v, s) in sums.items()})
+        return rows.withColumns({n: F.coalesce(F.col(f"_b_{n}"), none) - F.coalesce(F.col(f"_p_{n}"), none) for n in sums}).drop(*[f"_{x}_{n}" for n in sums for x in "bp"])
+
+    def marked(self, rows: DataFrame, value: str, seconds: int, which: Column | None = None) -> DataFrame:
+        """Adds whether the row's value was there within the last `seconds`, and whether it comes again within them; only for the rows `which`."""
+        w = Window.partitionBy(*self.key, value).orderBy("t", *self.order)
+        again = lambda c: F.coalesce((c <= seconds) & (F.lit(True) if which is None else which), F.lit(False))
+        return rows.withColumns({"_repeats": again(F.col("t") - F.lag("t").over(w)), "_repeated": again(F.lead("t").over(w) - F.col("t"))})
 
     def distinct(self, rows: DataFrame, name: str, seconds: int, count: Column) -> DataFrame:
-        """rows with how many values the history and the row itself have; count: the rows of both. No set is built.
+        """Marked rows with how many values the history and the row itself have; count: the rows of both. No set is built.
 
         Of the rows in reach, those whose value came before in reach don't count. Such a pair of neighbours
         lies within `seconds`, so of all pairs that end by now only those that begin before the reach
         are out of it, and every pair that begins there has ended.
         """
-        line = Window.partitionBy(*self.key).orderBy("t", *self.order).rowsBetween(Window.unboundedPreceding, 0)
-        reach = Window.partitionBy(*self.key).orderBy("t").rangeBetween(Window.unboundedPreceding, -seconds - 1)
-        ended, left = F.count_if("_repeats").over(line), F.count_if("_repeated").over(reach)
+        ended, left = F.count_if("_repeats").over(self.before(with_row=True)), F.count_if("_repeated").over(self.past(seconds))
         return rows.withColumn(name, (count - ended + left).cast("int"))
 
-    def marked(self, rows: DataFrame, value: str, seconds: int) -> DataFrame:
-        """Adds whether the row's value was there within the last `seconds`, and whether it comes again within them."""
-        w = Window.partitionBy(*self.key, value).orderBy("t", *self.order)
-        again = lambda c: F.coalesce(c <= seconds, F.lit(False))
-        return rows.withColumns({"_repeats": again(F.col("t") - F.lag("t").over(w)), "_repeated": again(F.lead("t").over(w) - F.col("t"))})
 
+def _account_history(tx: DataFrame, cfg: ScreenConfig, credited: bool) -> DataFrame:
+    """tx with what the sender did before and, if credited, what it received: both by the account, in one shuffle.
 
-def sender_history(tx: DataFrame, cfg: ScreenConfig = ScreenConfig()) -> DataFrame:
-    """Velocity, fan-out and structuring inputs of each row; one shuffle on (name_orig, slice)."""
-    w, outbound = Frames("name_orig"), F.col("txn_type").isin(*OUTBOUND)
-    in_band = (F.col("txn_type") == "TRANSFER") & F.col("amount").between(cfg.split_low, cfg.split_high)
-    rows = w.marked(sliced(tx, max(cfg.velocity_seconds, cfg.fan_out_seconds, cfg.split_seconds)), "name_dest", cfg.fan_out_seconds)
-    one, amount = F.lit(1), F.col("amount")
-    rows = w.totals(rows, {
+    A credit is a row of role 1 on the account that it goes to. It sorts behind the row that it is of, so a
+    transfer to oneself is no history of itself.
+    """
+    rows = tx.withColumns({"account": F.col("name_orig"), "credit": F.lit(None).cast("double"), "role": F.lit(0)})
+    reach = max(cfg.velocity_seconds, cfg.fan_out_seconds, cfg.split_seconds)
+    if credited:
+        kept = [F.col(c) if c in ("t", "seq") else F.lit(None).cast(tx.schema[c].dataType).alias(c) for c in tx.columns]
+        rows = rows.unionByName(tx.where(F.col("txn_type").isin(*INBOUND)).select(*kept, F.col("name_dest").alias("account"), F.col("amount").alias("credit"), F.lit(1).alias("role")))
+        reach = max(reach, cfg.chain_seconds)
+    line, own = Line("account", "seq", "role"), F.col("role") == 0
+    rows = line.marked(line.dealt(rows, reach), "name_dest", cfg.fan_out_seconds, own)
+    amount, one, band = money("amount"), F.when(own, 1), own & in_band(cfg)
+    sums = {
         "_n": (one, cfg.fan_out_seconds), "_sum": (amount, cfg.fan_out_seconds), "_hour": (one, cfg.velocity_seconds),
-        "_band": (F.when(in_band, one), cfg.split_seconds), "_banded": (F.when(in_band, amount), cfg.split_seconds),
-    })
-    rows = w.distinct(rows, "_values", cfg.fan_out_seconds, F.col("_n") + 1)
-    last = F.max("t").over(w.earlier(cfg.velocity_seconds))
-    return rows.withColumn("_last", last).where("own").select(
-        *tx.columns,
+        "_band": (F.when(band, 1), cfg.split_seconds), "_banded": (F.when(band, amount), cfg.split_seconds),
+    }
+    if credited:
+        sums |= {"_credits": (F.when(~own, 1), cfg.chain_seconds), "_credited": (money("credit"), cfg.chain_seconds)}
+    rows = line.distinct(line.totals(rows, sums), "_values", cfg.fan_out_seconds, F.col("_n") + 1)
+    return rows.withColumn("_last", F.max(F.when(own, F.col("t"))).over(line.past(0))).where("own AND role = 0")
+
+
+def in_band(cfg: ScreenConfig) -> Column:
+    return F.coalesce((F.col("txn_type") == "TRANSFER") & F.col("amount").between(cfg.split_low, cfg.split_high), F.lit(False))
+
+
+def _sender_columns(cfg: ScreenConfig) -> list[Column]:
+    outbound, gap = F.col("txn_type").isin(*OUTBOUND), F.col("t") - F.col("_last")
+    return [
         F.when(outbound, F.col("_n")).otherwise(0).alias("sender_recent_txn_count"),
-        F.when(outbound, F.col("_sum")).otherwise(0.0).alias("sender_recent_total_amount"),
+        F.when(outbound, F.col("_sum").cast("double")).otherwise(0.0).alias("sender_recent_total_amount"),
         F.when(outbound, F.col("_values")).otherwise(0).alias("fan_out_receivers"),
         F.col("_hour").alias("velocity_transactions_1h"),
-        F.coalesce((F.col("t") - F.col("_last")).cast("double"), F.lit(cfg.no_history_seconds)).alias("time_since_last_purchase"),
-        F.when(in_band, F.col("_band") + 1).otherwise(0).alias("split_count"),
-        F.when(in_band, F.col("_banded") + amount).otherwise(0.0).alias("split_amount"),
-    )
+        F.coalesce(F.when(gap <= cfg.velocity_seconds, gap.cast("double")), F.lit(cfg.no_history_seconds)).alias("time_since_last_purchase"),
+        F.when(in_band(cfg), F.col("_band") + 1).otherwise(0).alias("split_count"),
+        F.when(in_band(cfg), (F.col("_banded") + money("amount")).cast("double")).otherwise(0.0).alias("split_amount"),
+    ]
+
+
+def _credit_columns() -> list[Column]:
+    out, total = F.col("txn_type") == "CASH_OUT", F.col("_credited").cast("double")
+    return [
+        F.when(out, total).otherwise(0.0).alias("inbound_total"), F.when(out, F.col("_credits")).otherwise(0).alias("inbound_count"),
+        F.when(out & (total > 0), F.col("amount") / total).otherwise(0.0).alias("inbound_to_cashout_ratio"),
+    ]
+
+
+def sender_history(tx: DataFrame, cfg: ScreenConfig = ScreenConfig()) -> DataFrame:
+    """Velocity, fan-out and structuring inputs of each row; one shuffle on (account, slice)."""
+    return _account_history(tx, cfg, credited=False).select(*tx.columns, *_sender_columns(cfg))
+
+
+def inbound_history(tx: DataFrame, cfg: ScreenConfig = ScreenConfig()) -> DataFrame:
+    """Credits that the sender of a cash-out received before; one shuffle on (account, slice)."""
+    return _account_history(tx, cfg, credited=True).select(*tx.columns, *_credit_columns())
+
+
+def account_history(tx: DataFrame, cfg: ScreenConfig = ScreenConfig()) -> DataFrame:
+    """sender_history() and inbound_history() in one shuffle."""
+    return _account_history(tx, cfg, credited=True).select(*tx.columns, *_sender_columns(cfg), *_credit_columns())
 
 
 def receiver_history(tx: DataFrame, cfg: ScreenConfig = ScreenConfig()) -> DataFrame:
     """Fan-in inputs of each row; one shuffle on (name_dest, slice)."""
-    w, inbound = Frames("name_dest"), F.col("txn_type").isin(*INBOUND)
-    rows = w.marked(sliced(tx, cfg.fan_in_seconds), "name_orig", cfg.fan_in_seconds)
-    rows = w.totals(rows, {"_n": (F.lit(1), cfg.fan_in_seconds), "_sum": (F.col("amount"), cfg.fan_in_seconds)})
-    rows = w.distinct(rows, "_values", cfg.fan_in_seconds, F.col("_n") + 1)
+    line, inbound = Line("name_dest", "seq"), F.col("txn_type").isin(*INBOUND)
+    rows = line.marked(line.dealt(tx, cfg.fan_in_seconds), "name_orig", cfg.fan_in_seconds)
+    rows = line.totals(rows, {"_n": (F.lit(1), cfg.fan_in_seconds), "_sum": (money("amount"), cfg.fan_in_seconds)})
+    rows = line.distinct(rows, "_values", cfg.fan_in_seconds, F.col("_n") + 1)
     return rows.where("own").select(
         *tx.columns,
         F.when(inbound, F.col("_n")).otherwise(0).alias("receiver_recent_txn_count"),
-        F.when(inbound, F.col("_sum")).otherwise(0.0).alias("receiver_recent_total_amount"),
+        F.when(inbound, F.col("_sum").cast("double")).otherwise(0.0).alias("receiver_recent_total_amount"),
         F.when(inbound, F.col("_values")).otherwise(0).alias("fan_in_senders"),
     )
 
 
-def inbound_history(tx: DataFrame, cfg: ScreenConfig = ScreenConfig()) -> DataFrame:
-    """Credits that the sender of a cash-out received before; rows and credits meet on the account.
+def first_of_pairs(tx: DataFrame, known: DataFrame | None = None) -> DataFrame:
+    """(name_orig, name_dest, _first): the first (t, seq) of each pair; without the pairs of known."""
+    first = tx.groupBy("name_orig", "name_dest").agg(F.min(F.struct("t", "seq")).alias("_first"))
+    return first if known is None else first.join(known.select("name_orig", "name_dest").distinct(), ["name_orig", "name_dest"], "left_anti")
 
-    A credit sorts behind the row that it is of, so a transfer to oneself is no history of itself.
-    """
-    names = tx.columns
-    rows = tx.withColumn("account", F.col("name_orig")).withColumn("credit", F.lit(None).cast("double")).withColumn("role", F.lit(0))
-    credit = tx.where(F.col("txn_type").isin(*INBOUND))
-    kept = [F.col(c) if c in ("t", "seq") else F.lit(None).cast(tx.schema[c].dataType).alias(c) for c in names]
-    credits = credit.select(*kept, F.col("name_dest").alias("account"), F.col("amount").alias("credit"), F.lit(1).alias("role"))
-    w, out = Frames("account", order=("seq", "role")), F.col("txn_type") == "CASH_OUT"
-    one = F.when(F.col("credit").isNotNull(), 1)
-    done = w.totals(sliced(rows.unionByName(credits), cfg.chain_seconds), {"_sum": (F.col("credit"), cfg.chain_seconds), "_n": (one, cfg.chain_seconds)})
-    done = done.where("own AND role = 0").select(*names, F.when(out, F.col("_sum")).otherwise(0.0).alias("inbound_total"), F.when(out, F.col("_n")).otherwise(0).alias("inbound_count"))
-    return done.withColumn("inbound_to_cashout_ratio", F.when(F.col("inbound_total") > 0, F.col("amount") / F.col("inbound_total")).otherwise(0.0))
-
-
-def counterparty_history(tx: DataFrame, known: DataFrame | None = None) -> DataFrame:
+
+def counterparty_history(tx: DataFrame, known: DataFrame | None = None, base: DataFrame | None = None) -> DataFrame:
     """is_new_counterparty: a transfer that is the first row of its (sender, receiver) pair, of whatever type.
 
     First rows are minima, combined before the shuffle. known: pairs (name_orig, name_dest) from before.
+    base: the rows of tx without what was added to them, so that the minima need none of it.
     """
-    first = tx.groupBy("name_orig", "name_dest").agg(F.min(F.struct("t", "seq")).alias("_first"))
-    if known is not None:
-        first = first.join(known.select("name_orig", "name_dest").distinct(), ["name_orig", "name_dest"], "left_anti")
-    rows = tx.join(first, ["name_orig", "name_dest"], "left")
+    rows = tx.join(first_of_pairs(tx if base is None else base, known), ["name_orig", "name_dest"], "left")
     new = (F.col("txn_type") == "TRANSFER") & F.coalesce(F.struct("t", "seq") == F.col("_first"), F.lit(False))
     return rows.select(*tx.columns, new.cast("int").alias("is_new_counterparty"))
 
 
 def with_history(tx: DataFrame, cfg: ScreenConfig = ScreenConfig(), known: DataFrame | None = None) -> DataFrame:
-    return inbound_history(receiver_history(sender_history(counterparty_history(tx, known), cfg), cfg), cfg)
+    return counterparty_history(receiver_history(account_history(tx, cfg), cfg), known, tx)

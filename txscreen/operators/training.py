@@ -14,7 +14,8 @@ from pyspark.ml.stat import Correlation
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..durable import settle
+from ..durable import exists, settle
+from ..durable import names as folder_names
 from ..plans.running import running_totals
 
 ALARM_COST, SEED = 5.0, 42
@@ -242,6 +243,20 @@ def save_model(model: PipelineModel, path: str, names: list[str], threshold: flo
     spark.createDataFrame([(json.dumps(names), threshold)], "features string, threshold double").write.mode("overwrite").json(f"{path}/metadata")
 
 
+def publish_model(model: PipelineModel, root: str, names: list[str], threshold: float | None) -> str:
+    """Saves a model as the next version under root and returns its name. A version counts once its metadata is there, which is written last."""
+    spark = SparkSession.active()
+    version = f"v{max((int(n[1:]) for n in folder_names(spark, root) if n[1:].isdigit()), default=0) + 1}"
+    save_model(model, f"{root}/{version}", names, threshold)
+    return version
+
+
+def latest_version(spark: SparkSession, root: str) -> str | None:
+    """The newest finished version under root."""
+    found = sorted((int(n[1:]) for n in folder_names(spark, root) if n[1:].isdigit()), reverse=True)
+    return next((f"v{n}" for n in found if exists(spark, f"{root}/v{n}/metadata/_SUCCESS")), None)
+
+
 def load_model(spark: SparkSession, path: str) -> tuple[PipelineModel, list[str], float | None]:
     row = spark.read.schema("features string, threshold double").json(f"{path}/metadata").first()
     return PipelineModel.load(f"{path}/model"), json.loads(row.features), row.threshold

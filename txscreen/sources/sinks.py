@@ -37,10 +37,10 @@ def alerts(scored: DataFrame) -> DataFrame:
     return p.select("account_id", F.col("day_bucket").alias("alert_date"), F.col("event_ts").alias("alert_ts"), "alert_id", "event_id", "name_dest", "txn_type", "amount", "risk_score", "severity", "ml_score", "triggered_rules")
 
 
-def write_scored(scored: DataFrame, root: str, batch: str | None = None) -> None:
+def write_scored(scored: DataFrame, root: str, batch: str | None = None, version: str = "rules") -> None:
     """The four tables of a scored batch. Persist `scored` before: every table reads it."""
     write_table(transactions(scored), root, "transactions_by_day", batch)
-    write_table(predictions(scored), root, "model_predictions_by_day", batch)
+    write_table(predictions(scored, version), root, "model_predictions_by_day", batch)
     write_table(alerts(scored), root, "alerts_by_account", batch)
     states = account_states(scored).withColumn("day_bucket", F.to_date("event_time"))
     write_table(states, root, "account_state_by_account", batch)
@@ -76,15 +76,14 @@ def unpublished(alerts_: DataFrame, published: DataFrame) -> DataFrame:
     return alerts_.dropDuplicates(["run_id", "event_id"]).join(published.select("run_id", "event_id"), ["run_id", "event_id"], "left_anti")
 
 
-def publish_alerts(scored: DataFrame, root: str, run: str, batch: str, publish_: Callable[[DataFrame], None], topic: str = "alerts") -> None:
-    """Publishes a batch's alerts that no other batch of the run has published, and remembers them."""
-    path = f"{root}/published_alerts"
-    new = predictions(scored).where("is_alert").withColumn("run_id", F.lit(run))
-    new = new.dropDuplicates(["run_id", "event_id"])
-    if exists(scored.sparkSession, path):
-        new = unpublished(new, scored.sparkSession.read.parquet(path).where(F.col("batch") != batch))
-    publish_(alert_payloads(new.drop("run_id")).withColumn("topic", F.lit(topic)))
-    new.select("run_id", "event_id").write.mode("overwrite").parquet(f"{path}/batch={batch}")
+def once_within(alerts_: DataFrame, at: str, hours: int = 24) -> DataFrame:
+    """A stream of alerts of (run_id, event_id) without those that came in the `hours` before by the time `at`.
+
+    Spark keeps a key until the watermark passes its time plus the watermark's delay, and the watermark is the latest
+    time less the delay: with half the hours as the delay a key goes when `hours` have passed. The keys are in the
+    stream's state store; with RocksDB a batch touches those of its own rows only.
+    """
+    return alerts_.withWatermark(at, f"{hours * 30} minutes").dropDuplicatesWithinWatermark(["run_id", "event_id"])
 
 
 def stage_timings(rows: DataFrame, seen_at, persisted_at) -> DataFrame:

@@ -57,14 +57,21 @@ class Batches:
                 remove(spark, f"{self.path}/_upto/{n}")
 
     def each(self, act: Callable[[DataFrame, int], None]) -> Callable[[DataFrame, int], None]:
-        """act for a batch that isn't empty and isn't finished yet; an empty one is finished at once."""
+        """act for a batch that isn't empty and isn't finished yet; an empty one is finished at once.
+
+        The batch is persisted: each run of its plan would read the sources and go through the state stores again.
+        """
 
         def run(rows: DataFrame, batch: int) -> None:
             spark = rows.sparkSession
             if self.done(spark, batch):
                 return
-            if not rows.isEmpty():
-                act(rows, batch)
+            rows.persist()
+            try:
+                if not rows.isEmpty():
+                    act(rows, batch)
+            finally:
+                rows.unpersist()
             self.mark(spark, batch)
 
         return run

@@ -3,15 +3,16 @@
 * integrate: three decoded feeds, one plan that joins and classifies each transaction, one sink that
   splits a batch into the integrated table and dead letters;
 * orphans: states that no transaction asks for (they need the state side as the outer side), as dead letters;
-* score: the integrated table as a stream; a batch is scored in one plan over itself and the stored
-  history that its windows reach;
+* score: the integrated table as a stream; a batch is scored in one plan, by the rules and a model, over itself
+  and the stored history that its windows reach (see state.py, models.py);
+* publish_alerts: the alerts among the stored predictions, each once within a day;
 * tumbling and sliding: window metrics of the integrated table.
 
 Each batch writes into a folder of its own and replaces it when it is run again, and a ledger of
-finished batches skips what a restart repeats. A batch that ended before its mark was written is run again
+finished batches skips what a restart repeats (see ledger.py). A batch that ended before its mark was written is run again
 and its folder gets new files, which the queries that stream from that folder read as new rows: the
-score drops ids that the history has from other batches, and the windows drop ids that come twice within
-the watermark, so results hold each row once. An alert is published once for each run.
+score drops ids that the history of the last day has from other batches, and the windows drop ids that come twice
+within the watermark, so results hold each row once.
 """
 
 from __future__ import annotations
@@ -19,6 +20,7 @@ from __future__ import annotations
 import time
 import uuid
 from collections.abc import Callable
+from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,6 +36,8 @@ from ..operators import rules as R
 from ..sources import sinks
 from ..sources.tables import FEEDS
 from .ledger import Batches
+from .models import Models, score_with
+from .state import FAN, History, Pairs
 
 ENVELOPE_DDL = "kafka_key STRING, raw_value STRING, kafka_timestamp TIMESTAMP, partition INT, offset LONG, source_topic STRING"
 WATERMARK, TRIGGER = "10 minutes", "2 seconds"
@@ -94,11 +98,6 @@ def run_id(spark: SparkSession, root: str, reset: bool = False) -> str:
     return new
 
 
-def stored(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame | None:
-    """A stored table, or None before its first batch; a table that can't be read is an error."""
-    return (spark.read.schema(schema) if schema else spark.read).parquet(path) if exists(spark, path) else None
-
-
 def start(rows: DataFrame, root: str, name: str, act: Callable[[DataFrame, int], None], trigger: dict | None = None) -> StreamingQuery:
     query = rows.writeStream.outputMode("append").foreachBatch(Batches(root, name).each(act)).option("checkpointLocation", f"{root}/checkpoints/{name}").queryName(name)
     return query.trigger(**(trigger or {"processingTime": TRIGGER})).start()
@@ -140,67 +139,97 @@ def reach(cfg: ScreenConfig) -> int:
     return max(cfg.velocity_seconds, cfg.fan_out_seconds, cfg.fan_in_seconds, cfg.split_seconds, cfg.chain_seconds)
 
 
-def score_batch(rows: DataFrame, past: DataFrame | None, pairs: DataFrame | None, cfg: ScreenConfig = ScreenConfig()) -> DataFrame:
-    """Scores rows with what came before: past rows that a window reaches, and all known pairs."""
+def batch_history(rows: DataFrame, past: DataFrame | None, pairs: DataFrame | None, cfg: ScreenConfig = ScreenConfig()) -> DataFrame:
+    """rows with the history of what came before: past rows that a window reaches, and the known pairs."""
     rows = rows.withColumn("_new", F.lit(True))
     both = rows
     if past is not None:
         first = rows.agg(F.min("t")).first()[0]
         near = past.where(F.col("t") >= (first or 0) - reach(cfg))
         both = rows.unionByName(near.select([c for c in rows.columns if c != "_new"]).withColumn("_new", F.lit(False)))
-    return R.score(H.with_history(both, cfg, pairs).where("_new").drop("_new"), cfg)
+    return H.with_history(both, cfg, pairs).where("_new").drop("_new")
 
 
-#: Seconds of a partition of the history: a batch reads those that its windows reach.
-HISTORY_SECONDS = 3600
+def score_batch(rows: DataFrame, past: DataFrame | None, pairs: DataFrame | None, cfg: ScreenConfig = ScreenConfig()) -> DataFrame:
+    """Scores rows by the rules, with what came before."""
+    return R.score(batch_history(rows, past, pairs, cfg), cfg)
 
 
 def unseen(rows: DataFrame, past: DataFrame | None) -> DataFrame:
-    """The rows whose id the past hasn't; copies have one event time, so their partitions of the history are enough."""
+    """The rows whose id the past hasn't; copies have one event time, so the past needs the times of the rows only."""
     one = rows.dropDuplicates(["event_id"])
     return one if past is None else one.join(past.select("event_id"), "event_id", "left_anti")
 
 
-def score(spark: SparkSession, root: str, settings: Callable[[], ScreenConfig] = ScreenConfig, trigger: dict | None = None, run: str = "", publish: Callable[[DataFrame], None] | None = None) -> StreamingQuery:
-    """Scores the integrated table as it grows.
+def score(spark: SparkSession, root: str, settings: Callable[[], ScreenConfig] = ScreenConfig, trigger: dict | None = None, models: Models | None = None, fan: int = FAN) -> StreamingQuery:
+    """Scores the integrated table as it grows, with the rules and, if models() has one, with a model.
 
-    settings() is asked for each batch, so rules can change while it runs. publish gets (key, value, topic) of
-    the alerts that the run `run` hasn't published.
+    settings() and models() are asked for each batch, so both can change while it runs. Rows of a benchmark run
+    (`bench:<run>:...`) also leave when their batch was seen and when it was stored.
     """
     source = spark.readStream.schema(INTEGRATED_DDL).option("recursiveFileLookup", "true").parquet(f"{root}/integrated")
+    pairs = Pairs(root, fan=fan)
 
     def act(batch: DataFrame, n: int) -> None:
-        cfg = settings()
+        cfg, seen = settings(), datetime.now(UTC)
         came = keyed(batch).persist()
-        first = came.agg(F.min("t")).first()[0]
-        past, pairs = stored(spark, f"{root}/history"), stored(spark, f"{root}/pairs")
-        own = F.col("batch") != n
-        if past is not None:
-            # literals, so that the partitions of other times aren't listed
-            past = past.where(own & (F.col("period") >= (first - reach(cfg)) // HISTORY_SECONDS)).drop("batch", "period")
-        rows = unseen(came, past).persist()
-        done = score_batch(rows, past, pairs.where(own) if pairs is not None else None, cfg).persist()
-        sinks.write_scored(done, root, str(n))
-        if publish is not None:
-            sinks.publish_alerts(done, root, run, str(n), publish)
-        period = F.floor(F.col("t") / HISTORY_SECONDS)
-        rows.withColumn("period", period).write.mode("overwrite").partitionBy("period").parquet(f"{root}/history/batch={n}")
-        rows.select("name_orig", "name_dest").distinct().write.mode("overwrite").parquet(f"{root}/pairs/batch={n}")
-        for held in (done, rows, came):
+        low, high = came.agg(F.min("t"), F.max("t")).first()
+        history = History(root, came.schema, reach(cfg), fan=fan)
+        history.compact(spark, n, high)
+        pairs.compact(spark, n, high)
+        rows = unseen(came, history.since(spark, low, high, batch=n)).persist()
+        known, anew = pairs.known(rows.select("name_orig", "name_dest", "t"), n)
+        past = history.since(spark, low - reach(cfg), batch=n)
+        done, version = score_with(batch_history(rows, past, known, cfg), models() if models else None, cfg)
+        sinks.write_scored(done, root, str(n), version)
+        timings = sinks.stage_timings(done, F.lit(seen), F.lit(datetime.now(UTC)))
+        sinks.write_table(timings, root, "benchmark_stage_timings_by_run", str(n))
+        anew = anew.persist()
+        pairs.remember(rows, anew, n, low, high)
+        history.add(rows, n, low, high)
+        for held in (done, anew, rows, came):
             held.unpersist()
 
     return start(source, root, "score", act, trigger)
 
 
-def window_queries(spark: SparkSession, root: str, trigger: dict | None = None, publish: Callable[[DataFrame], None] | None = None) -> list[StreamingQuery]:
-    """Windows are written once, when the watermark closes them; publish gets them as (key, value, topic)."""
+ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+PREDICTIONS_DDL = "event_ts TIMESTAMP, event_id STRING, account_id STRING, name_dest STRING, txn_type STRING, amount DOUBLE, risk_score DOUBLE, severity STRING, ml_score DOUBLE, ml_model_version STRING, triggered_rules ARRAY<STRING>, is_alert BOOLEAN, alert_id STRING"
+
+
+def publish_alerts(spark: SparkSession, root: str, run: str, publish: Callable[[DataFrame, str], None], trigger: dict | None = None, hours: int = 24, alerts: DataFrame | None = None) -> StreamingQuery:
+    """Publishes the alerts of the stored predictions, an alert of a run once within `hours`.
+
+    publish gets (key, value, topic) and the batch's name, under which a folder is replaced if the batch runs again: a broker gets
+    such a batch twice. The time of an alert is when its prediction was stored (the file's time); alerts:
+    another stream with the predictions' columns and stored_at. Keys are kept in RocksDB.
+    """
+    if alerts is None:
+        stored = spark.readStream.schema(PREDICTIONS_DDL).option("recursiveFileLookup", "true").parquet(f"{root}/model_predictions_by_day")
+        alerts = stored.withColumn("stored_at", F.col("_metadata.file_modification_time")).where("is_alert")
+    once = sinks.once_within(alerts.where("is_alert").withColumn("run_id", F.lit(run)), "stored_at", hours)
+
+    def act(batch: DataFrame, n: int) -> None:
+        publish(D.alert_payloads(batch.drop("run_id", "stored_at")).withColumn("topic", F.lit("alerts")), str(n))
+
+    provider = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(provider, None)
+    spark.conf.set(provider, ROCKS)
+    try:
+        return start(once, root, f"publish_alerts_{run}" if run else "publish_alerts", act, trigger)
+    finally:  # a started query keeps the setting
+        spark.conf.unset(provider) if before is None else spark.conf.set(provider, before)
+
+
+def window_queries(spark: SparkSession, root: str, trigger: dict | None = None, publish: Callable[[DataFrame, str], None] | None = None) -> list[StreamingQuery]:
+    """Windows are written once, when the watermark closes them; publish gets them as (key, value, topic), and the batch's name."""
 
     def act(kind: str) -> Callable[[DataFrame, int], None]:
         def run(batch: DataFrame, n: int) -> None:
             batch = batch.persist()
             sinks.write_metrics(batch, f"{root}/{kind}", str(n))
             if publish is not None:
-                publish(M.payloads(batch).withColumn("topic", F.lit("metrics")))
+                publish(M.payloads(batch).withColumn("topic", F.lit("metrics")), f"{kind}-{n}")
             batch.unpersist()
 
         return run
