@@ -125,7 +125,7 @@ def test_a_hot_account_over_two_hours(spark):
     got = sender_history(rows).agg(F.max("sender_recent_txn_count"), F.max("fan_out_receivers"), F.max("sender_recent_total_amount"), F.max("velocity_transactions_1h")).first()
     took = time.monotonic() - began
     per = n / 7200
-    assert abs(got[0] - 901 * per) < 2 * per and got[1] == 5000 and abs(got[2] - got[0] * 4.995) < 1000 and abs(got[3] - 3601 * per) < 2 * per
+    assert abs(got[0] - 901 * per) < 2 * per and got[1] == 5000 and abs(got[2] - got[0] * 4.995) < 5000 and abs(got[3] - 3601 * per) < 2 * per
     assert took < 60
 
 
