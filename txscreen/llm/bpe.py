@@ -38,10 +38,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from tokenizers import Regex, Tokenizer, models, pre_tokenizers
 
-from .common import table, text_slices
+from .common import release_memory, table, text_slices
 
 #: Bytes that a task remembers chunks with, and the characters of the longest one worth remembering.
-MEMO_BYTES, MEMO_CHARS = 96 << 20, 40
+MEMO_BYTES, MEMO_CHARS = 64 << 20, 40
 #: Bytes that an entry takes besides the characters and the ids, about.
 _ENTRY = 180
 
@@ -269,7 +269,7 @@ class Vocabulary:
             yield encoder
         finally:
             encoder.forget()
-            pa.default_memory_pool().release_unused()
+            release_memory()
 
     def decoder(self) -> Decoder:
         encoder, decoder = self._own()
@@ -314,6 +314,8 @@ def decode(rows: DataFrame, definition: str, ids: str = "ids", text: str = "deco
     return rows.withColumn(text, F.pandas_udf(run, "binary")(F.col(ids)))
 
 
+#: Bytes of text that are encoded, decoded and compared at once.
+DIGEST_BYTES = 4 << 20
 _DIGEST = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string, n_split long, round_trip boolean"
 
 
@@ -330,7 +332,7 @@ def encoding_digests(docs: DataFrame, definition: str, doc_id: str = "doc_id", t
         with vocabulary.encoder() as encoder:
             decoder = vocabulary.decoder()
             decimal = pa.array([f"{i} ".encode() for i in range(len(decoder.tokens))], pa.binary())
-            for b in text_slices(batches, 1):
+            for b in text_slices(batches, 1, DIGEST_BYTES):
                 texts = b.column(1).cast(pa.binary()).fill_null(b"")
                 n, of_ids, of_text, split, same = [], [], [], [], []
                 for source, raw in zip(texts.to_pylist(), encoder.encode(b.column(1)).to_pylist(), strict=True):

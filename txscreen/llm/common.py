@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,6 +28,13 @@ def free_names(df: DataFrame, *names: str) -> list[str]:
     return out
 
 
+def release_memory() -> None:
+    """Gives what a task has freed back to the machine: a worker stays for later tasks, and its idle memory counts against the executor."""
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        trim(0)
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..plans.running import running_totals
-from .common import settle, table, text_slices
+from .common import release_memory, settle, table, text_slices
 
 BUCKETS, GRAMS, SCALE, SEED = 10_000, 1, 1000, 2024
 LEAST_WORDS, SHARE = 20, 10
@@ -76,6 +76,7 @@ def bucket_counts(texts: DataFrame, text: str = "text", grams: int = GRAMS, buck
             total += np.bincount(features(b.column(0), grams, buckets)[1], minlength=buckets)
         (at,) = np.nonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(total[at], pa.int64())], ["bucket", "n"])
+        release_memory()
 
     return texts.select(F.col(text).cast("string")).mapInArrow(run, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
 
@@ -145,6 +146,7 @@ def document_weights(docs: DataFrame, gain: np.ndarray, doc_id: str = "doc_id",
                 total[at:past] = planes.sums(counts)
             weight = np.where(n > 0, total // np.maximum(n, 1), 0)
             yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(x.astype(np.int64)) for x in (words, n, weight))], ["doc_id", "n_words", "n_features", "weight"])
+        release_memory()
 
     return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")).mapInArrow(run, "doc_id long, n_words long, n_features long, weight long")
 

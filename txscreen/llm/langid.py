@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import settle, table, text_slices
+from .common import SLICE_ROWS, release_memory, settle, table, text_slices
 
 N, HASHES, FALSE_RATE = 4, 3, 0.005
 LANG_DOCS, MIN_COUNT, MIN_RATE, MIN_SHARE = 1000, 3, 2.0**-19, 0.25
@@ -175,6 +175,7 @@ def train(labelled: DataFrame, doc_id: str = "doc_id", text: str = "text", lang:
             for name, parts in own.items():
                 g, n = np.unique(np.concatenate(parts), return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array([name] * len(g), pa.string()), pa.array(g.view(np.int64)), pa.array(n, pa.int64())], ["lang", "gram", "n"])
+        release_memory()
 
     counts = sample.select("text", "lang").mapInArrow(count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     return build(counts.where(F.col("n") >= MIN_COUNT))
@@ -186,7 +187,10 @@ def predict(docs: DataFrame, model: Model, text: str = "text", to: str = "lang_i
 
     @F.pandas_udf("lang_pred string, score double, coverage double")
     def run(series: pd.Series) -> pd.DataFrame:
-        name, score, coverage = held.value.predict(list(series))
+        parts = [held.value.predict(list(series[at : at + SLICE_ROWS])) for at in range(0, len(series), SLICE_ROWS)]
+        release_memory()
+        name = [n for p in parts for n in p[0]]
+        score, coverage = (np.concatenate([p[i] for p in parts]) if parts else np.zeros(0) for i in (1, 2))
         return pd.DataFrame({"lang_pred": name, "score": score, "coverage": coverage})
 
     return docs.withColumn(to, run(F.col(text).cast("string")))

@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import settle, table
+from .common import release_memory, settle, table
 from .components import components
 
 SHINGLE, RADIUS = 3, 3
@@ -70,7 +70,9 @@ def fingerprint_column(text: str = "text"):
 
     @F.pandas_udf("long")
     def run(series: pd.Series) -> pd.Series:
-        return pd.Series(np.array([fingerprint(t) for t in series], np.uint64).astype(np.int64))
+        out = pd.Series(np.array([fingerprint(t) for t in series], np.uint64).astype(np.int64))
+        release_memory()
+        return out
 
     return run(F.col(text).cast("string"))
 
