@@ -1,6 +1,8 @@
 """Decoding, integration, monitoring, training and report operators on hand-made rows."""
 
 import json
+import math
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -135,6 +137,54 @@ def test_stored_days_are_bounded(spark):
     assert got.count() == 6 and {r.d for r in got.collect()} == {"2026-01-05", "2026-01-04"}
 
 
+def test_recent_days_come_from_folder_names(spark, tmp_path):
+    for b in range(3):
+        rows = spark.range(1, 8).select(F.date_add(F.lit("2026-01-01").cast("date"), F.col("id").cast("int") + b).alias("day_bucket"), (F.col("id") * 10 + b).alias("event_ts"), F.col("id").alias("event_id"))
+        sinks.write_table(rows, str(tmp_path), "transactions_by_day", str(b))
+    path = f"{tmp_path}/transactions_by_day"
+    assert tables.stored_days(spark, path)[:2] == ["2026-01-10", "2026-01-09"] and len(tables.stored_days(spark, path)) == 9
+    got = tables.read_recent_days(spark, path, 2)
+    want = tables.recent_days(spark.read.parquet(path), 2)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.select(*got.columns).collect())) and got.count() == 3
+    # the scan has the folders of the two days only: the last batch's both, the one before its last
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[[^\]]*day_bucket#\d+ IN", plan)
+    assert tables.read_recent_days(spark, path, 5, 1).count() == 5 and tables.read_recent_days(spark, f"{tmp_path}/none", 5) is None
+
+
+@pytest.mark.parametrize(("n", "m"), [(1, 1), (2, 3), (4, 4), (7, 5), (6, 9)])
+def test_exact_ks_tails_match_all_orders(n, m):
+    """The share of all orders of n and m values whose statistic is d or more."""
+    from itertools import combinations
+
+    from txscreen.operators.monitoring import _ks_tail
+
+    seen = []
+    for own in combinations(range(n + m), n):
+        i = j = 0
+        d, own = 0.0, set(own)
+        for k in range(n + m):
+            i, j = (i + 1, j) if k in own else (i, j + 1)
+            d = max(d, abs(i / n - j / m))
+        seen.append(d)
+    for d in sorted(set(seen)):
+        assert _ks_tail(d, n, m) == pytest.approx(sum(x >= d - 1e-9 for x in seen) / len(seen), abs=1e-12)
+
+
+def test_exact_ks_tails_of_larger_samples(spark):
+    from txscreen.operators.monitoring import _ks_tail
+
+    # equal sizes have a closed form, by reflections
+    for n in (20, 50, 1000):
+        for h in (1, 2, n // 5, n // 2, n):
+            want = 2 * sum((-1) ** (k - 1) * math.exp(2 * math.lgamma(n + 1) - math.lgamma(n - k * h + 1) - math.lgamma(n + k * h + 1)) for k in range(1, n // h + 1))
+            assert _ks_tail(h / n, n, n) == pytest.approx(want, abs=1e-9)
+    # known values of the two-sided test
+    assert _ks_tail(1.0, 3, 3) == pytest.approx(0.1) and _ks_tail(1.0, 5, 5) == pytest.approx(2 / math.comb(10, 5))
+    frame = lambda v: spark.createDataFrame([(float(x),) for x in v], "v double")
+    assert N.numeric_drift(frame([1, 2, 3]), frame([4, 5, 6]), ("v",)).first().ks_pvalue == 0.1
+
+
 def test_alerts_are_published_once(spark):
     rows, done = spark.createDataFrame([("r", "1"), ("r", "1"), ("r", "2")], "run_id string, event_id string"), spark.createDataFrame([("r", "2")], "run_id string, event_id string")
     assert [r.event_id for r in sinks.unpublished(rows, done).collect()] == ["1"]

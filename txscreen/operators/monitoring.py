@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -109,6 +112,39 @@ def ks_p_value(d: Column, n: Column, m: Column, terms: int = 100) -> Column:
     return F.when(z <= 0.04, 1.0).otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), 2 * total)))
 
 
+#: Rows of the larger side up to which p-values are exact; beyond, they are asymptotic.
+EXACT_ROWS = 10_000
+
+
+def _ks_tail(d: float, n: int, m: int) -> float:
+    """P(D >= d): of the monotone paths over an n x m lattice, the share that leaves the band |i / n - j / m| < d.
+
+    The share of paths inside is built line by line: within the band a point's count is the sum of those to its
+    left and below, and the factor i / (i + m) for each line makes counts shares.
+    """
+    common = math.gcd(n, m)
+    up, right = m // common, n // common
+    most = round(d * n * up)
+    if most <= 0:
+        return 1.0
+    j = np.arange(m + 1)
+    share = (j * right < most).astype(np.float64)
+    for i in range(1, n + 1):
+        share = np.where(np.abs(i * up - j * right) < most, share, 0.0)
+        first, past = np.searchsorted(j * right, i * up - most, "right"), np.searchsorted(j * right, i * up + most, "left")
+        share[first:past] = np.cumsum(share[first:past] * (i / (i + m)))
+    return float(min(1.0, max(0.0, 1.0 - share[m])))
+
+
+def exact_ks_p_value(d: Column, n: Column, m: Column) -> Column:
+    """The exact two-sided p-value, null beyond EXACT_ROWS; for the few rows of a report."""
+
+    def run(ds: pd.Series, ns: pd.Series, ms: pd.Series) -> pd.Series:
+        return pd.Series([_ks_tail(a, int(b), int(c)) if max(b, c) <= EXACT_ROWS else None for a, b, c in zip(ds, ns, ms, strict=True)], dtype="float64")
+
+    return F.pandas_udf(run, "double")(d, n, m)
+
+
 def numeric_drift(reference: DataFrame, serving: DataFrame, columns: tuple[str, ...] = NUMERIC) -> DataFrame:
     """A row for each column: the two-sample KS statistic and its p-value, means and their difference.
 
@@ -126,8 +162,10 @@ def numeric_drift(reference: DataFrame, serving: DataFrame, columns: tuple[str,
     # one row for each column
     gap = steps.join(F.broadcast(totals.select("feature", "n", "m")), "feature").groupBy("feature").agg(F.max(F.abs(F.col("run_r") / F.col("n") - F.col("run_s") / F.col("m"))).alias("d"))
     done = totals.join(F.broadcast(gap), "feature").where("n > 0 AND m > 0")
+    sizes = F.col("d"), F.col("n").cast("double"), F.col("m").cast("double")
+    p = F.when(F.greatest("n", "m") <= EXACT_ROWS, exact_ks_p_value(*sizes)).otherwise(ks_p_value(*sizes))
     return done.select(
-        "feature", F.round("d", 6).alias("ks_statistic"), F.round(ks_p_value(F.col("d"), F.col("n").cast("double"), F.col("m").cast("double")), 6).alias("ks_pvalue"),
+        "feature", F.round("d", 6).alias("ks_statistic"), F.round(p, 6).alias("ks_pvalue"),
         F.round("mr", 6).alias("reference_mean"), F.round("ms", 6).alias("serving_mean"), F.round(F.col("ms") - F.col("mr"), 6).alias("mean_delta"), (F.col("d") >= KS_DRIFT).alias("drift_detected"),
     )
 

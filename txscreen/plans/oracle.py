@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from ..config import RULES, ScreenConfig
 from ..functions.scalars import BROWSERS, COUNTRIES, CREDITS, DEBITS, DEVICES, TYPES
-from ..operators.monitoring import POLICY
+from ..operators.monitoring import EXACT_ROWS, POLICY
 from ..operators.rules import STATE_FIELDS
 
 C = ScreenConfig()
@@ -82,8 +82,10 @@ run AS (SELECT *, sum(n) OVER w AS rn, sum(pos) OVER w AS rp, sum(neg) OVER w AS
 
 
 def _ks(column: str) -> str:
+    # the exact p-value is a sum of binomials where both sides have equally many rows, as the two halves have
     return f"""SELECT '{column}' AS feature, round(d, 6) AS ks_statistic,
-  round(CASE WHEN z <= 0.04 THEN 1.0 ELSE greatest(0.0, least(1.0, 2 * list_sum(list_transform(range(1, 101), lambda k: (CASE WHEN k % 2 = 1 THEN 1.0 ELSE -1.0 END) * exp(-2.0 * k * k * z * z))))) END, 6) AS ks_pvalue,
+  round(CASE WHEN greatest(n, m) <= {EXACT_ROWS} AND n = m THEN CASE WHEN round(d * n) = 0 THEN 1.0 ELSE least(1.0, 2 * list_sum(list_transform(range(1, CAST(n // round(d * n) AS BIGINT) + 1), lambda k: (CASE WHEN k % 2 = 1 THEN 1.0 ELSE -1.0 END) * exp(2 * lgamma(n + 1) - lgamma(n - k * round(d * n) + 1) - lgamma(n + k * round(d * n) + 1))))) END
+    WHEN z <= 0.04 THEN 1.0 ELSE greatest(0.0, least(1.0, 2 * list_sum(list_transform(range(1, 101), lambda k: (CASE WHEN k % 2 = 1 THEN 1.0 ELSE -1.0 END) * exp(-2.0 * k * k * z * z))))) END, 6) AS ks_pvalue,
   round(mr, 6) AS reference_mean, round(ms, 6) AS serving_mean, round(ms - mr, 6) AS mean_delta, d >= 0.2 AS drift_detected
 FROM (SELECT *, d * sqrt(n * m / (n + m)) AS z FROM (
   SELECT max(abs(cr / n - cs / m)) AS d, any_value(n) AS n, any_value(m) AS m, any_value(mr) AS mr, any_value(ms) AS ms FROM (

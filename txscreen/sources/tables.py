@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+from datetime import date, timedelta
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -73,8 +76,31 @@ def recent_days(stored: DataFrame, days: int, per_day: int | None = None, lookba
     # one row for each of a few days
     chosen = stored.select(day).distinct().crossJoin(F.broadcast(latest)).where(F.datediff("latest", day) <= lookback).orderBy(F.desc(day)).limit(days).select(day)
     rows = stored.join(F.broadcast(chosen), day, "left_semi")
-    if per_day is None:
-        return rows
+    return rows if per_day is None else newest_of_each_day(rows, per_day, day, newest, key)
+
+
+def stored_days(spark: SparkSession, path: str, day: str = "day_bucket") -> list[str]:
+    """The days of a stored table, newest first, from the names of its folders: no row is read."""
+    place = spark._jvm.org.apache.hadoop.fs.Path
+    files = place(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    found = set()
+    for pattern in (f"{path}/{day}=*", f"{path}/batch=*/{day}=*"):
+        found |= {x.getPath().getName().removeprefix(f"{day}=") for x in files.globStatus(place(pattern)) or []}
+    return sorted((d for d in found if re.fullmatch(r"\d{4}-\d{2}-\d{2}", d)), reverse=True)
+
+
+def read_recent_days(spark: SparkSession, path: str, days: int, per_day: int | None = None, lookback: int = 400, day: str = "day_bucket", newest: str = "event_ts", key: str = "event_id") -> DataFrame | None:
+    """recent_days() of a stored table, which reads the files of the chosen days only; None without a day."""
+    found = stored_days(spark, path, day)
+    if not found:
+        return None
+    least = (date.fromisoformat(found[0]) - timedelta(days=lookback)).isoformat()
+    chosen = [d for d in found if d >= least][:days]
+    rows = spark.read.parquet(path).where(F.col(day).isin([date.fromisoformat(d) for d in chosen]))
+    return rows if per_day is None else newest_of_each_day(rows, per_day, day, newest, key)
+
+
+def newest_of_each_day(rows: DataFrame, per_day: int, day: str = "day_bucket", newest: str = "event_ts", key: str = "event_id") -> DataFrame:
     order = Window.partitionBy(day).orderBy(F.desc(newest), key)
     return rows.withColumn("_r", F.row_number().over(order)).where(F.col("_r") <= per_day).drop("_r")
 
