@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 import json
-import random
-from functools import reduce
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
@@ -17,6 +15,7 @@ from pyspark.sql import functions as F
 from ..durable import exists, settle
 from ..durable import names as folder_names
 from ..plans.running import running_totals
+from .neighbours import nearest
 
 ALARM_COST, SEED = 5.0, 42
 
@@ -270,10 +269,8 @@ def top_importances(spark: SparkSession, model: PipelineModel, names: list[str],
 def oversample(rows: DataFrame, names: list[str], label: str = "is_fraud", key: str = "event_id", ratio: float = 0.1, k: int = 5, seed: int = SEED) -> DataFrame:
     """rows of `names` and label, with interpolated minority rows up to ratio x majority.
 
-    Each new row lies on the line from a minority row to one of its k nearest among its neighbours in a few
-    orders: along each of LINES random directions a row sees the k rows on either side, in range partitions, so
-    a row has 2 * k * LINES candidates however many rows there are. Rows that see none make none; the others make
-    up for them. Nothing is added where the ratio holds or there are less than two rows.
+    Each new row lies on the line from a minority row to one of its k nearest others, by the distance of scaled
+    columns (see neighbours.py). Nothing is added where the ratio holds or there are less than two rows.
     """
     base = rows.select(key, label, *[F.col(c).cast("double").alias(c) for c in names])
     counts = {r[0]: r[1] for r in base.groupBy(label).count().collect()}  # two classes
@@ -285,11 +282,10 @@ def oversample(rows: DataFrame, names: list[str], label: str = "is_fraud", key:
     minority = VectorAssembler(inputCols=names, outputCol="_v").transform(base.where(F.col(label) == 1))
     scaled = StandardScaler(inputCol="_v", outputCol="_s", withMean=True, withStd=True).fit(minority).transform(minority)
     scaled = settle(scaled.select(F.col(key).alias("a"), vector_to_array("_s").alias("s"), F.array(*names).alias("x")))
-    draw = random.Random(seed)
-    seen = [_beside(scaled, [draw.gauss(0, 1) for _ in names], k) for _ in range(LINES)]
-    pairs = reduce(DataFrame.union, seen).where("a <> b").dropDuplicates(["a", "b"])
-    near = pairs.withColumn("r", F.row_number().over(Window.partitionBy("a").orderBy("d", "b"))).where(F.col("r") <= k)
-    made = settle(near.groupBy("a").agg(F.first("x").alias("x"), F.sort_array(F.collect_list(F.struct("r", "y"))).alias("near")))  # k neighbours at most
+    pairs = nearest(scaled.select("a", "s"), k)
+    there, here = scaled.select(F.col("a").alias("b"), F.col("x").alias("y")), scaled.select("a", "x")
+    near = pairs.join(there, "b").groupBy("a").agg(F.sort_array(F.collect_list(F.struct("r", "y"))).alias("near"))  # k neighbours at most
+    made = settle(here.join(near, "a"))
     per = -(-need // max(1, made.count()))
     made = made.withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(per - 1))))
     pick = F.pmod(F.xxhash64(F.lit(seed), "a", "i"), F.size("near")).cast("int")
@@ -297,18 +293,3 @@ def oversample(rows: DataFrame, names: list[str], label: str = "is_fraud", key:
     made = made.select(F.struct("a", "i").alias("id"), F.lit(1).alias(label), F.shiftrightunsigned(F.xxhash64(F.lit(seed + 2), "a", "i"), 64 - DRAW_BITS).alias("place"), F.zip_with("x", F.get("near", pick)["y"], lambda p, q: p + step * (q - p)).alias("n"))
     new = ranked(made, "place", "id", label).where(F.col("_rank") < need)
     return plain.unionByName(new.select(label, *[F.col("n")[j].alias(c) for j, c in enumerate(names)]))
-
-
-#: Directions along which oversample() looks for neighbours.
-LINES = 4
-
-
-def _beside(rows: DataFrame, direction: list[float], k: int) -> DataFrame:
-    """rows: (a, s, x). (a, x, b, y, d): the k rows on either side of each along a direction, with their distance."""
-    along = reduce(lambda p, q: p + q, [F.lit(c) * F.col("s")[j] for j, c in enumerate(direction)])
-    dealt = settle(rows.withColumn("at", along).repartitionByRange("at", "a").withColumn("part", F.spark_partition_id()))
-    window = Window.partitionBy("part").orderBy("at", "a").rowsBetween(-k, k)
-    # 2 k + 1 rows at most
-    other = dealt.withColumn("near", F.collect_list(F.struct("a", "s", "x")).over(window)).withColumn("o", F.explode("near"))
-    far = F.aggregate(F.zip_with("s", "o.s", lambda p, q: (p - q) * (p - q)), F.lit(0.0), lambda p, q: p + q)
-    return other.select("a", "x", F.col("o.a").alias("b"), F.col("o.x").alias("y"), far.alias("d"))
