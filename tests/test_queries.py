@@ -42,3 +42,43 @@ def test_oversampling_reaches_the_ratio_and_stays_in_the_hull(spark, data):
 def test_load_profile(spark, data):
     row = QUERIES["load_profile"](spark, data).first()
     assert row.events == 2000 and row.alerts > 0 and row.tumbling > 0 and row.sliding >= row.tumbling
+
+
+def test_models_are_compared_and_one_is_selected(spark, data):
+    from txscreen.plans.queries import compared
+
+    rows = compared(spark, data, {"logreg": {"maxIter": 20}, "rf": {"numTrees": 10, "maxDepth": 5}, "gbt": {"maxIter": 6, "maxDepth": 4}}).collect()
+    assert [r.model for r in rows] == ["logreg", "rf", "gbt"] and sum(r.selected for r in rows) == 1
+    best = min(rows, key=lambda r: (r.validation_cost, -r.validation_auc_pr))
+    assert best.selected and all(r.tp + r.fn == rows[0].tp + rows[0].fn and r.evaluated_thresholds > 1 for r in rows)
+
+
+def test_boosted_trees_stop_early(spark, data):
+    from pyspark.sql import functions as F
+
+    from txscreen.operators import training as T
+
+    # a label that one split tells, and validation rows that nothing tells
+    rows = spark.range(600).select((F.col("id") % 100).cast("double").alias("x"), F.lit(1.0).alias("weight"), ((F.col("id") % 100) > 60).cast("int").alias("is_fraud"))
+    noise = spark.range(200).select(F.col("id").cast("double").alias("x"), F.lit(1.0).alias("weight"), F.pmod(F.xxhash64("id"), F.lit(2)).cast("int").alias("is_fraud"))
+    stopped, whole = T.fit(rows, ["x"], "gbt", noise, maxIter=12, maxDepth=2), T.fit(rows, ["x"], "gbt", maxIter=12, maxDepth=2)
+    assert stopped.stages[-1].getNumTrees < whole.stages[-1].getNumTrees == 12
+    scored = T.predict(whole, rows)
+    assert scored.where("(score > 0.5) <> (is_fraud = 1)").count() <= 30  # a bin of the split
+
+
+def test_features_are_scaled_by_the_population_deviation(spark):
+    from pyspark.ml.functions import vector_to_array
+    from pyspark.sql import functions as F
+
+    from txscreen.operators import training as T
+
+    rows = spark.createDataFrame([(float(x), int(x > 3), 1.0) for x in (1, 2, 3, 4, 10)], "x double, is_fraud int, weight double")
+    model = T.fit(rows, ["x"], "logreg", maxIter=2)
+    z = model.transform(rows).select(vector_to_array("features")[0].alias("z")).agg(F.avg("z").alias("m"), F.stddev_pop("z").alias("s")).first()
+    assert abs(z.m) < 1e-12 and abs(z.s - 1) < 1e-12
+
+
+def test_feature_importances(spark, data):
+    rows = QUERIES["feature_importances"](spark, data).collect()
+    assert rows and sum(r.importance for r in rows) <= 1 + 1e-9 and [r.importance for r in rows] == sorted((r.importance for r in rows), reverse=True)

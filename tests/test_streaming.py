@@ -330,3 +330,27 @@ def test_the_ledger_stays_small(spark, tmp_path):
         book.mark(spark, i)
     assert book.upto(spark) == 1087 and book.done(spark, 3) and not book.done(spark, 1088)
     assert len(names(spark, book.path)) + len(names(spark, f"{book.path}/_upto")) <= 4
+
+
+def test_a_ledger_is_published_at_a_rate_up_to_a_number(spark, tmp_path):
+    import time
+
+    from txscreen.sources.tables import ledger
+    from txscreen.streaming.publish import Publisher
+
+    root, sent = str(tmp_path), []
+    tx = ledger(spark, "/root/testdata/sf0.001")
+    publish = lambda rows, batch: sent.append((time.monotonic(), sorted((r.topic, r.key) for r in rows.collect())))
+    maker = Publisher(tx, root, publish, rate=20, most=90, every=1.0, block=64)
+    assert maker.run(timeout=120) and maker.end == 90
+    first = [r.event_id for r in tx.orderBy("t", "seq").limit(90).select(F.col("event_id").cast("string").alias("event_id")).collect()]
+    assert [len(rows) // 3 for _, rows in sent] == [20, 20, 20, 20, 10]
+    for topic in ("transactions", "sender_state", "receiver_state"):
+        assert [k for _, rows in sent for t, k in sorted(rows, key=lambda r: first.index(r[1])) if t == topic] == first
+    assert sent[-1][0] - sent[0][0] >= 3.0
+    # started again, it goes on after what it has published
+    sent.clear()
+    more = Publisher(tx, root, publish, rate=50, most=180, every=0.5, block=64)
+    assert more.run(timeout=120)
+    later = {k for _, rows in sent for _, k in rows}
+    assert later <= {r.event_id for r in tx.orderBy("t", "seq").limit(180).select(F.col("event_id").cast("string").alias("event_id")).collect()} and not later & set(first[:80])

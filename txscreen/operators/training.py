@@ -3,16 +3,18 @@
 from __future__ import annotations
 
 import json
+import math
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
-from pyspark.ml.feature import StandardScaler, VectorAssembler
+from pyspark.ml.feature import ElementwiseProduct, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import Vectors
 from pyspark.ml.stat import Correlation
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..durable import exists, settle
+from ..durable import exists, settle, shared_dir
 from ..durable import names as folder_names
 from ..plans.running import running_totals
 from .neighbours import nearest
@@ -185,25 +187,43 @@ def class_weights(rows: DataFrame, label: str = "is_fraud") -> DataFrame:
     return rows.join(F.broadcast(counts.crossJoin(F.broadcast(total))), rows[label] == F.col("_l")).withColumn("weight", F.col("_t") / (2 * F.col("_n"))).drop("_l", "_n", "_t")  # two classes
 
 
+_COLUMNS = {"featuresCol": "features", "labelCol": "is_fraud", "weightCol": "weight"}
+#: The settings of the compared models. The boosted trees stop when VALIDATION rows no longer gain.
 ESTIMATORS = {
-    "logreg": lambda: LogisticRegression(featuresCol="features", labelCol="is_fraud", weightCol="weight", maxIter=100),
-    "rf": lambda: RandomForestClassifier(featuresCol="features", labelCol="is_fraud", weightCol="weight", numTrees=100, maxDepth=15, minInstancesPerNode=5, seed=SEED),
-    "gbt": lambda: GBTClassifier(featuresCol="features", labelCol="is_fraud", weightCol="weight", maxIter=50, maxDepth=6, seed=SEED),
+    "logreg": lambda: LogisticRegression(**_COLUMNS, maxIter=1000),
+    "rf": lambda: RandomForestClassifier(**_COLUMNS, numTrees=100, maxDepth=15, minInstancesPerNode=5, maxMemoryInMB=512, cacheNodeIds=True, checkpointInterval=10, seed=SEED),
+    "gbt": lambda: GBTClassifier(**_COLUMNS, maxIter=100, maxDepth=6, stepSize=0.1, subsamplingRate=0.8, validationTol=0.001, checkpointInterval=10, seed=SEED),
 }
+#: Marks the rows that boosting measures its loss on.
+VALIDATION = "is_validation"
 
 
-def fit(train: DataFrame, names: list[str], kind: str = "logreg", **params) -> PipelineModel:
-    """train: numeric columns `names`, is_fraud and weight. params: settings of the estimator by name."""
+def fit(train: DataFrame, names: list[str], kind: str = "logreg", validation: DataFrame | None = None, **params) -> PipelineModel:
+    """train: numeric columns `names`, is_fraud and weight. params: settings of the estimator by name.
+
+    Features are scaled by the train rows' mean and population deviation. With validation rows (of the same columns) boosted
+    trees stop at the first tree that lessens their loss by less than validationTol in proportion, and keep the best number of trees.
+    """
     last = ESTIMATORS[kind]()
     last = last.copy({last.getParam(k): v for k, v in params.items()})
-    stages = [VectorAssembler(inputCols=names, outputCol="raw", handleInvalid="keep"), StandardScaler(inputCol="raw", outputCol="features", withMean=True, withStd=True), last]
-    return Pipeline(stages=stages).fit(train)
+    assemble = VectorAssembler(inputCols=names, outputCol="raw", handleInvalid="keep")
+    scale = StandardScaler(inputCol="raw", outputCol="scaled", withMean=True, withStd=True).fit(assemble.transform(train))
+    # the scaler divides by the sample's deviation
+    n = train.count()
+    factor = ElementwiseProduct(inputCol="scaled", outputCol="features", scalingVec=Vectors.dense([math.sqrt(n / (n - 1)) if n > 1 else 1.0] * len(names)))
+    prepared = PipelineModel([assemble, scale, factor])
+    rows = train
+    if kind == "gbt" and validation is not None:
+        shared_dir(train.sparkSession)
+        rows = train.withColumn(VALIDATION, F.lit(False)).unionByName(validation.select(*train.columns).withColumn(VALIDATION, F.lit(True)))
+        last = last.setValidationIndicatorCol(VALIDATION)
+    return PipelineModel([assemble, scale, factor, last.fit(prepared.transform(rows))])
 
 
 def predict(model: PipelineModel, rows: DataFrame) -> DataFrame:
     """rows with score, the unrounded probability of fraud."""
     done = model.transform(rows).withColumn("score", vector_to_array("probability")[1])
-    return done.drop("raw", "features", "rawPrediction", "probability", "prediction")
+    return done.drop("raw", "scaled", "features", "rawPrediction", "probability", "prediction")
 
 
 def evaluate(rows: DataFrame, threshold: float) -> DataFrame:
@@ -220,7 +240,9 @@ def train_and_tune(train: DataFrame, validation: DataFrame, test: DataFrame, nam
 
     The record is one row: model, threshold, evaluated_thresholds, validation_cost, validation_auc_pr, and evaluate() of the test rows.
     """
-    model = fit(settle(class_weights(train).select(*names, "is_fraud", "weight")), names, kind, **params)
+    weighted = settle(class_weights(train).select(*names, "is_fraud", "weight"))
+    watched = class_weights(validation).select(*names, "is_fraud", "weight") if kind == "gbt" else None
+    model = fit(weighted, names, kind, watched, **params)
     # three columns of each scored row, read several times
     validation, test = (settle(predict(model, rows).select("score", "is_fraud", "amount")) for rows in (validation, test))
     sweep = by_score(validation)

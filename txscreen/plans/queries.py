@@ -544,14 +544,28 @@ def model_scores(spark: SparkSession, d: str) -> DataFrame:
     return R.score(test, ml=F.col("score")).select("event_id", "is_fraud", "ml_score", "risk_score", "severity", "is_alert")
 
 
-@query
-def model_comparison(spark: SparkSession, d: str) -> DataFrame:
-    """A linear model and a forest: trained, tuned by cost on validation rows, measured on test rows."""
+def compared(spark: SparkSession, d: str, kinds: dict[str, dict] | None = None) -> DataFrame:
+    """A linear model, a forest and boosted trees: trained, tuned by cost on validation rows, measured on test rows, and which one is selected."""
     rows, names = numeric_features(spark, d)
     split = settle(T.stratified_split(rows))
     parts = [split.where(F.col("split") == p) for p in ("train", "validation", "test")]
-    kinds = {"logreg": {"maxIter": 20}, "rf": {"numTrees": 20, "maxDepth": 6}}
-    return reduce(DataFrame.unionByName, (T.train_and_tune(*parts, names, kind, **params)[1] for kind, params in kinds.items()))
+    kinds = dict.fromkeys(T.ESTIMATORS, {}) if kinds is None else kinds
+    records = settle(reduce(DataFrame.unionByName, (T.train_and_tune(*parts, names, kind, **params)[1] for kind, params in kinds.items())))
+    chosen = T.select_model(records).select(F.col("model").alias("_model"))
+    return records.crossJoin(F.broadcast(chosen)).withColumn("selected", F.col("model") == F.col("_model")).drop("_model")  # one row
+
+
+@query
+def model_comparison(spark: SparkSession, d: str) -> DataFrame:
+    return compared(spark, d)
+
+
+@query
+def feature_importances(spark: SparkSession, d: str) -> DataFrame:
+    """The features that a forest trained on the train split uses most."""
+    rows, names = numeric_features(spark, d)
+    train = T.class_weights(T.stratified_split(rows).where("split = 'train'")).select(*names, "is_fraud", "weight")
+    return T.top_importances(spark, T.fit(settle(train), names, "rf", numTrees=20, maxDepth=8), names)
 
 
 @query
