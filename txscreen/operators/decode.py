@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..config import ScreenConfig
+from ..functions.scalars import utc
 from ..sources.tables import event_time
 
 ENVELOPE = ("kafka_key", "raw_value", "kafka_timestamp", "partition", "offset", "source_topic")
@@ -32,7 +33,7 @@ def decode(raw: DataFrame, schema: str, required: tuple[str, ...], timestamps: t
     names = T.StructType.fromDDL(schema).fieldNames()
     parsed = raw.withColumn("_p", F.from_json("raw_value", f"{schema}, _corrupt STRING", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}))
     rows = parsed.select(*raw.columns, *[F.col(f"_p.{n}").alias(n) for n in names], (F.col("_p").isNull() | F.col("_p._corrupt").isNotNull()).alias("_bad"))
-    rows = rows.withColumns({f"_t_{c}": F.try_to_timestamp(F.col(c)) for c in timestamps})
+    rows = rows.withColumns({f"_t_{c}": utc(F.col(c)) for c in timestamps})
     late = reduce(lambda a, b: a | b, (F.col(c).isNotNull() & F.col(f"_t_{c}").isNull() for c in timestamps), F.lit(False))
     wrong = F.trim("event_id") == ""
     if "step" in names:

@@ -28,12 +28,19 @@ tx AS (
 _BEFORE = "(b.t < a.t OR (b.t = a.t AND b.event_id < a.event_id))"
 
 
-def history(cfg: ScreenConfig = C) -> str:
+#: The ledger twice over, as the load has it.
+_LOAD = TX.replace("\ntx AS (", "\nseed AS (") + """,
+numbered AS (SELECT *, row_number() OVER (ORDER BY event_id) - 1 AS i FROM seed), all_ AS (SELECT count(*) AS m FROM seed), k AS (SELECT unnest(range((SELECT 2 * m FROM all_))) AS k),
+tx AS (SELECT k.k AS event_id, CAST(step + k.k // m AS INTEGER) AS step, txn_type, amount, name_orig || '_' || (k.k % 1000) AS name_orig, name_dest || '_' || (k.k % 1000) AS name_dest, oldbalance_org, oldbalance_dest, t + k.k AS t, newbalance_org, newbalance_dest, is_fraud
+  FROM all_, k JOIN numbered ON numbered.i = k.k % (SELECT m FROM all_))"""
+
+
+def history(cfg: ScreenConfig = C, tx: str = TX) -> str:
     """History by joins of the ledger with itself: what is before a row, tie by tie."""
     band = f"BETWEEN {cfg.split_low} AND {cfg.split_high}"
     near = f"b.t >= a.t - {cfg.fan_out_seconds}"
     split = f"b.txn_type = 'TRANSFER' AND b.amount {band} AND b.t >= a.t - {cfg.split_seconds}"
-    return f"""{TX},
+    return f"""{tx},
 snd AS (SELECT a.event_id, count(b.event_id) FILTER (WHERE {near}) AS n900, coalesce(sum(b.amount) FILTER (WHERE {near}), 0) AS s900, count(b.event_id) AS n3600,
     max(b.t) FILTER (WHERE b.t < a.t) AS last_t, count(DISTINCT b.name_dest) FILTER (WHERE {near} AND b.name_dest <> a.name_dest) + 1 AS receivers,
     count(b.event_id) FILTER (WHERE {split}) + 1 AS split_n, coalesce(sum(b.amount) FILTER (WHERE {split}), 0) + any_value(a.amount) AS split_s
@@ -48,11 +55,11 @@ hist AS (SELECT tx.*, txn_type IN ('TRANSFER', 'CASH_OUT') AS outbound, txn_type
   FROM tx JOIN snd USING (event_id) JOIN rcv USING (event_id) JOIN inb USING (event_id) JOIN pair USING (event_id))"""
 
 
-def scored(cfg: ScreenConfig = C) -> str:
+def scored(cfg: ScreenConfig = C, tx: str = TX) -> str:
     flags = ", ".join(f"CASE WHEN f{i} THEN '{n}' END" for i, n in enumerate(RULES))
     w = (cfg.drain_weight, cfg.fan_out_weight, cfg.fan_in_weight, cfg.split_weight, cfg.counterparty_weight, cfg.chain_weight)
     clear = " * ".join(f"CASE WHEN f{i} THEN CAST({1 - x!r} AS DOUBLE) ELSE 1.0 END" for i, x in enumerate(w))
-    return f"""{history(cfg)},
+    return f"""{history(cfg, tx)},
 flags AS (SELECT *,
     outbound AND oldbalance_org >= {cfg.drain_floor} AND amount / nullif(oldbalance_org, 0) >= {cfg.drain_ratio} AND newbalance_org <= {cfg.drain_near_zero} AS f0,
     outbound AND receivers >= {cfg.fan_out_receivers} AND round(s900 + amount, 2) >= {cfg.fan_out_amount} AS f1,
@@ -274,6 +281,7 @@ SELECT is_fraud, bin, coalesce(n, 0) AS n FROM (SELECT is_fraud, CAST(unnest(ran
     "feature_table": _feature_totals(),
     "amplified_events": f"""WITH {TX}, n AS (SELECT *, row_number() OVER (ORDER BY event_id) - 1 AS i, count(*) OVER () AS m FROM tx), k AS (SELECT unnest(range((SELECT 2 * count(*) + 7 FROM tx))) AS k, (SELECT count(*) FROM tx) AS m)
 SELECT k.k AS seq, sha1(concat_ws(':', n.event_id, k.k, k.k // k.m, k.k)) AS event_id, CAST(n.step + k.k // k.m AS INTEGER) AS step, n.t + k.k AS t, n.name_orig || '_' || (k.k % 1000) AS name_orig, n.name_dest || '_' || (k.k % 1000) AS name_dest, n.amount FROM k JOIN n ON n.i = k.k % k.m""",
+    "load_profile": f"WITH {scored(tx=_LOAD)}, {_windows(300, 300)}, {_windows(600, 300).replace('wm AS', 'slid AS', 1)} SELECT (SELECT count(*) FROM scored) AS events, (SELECT count(*) FROM alerts) AS alerts, (SELECT count(*) FROM wm) AS tumbling, (SELECT count(*) FROM slid) AS sliding",
     "latency_percentiles": f"WITH {_TRACKED} SELECT profile, round(min(ms), 4) AS min, round(avg(ms), 4) AS mean, round(quantile_cont(ms, 0.5), 4) AS p50, round(quantile_cont(ms, 0.95), 4) AS p95, round(quantile_cont(ms, 0.99), 4) AS p99, round(max(ms), 4) AS max FROM trk GROUP BY 1",
     "latency_profiles": f"WITH {_TRACKED} SELECT profile, count(*) AS events, count(ms) AS succeeded, count(*) - count(ms) AS timed_out, round(count(ms) / count(*), 6) AS success_rate FROM trk GROUP BY 1",
     "resource_summary": """SELECT 'svc' || (user_id % 5) AS name, count(*) AS samples, round(avg(value), 4) AS cpu_avg, round(max(value), 4) AS cpu_max, round(avg(floor(value) * 1048576), 4) AS memory_avg, round(max(floor(value) * 1048576), 4) AS memory_max,
