@@ -1,6 +1,7 @@
 """The six controlled cases through file sources, a restart, scoring and windows."""
 
 import json
+import time
 
 from pyspark.sql import functions as F
 
@@ -205,9 +206,12 @@ def test_many_batches_score_as_one(spark, tmp_path):
     """With deltas merged every two batches, what the stream scores is what one run over all rows scores; a benchmark's rows are timed."""
     from txscreen.operators import history as H
     from txscreen.operators import rules as R
+    from txscreen.streaming.progress import Progress
 
     root = str(tmp_path)
     at, parts = 1_767_225_600, []
+    seen = Progress()
+    spark.streams.addListener(seen)
     for n in range(5):
         part = made_rows(spark, 60, at + n * 700, 700, accounts=5, salt=60 * n).withColumn("event_id", F.concat(F.lit("bench:r9:"), F.col("event_id")))
         parts.append(part)
@@ -219,7 +223,21 @@ def test_many_batches_score_as_one(spark, tmp_path):
     want = R.score(H.with_history(P.keyed(whole)))
     pick = lambda rows: sorted(map(tuple, rows.select("event_id", "risk_score", "severity", F.array_join("triggered_rules", ",")).collect()))
     assert pick(spark.read.parquet(f"{root}/model_predictions_by_day")) == pick(want)
+    for _ in range(100):  # the listener hears of a batch a little later
+        if sum(r[0] == "score" and r[3] > 0 for r in seen.rows) == 5:
+            break
+        time.sleep(0.2)
+    spark.streams.removeListener(seen)
+    told = seen.table(spark).where("query = 'score' AND input_rows > 0").collect()
+    assert sorted(r.batch for r in told) == [0, 1, 2, 3, 4] and all(r.total_ms >= r.add_batch_ms > 0 for r in told)
     timed = spark.read.parquet(f"{root}/benchmark_stage_timings_by_run")
+    # latencies of an actual run: published a second before they were seen
+    from txscreen.operators import reports
+
+    sent = timed.select(F.col("benchmark_run_id").alias("run"), F.lit("smoke").alias("profile"), "event_id", (F.col("spark_seen_at") - F.make_interval(secs=F.lit(1))).alias("published_at"))
+    stages = reports.stage_latencies(sent, timed.withColumnRenamed("benchmark_run_id", "run"))
+    assert stages.where("to_spark_ms = 1000 AND to_store_ms > 0 AND total_ms = to_spark_ms + to_store_ms AND NOT timed_out").count() == 300
+    assert reports.latency_summary(stages, "total_ms", "profile").first().min > 1000
     assert timed.count() == 300 and timed.where("persisted_at > spark_seen_at AND benchmark_run_id = 'r9'").count() == 300
 
 
@@ -333,8 +351,6 @@ def test_the_ledger_stays_small(spark, tmp_path):
 
 
 def test_a_ledger_is_published_at_a_rate_up_to_a_number(spark, tmp_path):
-    import time
-
     from txscreen.sources.tables import ledger
     from txscreen.streaming.publish import Publisher
 

@@ -39,17 +39,22 @@ def stratified_split(rows: DataFrame, label: str = "is_fraud", key: str = "event
     return placed.withColumn("split", split).drop("_d", "_rank", "_total")
 
 
-#: Bits of a drawn number that name its bucket.
-DRAW_BITS, BUCKET_BITS = 60, 14
+#: Bits of a drawn number, and buckets for each shuffle partition.
+DRAW_BITS, BUCKETS_PER_TASK = 60, 16
+
+
+def bucket_bits(spark: SparkSession) -> int:
+    """Bits of a drawn number that name its bucket: buckets are parts of a task's share, so their size is the session's to set."""
+    return max(8, (BUCKETS_PER_TASK * int(spark.conf.get("spark.sql.shuffle.partitions")) - 1).bit_length())
 
 
 def ranked(rows: DataFrame, place: str, key: str, label: str) -> DataFrame:
     """Adds _rank from 0 by (place, key) among the rows of a label, and their number _total.
 
-    place is a drawn number, so its high bits deal the rows evenly over 2^BUCKET_BITS buckets; a task ranks one
+    place is a drawn number, so its high bits deal the rows evenly over buckets; a task ranks one
     bucket, and what the buckets before it hold comes from one row for each bucket.
     """
-    rows = rows.withColumn("_b", F.shiftright(place, DRAW_BITS - BUCKET_BITS))
+    rows = rows.withColumn("_b", F.shiftright(place, DRAW_BITS - bucket_bits(rows.sparkSession)))
     counts = rows.groupBy(label, "_b").agg(F.count(F.lit(1)).alias("_n"))
     w = Window.partitionBy(label).orderBy("_b")
     bases = counts.select(F.col(label).alias("_l"), F.col("_b").alias("_k"), F.coalesce(F.sum("_n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_base"), F.sum("_n").over(Window.partitionBy(label)).alias("_total"))
