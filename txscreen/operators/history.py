@@ -46,24 +46,26 @@ class Line:
 
     def __init__(self, key: str, *order: str) -> None:
         self.key, self.order = (key, "slice"), order
+        line = Window.partitionBy(*self.key)
+        self.by_row, self.by_time = line.orderBy("t", *order), line.orderBy("t")
+        #: All rows before a row.
+        self.before = self.by_row.rowsBetween(Window.unboundedPreceding, -1)
+        self._past: dict[int, WindowSpec] = {}
 
     def dealt(self, rows: DataFrame, seconds: int) -> DataFrame:
         """rows in slices, shuffled once for all that follows."""
         return sliced(rows, seconds).repartition(*self.key)
 
-    def before(self, with_row: bool = False) -> WindowSpec:
-        return Window.partitionBy(*self.key).orderBy("t", *self.order).rowsBetween(Window.unboundedPreceding, 0 if with_row else -1)
-
     def past(self, seconds: int) -> WindowSpec:
         """The rows of all instants more than `seconds` ago."""
-        return Window.partitionBy(*self.key).orderBy("t").rangeBetween(Window.unboundedPreceding, -seconds - 1)
+        if seconds not in self._past:
+            self._past[seconds] = self.by_time.rangeBetween(Window.unboundedPreceding, -seconds - 1)
+        return self._past[seconds]
 
-    def totals(self, rows: DataFrame, sums: dict[str, tuple[Column, int]]) -> DataFrame:
-        """rows with the sum of a value over the history, for each name of sums: (value, seconds)."""
-        none = F.lit(0)
-        rows = rows.withColumns({f"_b_{n}": F.sum(v).over(self.before()) for n, (v, _) in sums.items()})
-        rows = rows.withColumns({f"_p_{n}": F.sum(v).over(self.past(s)) for n, (v, s) in sums.items()})
-        return rows.withColumns({n: F.coalesce(F.col(f"_b_{n}"), none) - F.coalesce(F.col(f"_p_{n}"), none) for n in sums}).drop(*[f"_{x}_{n}" for n in sums for x in "bp"])
+    def total(self, value: Column, seconds: int) -> Column:
+        """The sum of a value over the history."""
+        value = F.sum(value)
+        return F.coalesce(value.over(self.before), F.lit(0)) - F.coalesce(value.over(self.past(seconds)), F.lit(0))
 
     def marked(self, rows: DataFrame, value: str, seconds: int, which: Column | None = None) -> DataFrame:
         """Adds whether the row's value was there within the last `seconds`, and whether it comes again within them; only for the rows `which`."""
@@ -71,15 +73,15 @@ class Line:
         again = lambda c: F.coalesce((c <= seconds) & (F.lit(True) if which is None else which), F.lit(False))
         return rows.withColumns({"_repeats": again(F.col("t") - F.lag("t").over(w)), "_repeated": again(F.lead("t").over(w) - F.col("t"))})
 
-    def distinct(self, rows: DataFrame, name: str, seconds: int, count: Column) -> DataFrame:
-        """Marked rows with how many values the history and the row itself have; count: the rows of both. No set is built.
+    def distinct(self, seconds: int, count: Column) -> Column:
+        """For marked rows, how many values the history and the row itself have; count: the rows of both. No set is built.
 
         Of the rows in reach, those whose value came before in reach don't count. Such a pair of neighbours
         lies within `seconds`, so of all pairs that end by now only those that begin before the reach
         are out of it, and every pair that begins there has ended.
         """
-        ended, left = F.count_if("_repeats").over(self.before(with_row=True)), F.count_if("_repeated").over(self.past(seconds))
-        return rows.withColumn(name, (count - ended + left).cast("int"))
+        ended = F.count_if("_repeats").over(self.by_row.rowsBetween(Window.unboundedPreceding, 0))
+        return (count - ended + F.count_if("_repeated").over(self.past(seconds))).cast("int")
 
 
 def _account_history(tx: DataFrame, cfg: ScreenConfig, credited: bool) -> DataFrame:
@@ -97,14 +99,14 @@ def _account_history(tx: DataFrame, cfg: ScreenConfig, credited: bool) -> DataFr
     line, own = Line("account", "seq", "role"), F.col("role") == 0
     rows = line.marked(line.dealt(rows, reach), "name_dest", cfg.fan_out_seconds, own)
     amount, one, band = money("amount"), F.when(own, 1), own & in_band(cfg)
+    recent = line.total(one, cfg.fan_out_seconds)
     sums = {
-        "_n": (one, cfg.fan_out_seconds), "_sum": (amount, cfg.fan_out_seconds), "_hour": (one, cfg.velocity_seconds),
-        "_band": (F.when(band, 1), cfg.split_seconds), "_banded": (F.when(band, amount), cfg.split_seconds),
+        "_n": recent, "_sum": line.total(amount, cfg.fan_out_seconds), "_hour": line.total(one, cfg.velocity_seconds), "_values": line.distinct(cfg.fan_out_seconds, recent + 1),
+        "_band": line.total(F.when(band, 1), cfg.split_seconds), "_banded": line.total(F.when(band, amount), cfg.split_seconds), "_last": F.max(F.when(own, F.col("t"))).over(line.past(0)),
     }
     if credited:
-        sums |= {"_credits": (F.when(~own, 1), cfg.chain_seconds), "_credited": (money("credit"), cfg.chain_seconds)}
-    rows = line.distinct(line.totals(rows, sums), "_values", cfg.fan_out_seconds, F.col("_n") + 1)
-    return rows.withColumn("_last", F.max(F.when(own, F.col("t"))).over(line.past(0))).where("own AND role = 0")
+        sums |= {"_credits": line.total(F.when(~own, 1), cfg.chain_seconds), "_credited": line.total(money("credit"), cfg.chain_seconds)}
+    return rows.withColumns(sums).where("own AND role = 0")
 
 
 def in_band(cfg: ScreenConfig) -> Column:
@@ -151,8 +153,8 @@ def receiver_history(tx: DataFrame, cfg: ScreenConfig = ScreenConfig()) -> DataF
     """Fan-in inputs of each row; one shuffle on (name_dest, slice)."""
     line, inbound = Line("name_dest", "seq"), F.col("txn_type").isin(*INBOUND)
     rows = line.marked(line.dealt(tx, cfg.fan_in_seconds), "name_orig", cfg.fan_in_seconds)
-    rows = line.totals(rows, {"_n": (F.lit(1), cfg.fan_in_seconds), "_sum": (money("amount"), cfg.fan_in_seconds)})
-    rows = line.distinct(rows, "_values", cfg.fan_in_seconds, F.col("_n") + 1)
+    recent = line.total(F.lit(1), cfg.fan_in_seconds)
+    rows = rows.withColumns({"_n": recent, "_sum": line.total(money("amount"), cfg.fan_in_seconds), "_values": line.distinct(cfg.fan_in_seconds, recent + 1)})
     return rows.where("own").select(
         *tx.columns,
         F.when(inbound, F.col("_n")).otherwise(0).alias("receiver_recent_txn_count"),
