@@ -3,6 +3,7 @@
 import hashlib
 import random
 import zlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -356,3 +357,29 @@ def test_further_notices(spark):
     rows = {r.doc_id: r for r in licences.match_rules(df).collect()}
     for i, (t, n) in enumerate(cases):
         assert [(licences.RULES[h.rule][0], h.times) for h in rows[i].hits] == ([(n, 1)] if n else []), t
+
+
+def test_chat_sql_escapes_as_the_round_trip_needs(spark, tmp_path):
+    import duckdb
+
+    texts = ["a \\ b", "\\", "ends with \\", "two \\\\ in", "<s>", "\\<s>", "\\[", "[INST", "x\\[/INST]y", "", None, "\\n\nline"]
+    rows = [(c, t, r, x) for c, x in enumerate(texts) for t, r in enumerate(["user", "assistant", "\\role", "r\\"])]
+    spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").coalesce(1).write.parquet(f"{tmp_path}/conversations.parquet")
+    db = duckdb.connect()
+    db.execute(f"CREATE VIEW conversations AS SELECT * FROM '{tmp_path}/conversations.parquet/*.parquet'")
+    want = sorted(db.execute(chat.SQL).fetchall())
+    got = chat.op1_chat_format(spark, str(tmp_path)).select("conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars").collect()
+    assert sorted(map(tuple, got)) == want
+
+
+def test_small_tables_have_a_shared_dictionary_too(spark, tmp_path):
+    definition = bpe.load_json(P.path("byte_bpe_50k.json"))
+    kinds = {}
+    for name, texts in {"none": [], "content": ["one two three four five six"] * 3, "trained": [f"number {i} of many words and lines {i * 7}" * 20 for i in range(400)]}.items():
+        docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+        tokenfiles.write_token_set(docs, str(tmp_path / name), definition, shards=2)
+        kinds[name] = spark.read.parquet(str(tmp_path / name / "dictionary")).first().kind
+        back = {r.doc_id: r.ids for r in tokenfiles.read_token_set(spark, str(tmp_path / name)).collect()}
+        own = Tokenizer.from_str(definition)
+        assert back == {i: bytes(array("I", [*own.encode(t, add_special_tokens=False).ids, 0])) for i, t in enumerate(texts)}
+    assert kinds == {"none": "none", "content": "content", "trained": "trained"}

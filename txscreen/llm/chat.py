@@ -134,7 +134,7 @@ def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         columns = zip(*out, strict=True) if out else [[]] * len(names)
         return pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(columns, kinds, strict=True)], names)
 
-    for b in batches:
+    for b in slices(batches):
         for key, segment, begin, end in zip(*(b.column(c).to_pylist() for c in ("conv_id", "segment", "loss_begin", "loss_end")), strict=True):
             if key != conv:
                 close()
@@ -175,6 +175,8 @@ def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_digests(format_turns(given.unionByName(probe)))
 
 
+#: A turn is escaped where a part of it has a mark, two escape characters in a row, or one at its end.
+_NEEDS = r"""regexp_matches({}, '<s>|</s>|\[INST\]|\[/INST\]|\\\\|\\$')"""
 _ESC = r"""regexp_replace({}, '(<s>|</s>|\[INST\]|\[/INST\]|\\)', '\\\1', 'g')"""
 SQL = f"""
 WITH turns AS (
@@ -185,6 +187,6 @@ SELECT conv_id, count(*) AS n_turns,
   sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
   CAST(sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS BIGINT) AS loss_chars,
   sha256(string_agg(CASE WHEN role = 'assistant' THEN text ELSE '' END, '' ORDER BY turn, role, text)) AS loss_sha256,
-  CAST(sum(length({_ESC.format("role")}) + length({_ESC.format("text")}) + {len(BOS + INST + END_INST + EOS)}) AS BIGINT) AS formatted_chars
+  CAST(sum(CASE WHEN {_NEEDS.format("role")} OR {_NEEDS.format("text")} THEN length({_ESC.format("role")}) + length({_ESC.format("text")}) ELSE length(role) + length(text) END + {len(BOS + INST + END_INST + EOS)}) AS BIGINT) AS formatted_chars
 FROM turns GROUP BY conv_id
 """

@@ -7,7 +7,7 @@ A token set is a folder of two Parquet tables that Spark writes and reads, so it
   documents' ids, starts the ids of the shard before each. Document ids ascend over shards, blocks and
   positions, so the statistics of first_doc and last_doc lead a reader to the one block that holds
   a document, and the lengths to the one frame.
-* ``dictionary``: (sha256, data), the dictionary that every frame needs.
+* ``dictionary``: (sha256, kind, data), the dictionary that every frame needs, and how it was made.
 
 The dictionary is trained on the serialized ids of a bounded, documented sample (SAMPLE_DOCS documents
 with the lowest hash of their id, SAMPLE_IDS ids of each); every document is encoded and written whole.
@@ -40,10 +40,16 @@ DICTIONARY_BYTES, SAMPLE_DOCS, SAMPLE_IDS = 64 * 1024, 1000, 2048
 #: A block is closed at the document that fills it.
 BLOCK_BYTES = 1 << 20
 LEVEL = 1
+#: Bytes below which the library takes nothing for a dictionary.
+LEAST_CONTENT = 8
 
 
-def train_dictionary(docs: DataFrame, vocabulary: Vocabulary, end_id: int) -> bytes:
-    """docs: (doc_id, text). Empty where the sample is too small to train on."""
+def train_dictionary(docs: DataFrame, vocabulary: Vocabulary, end_id: int) -> tuple[bytes, str]:
+    """docs: (doc_id, text). The dictionary and its kind.
+
+    It is `trained` where the library can; a sample that is too small for that is the dictionary itself (`content`), as
+    far as it has room; only a table without rows has none (`none`).
+    """
     chosen = docs.select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_DOCS)
     end = _end(end_id)
 
@@ -57,9 +63,10 @@ def train_dictionary(docs: DataFrame, vocabulary: Vocabulary, end_id: int) -> by
     sample = docs.join(F.broadcast(chosen), "doc_id", "left_semi").mapInArrow(run, "doc_id long, ids binary").orderBy(F.xxhash64("doc_id"), "doc_id", "ids").limit(SAMPLE_DOCS)
     parts = [bytes(r.ids) for r in sample.select("ids").collect()]
     try:
-        return zstandard.train_dictionary(DICTIONARY_BYTES, parts).as_bytes()
+        return zstandard.train_dictionary(DICTIONARY_BYTES, parts).as_bytes(), "trained"
     except zstandard.ZstdError:
-        return b""
+        content = b"".join(parts)[-DICTIONARY_BYTES:]
+        return (content, "content") if len(content) >= LEAST_CONTENT else (b"", "none")
 
 
 def _end(end_id: int) -> bytes:
@@ -142,9 +149,9 @@ def write_token_set(docs: DataFrame, path: str, definition: str, end_id: int = 0
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     shards = shards or partitions(spark)
     vocabulary = Vocabulary(spark, definition, special_as_text)
-    dictionary = train_dictionary(rows, vocabulary, end_id)
+    dictionary, kind = train_dictionary(rows, vocabulary, end_id)
     digest = hashlib.sha256(dictionary).hexdigest()
-    spark.createDataFrame([(digest, bytearray(dictionary))], "sha256 string, data binary").write.mode("overwrite").parquet(f"{path}/dictionary")
+    spark.createDataFrame([(digest, kind, bytearray(dictionary))], "sha256 string, kind string, data binary").write.mode("overwrite").parquet(f"{path}/dictionary")
     # at most `shards` bounds come to the driver
     place = F.coalesce("doc_id", F.lit(_NULL_ID))
     bounds = rows.agg(F.percentile_approx(place, [i / shards for i in range(1, shards)], 10_000).alias("b")).first().b if shards > 1 else []
