@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from txscreen.durable import remove
 from txscreen.llm import bpe, langid, mixing, pii, simhash
 from txscreen.llm.common import free_names, fresh_path, settle, table
 
@@ -85,9 +86,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    """All stages, one after another. A stage's table goes when the next one is written; the last one is the result."""
+    docs, before = table(spark, sf_dir, "documents"), None
     for k, (_, stage) in enumerate(STAGES):
         path = fresh_path(spark, f"stage{k}")
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+        if before is not None:
+            remove(spark, before)
+        before = path
     return docs
