@@ -22,8 +22,7 @@ def latency_summary(rows: DataFrame, value: str, *by: str) -> DataFrame:
     sums = rows.groupBy("_k", *by).agg(F.min(v).alias("min"), F.avg(v).alias("mean"), F.max(v).alias("max")) if by else rows.agg(F.min(v).alias("min"), F.avg(v).alias("mean"), F.max(v).alias("max")).withColumn("_k", key)
     steps = running_totals(rows.where("_v IS NOT NULL").groupBy("_k", "_v").agg(F.count(F.lit(1)).alias("n")), "_v", ["n"], within="_k")
     sizes = steps.groupBy("_k").agg(F.max("run_n").alias("_all"))
-    # one row for each group
-    placed = steps.join(F.broadcast(sizes), "_k")
+    placed = steps.join(sizes, "_k")
     at = lambda q, side: F.min(F.when(F.col("run_n") > side(q * (F.col("_all") - 1)), v))
     ends = placed.groupBy("_k").agg(F.max("_all").alias("_all"), *[at(q, f).alias(f"_{n}_{i}") for n, q in QUANTILES.items() for i, f in enumerate((F.floor, F.ceil))])
     part = lambda q: q * (F.col("_all") - 1) - F.floor(q * (F.col("_all") - 1))

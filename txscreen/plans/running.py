@@ -23,5 +23,6 @@ def running_totals(rows: DataFrame, by: str, sums: list[str], descending: bool =
     bases = totals.select(key, "_bucket", *[F.coalesce(F.sum(f"_t_{c}").over(before), F.lit(0)).alias(f"_b_{c}") for c in sums])
     inside = Window.partitionBy(key, "_bucket").orderBy(order(by)).rowsBetween(Window.unboundedPreceding, 0)
     local = placed.select("*", *[F.sum(c).over(inside).alias(f"_l_{c}") for c in sums])
-    joined = local.join(F.broadcast(bases), [key, "_bucket"])  # one row for each bucket
+    # one row for each bucket; with groups there may be many, and the rows are dealt by both columns already
+    joined = local.join(bases if within else F.broadcast(bases), [key, "_bucket"])
     return joined.select(*rows.columns, *[(F.col(f"_b_{c}") + F.col(f"_l_{c}")).alias(f"run_{c}") for c in sums])
