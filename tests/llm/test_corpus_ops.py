@@ -481,3 +481,42 @@ def test_pipeline(spark, data):
     assert mixed.columns == df.columns and mixed.count() > 0
     out = corpus_pipeline.run(spark, data)
     assert out.where("NOT round_trip").count() == 0 and out.count() > 0
+
+
+# --- odd rows of single operators
+
+
+def test_bpe_stage_takes_clashing_columns_and_odd_rows(spark, data):
+    names = ["n_tokens", "ids_sha256", "split", "ids", "TEXT_", "same"]
+    rows = [(1, "the cat", "en"), (1, "the cat", "en"), (2, None, None), (None, "", "de"), (3, "é" * 40_000 + " x " * 30_000, None)]
+    df = spark.createDataFrame([(*r, *["own"] * len(names)) for r in rows], "doc_id long, text string, lang string, " + ", ".join(f"`{n}` string" for n in names))
+    got = corpus_pipeline.encode_tokens(spark, df, data)
+    out = got.collect()
+    assert got.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "n_split", "round_trip"] and len(out) == 5
+    assert all(r.round_trip for r in out) and sum(r.n_tokens == 0 for r in out) == 2
+    assert len({(r.n_tokens, r.ids_sha256) for r in out if r.doc_id == 1}) == 1
+    assert corpus_pipeline.encode_tokens(spark, df.limit(0), data).count() == 0
+
+
+def test_language_ties_go_to_the_smallest_name_and_a_null_id_is_a_fold(spark):
+    same = [(i, "one and the same text for all", lang) for i, lang in enumerate(["zu", "aa", "mm"] * 20)] + [(None, "one and the same text for all", "zu")]
+    model = langid.train(spark.createDataFrame(same, "doc_id long, text string, lang string"))
+    docs = spark.createDataFrame([(1, "the same text"), (None, "the same text")], "doc_id long, text string")
+    got = langid.predict(docs, model).select("lang_id.lang_pred").collect()
+    assert [r.lang_pred for r in got] == ["aa", "aa"]
+    folds = docs.select(langid.held_out().alias("h")).collect()
+    import zlib
+
+    assert [r.h for r in folds] == [zlib.crc32(b"1") % 5 == 0, zlib.crc32(b"") % 5 == 0]
+
+
+def test_simhash_of_null_ids_and_very_long_texts(spark, tmp_path):
+    long = " ".join(f"word{i % 977} other{i % 1009}" for i in range(60_000))
+    rows = [(5, long), (7, long + " end"), (None, long), (None, "short and alone here"), (9, "short and alone here"), (8, None), (11, "  "), (None, "nobody else says this at all")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = sorted(((r.doc_id, r.fingerprint, r.component_id) for r in registry.QUERIES["op6_simhash"](spark, str(tmp_path)).collect()), key=repr)
+    prints = {t: f"{simhash.fingerprint(t):016x}" for _, t in rows}
+    assert prints[long] == prints[long + " end"] or bin(int(prints[long], 16) ^ int(prints[long + " end"], 16)).count("1") <= 3
+    # a null id names no component unless there is no other
+    first = {long: 5, long + " end": 5, "short and alone here": 9, None: 8, "  ": 8, "nobody else says this at all": None}
+    assert got == sorted(((i, prints[t], first[t]) for i, t in rows), key=repr)
