@@ -44,6 +44,15 @@ def test_load_profile(spark, data):
     assert row.events == 2000 and row.alerts > 0 and row.tumbling > 0 and row.sliding >= row.tumbling
 
 
+def test_requests_of_zero_amounts_are_broken_too(spark, compare, tmp_path):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    i = range(300)
+    pq.write_table(pa.table({"event_id": pa.array(i, pa.int64()), "event_type": ["purchase"] * 300, "user_id": pa.array(i, pa.int64()), "value": [0.0 if k % 82 == 0 else 300.0 for k in i]}), tmp_path / "events.parquet")
+    assert type(compare)(spark, str(tmp_path))(QUERIES["request_errors"], SQL["request_errors"]) == 3
+
+
 def test_models_are_compared_and_one_is_selected(spark, data):
     from txscreen.plans.queries import compared
 

@@ -281,7 +281,8 @@ def account_states(spark: SparkSession, d: str) -> DataFrame:
 def request_errors(spark: SparkSession, d: str) -> DataFrame:
     """Rows as scoring requests with broken fields, and what a score without history says of the others."""
     i = F.col("event_id")
-    rows = ledger(spark, d).withColumn("amount", F.when(i % 41 == 0, -F.col("amount")).otherwise(F.col("amount"))).withColumn("name_dest", F.when(i % 43 == 0, " ").otherwise(F.col("name_dest")))
+    # a fixed amount: the negative of 0 breaks no limit
+    rows = ledger(spark, d).withColumn("amount", F.when(i % 41 == 0, -1.0).otherwise(F.col("amount"))).withColumn("name_dest", F.when(i % 43 == 0, " ").otherwise(F.col("name_dest")))
     done = R.score(D.without_history(D.score_requests(rows)))
     return done.groupBy(F.coalesce("error", F.lit("valid")).alias("error")).agg(F.count(F.lit(1)).alias("events"), F.count_if("is_alert").alias("alerts"))
 
