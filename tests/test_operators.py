@@ -185,6 +185,17 @@ def test_exact_ks_tails_of_larger_samples(spark):
     assert N.numeric_drift(frame([1, 2, 3]), frame([4, 5, 6]), ("v",)).first().ks_pvalue == 0.1
 
 
+@pytest.mark.parametrize("n", [5000, 10_000])
+def test_exact_ks_tails_up_to_the_limit(n):
+    from txscreen.operators.monitoring import _ks_tail
+
+    for h in (n // 100, 120, n // 20):
+        want = 2 * sum((-1) ** (k - 1) * math.exp(2 * math.lgamma(n + 1) - math.lgamma(n - k * h + 1) - math.lgamma(n + k * h + 1)) for k in range(1, n // h + 1))
+        assert _ks_tail(h / n, n, n) == pytest.approx(want, abs=1e-9)
+    # one row less on one side changes little
+    assert _ks_tail(120 / n, n, n - 1) == pytest.approx(_ks_tail(120 / n, n, n), abs=2e-2)
+
+
 def test_alerts_are_published_once(spark):
     rows, done = spark.createDataFrame([("r", "1"), ("r", "1"), ("r", "2")], "run_id string, event_id string"), spark.createDataFrame([("r", "2")], "run_id string, event_id string")
     assert [r.event_id for r in sinks.unpublished(rows, done).collect()] == ["1"]

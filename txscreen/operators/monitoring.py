@@ -119,21 +119,27 @@ EXACT_ROWS = 10_000
 def _ks_tail(d: float, n: int, m: int) -> float:
     """P(D >= d): of the monotone paths over an n x m lattice, the share that leaves the band |i / n - j / m| < d.
 
-    The share of paths inside is built line by line: within the band a point's count is the sum of those to its
-    left and below, and the factor i / (i + m) for each line makes counts shares.
+    Of the paths to the point (i, j), a share i / (i + j) comes from (i - 1, j) and the rest from (i, j - 1), so the share
+    that has stayed inside is built diagonal by diagonal. All values are shares of the paths to their own point, so none
+    gets too small for a double, however many rows there are; a diagonal has the points of the band only.
     """
     common = math.gcd(n, m)
     up, right = m // common, n // common
     most = round(d * n * up)
     if most <= 0:
         return 1.0
-    j = np.arange(m + 1)
-    share = (j * right < most).astype(np.float64)
-    for i in range(1, n + 1):
-        share = np.where(np.abs(i * up - j * right) < most, share, 0.0)
-        first, past = np.searchsorted(j * right, i * up - most, "right"), np.searchsorted(j * right, i * up + most, "left")
-        share[first:past] = np.cumsum(share[first:past] * (i / (i + m)))
-    return float(min(1.0, max(0.0, 1.0 - share[m])))
+    share, low = np.ones(1), 0
+    for k in range(1, n + m + 1):
+        # |i up - (k - i) right| < most
+        first, last = max(0, k - m, (k * right - most) // (up + right) + 1), min(n, k, -((-k * right - most) // (up + right)) - 1)
+        if first > last:
+            return 1.0
+        i = np.arange(first, last + 1)
+        known = np.zeros(last - first + 2)  # of i - 1 from first - 1 on
+        a, b = max(low, first - 1), min(low + len(share), last + 1)
+        known[a - first + 1 : b - first + 1] = share[a - low : b - low]
+        share, low = known[:-1] * (i / k) + known[1:] * (1 - i / k), first
+    return float(min(1.0, max(0.0, 1.0 - share[-1])))
 
 
 def exact_ks_p_value(d: Column, n: Column, m: Column) -> Column:
