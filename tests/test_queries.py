@@ -27,6 +27,29 @@ def test_model_scores_are_probabilities(spark, data):
     assert rows and all(0 <= r.ml_score <= 1 and 0 <= r.risk_score <= 1 for r in rows)
 
 
+def test_scores_are_held_and_their_features_go(spark, data):
+    """History runs once: the result reads scored rows, not a plan with history's shuffles, and leaves no table of features."""
+    from txscreen.durable import names, shared_dir
+
+    rows = QUERIES["model_scores"](spark, data)
+    assert "Exchange" not in rows._jdf.queryExecution().executedPlan().toString()
+    assert not [n for n in names(spark, shared_dir(spark)) if n.startswith("features-")]
+    split = QUERIES["stratified_split"](spark, data).where("split = 'test'")
+    assert sorted(r.event_id for r in rows.collect()) == sorted(r.event_id for r in split.collect())
+
+
+def test_split_bounds_give_the_ranked_split(spark):
+    from pyspark.sql import functions as F
+
+    from txscreen.operators import training as T
+
+    label = F.when(F.col("id") == 7, None).when(F.col("id") % 9 == 0, 1).otherwise(0)  # a label of one row, and a null one
+    rows = spark.range(5000).select(F.col("id").alias("event_id"), F.when(F.col("id") == 8, 2).otherwise(label).alias("is_fraud"))
+    want = T.stratified_split(rows).select("event_id", "split")
+    got = T.with_split(rows, T.split_bounds(rows)).select("event_id", "split")
+    assert got.count() == 5000 and not got.exceptAll(want).count()
+
+
 def test_oversampling_reaches_the_ratio_and_stays_in_the_hull(spark, data):
     rows = QUERIES["smote_rows"](spark, data).toPandas()
     few, many = (rows.is_fraud == 1).sum(), (rows.is_fraud == 0).sum()

@@ -39,6 +39,25 @@ def stratified_split(rows: DataFrame, label: str = "is_fraud", key: str = "event
     return placed.withColumn("split", split).drop("_d", "_rank", "_total")
 
 
+def split_bounds(rows: DataFrame, label: str = "is_fraud", key: str = "event_id", shares: tuple[float, float] = (0.6, 0.2), seed: int = SEED) -> DataFrame:
+    """A row for each label: the last (drawn number, key) of its train rows and of its validation rows.
+
+    Only label and key are ranked and shuffled, so wide rows need no ranks: see with_split().
+    """
+    placed = stratified_split(rows.select(label, key), label, key, shares, seed)
+    last = lambda *parts: F.max(F.when(F.col("split").isin(*parts), F.struct(drawn(key, seed=seed).alias("d"), F.col(key).alias("k"))))
+    return placed.groupBy(F.col(label).alias("_l")).agg(last("train").alias("_train"), last("train", "validation").alias("_validation"))
+
+
+def with_split(rows: DataFrame, bounds: DataFrame, label: str = "is_fraud", key: str = "event_id", seed: int = SEED) -> DataFrame:
+    """Adds the split that stratified_split() gives each row, by comparison with split_bounds(). Rows of one key and label come to one part."""
+    place = F.struct(drawn(key, seed=seed).alias("d"), F.col(key).alias("k"))
+    # a label has one row, and there are two
+    joined = rows.join(F.broadcast(bounds), rows[label].eqNullSafe(F.col("_l")))
+    split = F.when(place <= F.col("_train"), "train").when(place <= F.col("_validation"), "validation").otherwise("test")
+    return joined.withColumn("split", split).drop("_l", "_train", "_validation")
+
+
 #: Bits of a drawn number, and buckets for each shuffle partition.
 DRAW_BITS, BUCKETS_PER_TASK = 60, 16
 
@@ -243,9 +262,10 @@ def evaluate(rows: DataFrame, threshold: float) -> DataFrame:
 def train_and_tune(train: DataFrame, validation: DataFrame, test: DataFrame, names: list[str], kind: str = "logreg", **params) -> tuple[PipelineModel, DataFrame]:
     """Fits on train, takes the threshold of least cost on validation, measures on test.
 
+    The three are tables that are cheap to read, since each is read several times (see durable.keep()).
     The record is one row: model, threshold, evaluated_thresholds, validation_cost, validation_auc_pr, and evaluate() of the test rows.
     """
-    weighted = settle(class_weights(train).select(*names, "is_fraud", "weight"))
+    weighted = class_weights(train).select(*names, "is_fraud", "weight")
     watched = class_weights(validation).select(*names, "is_fraud", "weight") if kind == "gbt" else None
     model = fit(weighted, names, kind, watched, **params)
     # three columns of each scored row, read several times

@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import ScreenConfig
-from ..durable import settle
+from ..durable import keep, remove, settle
 from ..functions import scalars as S
 from ..operators import decode as D
 from ..operators import history as H
@@ -535,23 +536,41 @@ def feature_table(spark: SparkSession, d: str) -> DataFrame:
     return sums.unpivot([], names, "feature", "total").withColumn("total", F.round("total", 1))
 
 
+#: What the rules read besides features.
+RULE_INPUTS = ("txn_type", "fan_out_receivers", "fan_in_senders", "split_count", "split_amount", "inbound_total")
+
+
+@contextmanager
+def modelled(spark: SparkSession, d: str, *others: str, parts: tuple[str, ...] = ("train", "validation", "test")) -> Iterator[tuple[list[DataFrame], list[str]]]:
+    """(rows of each part, names of the features): features, label, event_id and other columns, without the id in the train rows.
+
+    History runs once, into one table of all parts, which goes with the models.
+    """
+    rows, names = numeric_features(spark, d)
+    bounds = settle(T.split_bounds(ledger(spark, d)))
+    split = T.with_split(rows, bounds).where(F.col("split").isin(*parts))
+    table, path = keep(split.select(*names, "is_fraud", "event_id", "split", *others), "features")
+    train, *rest = (table.where(F.col("split") == p).drop("split") for p in parts)
+    train = train.select(*names, "is_fraud")
+    try:
+        yield [train, *rest], names
+    finally:
+        remove(spark, path)
+
+
 @query
 def model_scores(spark: SparkSession, d: str) -> DataFrame:
     """A logistic regression trained on the train split, its scores combined with the rules on the test split."""
-    rows, names = numeric_features(spark, d)
-    split = T.stratified_split(rows)
-    model = T.fit(T.class_weights(split.where("split = 'train'")), names)
-    test = T.predict(model, split.where("split = 'test'"))
-    return R.score(test, ml=F.col("score")).select("event_id", "is_fraud", "ml_score", "risk_score", "severity", "is_alert")
+    with modelled(spark, d, *RULE_INPUTS, parts=("train", "test")) as ((train, test), names):
+        model = T.fit(T.class_weights(train), names)
+        return settle(R.score(T.predict(model, test), ml=F.col("score")).select("event_id", "is_fraud", "ml_score", "risk_score", "severity", "is_alert"))
 
 
 def compared(spark: SparkSession, d: str, kinds: dict[str, dict] | None = None) -> DataFrame:
     """A linear model, a forest and boosted trees: trained, tuned by cost on validation rows, measured on test rows, and which one is selected."""
-    rows, names = numeric_features(spark, d)
-    split = settle(T.stratified_split(rows))
-    parts = [split.where(F.col("split") == p) for p in ("train", "validation", "test")]
     kinds = dict.fromkeys(T.ESTIMATORS, {}) if kinds is None else kinds
-    records = settle(reduce(DataFrame.unionByName, (T.train_and_tune(*parts, names, kind, **params)[1] for kind, params in kinds.items())))
+    with modelled(spark, d) as (parts, names):
+        records = settle(reduce(DataFrame.unionByName, (T.train_and_tune(*parts, names, kind, **params)[1] for kind, params in kinds.items())))
     chosen = T.select_model(records).select(F.col("model").alias("_model"))
     return records.crossJoin(F.broadcast(chosen)).withColumn("selected", F.col("model") == F.col("_model")).drop("_model")  # one row
 
@@ -564,9 +583,8 @@ def model_comparison(spark: SparkSession, d: str) -> DataFrame:
 @query
 def feature_importances(spark: SparkSession, d: str) -> DataFrame:
     """The features that a forest trained on the train split uses most."""
-    rows, names = numeric_features(spark, d)
-    train = T.class_weights(T.stratified_split(rows).where("split = 'train'")).select(*names, "is_fraud", "weight")
-    return T.top_importances(spark, T.fit(settle(train), names, "rf", numTrees=20, maxDepth=8), names)
+    with modelled(spark, d, parts=("train",)) as ((train,), names):
+        return T.top_importances(spark, T.fit(T.class_weights(train), names, "rf", numTrees=20, maxDepth=8), names)
 
 
 @query
