@@ -114,3 +114,17 @@ def test_features_are_scaled_by_the_population_deviation(spark):
 def test_feature_importances(spark, data):
     rows = QUERIES["feature_importances"](spark, data).collect()
     assert rows and sum(r.importance for r in rows) <= 1 + 1e-9 and [r.importance for r in rows] == sorted((r.importance for r in rows), reverse=True)
+
+
+def test_training_rows_come_in_bounded_parts(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from txscreen.operators import training as T
+
+    monkeypatch.setattr(T, "TRAIN_ROWS", 100)
+    rows = spark.range(0, 3000, 1, 1).select(F.col("id").alias("event_id"), (F.col("id") * 2.0).alias("x"))
+    held = T.dealt(rows)
+    sizes = [r["count"] for r in held.groupBy(F.spark_partition_id()).count().collect()]
+    assert held.columns == ["x"] and sum(sizes) == 3000 and len(sizes) == 30 and max(sizes) < 160
+    assert held.agg(F.sum("x")).first()[0] == sum(range(3000)) * 2
+    held.unpersist()

@@ -211,6 +211,16 @@ def class_weights(rows: DataFrame, label: str = "is_fraud") -> DataFrame:
     return rows.join(F.broadcast(counts.crossJoin(F.broadcast(total))), rows[label] == F.col("_l")).withColumn("weight", F.col("_t") / (2 * F.col("_n"))).drop("_l", "_n", "_t")  # two classes
 
 
+#: Rows of a training task, about: what a learner keeps of a part for its passes doesn't grow with the rows.
+TRAIN_ROWS = 250_000
+
+
+def dealt(train: DataFrame, key: str = "event_id") -> DataFrame:
+    """Training rows without their key, held in parts of TRAIN_ROWS at most (fewer where there are idle cores), in the key's order. The caller unpersists them."""
+    parts = max(train.sparkSession.sparkContext.defaultParallelism, -(-train.count() // TRAIN_ROWS))
+    return train.repartition(parts, key).sortWithinPartitions(key).drop(key).persist()
+
+
 _COLUMNS = {"featuresCol": "features", "labelCol": "is_fraud", "weightCol": "weight"}
 #: The settings of the compared models. The boosted trees stop when VALIDATION rows no longer gain.
 ESTIMATORS = {

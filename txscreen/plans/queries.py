@@ -551,10 +551,11 @@ def modelled(spark: SparkSession, d: str, *others: str, parts: tuple[str, ...] =
     split = T.with_split(rows, bounds).where(F.col("split").isin(*parts))
     table, path = keep(split.select(*names, "is_fraud", "event_id", "split", *others), "features")
     train, *rest = (table.where(F.col("split") == p).drop("split") for p in parts)
-    train = train.select(*names, "is_fraud")
+    train = T.dealt(train.select(*names, "is_fraud", "event_id"))
     try:
         yield [train, *rest], names
     finally:
+        train.unpersist()
         remove(spark, path)
 
 
