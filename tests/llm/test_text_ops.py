@@ -128,6 +128,19 @@ def test_encode_and_decode_columns(spark, definition):
     assert bpe.encoding_digests(df.limit(0), definition).count() == 0
 
 
+def test_pieces_of_a_chunk_are_cut_once(definition, monkeypatch):
+    seen = []
+
+    class Counted:
+        findall = staticmethod(lambda text, found=bpe._PIECE.findall: seen.append(text) or found(text))
+
+    monkeypatch.setattr(bpe, "_PIECE", Counted)
+    texts = ["a one,two 3.4 caf\u00e9! x\ny one,two"]
+    got = bpe.Encoder(definition, True).encode(pa.array(texts)).to_pylist()
+    assert [np.frombuffer(x, "<u4").tolist() for x in got] == [Tokenizer.from_str(definition).encode(t, add_special_tokens=False).ids for t in texts]
+    assert len(seen) == len(set(seen)) and not {" two", ",", "4", "!"} & set(seen)
+
+
 def expected_tokens(docs):
     """(doc_id or -1, crc32) by a plain call of the library, sorted."""
     plain = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
