@@ -128,3 +128,43 @@ def test_training_rows_come_in_bounded_parts(spark, monkeypatch):
     assert held.columns == ["x"] and sum(sizes) == 3000 and len(sizes) == 30 and max(sizes) < 160
     assert held.agg(F.sum("x")).first()[0] == sum(range(3000)) * 2
     held.unpersist()
+
+
+def test_training_parts_fill_the_cores():
+    from txscreen.operators import training as T
+
+    n = T.TRAIN_ROWS
+    assert T.train_parts(10, 12) == 12 and T.train_parts(15 * n, 12) == 24  # not 15: 3 tasks of a second round
+    assert T.train_parts(54 * n, 12) == 60 and T.train_parts(71 * n, 12) == 71
+    for rows in range(1, 40 * n, n // 3):
+        parts = T.train_parts(rows, 12)
+        assert rows <= parts * n and -(-parts // 12) * 12 * (1 - T.IDLE_SHARE) <= parts
+
+
+def test_models_are_fitted_two_at_a_time(spark, data, monkeypatch):
+    import threading
+
+    from txscreen.operators import training as T
+    from txscreen.plans.queries import compared
+
+    both, before = threading.Barrier(2), T.fit
+
+    def fit(train, names, kind="logreg", *rest, **params):
+        if kind != "logreg":
+            both.wait(120)  # one after the other would never meet
+        return before(train, names, kind, *rest, **params)
+
+    monkeypatch.setattr(T, "fit", fit)
+    rows = compared(spark, data, {"logreg": {"maxIter": 2}, "rf": {"numTrees": 2, "maxDepth": 2}, "gbt": {"maxIter": 2, "maxDepth": 2}}).collect()
+    assert [r.model for r in rows] == ["logreg", "rf", "gbt"]
+
+
+def test_a_part_of_the_features_is_read_alone(spark, data):
+    from txscreen.plans.queries import modelled
+
+    with modelled(spark, data) as ((_, validation, test), _names):
+        plans = [rows._jdf.queryExecution().executedPlan().toString() for rows in (validation, test)]
+        counts = [rows.count() for rows in (validation, test)]
+    split = QUERIES["stratified_split"](spark, data)
+    assert all("PartitionFilters: [isnotnull(split" in p for p in plans)
+    assert counts == [split.where(f"split = '{part}'").count() for part in ("validation", "test")]

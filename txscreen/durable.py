@@ -35,14 +35,14 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{os.urandom(8).hex()}"
 
 
-def keep(df: DataFrame, name: str) -> tuple[DataFrame, str]:
-    """Computes df once as a table of the shared folder; the table, and its path for remove().
+def keep(df: DataFrame, name: str, *by: str) -> tuple[DataFrame, str]:
+    """Computes df once as a table of the shared folder, partitioned by some columns; the table, and its path for remove().
 
     For wide rows that are read several times: columns are compressed, and a task reads a part of
     spark.sql.files.maxPartitionBytes at most, however few tasks wrote the table.
     """
     path = fresh_path(df.sparkSession, name)
-    df.write.parquet(path)
+    (df.write.partitionBy(*by) if by else df.write).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path), path
 
 

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 from functools import reduce
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -544,12 +546,12 @@ RULE_INPUTS = ("txn_type", "fan_out_receivers", "fan_in_senders", "split_count",
 def modelled(spark: SparkSession, d: str, *others: str, parts: tuple[str, ...] = ("train", "validation", "test")) -> Iterator[tuple[list[DataFrame], list[str]]]:
     """(rows of each part, names of the features): features, label, event_id and other columns, without the id in the train rows.
 
-    History runs once, into one table of all parts, which goes with the models.
+    History runs once, into one table with a partition for each part, which goes with the models.
     """
     rows, names = numeric_features(spark, d)
     bounds = settle(T.split_bounds(ledger(spark, d)))
     split = T.with_split(rows, bounds).where(F.col("split").isin(*parts))
-    table, path = keep(split.select(*names, "is_fraud", "event_id", "split", *others), "features")
+    table, path = keep(split.select(*names, "is_fraud", "event_id", "split", *others), "features", "split")
     train, *rest = (table.where(F.col("split") == p).drop("split") for p in parts)
     train = T.dealt(train.select(*names, "is_fraud", "event_id"))
     try:
@@ -568,10 +570,15 @@ def model_scores(spark: SparkSession, d: str) -> DataFrame:
 
 
 def compared(spark: SparkSession, d: str, kinds: dict[str, dict] | None = None) -> DataFrame:
-    """A linear model, a forest and boosted trees: trained, tuned by cost on validation rows, measured on test rows, and which one is selected."""
+    """A linear model, a forest and boosted trees: trained, tuned by cost on validation rows, measured on test rows, and which one is selected.
+
+    Two models are fitted at a time, so that one's tasks fill the cores that the other leaves idle between its passes, and rows are held for two at most.
+    """
     kinds = dict.fromkeys(T.ESTIMATORS, {}) if kinds is None else kinds
-    with modelled(spark, d) as (parts, names):
-        records = settle(reduce(DataFrame.unionByName, (T.train_and_tune(*parts, names, kind, **params)[1] for kind, params in kinds.items())))
+    with modelled(spark, d) as (parts, names), ThreadPoolExecutor(2) as pool:
+        measured = inheritable_thread_target(spark)(lambda kind: settle(T.train_and_tune(*parts, names, kind, **kinds[kind])[1]))
+        done = {kind: pool.submit(measured, kind) for kind in sorted(kinds, key=T.LONGEST_FIRST.index)}
+        records = reduce(DataFrame.unionByName, (done[kind].result() for kind in kinds))
     chosen = T.select_model(records).select(F.col("model").alias("_model"))
     return records.crossJoin(F.broadcast(chosen)).withColumn("selected", F.col("model") == F.col("_model")).drop("_model")  # one row
 
