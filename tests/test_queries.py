@@ -168,3 +168,59 @@ def test_a_part_of_the_features_is_read_alone(spark, data):
     split = QUERIES["stratified_split"](spark, data)
     assert all("PartitionFilters: [isnotnull(split" in p for p in plans)
     assert counts == [split.where(f"split = '{part}'").count() for part in ("validation", "test")]
+
+
+def test_features_in_the_plan_are_those_of_the_stages(spark):
+    from pyspark.ml.functions import vector_to_array
+
+    from txscreen.operators import training as T
+
+    # a constant column, a null, a column of integers
+    rows = spark.createDataFrame([(k, k / 7, 5.0, k % 3) for k in range(50)], "id long, x double, y double, z int")
+    before = T.preparation(rows, ["x", "y", "z"])
+    odd = rows.unionByName(spark.createDataFrame([(50, None, 4.0, 1), (51, float("nan"), 5.0, None), (52, float("inf"), -0.0, 2)], rows.schema))
+    pick = lambda made: [tuple(map(repr, r.f)) for r in made.orderBy("id").select(vector_to_array("features").alias("f")).collect()]
+    assert pick(T.prepared(odd, before)) == pick(before.transform(odd)) and len(pick(odd.transform(T.prepared, before))) == 53
+
+
+def test_classes_are_counted_once_for_their_weights(spark):
+    from pyspark.sql import functions as F
+
+    from txscreen.operators import training as T
+
+    rows = spark.range(100).select("id", (F.col("id") % 10 == 0).cast("int").alias("is_fraud"))
+    weighted = T.class_weights(rows)
+    assert "Aggregate" not in weighted._jdf.queryExecution().executedPlan().toString()
+    assert sorted({(r.is_fraud, round(r.weight, 9)) for r in weighted.collect()}) == [(0, round(100 / 180, 9)), (1, 5.0)]
+
+
+def test_compared_models_share_one_preparation(spark, data, monkeypatch):
+    from txscreen.operators import training as T
+    from txscreen.plans.queries import compared
+
+    made, before = [], T.StandardScaler.fit
+
+    def fit(self, rows, *rest):
+        made.append(rows)
+        return before(self, rows, *rest)
+
+    monkeypatch.setattr(T.StandardScaler, "fit", fit)
+    rows = compared(spark, data, {"logreg": {"maxIter": 2}, "rf": {"numTrees": 2, "maxDepth": 2}, "gbt": {"maxIter": 2, "maxDepth": 2}}).collect()
+    assert [r.model for r in rows] == ["logreg", "rf", "gbt"] and len(made) == 1
+
+
+def test_alike_rows_lie_together(spark, data):
+    from pyspark.sql import functions as F
+
+    from txscreen.operators import training as T
+    from txscreen.plans.queries import ALIKE, modelled
+
+    rows = spark.range(0, 4000, 1, 4).select(F.col("id").alias("event_id"), F.pmod(F.xxhash64("id"), F.lit(3)).alias("x"))
+    held = T.dealt(rows, alike=("x",))
+    each = held.select(F.spark_partition_id().alias("p"), F.monotonically_increasing_id().alias("i"), "x").orderBy("i").collect()
+    assert len(each) == 4000 and all(a.p != b.p or a.x <= b.x for a, b in zip(each, each[1:], strict=False))
+    held.unpersist()
+    with modelled(spark, data, alike=ALIKE) as ((_, validation, _test), names):
+        kept = validation.select(F.spark_partition_id().alias("p"), F.monotonically_increasing_id().alias("i"), F.input_file_name().alias("f"), *ALIKE).orderBy("i").collect()
+    assert set(ALIKE) <= set(names) and kept
+    assert all((a.p, a.f) != (b.p, b.f) or tuple(a)[3:] <= tuple(b)[3:] for a, b in zip(kept, kept[1:], strict=False))

@@ -8,7 +8,7 @@ import math
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import ElementwiseProduct, StandardScaler, VectorAssembler
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.linalg import Vectors
 from pyspark.ml.stat import Correlation
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -205,10 +205,11 @@ def correlations(rows: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def class_weights(rows: DataFrame, label: str = "is_fraud") -> DataFrame:
-    """Adds weight, total / (2 * rows of the class)."""
+    """Adds weight, total / (2 * rows of the class). The rows of the classes are counted here, once, not with each pass over the result."""
     counts = rows.groupBy(F.col(label).alias("_l")).agg(F.count(F.lit(1)).alias("_n"))
     total = counts.agg(F.sum("_n").alias("_t"))
-    return rows.join(F.broadcast(counts.crossJoin(F.broadcast(total))), rows[label] == F.col("_l")).withColumn("weight", F.col("_t") / (2 * F.col("_n"))).drop("_l", "_n", "_t")  # two classes
+    counts = settle(counts.crossJoin(F.broadcast(total)))  # two classes
+    return rows.join(F.broadcast(counts), rows[label] == F.col("_l")).withColumn("weight", F.col("_t") / (2 * F.col("_n"))).drop("_l", "_n", "_t")
 
 
 #: Rows of a training task, about: what a learner keeps of a part for its passes doesn't grow with the rows.
@@ -225,10 +226,14 @@ def train_parts(rows: int, cores: int) -> int:
     return whole if whole - parts > IDLE_SHARE * whole else parts
 
 
-def dealt(train: DataFrame, key: str = "event_id") -> DataFrame:
-    """Training rows without their key, held in train_parts(), in the key's order. The caller unpersists them."""
+def dealt(train: DataFrame, key: str = "event_id", alike: tuple[str, ...] = ()) -> DataFrame:
+    """Training rows without their key, held in train_parts(), in the key's order. The caller unpersists them.
+
+    alike: columns that order a part's rows before the key. Rows that are alike then follow each other and mostly meet the
+    same nodes of a tree, whose sums are still in the processor's cache.
+    """
     parts = train_parts(train.count(), train.sparkSession.sparkContext.defaultParallelism)
-    return train.repartition(parts, key).sortWithinPartitions(key).drop(key).persist()
+    return train.repartition(parts, key).sortWithinPartitions(*alike, key).drop(key).persist()
 
 
 _COLUMNS = {"featuresCol": "features", "labelCol": "is_fraud", "weightCol": "weight"}
@@ -244,32 +249,45 @@ LONGEST_FIRST = ("rf", "gbt", "logreg")
 VALIDATION = "is_validation"
 
 
-def fit(train: DataFrame, names: list[str], kind: str = "logreg", validation: DataFrame | None = None, **params) -> PipelineModel:
-    """train: numeric columns `names`, is_fraud and weight. params: settings of the estimator by name.
+def preparation(train: DataFrame, names: list[str]) -> PipelineModel:
+    """The stages that make features of the columns `names`, scaled by the train rows' mean and population deviation."""
+    assemble = VectorAssembler(inputCols=names, outputCol="raw", handleInvalid="keep")
+    scale = StandardScaler(inputCol="raw", outputCol="scaled", withMean=True, withStd=True).fit(assemble.transform(train))
+    # the scaler divides by the sample's deviation
+    n = train.count()
+    factor = ElementwiseProduct(inputCol="scaled", outputCol="features", scalingVec=Vectors.dense([math.sqrt(n / (n - 1)) if n > 1 else 1.0] * len(names)))
+    return PipelineModel([assemble, scale, factor])
+
+
+def prepared(rows: DataFrame, before: PipelineModel) -> DataFrame:
+    """Adds the features that the stages of preparation() make, by the same arithmetic in the plan itself: three functions over vectors of many columns take longer than most models."""
+    assemble, scale, factor = before.stages[:3]
+    number = lambda c: F.coalesce(F.col(c).cast("double"), F.lit(float("nan")))
+    each = zip(assemble.getInputCols(), scale.mean.toArray().tolist(), scale.std.toArray().tolist(), factor.getScalingVec().toArray().tolist(), strict=True)
+    return rows.withColumn("features", array_to_vector(F.array(*[(number(c) - F.lit(mean)) * F.lit(1 / std if std else 0.0) * F.lit(more) for c, mean, std, more in each])))
+
+
+def fit(train: DataFrame, names: list[str], kind: str = "logreg", validation: DataFrame | None = None, before: PipelineModel | None = None, **params) -> PipelineModel:
+    """train: numeric columns `names`, is_fraud and weight. params: settings of the estimator by name. before: the preparation() of the train rows, if models share it.
 
     Features are scaled by the train rows' mean and population deviation. With validation rows (of the same columns) boosted
     trees stop at the first tree that lessens their loss by less than validationTol in proportion, and keep the best number of trees.
     """
     last = ESTIMATORS[kind]()
     last = last.copy({last.getParam(k): v for k, v in params.items()})
-    assemble = VectorAssembler(inputCols=names, outputCol="raw", handleInvalid="keep")
-    scale = StandardScaler(inputCol="raw", outputCol="scaled", withMean=True, withStd=True).fit(assemble.transform(train))
-    # the scaler divides by the sample's deviation
-    n = train.count()
-    factor = ElementwiseProduct(inputCol="scaled", outputCol="features", scalingVec=Vectors.dense([math.sqrt(n / (n - 1)) if n > 1 else 1.0] * len(names)))
-    prepared = PipelineModel([assemble, scale, factor])
+    before = before or preparation(train, names)
     rows = train
     if kind == "gbt" and validation is not None:
         shared_dir(train.sparkSession)
         rows = train.withColumn(VALIDATION, F.lit(False)).unionByName(validation.select(*train.columns).withColumn(VALIDATION, F.lit(True)))
         last = last.setValidationIndicatorCol(VALIDATION)
-    return PipelineModel([assemble, scale, factor, last.fit(prepared.transform(rows))])
+    return PipelineModel([*before.stages, last.fit(prepared(rows, before))])
 
 
 def predict(model: PipelineModel, rows: DataFrame) -> DataFrame:
     """rows with score, the unrounded probability of fraud."""
-    done = model.transform(rows).withColumn("score", vector_to_array("probability")[1])
-    return done.drop("raw", "scaled", "features", "rawPrediction", "probability", "prediction")
+    done = model.stages[-1].transform(prepared(rows, model)).withColumn("score", vector_to_array("probability")[1])
+    return done.drop("features", "rawPrediction", "probability", "prediction")
 
 
 def evaluate(rows: DataFrame, threshold: float) -> DataFrame:
@@ -281,15 +299,16 @@ def evaluate(rows: DataFrame, threshold: float) -> DataFrame:
     return counts.crossJoin(F.broadcast(average_precision(by_score(rows)))).crossJoin(F.broadcast(business_cost(rows, alert)))  # one row each
 
 
-def train_and_tune(train: DataFrame, validation: DataFrame, test: DataFrame, names: list[str], kind: str = "logreg", **params) -> tuple[PipelineModel, DataFrame]:
+def train_and_tune(train: DataFrame, validation: DataFrame, test: DataFrame, names: list[str], kind: str = "logreg", before: PipelineModel | None = None, **params) -> tuple[PipelineModel, DataFrame]:
     """Fits on train, takes the threshold of least cost on validation, measures on test.
 
+    Train rows may have their weights already, and before is their preparation(), if models share them.
     The three are tables that are cheap to read, since each is read several times (see durable.keep()).
     The record is one row: model, threshold, evaluated_thresholds, validation_cost, validation_auc_pr, and evaluate() of the test rows.
     """
-    weighted = class_weights(train).select(*names, "is_fraud", "weight")
+    weighted = (train if "weight" in train.columns else class_weights(train)).select(*names, "is_fraud", "weight")
     watched = class_weights(validation).select(*names, "is_fraud", "weight") if kind == "gbt" else None
-    model = fit(weighted, names, kind, watched, **params)
+    model = fit(weighted, names, kind, watched, before=before, **params)
     # both in one pass, for which the model is sent once; four columns of each scored row, read several times
     read = list(dict.fromkeys([*names, "is_fraud", "amount"]))
     both = validation.select(*read, F.lit(False).alias("_test")).unionByName(test.select(*read, F.lit(True).alias("_test")))

@@ -11,7 +11,7 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..config import ScreenConfig
+from ..config import TYPES, ScreenConfig
 from ..durable import keep, remove, settle
 from ..functions import scalars as S
 from ..operators import decode as D
@@ -543,17 +543,19 @@ RULE_INPUTS = ("txn_type", "fan_out_receivers", "fan_in_senders", "split_count",
 
 
 @contextmanager
-def modelled(spark: SparkSession, d: str, *others: str, parts: tuple[str, ...] = ("train", "validation", "test")) -> Iterator[tuple[list[DataFrame], list[str]]]:
+def modelled(spark: SparkSession, d: str, *others: str, parts: tuple[str, ...] = ("train", "validation", "test"), alike: tuple[str, ...] = ()) -> Iterator[tuple[list[DataFrame], list[str]]]:
     """(rows of each part, names of the features): features, label, event_id and other columns, without the id in the train rows.
 
-    History runs once, into one table with a partition for each part, which goes with the models.
+    History runs once, into one table with a partition for each part, which goes with the models. alike: columns that order
+    the rows of a file, and see dealt(); a model is faster on rows that are like those before them.
     """
     rows, names = numeric_features(spark, d)
     bounds = settle(T.split_bounds(ledger(spark, d)))
     split = T.with_split(rows, bounds).where(F.col("split").isin(*parts))
-    table, path = keep(split.select(*names, "is_fraud", "event_id", "split", *others), "features", "split")
+    split = split.select(*names, "is_fraud", "event_id", "split", *others).sortWithinPartitions("split", *alike)
+    table, path = keep(split, "features", "split")
     train, *rest = (table.where(F.col("split") == p).drop("split") for p in parts)
-    train = T.dealt(train.select(*names, "is_fraud", "event_id"))
+    train = T.dealt(train.select(*names, "is_fraud", "event_id"), alike=alike)
     try:
         yield [train, *rest], names
     finally:
@@ -569,14 +571,21 @@ def model_scores(spark: SparkSession, d: str) -> DataFrame:
         return settle(R.score(T.predict(model, test), ml=F.col("score")).select("event_id", "is_fraud", "ml_score", "risk_score", "severity", "is_alert"))
 
 
+#: Features that order the train rows of the compared models: the type decides most, and many others follow the amount.
+ALIKE = (*(f"type_{t}" for t in TYPES), "amount")
+
+
 def compared(spark: SparkSession, d: str, kinds: dict[str, dict] | None = None) -> DataFrame:
     """A linear model, a forest and boosted trees: trained, tuned by cost on validation rows, measured on test rows, and which one is selected.
 
     Two models are fitted at a time, so that one's tasks fill the cores that the other leaves idle between its passes, and rows are held for two at most.
+    Weights and preparation of the train rows are the same for all, so they are made once.
     """
     kinds = dict.fromkeys(T.ESTIMATORS, {}) if kinds is None else kinds
-    with modelled(spark, d) as (parts, names), ThreadPoolExecutor(2) as pool:
-        measured = inheritable_thread_target(spark)(lambda kind: settle(T.train_and_tune(*parts, names, kind, **kinds[kind])[1]))
+    with modelled(spark, d, alike=ALIKE) as ((train, *rest), names), ThreadPoolExecutor(2) as pool:
+        train = T.class_weights(train)
+        before = T.preparation(train, names)
+        measured = inheritable_thread_target(spark)(lambda kind: settle(T.train_and_tune(train, *rest, names, kind, before, **kinds[kind])[1]))
         done = {kind: pool.submit(measured, kind) for kind in sorted(kinds, key=T.LONGEST_FIRST.index)}
         records = reduce(DataFrame.unionByName, (done[kind].result() for kind in kinds))
     chosen = T.select_model(records).select(F.col("model").alias("_model"))
